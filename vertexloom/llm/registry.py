@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from vertexloom.llm.decontaminate import OP9_SQL, op9_decontaminate
 from vertexloom.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from vertexloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 
 
 def queries() -> dict:
-    return {"op7_exact_dedup": op7_exact_dedup}
+    return {
+        "op7_exact_dedup": op7_exact_dedup,
+        "op9_decontaminate": op9_decontaminate,
+        "op10_line_dedup": op10_line_dedup,
+    }
 
 
 def oracle_sql() -> dict:
-    return {"op7_exact_dedup": OP7_SQL}
+    return {"op7_exact_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL, "op10_line_dedup": OP10_SQL}
