@@ -5,10 +5,12 @@ from __future__ import annotations
 from vertexloom.llm.decontaminate import OP9_SQL, op9_decontaminate
 from vertexloom.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from vertexloom.llm.line_dedup import OP10_SQL, op10_line_dedup
+from vertexloom.llm.secrets import OP5_SQL, op5_secret_scan
 
 
 def queries() -> dict:
     return {
+        "op5_secret_scan": op5_secret_scan,
         "op7_exact_dedup": op7_exact_dedup,
         "op9_decontaminate": op9_decontaminate,
         "op10_line_dedup": op10_line_dedup,
@@ -16,4 +18,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op7_exact_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op5_secret_scan": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL, "op10_line_dedup": OP10_SQL}
