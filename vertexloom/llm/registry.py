@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from vertexloom.llm.byte_bpe import op2_byte_bpe
 from vertexloom.llm.decontaminate import OP9_SQL, op9_decontaminate
 from vertexloom.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from vertexloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 from vertexloom.llm.secrets import OP5_SQL, op5_secret_scan
+from vertexloom.llm.token_counts import op6_token_counts
 
 
 def queries() -> dict:
     return {
+        "op2_byte_bpe": op2_byte_bpe,
         "op5_secret_scan": op5_secret_scan,
+        "op6_token_counts": op6_token_counts,
         "op7_exact_dedup": op7_exact_dedup,
         "op9_decontaminate": op9_decontaminate,
         "op10_line_dedup": op10_line_dedup,
