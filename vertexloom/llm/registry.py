@@ -8,11 +8,13 @@ from vertexloom.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from vertexloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 from vertexloom.llm.secrets import OP5_SQL, op5_secret_scan
 from vertexloom.llm.token_counts import op6_token_counts
+from vertexloom.llm.warc_zip import OP4_SQL, op4_warc
 
 
 def queries() -> dict:
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op4_warc": op4_warc,
         "op5_secret_scan": op5_secret_scan,
         "op6_token_counts": op6_token_counts,
         "op7_exact_dedup": op7_exact_dedup,
@@ -22,4 +24,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op5_secret_scan": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op4_warc": OP4_SQL, "op5_secret_scan": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL, "op10_line_dedup": OP10_SQL}
