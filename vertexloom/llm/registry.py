@@ -7,12 +7,14 @@ from vertexloom.llm.decontaminate import OP9_SQL, op9_decontaminate
 from vertexloom.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from vertexloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 from vertexloom.llm.secrets import OP5_SQL, op5_secret_scan
+from vertexloom.llm.simhash import op1_simhash
 from vertexloom.llm.token_counts import op6_token_counts
 from vertexloom.llm.warc_zip import OP4_SQL, op4_warc
 
 
 def queries() -> dict:
     return {
+        "op1_simhash": op1_simhash,
         "op2_byte_bpe": op2_byte_bpe,
         "op4_warc": op4_warc,
         "op5_secret_scan": op5_secret_scan,
