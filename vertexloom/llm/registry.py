@@ -5,6 +5,7 @@ from __future__ import annotations
 from vertexloom.llm.byte_bpe import op2_byte_bpe
 from vertexloom.llm.decontaminate import OP9_SQL, op9_decontaminate
 from vertexloom.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from vertexloom.llm.language_id import op3_language_id
 from vertexloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 from vertexloom.llm.secrets import OP5_SQL, op5_secret_scan
 from vertexloom.llm.simhash import op1_simhash
@@ -16,6 +17,7 @@ def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_language_id": op3_language_id,
         "op4_warc": op4_warc,
         "op5_secret_scan": op5_secret_scan,
         "op6_token_counts": op6_token_counts,
