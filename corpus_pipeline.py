@@ -1 +1,61 @@
-"""The corpus pipeline: five stages over documents."""
+"""The corpus pipeline: from raw documents to coded, deduplicated, decontaminated ones.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage
+before it kept. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vertexloom.llm import byte_bpe, decontaminate, exact_dedup, simhash, toxicity
+from vertexloom.llm.common import table, written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones among them, doesn't predict to be toxic."""
+    network = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, network, carry=docs.columns).filter("predicted = 0").select(*docs.columns)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal without white space, the longest original with the smallest id."""
+    return exact_dedup.drop_exact(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by close fingerprints, the one with the smallest id."""
+    return simhash.drop_near(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of each text, and whether they decode to it."""
+    coded = byte_bpe.decode(byte_bpe.encode(docs.select("doc_id", "lang", "source", "text")))
+    round_trip = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return coded.select("doc_id", "lang", "source", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), round_trip.alias("round_trip"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_exact_copies),
+    ("near dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("byte-level BPE", encode),
+]
+
+#: SQL can't express trained scores, fingerprints or merges; tests hold the stages against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each stage's rows are written before the next reads them."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -32,6 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vertexloom.llm.common import table
 
@@ -226,9 +227,7 @@ def _mapped(df: DataFrame, path: str, pattern: str, columns: list[str], schema:
             yield pa.RecordBatch.from_arrays([*batch.columns[: keep], *[pa.array(v, t) for v, t in zip(made, types, strict=True)]], names=names)
 
     keep = len(columns) - 1
-    result = df.select(*columns[:-1]).schema
-    for part in schema.split(", "):
-        result = result.add(*part.split(" "))
+    result = T.StructType([*df.select(*columns[:-1]).schema, *T.StructType.fromDDL(schema)])
     kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
     types, names = [kinds[part.split(" ")[1]] for part in schema.split(", ")], result.names
     return df.select(*columns).mapInArrow(run, result)

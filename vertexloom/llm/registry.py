@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from vertexloom.llm.byte_bpe import op2_byte_bpe
 from vertexloom.llm.decontaminate import OP9_SQL, op9_decontaminate
 from vertexloom.llm.exact_dedup import OP7_SQL, op7_exact_dedup
@@ -10,6 +11,7 @@ from vertexloom.llm.line_dedup import OP10_SQL, op10_line_dedup
 from vertexloom.llm.secrets import OP5_SQL, op5_secret_scan
 from vertexloom.llm.simhash import op1_simhash
 from vertexloom.llm.token_counts import op6_token_counts
+from vertexloom.llm.toxicity import op8_toxicity
 from vertexloom.llm.warc_zip import OP4_SQL, op4_warc
 
 
@@ -22,8 +24,10 @@ def queries() -> dict:
         "op5_secret_scan": op5_secret_scan,
         "op6_token_counts": op6_token_counts,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_toxicity": op8_toxicity,
         "op9_decontaminate": op9_decontaminate,
         "op10_line_dedup": op10_line_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
