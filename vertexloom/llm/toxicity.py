@@ -6,7 +6,8 @@ overlapping windows of words, all of them. A word comes in as its own vector
 its hashed byte 3- to 5-grams with its ends marked, so that unseen words
 count by their characters. Two recurrent passes read a window, attention
 pools their states, and a logistic output scores it. The text's score is a
-logistic function of its windows' highest output, fitted to whole texts.
+logistic function of its windows' highest and mean outputs, fitted to texts
+that the network wasn't trained on.
 
 The network is trained in numpy on the driver, on at most ``2 * per_label``
 labelled documents of either label. Only texts are labelled, so of a toxic
@@ -40,6 +41,8 @@ WINDOW, STRIDE = 32, 24
 WORD_DIM, GRAM_DIM, STATE = 8, 8, 8
 GRAM_BITS, GRAM_SIZES, MOST_WORDS = 15, (3, 4, 5), 20_000
 PER_LABEL, FOLDS, HELD = 1000, 3, 1
+#: What each training step takes off the vectors of words and n-grams.
+DECAY = 0.02
 THRESHOLD = 0.7
 SCORED_TOGETHER, REMEMBERED = 4096, 150_000
 #: Bytes of words: letters, A-Z in lower case, and all of non-ASCII characters; others are blanks.
@@ -102,7 +105,7 @@ class Network:
         self.weights = {"word": drawn(len(known) + 1, WORD_DIM, scale=0.1), "gram": drawn(1 << GRAM_BITS, GRAM_DIM, scale=0.1), "attend": drawn(2 * STATE, scale=0.3), "out": drawn(2 * STATE, scale=0.3), "bias": np.zeros(1, np.float32)}
         for d in "fb":
             self.weights |= {f"in_{d}": drawn(n, 3 * STATE, scale=n**-0.5), f"off_{d}": np.zeros(3 * STATE, np.float32), f"rec_{d}": drawn(STATE, 3 * STATE, scale=STATE**-0.5)}
-        self.scale, self.shift = 1.0, 0.0
+        self.scale, self.shift = np.array([1.0, 0.0]), 0.0
         self.constant: float | None = None
 
     def inputs(self, words: list[bytes]) -> tuple[np.ndarray, tuple]:
@@ -186,11 +189,11 @@ class Network:
         if self.constant is not None:
             yield from (self.constant for _ in texts)
             return
-        for top in self.highest(texts):
-            yield float(_sigmoid(np.float64(self.scale * top + self.shift)))
+        for outputs in self.outputs(texts):
+            yield float(_sigmoid(outputs @ self.scale + self.shift))
 
-    def highest(self, texts: Iterator[str | None]) -> Iterator[float]:
-        """The highest output among each text's windows."""
+    def outputs(self, texts: Iterator[str | None]) -> Iterator[np.ndarray]:
+        """The highest and the mean output of each text's windows."""
         group: list[list[bytes]] = []
         waiting = 0
         self._forget()
@@ -198,15 +201,15 @@ class Network:
             group.append(words_of(text))
             waiting += 1 + len(group[-1]) // STRIDE
             if waiting >= SCORED_TOGETHER:
-                yield from self._highest(group)
+                yield from self._outputs(group)
                 group, waiting = [], 0
-        yield from self._highest(group)
+        yield from self._outputs(group)
 
     def _forget(self) -> None:
         self._place: dict[bytes, int] = {}
         self._gates = {d: np.empty((0, 3 * STATE), np.float32) for d in "fb"}
 
-    def _highest(self, group: list[list[bytes]]) -> Iterator[float]:
+    def _outputs(self, group: list[list[bytes]]) -> Iterator[np.ndarray]:
         if len(self._place) > REMEMBERED:
             self._forget()
         place = self._place
@@ -223,21 +226,24 @@ class Network:
             return
         index = np.concatenate(parts)
         logit = np.concatenate([self.logits(*gates, index[a : a + SCORED_TOGETHER], blank) for a in range(0, len(index), SCORED_TOGETHER)])
-        starts = np.cumsum([0, *map(len, parts)])[:-1]
-        yield from np.maximum.reduceat(logit, starts).tolist()
+        sizes = np.array([len(p) for p in parts])
+        starts = np.cumsum(sizes) - sizes
+        yield from np.stack((np.maximum.reduceat(logit, starts), np.add.reduceat(logit, starts, dtype=np.float64) / sizes), axis=1)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, decay: float = 0.02) -> tuple[float, float]:
-    """Scale and shift of the logistic function of x that fits y, both labels weighing the same; by Newton's method."""
-    middle, spread = x.mean(), x.std() + 1e-9
-    rows = np.stack(((x - middle) / spread, np.ones_like(x)), axis=1)
-    each, w = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y), np.zeros(2)
+def _logistic(x: np.ndarray, y: np.ndarray, decay: float = 0.01) -> tuple[np.ndarray, float]:
+    """Scale and shift of the logistic function of the columns of x that fits y, both labels weighing the same; by Newton's method."""
+    middle, spread = x.mean(0), x.std(0) + 1e-9
+    rows = np.column_stack(((x - middle) / spread, np.ones(len(x))))
+    each, pull = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y), np.array([decay] * x.shape[1] + [1e-6])
+    w = np.zeros(len(pull))
     for _ in range(50):
         p = _sigmoid(rows @ w)
-        curve = (rows * (each * p * (1 - p))[:, None]).T @ rows + np.diag([decay, 1e-6])
-        step = np.linalg.solve(curve, rows.T @ (each * (y - p)) - np.array([decay, 1e-6]) * w)
+        curve = (rows * (each * p * (1 - p))[:, None]).T @ rows + np.diag(pull)
+        step = np.linalg.solve(curve, rows.T @ (each * (y - p)) - pull * w)
         w += step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
-    return float(w[0] / spread), float(w[1] - w[0] * middle / spread)
+    scale = w[:-1] / spread
+    return scale, float(w[-1] - middle @ scale)
 
 
 def train(rows: list, rounds: int = 6, whole_rounds: int = 2, batch: int = 1024, rate: float = 0.01, seed: int = 1) -> Network:
@@ -290,8 +296,10 @@ def train(rows: list, rounds: int = 6, whole_rounds: int = 2, batch: int = 1024,
                 first, second = moments[k]
                 first += 0.1 * (slope - first)
                 second += 0.01 * (slope * slope - second)
+                if k in ("word", "gram"):
+                    network.weights[k] *= 1 - DECAY
                 network.weights[k] -= rate * (first / (1 - 0.9**steps)) / (np.sqrt(second / (1 - 0.99**steps)) + 1e-6)
-    network.scale, network.shift = _logistic(np.array(list(network.highest(row["text"] for row in rest))), rest_labels)
+    network.scale, network.shift = _logistic(np.array(list(network.outputs(row["text"] for row in rest))), rest_labels)
     network._forget()
     return network
 
