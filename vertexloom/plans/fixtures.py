@@ -83,7 +83,7 @@ def chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = Window.partitionBy("o_custkey").orderBy("o_orderkey")
     steps = table(spark, sf_dir, "orders").withColumn("step", F.row_number().over(order) - 1).filter("step < 9 and not (o_custkey % 7 = 0 and step = 2)")
     n = (F.col("o_orderkey") % 11).cast("double")
-    params = F.when(F.col("step") % 3 == 0, F.array(n, -n)).when(F.col("step") % 3 == 1, F.array(n / 10, n, F.lit(1.0), F.lit(16.0), F.lit(16.0))).otherwise(F.array(1 + n / 100, n / 200, -n / 200, 1 - n / 100, F.lit(0.5), -n, F.lit(8.0), F.lit(8.0)))
+    params = F.when(F.col("step") % 3 == 0, F.array(n, 0 - n)).when(F.col("step") % 3 == 1, F.array(n / 7, n, F.lit(1.0), F.lit(16.0), F.lit(16.0))).otherwise(F.array(1 + n / 97, n / 193, (0 - n) / 193, 1 - n / 97, F.lit(0.5), 0 - n, F.lit(8.0), F.lit(8.0)))
     kind = F.when(F.col("step") % 3 == 0, "translation").when(F.col("step") % 3 == 1, "euler").otherwise("affine")
     return steps.select(F.col("o_custkey").alias("chain_id"), "step", kind.alias("kind"), params.alias("params"))
 
@@ -122,7 +122,7 @@ SQL = {
     "sp": "SELECT 'u' || user_id || '-t' || day(ts) || '.csv' AS file, day(ts) AS t, (event_id % 512)::DOUBLE AS x, (event_id // 512)::DOUBLE AS y, ((props::JSON ->> 'k')::INT % 5)::DOUBLE AS z, value AS intensity, (props::JSON ->> 'k')::INT / 100 AS probability, row_number() OVER (PARTITION BY user_id, day(ts) ORDER BY event_id) - 1 AS spot_ix FROM events",
     "rn": f"SELECT l_suppkey AS set_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, {ORDER}) - 1 AS roi_ix, p_brand AS name FROM lineitem JOIN part ON l_partkey = p_partkey",
     "ch0": "SELECT o_custkey AS chain_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS step, (o_orderkey % 11)::DOUBLE AS n FROM orders",
-    "ch": "SELECT chain_id, step, CASE step % 3 WHEN 0 THEN 'translation' WHEN 1 THEN 'euler' ELSE 'affine' END AS kind, CASE step % 3 WHEN 0 THEN [n, -n] WHEN 1 THEN [n / 10, n, 1.0::DOUBLE, 16.0::DOUBLE, 16.0::DOUBLE] ELSE [1 + n / 100, n / 200, -n / 200, 1 - n / 100, 0.5::DOUBLE, -n, 8.0::DOUBLE, 8.0::DOUBLE] END AS params FROM ch0 WHERE step < 9 AND NOT (chain_id % 7 = 0 AND step = 2)",
+    "ch": "SELECT chain_id, step, CASE step % 3 WHEN 0 THEN 'translation' WHEN 1 THEN 'euler' ELSE 'affine' END AS kind, CASE step % 3 WHEN 0 THEN [n, 0 - n] WHEN 1 THEN [n / 7, n, 1.0::DOUBLE, 16.0::DOUBLE, 16.0::DOUBLE] ELSE [1 + n / 97, n / 193, (0 - n) / 193, 1 - n / 97, 0.5::DOUBLE, 0 - n, 8.0::DOUBLE, 8.0::DOUBLE] END AS params FROM ch0 WHERE step < 9 AND NOT (chain_id % 7 = 0 AND step = 2)",
     "fr": "SELECT title || '-t' || t || e AS file FROM (SELECT 'u' || user_id AS title, dayofyear(ts) AS t, bool_or(event_type = 'error') AS failed FROM events GROUP BY 1, 2), (VALUES ('.tif'), ('_cp_masks.tif')) v(e) WHERE e = '.tif' OR NOT failed",
     "sec": "SELECT DISTINCT user_id AS series, 'sec_s' || lpad(dayofyear(ts)::VARCHAR, 3, '0') || '.png' AS path FROM events",
     "pc": f"SELECT l_orderkey AS path_id, row_number() OVER w - 1 AS cmd_ix, CASE WHEN lag(l_returnflag) OVER w IS DISTINCT FROM l_returnflag THEN 'M' WHEN lead(l_linenumber) OVER w IS NULL AND l_linestatus = 'O' THEN 'Q' ELSE 'L' END AS cmd, l_quantity AS x, l_extendedprice / 1000 AS y FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY {ORDER})",

@@ -67,7 +67,7 @@ def run_on_frames(spark, sf_dir):
     "g01_percentile_normalize",
     cte("gray")
     + """, p AS (SELECT image_id, quantile_cont(v, 0.03) AS a, quantile_cont(v, 0.998) AS b FROM gray GROUP BY image_id)
-SELECT image_id, c, z, t, y, x, round(coalesce((v - a) / nullif(b - a, 0), 0), 4) + 0.0 AS v FROM gray JOIN p USING (image_id)""",
+SELECT image_id, c, z, t, y, x, round(coalesce((v - a) / nullif(b - a, 0), 0), 6) + 0.0 AS v FROM gray JOIN p USING (image_id)""",
 )
 def percentile_normalize(spark, sf_dir):
     return rounded(frames.percentile_normalize(fx.gray_raster(spark, sf_dir)), "v")

@@ -83,7 +83,7 @@ def vectorize_labels(spark, sf_dir):
     cte("lab")
     + EDGES
     + """, p AS (SELECT image_id, label, count(*) AS perimeter FROM e GROUP BY ALL)
-SELECT image_id, label, count(*) AS area, min(x) AS min_x, min(y) AS min_y, max(x) AS max_x, max(y) AS max_y, round(avg(x), 4) AS centre_x, round(avg(y), 4) AS centre_y, any_value(perimeter) AS perimeter
+SELECT image_id, label, count(*) AS area, min(x) AS min_x, min(y) AS min_y, max(x) AS max_x, max(y) AS max_y, round(avg(x), 6) AS centre_x, round(avg(y), 6) AS centre_y, any_value(perimeter) AS perimeter
 FROM lab JOIN p USING (image_id, label) GROUP BY image_id, label""",
 )
 def label_stats(spark, sf_dir):

@@ -19,7 +19,7 @@ def area_sql(source: str) -> str:
   SELECT set_id, roi_ix, poly_ix, x * {WRAP.format("y")} - y * {WRAP.format("x")} AS c FROM {source} {RING}) GROUP BY ALL"""
 
 
-def rounded(df: DataFrame, *columns: str, places: int = 4) -> DataFrame:
+def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, places) + F.lit(0.0) for c in columns})
 
 
@@ -53,17 +53,17 @@ def rebind_points(spark, sf_dir):
     return roi.rebind_points(vertices, points)
 
 
-@query("r04_map_points", cte("op") + " SELECT set_id, roi_ix, poly_ix, vertex_ix, round(x + y / 2, 4) + 0.0 AS x, round(y - x / 4, 4) + 0.0 AS y FROM op")
+@query("r04_map_points", cte("op") + " SELECT set_id, roi_ix, poly_ix, vertex_ix, round(x + y / 2, 6) + 0.0 AS x, round(y - x / 4, 6) + 0.0 AS y FROM op")
 def map_points(spark, sf_dir):
     return rounded(roi.map_points(fx.order_polygons(spark, sf_dir), F.col("x") + F.col("y") / 2, F.col("y") - F.col("x") / 4), "x", "y")
 
 
-@query("r05_signed_area", cte("op") + f", a AS ({area_sql('op')}) SELECT set_id, roi_ix, poly_ix, round(area, 4) + 0.0 AS area FROM a")
+@query("r05_signed_area", cte("op") + f", a AS ({area_sql('op')}) SELECT set_id, roi_ix, poly_ix, round(area, 6) + 0.0 AS area FROM a")
 def signed_area(spark, sf_dir):
     return rounded(roi.signed_area(fx.order_polygons(spark, sf_dir)), "area")
 
 
-@query("r06_orientation", cte("cr") + f", a AS ({area_sql('cr')}) SELECT set_id, roi_ix, poly_ix, round(area, 4) + 0.0 AS area, CASE WHEN area >= 0 THEN 'positive' ELSE 'negative' END AS orientation FROM a")
+@query("r06_orientation", cte("cr") + f", a AS ({area_sql('cr')}) SELECT set_id, roi_ix, poly_ix, round(area, 6) + 0.0 AS area, CASE WHEN area >= 0 THEN 'positive' ELSE 'negative' END AS orientation FROM a")
 def orientation(spark, sf_dir):
     return rounded(roi.orientation(fx.customer_rois(spark, sf_dir)), "area")
 
@@ -93,8 +93,8 @@ k AS (SELECT *, min(CASE WHEN cmd = 'Q' THEN poly_ix END) OVER (PARTITION BY pat
   row_number() OVER (PARTITION BY path_id, poly_ix ORDER BY cmd_ix) - 1 AS vertex_ix FROM n),
 g AS (SELECT * FROM k WHERE n > 1 AND (bad IS NULL OR poly_ix < bad)),
 b AS (SELECT path_id, poly_ix, arg_min(x, vertex_ix) AS fx, arg_min(y, vertex_ix) AS fy, max(x) - min(x) AS w, max(y) - min(y) AS h FROM g WHERE n = 3 GROUP BY ALL)
-SELECT path_id, poly_ix, vertex_ix, round(x, 4) AS x, round(y, 4) AS y, 'polygon' AS kind FROM g WHERE n <> 3
-UNION ALL SELECT path_id, poly_ix, i, round(fx + w * (i IN (1, 2))::INT, 4), round(fy + h * (i IN (2, 3))::INT, 4), 'rectangle' FROM b, range(4) r(i)""",
+SELECT path_id, poly_ix, vertex_ix, round(x, 6) AS x, round(y, 6) AS y, 'polygon' AS kind FROM g WHERE n <> 3
+UNION ALL SELECT path_id, poly_ix, i, round(fx + w * (i IN (1, 2))::INT, 6), round(fy + h * (i IN (2, 3))::INT, 6), 'rectangle' FROM b, range(4) r(i)""",
 )
 def split_subpaths(spark, sf_dir):
     return rounded(roi.split_subpaths(fx.path_commands(spark, sf_dir)), "x", "y")
@@ -118,9 +118,9 @@ l AS (SELECT set_id, roi_ix, 2 * (row_number() OVER (PARTITION BY set_id ORDER B
   greatest(0, floor(min(x)))::INT AS ax, ceil(max(x))::INT AS bx, greatest(0, floor(min(y)))::INT AS ay, ceil(max(y))::INT AS b_y FROM ep GROUP BY set_id, roi_ix),
 e AS (SELECT set_id, roi_ix, x AS x0, y AS y0, {WRAP.format("x")} AS x1, {WRAP.format("y")} AS y1 FROM ep {RING}),
 py AS (SELECT *, unnest(range(ay, b_y + 1)) AS y FROM l),
-c AS (SELECT roi_ix, label, set_id, ax, bx, y, (x1 - x0) * (y + 0.5 - y0) / (y1 - y0) + x0 AS at FROM py JOIN e USING (set_id, roi_ix) WHERE (y0 > y + 0.5) <> (y1 > y + 0.5)),
+c AS (SELECT roi_ix, label, set_id, ax, bx, y, (x1 - x0) * (y + 0.5 - y0) / (y1 - y0) + x0 AS cut FROM py JOIN e USING (set_id, roi_ix) WHERE (y0 > y + 0.5) <> (y1 > y + 0.5)),
 px AS (SELECT *, unnest(range(ax, bx + 1)) AS x FROM c),
-i AS (SELECT set_id, roi_ix, label, y, x FROM px WHERE x + 0.5 < at GROUP BY ALL HAVING count(*) % 2 = 1)
+i AS (SELECT set_id, roi_ix, label, y, x FROM px WHERE x + 0.5 < cut GROUP BY ALL HAVING count(*) % 2 = 1)
 SELECT set_id, y, x, max(label) AS label FROM i GROUP BY set_id, y, x""",
 )
 def rasterize_rois(spark, sf_dir):
@@ -138,7 +138,7 @@ q AS (SELECT *, sum(len) OVER (PARTITION BY set_id, roi_ix, poly_ix ORDER BY ver
     "r12_sample_path",
     cte("op") + ", " + _stretch_sql("op", False) + """,
 k AS (SELECT *, unnest(range(ceil((e - len) / 10)::INT, ceil(e / 10)::INT)) AS k FROM q WHERE len > 0)
-SELECT set_id, roi_ix, poly_ix, k AS vertex_ix, round(x + (k * 10 - e + len) / len * (x1 - x), 4) + 0.0 AS x, round(y + (k * 10 - e + len) / len * (y1 - y), 4) + 0.0 AS y FROM k WHERE k < floor(total / 10)""",
+SELECT set_id, roi_ix, poly_ix, k AS vertex_ix, round(x + (k * 10 - e + len) / len * (x1 - x), 6) + 0.0 AS x, round(y + (k * 10 - e + len) / len * (y1 - y), 6) + 0.0 AS y FROM k WHERE k < floor(total / 10)""",
 )
 def sample_path(spark, sf_dir):
     return rounded(roi.sample_path(fx.order_polygons(spark, sf_dir), 10.0), "x", "y")
@@ -149,8 +149,8 @@ def sample_path(spark, sf_dir):
     cte("op") + ", " + _stretch_sql("op", True) + """,
 k AS (SELECT *, unnest(range(greatest(1, ceil((e - len) / 7.5))::INT, ceil(e / 7.5)::INT)) AS k FROM q WHERE len > 0),
 z AS (SELECT set_id, roi_ix, poly_ix, any_value(total) AS total, arg_min(x, vertex_ix) AS x, arg_min(y, vertex_ix) AS y FROM q GROUP BY ALL HAVING count(*) > 1)
-SELECT set_id, roi_ix, poly_ix, k - 1 AS vertex_ix, round(x + (k * 7.5 - e + len) / len * (x1 - x), 4) + 0.0 AS x, round(y + (k * 7.5 - e + len) / len * (y1 - y), 4) + 0.0 AS y FROM k
-UNION ALL SELECT set_id, roi_ix, poly_ix, greatest(ceil(total / 7.5) - 1, 0)::BIGINT, round(x, 4), round(y, 4) FROM z""",
+SELECT set_id, roi_ix, poly_ix, k - 1 AS vertex_ix, round(x + (k * 7.5 - e + len) / len * (x1 - x), 6) + 0.0 AS x, round(y + (k * 7.5 - e + len) / len * (y1 - y), 6) + 0.0 AS y FROM k
+UNION ALL SELECT set_id, roi_ix, poly_ix, greatest(ceil(total / 7.5) - 1, 0)::BIGINT, round(x, 6), round(y, 6) FROM z""",
 )
 def resample_polygon(spark, sf_dir):
     return rounded(roi.resample_polygon(fx.order_polygons(spark, sf_dir), 7.5), "x", "y")
@@ -160,7 +160,7 @@ def _smooth_sql(source: str, near: str, allowed: str) -> str:
     return f""", n AS (SELECT set_id, roi_ix, poly_ix, vertex_ix, x, y, {near} FROM {source} {RING}),
 c AS (SELECT *, nullif(sqrt((xa - xb) ** 2 + (ya - yb) ** 2), 0) AS len FROM n),
 o AS (SELECT *, (xa - xb) / len AS dx, (ya - yb) / len AS dy, (x - xb) * ((ya - yb) / len) - (y - yb) * ((xa - xb) / len) AS off FROM c)
-SELECT set_id, roi_ix, poly_ix, vertex_ix, round(CASE WHEN {allowed} THEN coalesce(x - 0.5 * off * dy, x) ELSE x END, 4) + 0.0 AS x, round(CASE WHEN {allowed} THEN coalesce(y + 0.5 * off * dx, y) ELSE y END, 4) + 0.0 AS y FROM o"""
+SELECT set_id, roi_ix, poly_ix, vertex_ix, round(CASE WHEN {allowed} THEN coalesce(x - 0.5 * off * dy, x) ELSE x END, 6) + 0.0 AS x, round(CASE WHEN {allowed} THEN coalesce(y + 0.5 * off * dx, y) ELSE y END, 6) + 0.0 AS y FROM o"""
 
 
 @query("r14_smooth_open", cte("op") + _smooth_sql("op", "lag(x) OVER w AS xb, lag(y) OVER w AS yb, lead(x) OVER w AS xa, lead(y) OVER w AS ya", "true"))

@@ -19,7 +19,7 @@ from vertexloom.sources.svg import sample_svg
     "p01_name_spots",
     cte("sp")
     + """, k AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY spot_ix) AS i, count(*) OVER (PARTITION BY file) AS n FROM sp)
-SELECT file, spot_ix, 'Point_' || lpad(i::VARCHAR, length(n::VARCHAR), '0') || '_int:' || printf('%.2f', round(intensity, 2)) || '_prob:' || printf('%.2f', probability) AS name FROM k""",
+SELECT file, spot_ix, 'Point_' || lpad(i::VARCHAR, length(n::VARCHAR)::INT, '0') || '_int:' || printf('%.2f', round(intensity, 2)) || '_prob:' || printf('%.2f', probability) AS name FROM k""",
 )
 def name_spots(spark, sf_dir):
     return spots.name_spots(fx.spots(spark, sf_dir).withColumn("intensity", F.round("intensity", 2))).select("file", "spot_ix", "name")
@@ -45,7 +45,7 @@ def filter_detections(spark, sf_dir):
     "s01_read_spots",
     cte("sp")
     + """, o AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY spot_ix) - 1 AS line FROM sp)
-SELECT file, t, line AS spot_ix, x, y, CASE WHEN line % 3 = 0 THEN 0.0 ELSE z END AS z, round(intensity, 4) AS intensity, probability FROM o WHERE line % 5 <> 4""",
+SELECT file, t, line AS spot_ix, x, y, CASE WHEN line % 3 = 0 THEN 0.0 ELSE z END AS z, round(intensity, 6) AS intensity, probability FROM o WHERE line % 5 <> 4""",
 )
 def read_spots(spark, sf_dir):
     """Spot files made of the events: every third line without z, every fifth with a bad number."""
@@ -57,10 +57,10 @@ def read_spots(spark, sf_dir):
     return rounded(parse_spots(texts), "intensity")
 
 
-@query("s02_read_transformed_points", cte("op") + " SELECT set_id::VARCHAR AS file, vertex_ix AS point_ix, round(x, 3) AS in_x, round(y, 3) AS in_y, round(x, 3) AS out_x, round(y, 3) AS out_y FROM op")
+@query("s02_read_transformed_points", cte("op") + " SELECT set_id::VARCHAR AS file, vertex_ix AS point_ix, round(x, 5) AS in_x, round(y, 5) AS in_y, round(x, 5) AS out_x, round(y, 5) AS out_y FROM op")
 def read_transformed_points(spark, sf_dir):
     op = fx.order_polygons(spark, sf_dir)
-    line = F.format_string("Point\t%d\t; InputIndex = [ 0 0 ]\t; InputPoint = [ %.3f %.3f ]\t; OutputIndexFixed = [ 0 0 ]\t; OutputPoint = [ %.3f %.3f ]\t; Deformation = [ 0.0 0.0 ]", "vertex_ix", F.round("x", 3), F.round("y", 3), F.round("x", 3), F.round("y", 3))
+    line = F.format_string("Point\t%d\t; InputIndex = [ 0 0 ]\t; InputPoint = [ %.5f %.5f ]\t; OutputIndexFixed = [ 0 0 ]\t; OutputPoint = [ %.5f %.5f ]\t; Deformation = [ 0.0 0.0 ]", "vertex_ix", F.round("x", 5), F.round("y", 5), F.round("x", 5), F.round("y", 5))
     points = parse_transformed_points(op.select(F.col("set_id").cast("string").alias("file"), line.alias("value")))
     return points.select("file", "point_ix", *[F.col(c)[i].alias(f"{c[:-3]}_{a}") for c in ("input", "output") for i, a in enumerate("xy")])
 
@@ -73,17 +73,17 @@ def write_points(spark, sf_dir):
 
 @query(
     "s04_read_svg_paths",
-    cte("op") + ", " + _stretch_sql("(SELECT set_id, roi_ix, poly_ix, vertex_ix, x, round(y, 3) AS y FROM op)", False) + """,
+    cte("op") + ", " + _stretch_sql("op", False) + """,
 k AS (SELECT *, unnest(range(ceil((e - len) / 20)::INT, ceil(e / 20)::INT)) AS k FROM q WHERE len > 0)
-SELECT set_id, roi_ix, poly_ix, k AS vertex_ix, round((x + (k * 20 - e + len) / len * (x1 - x)) / 2, 3) + 0.0 AS x, round((y + (k * 20 - e + len) / len * (y1 - y)) / 2, 3) + 0.0 AS y, 'order' || set_id AS name FROM k WHERE k < floor(total / 20)""",
+SELECT set_id, roi_ix, poly_ix, k AS vertex_ix, round((x + (k * 20 - e + len) / len * (x1 - x)) / 2, 6) + 0.0 AS x, round((y + (k * 20 - e + len) / len * (y1 - y)) / 2, 6) + 0.0 AS y, 'order' || set_id AS name FROM k WHERE k < floor(total / 20)""",
 )
 def read_svg_paths(spark, sf_dir):
     """Paths written as text from the orders' lines, and read back at half their size."""
     op = fx.order_polygons(spark, sf_dir)
-    point = F.concat_ws(",", F.col("x").cast("string"), F.round("y", 3).cast("string"))
+    point = F.concat_ws(",", F.col("x").cast("string"), F.col("y").cast("string"))
     paths = op.groupBy("set_id", "roi_ix").agg(F.array_sort(F.collect_list(F.struct("vertex_ix", point.alias("p")))).alias("v"))
     paths = paths.select("set_id", "roi_ix", F.concat(F.lit("order"), F.col("set_id").cast("string")).alias("name"), F.concat(F.lit("M"), F.array_join(F.transform("v", lambda v: v["p"]), " L ")).alias("d"))
-    return rounded(sample_svg(paths, 10.0, 2.0).drop("colour"), "x", "y", places=3)
+    return rounded(sample_svg(paths, 10.0, 2.0).drop("colour"), "x", "y")
 
 
 @query("s05_list_frames", cte("fr") + " SELECT file, regexp_extract(file, '^(.*?)-t', 1) AS title, regexp_extract(file, '-t(\\d+)', 1)::INT AS t, CASE WHEN file LIKE '%masks.tif' THEN 'mask' ELSE 'input' END AS role FROM fr")

@@ -18,9 +18,9 @@ def moved_sql(points: str) -> str:
     """``pts`` has the points of ``points`` (chain_id, id columns k, x, y) after all linked steps of their chain."""
     x = "CASE kind WHEN 'translation' THEN x + params[1] WHEN 'euler' THEN cos(params[1]) * (x - params[4]) - sin(params[1]) * (y - params[5]) + params[4] + params[2] ELSE params[1] * (x - params[7]) + params[2] * (y - params[8]) + params[7] + params[5] END"
     y = "CASE kind WHEN 'translation' THEN y + params[2] WHEN 'euler' THEN sin(params[1]) * (x - params[4]) + cos(params[1]) * (y - params[5]) + params[5] + params[3] ELSE params[3] * (x - params[7]) + params[4] * (y - params[8]) + params[8] + params[6] END"
-    return f""", go AS (SELECT chain_id, k, x::DOUBLE AS x, y::DOUBLE AS y, 0::BIGINT AS at FROM {points}
-  UNION ALL SELECT go.chain_id, k, {x}, {y}, at + 1 FROM go JOIN lk ON lk.chain_id = go.chain_id AND lk.step = at),
-pts AS (SELECT chain_id, k, arg_max(x, at) AS x, arg_max(y, at) AS y FROM go GROUP BY chain_id, k)"""
+    return f""", go AS (SELECT chain_id, k, x::DOUBLE AS x, y::DOUBLE AS y, 0::BIGINT AS done FROM {points}
+  UNION ALL SELECT go.chain_id, k, {x}, {y}, done + 1 FROM go JOIN lk ON lk.chain_id = go.chain_id AND lk.step = done),
+pts AS (SELECT chain_id, k, arg_max(x, done) AS x, arg_max(y, done) AS y FROM go GROUP BY chain_id, k)"""
 
 
 def recursive(sql: str) -> str:
@@ -40,7 +40,7 @@ def _linked(spark, sf_dir) -> DataFrame:
     return transform.relink_chain(fx.chains(spark, sf_dir)).drop("prev_step")
 
 
-@query("t01_transform_points", recursive(cte("cr", "ch0", "ch") + LINKED + moved_sql(CUSTOMER_POINTS) + " SELECT chain_id, k.r AS roi_ix, k.p AS poly_ix, k.v AS vertex_ix, round(x, 4) + 0.0 AS x, round(y, 4) + 0.0 AS y FROM pts"))
+@query("t01_transform_points", recursive(cte("cr", "ch0", "ch") + LINKED + moved_sql(CUSTOMER_POINTS) + " SELECT chain_id, k.r AS roi_ix, k.p AS poly_ix, k.v AS vertex_ix, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y FROM pts"))
 def transform_points(spark, sf_dir):
     return rounded(transform.transform_points(_customer_points(spark, sf_dir), _linked(spark, sf_dir)), "x", "y")
 
@@ -55,12 +55,12 @@ def final_transform(spark, sf_dir):
     return transform.final_transform(fx.chains(spark, sf_dir))
 
 
-@query("t04_invert_chain", cte("cr") + " SELECT set_id AS chain_id, roi_ix, poly_ix, vertex_ix, round(x, 3) + 0.0 AS x, round(y, 3) + 0.0 AS y FROM cr")
+@query("t04_invert_chain", cte("cr") + " SELECT set_id AS chain_id, roi_ix, poly_ix, vertex_ix, round(x, 5) + 0.0 AS x, round(y, 5) + 0.0 AS y FROM cr")
 def invert_chain(spark, sf_dir):
     """Points mapped by their chain and back again: where they were."""
     chains = _linked(spark, sf_dir)
     there = transform.transform_points(_customer_points(spark, sf_dir), chains)
-    return rounded(transform.transform_points(there, transform.invert_chain(chains)), "x", "y", places=3)
+    return rounded(transform.transform_points(there, transform.invert_chain(chains)), "x", "y", places=5)
 
 
 IMAGE_POINTS = "(SELECT image_id + 1 AS chain_id, {'i': image_id, 'y': y, 'x': x} AS k, x, y FROM gray)"
@@ -77,7 +77,7 @@ def _chained_images(spark, sf_dir) -> DataFrame:
         + LINKED
         + moved_sql(IMAGE_POINTS)
         + """, f AS (SELECT k.i AS image_id, chain_id, k.y AS y, k.x AS x, floor(x)::INT AS fx, floor(y)::INT AS fy, x - floor(x) AS wx, y - floor(y) AS wy FROM pts)
-SELECT f.image_id, chain_id, f.y, f.x, round(coalesce(sum((CASE WHEN i = 1 THEN wx ELSE 1 - wx END) * (CASE WHEN j = 1 THEN wy ELSE 1 - wy END) * v), 0), 4) + 0.0 AS v
+SELECT f.image_id, chain_id, f.y, f.x, round(coalesce(sum((CASE WHEN i = 1 THEN wx ELSE 1 - wx END) * (CASE WHEN j = 1 THEN wy ELSE 1 - wy END) * v), 0), 6) + 0.0 AS v
 FROM f CROSS JOIN range(2) a(i) CROSS JOIN range(2) b(j) LEFT JOIN gray g ON g.image_id = f.image_id AND g.x = fx + i AND g.y = fy + j GROUP BY f.image_id, chain_id, f.y, f.x"""
     ),
 )
@@ -91,7 +91,7 @@ def transform_image(spark, sf_dir):
         cte("gray", "ch0", "ch")
         + LINKED
         + moved_sql(IMAGE_POINTS)
-        + " SELECT k.i AS image_id, chain_id, k.y AS y, k.x AS x, round(coalesce(v, 0), 4) + 0.0 AS v FROM pts LEFT JOIN gray g ON g.image_id = k.i AND g.x = floor(pts.x + 0.5)::INT AND g.y = floor(pts.y + 0.5)::INT"
+        + " SELECT k.i AS image_id, chain_id, k.y AS y, k.x AS x, round(coalesce(v, 0), 6) + 0.0 AS v FROM pts LEFT JOIN gray g ON g.image_id = k.i AND g.x = floor(pts.x + 0.5)::INT AND g.y = floor(pts.y + 0.5)::INT"
     ),
 )
 def transform_image_nearest(spark, sf_dir):
@@ -116,8 +116,8 @@ def _pairs(spark, sf_dir) -> DataFrame:
     + """, s AS (SELECT *, min(fixed) OVER p AS fl, max(fixed) OVER p AS fh, min(moving) OVER p AS ml, max(moving) OVER p AS mh FROM pr WINDOW p AS (PARTITION BY pair_id)),
 j AS (SELECT pair_id, least(31, floor((fixed - fl) / (fh - fl) * 32)) AS bf, least(31, floor((moving - ml) / (mh - ml) * 32)) AS bm, count(*) AS k FROM s GROUP BY ALL),
 t AS (SELECT pair_id, k, sum(k) OVER (PARTITION BY pair_id) AS n, sum(k) OVER (PARTITION BY pair_id, bf) AS nf, sum(k) OVER (PARTITION BY pair_id, bm) AS nm FROM j)
-SELECT pair_id, round(sum(k / n * ln(k * n / (nf * nm))), 4) AS mutual_information, any_value(d) AS mean_square FROM t
-JOIN (SELECT pair_id, round(avg((fixed - moving) ** 2), 4) AS d FROM pr GROUP BY pair_id) USING (pair_id) GROUP BY pair_id""",
+SELECT pair_id, round(sum(k / n * ln(k * n / (nf * nm))), 6) AS mutual_information, any_value(d) AS mean_square FROM t
+JOIN (SELECT pair_id, round(avg((fixed - moving) ** 2), 6) AS d FROM pr GROUP BY pair_id) USING (pair_id) GROUP BY pair_id""",
 )
 def pair_similarity(spark, sf_dir):
     return rounded(transform.pair_similarity(_pairs(spark, sf_dir)), "mutual_information", "mean_square")
@@ -125,7 +125,7 @@ def pair_similarity(spark, sf_dir):
 
 @query(
     "t07_image_pyramid",
-    cte("gray") + " SELECT image_id, level, (y // f)::INT AS y, (x // f)::INT AS x, round(avg(v), 4) + 0.0 AS v FROM gray, (VALUES (0, 8), (1, 4), (2, 2)) l(level, f) GROUP BY ALL",
+    cte("gray") + " SELECT image_id, level, (y // f)::INT AS y, (x // f)::INT AS x, round(avg(v), 6) + 0.0 AS v FROM gray, (VALUES (0, 8), (1, 4), (2, 2)) l(level, f) GROUP BY ALL",
 )
 def image_pyramid(spark, sf_dir):
     return rounded(transform.image_pyramid(fx.gray_raster(spark, sf_dir), [(8, 8), (4, 4), (2, 2)]), "v")
@@ -133,7 +133,7 @@ def image_pyramid(spark, sf_dir):
 
 @query(
     "t08_initial_alignment",
-    cte("gray") + PAIRS + " SELECT pair_id, round(sum(moving * x) / sum(moving) - sum(fixed * x) / sum(fixed), 4) + 0.0 AS tx, round(sum(moving * y) / sum(moving) - sum(fixed * y) / sum(fixed), 4) + 0.0 AS ty FROM pr GROUP BY pair_id",
+    cte("gray") + PAIRS + " SELECT pair_id, round(sum(moving * x) / sum(moving) - sum(fixed * x) / sum(fixed), 6) + 0.0 AS tx, round(sum(moving * y) / sum(moving) - sum(fixed * y) / sum(fixed), 6) + 0.0 AS ty FROM pr GROUP BY pair_id",
 )
 def initial_alignment(spark, sf_dir):
     return rounded(transform.initial_alignment(_pairs(spark, sf_dir)), "tx", "ty")
@@ -155,11 +155,11 @@ def sample_pixels(spark, sf_dir):
         + LINKED
         + moved_sql(CUSTOMER_POINTS)
         + """, d AS (SELECT chain_id AS set_id, (p.x - c.x) ** 2 + (p.y - c.y) ** 2 AS s FROM pts p JOIN cr c ON c.set_id = p.chain_id AND c.roi_ix = k.r AND c.poly_ix = k.p AND c.vertex_ix = k.v)
-SELECT set_id, round(avg(sqrt(s)), 3) AS mean, round(max(sqrt(s)), 3) AS greatest, round(sqrt(avg(s)), 3) AS rms FROM d GROUP BY set_id"""
+SELECT set_id, round(avg(sqrt(s)), 5) AS mean, round(max(sqrt(s)), 5) AS greatest, round(sqrt(avg(s)), 5) AS rms FROM d GROUP BY set_id"""
     ),
 )
 def deformation_stats(spark, sf_dir):
     points = _customer_points(spark, sf_dir)
     both = transform.transform_points(points.withColumns({"in_x": F.col("x"), "in_y": F.col("y")}), _linked(spark, sf_dir))
     renamed = both.select(F.col("chain_id").alias("set_id"), "in_x", "in_y", F.col("x").alias("out_x"), F.col("y").alias("out_y"))
-    return rounded(transform.deformation_stats(renamed), "mean", "greatest", "rms", places=3)
+    return rounded(transform.deformation_stats(renamed), "mean", "greatest", "rms", places=5)
