@@ -86,6 +86,8 @@ def trace_rings(edges: DataFrame) -> DataFrame:
 
 def simplify_rings(rings: DataFrame, mode: str = "all", corners: DataFrame | None = None) -> DataFrame:
     """Rings without vertices on a straight line: none dropped (keep_all), all such (all), or those at movable corners (movable)."""
+    if mode not in ("keep_all", "all", "movable") or (mode == "movable" and corners is None):
+        raise ValueError(f"unknown mode {mode}, or mode movable without corner classes")
     if mode == "keep_all":
         return rings
     keys = [*OBJECT, "ring_id"]
@@ -95,11 +97,7 @@ def simplify_rings(rings: DataFrame, mode: str = "all", corners: DataFrame | Non
     straight = (F.col("x") - F.col("xb")) * (F.col("ya") - F.col("y")) == (F.col("y") - F.col("yb")) * (F.col("xa") - F.col("x"))
     marked = rings.withColumns(near).withColumn("straight", straight)
     if mode == "movable":
-        if corners is None:
-            raise ValueError("mode movable needs corner classes")
         marked = marked.join(corners.select("image_id", "y", "x", "movable"), ["image_id", "y", "x"], "left").withColumn("straight", F.col("straight") & F.coalesce("movable", F.lit(False)))
-    elif mode != "all":
-        raise ValueError(f"unknown mode {mode}")
     kept = marked.filter(~F.col("straight"))
     return kept.select(*keys, (F.row_number().over(w) - 1).alias("vertex_ix"), "x", "y")
 

@@ -23,7 +23,7 @@ def catalogue(files: DataFrame) -> DataFrame:
 
 
 def list_frames(spark: SparkSession, path: str) -> DataFrame:
-    """The files under a folder, with size and time; contents aren't read."""
+    """The files under a folder that aren't empty, with size and time; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return catalogue(files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "path", "length", "modificationTime"))
 
