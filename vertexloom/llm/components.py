@@ -40,8 +40,8 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     node alone is a component of one. Links with a null end are left out.
     """
     known = links.select(F.col(u).alias("u"), F.col(v).alias("v")).dropna()
-    ends = known.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now = written(ends.filter("u > v"), "links")
+    ends = written(known.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    now = ends.filter("u > v")
     alone = ends.filter("u = v").select("u")
     mark = None
     while True:
