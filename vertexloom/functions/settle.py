@@ -5,17 +5,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the session names in spark.checkpoint.dir, or in one of our own where it names none."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="vertexloom-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the folder that the session names in spark.checkpoint.dir and read again.
 
-    Lineage ends there and lost executors cost nothing. Where the session
-    names no folder, as on one machine, it is one of our own.
+    Lineage ends there and lost executors cost nothing.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="vertexloom-")
-    path = f"{folder}/settled-{uuid.uuid4().hex}"
+    path = folder(spark, "settled")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

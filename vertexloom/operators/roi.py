@@ -31,8 +31,12 @@ def nest_vertices(vertices: DataFrame) -> DataFrame:
 
 
 def with_point_index(vertices: DataFrame) -> DataFrame:
-    order = Window.partitionBy("set_id").orderBy("roi_ix", "poly_ix", "vertex_ix")
-    return vertices.withColumn("point_ix", F.row_number().over(order) - 1)
+    """Place of each vertex among all of its set, from 0: its polygon's offset and its place there, so that no task sorts a whole set."""
+    sizes = vertices.groupBy(*POLYGON).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("set_id").orderBy("roi_ix", "poly_ix").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*POLYGON, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    placed = vertices.withColumn("point_ix", F.row_number().over(ring()) - 1).join(offsets, POLYGON)
+    return placed.withColumn("point_ix", F.col("point_ix") + F.col("offset")).select(*vertices.columns, "point_ix")
 
 
 def vertex_counts(vertices: DataFrame) -> DataFrame:

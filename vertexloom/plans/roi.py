@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vertexloom.functions.settle import folder
 from vertexloom.operators import roi
 from vertexloom.plans import fixtures as fx
 from vertexloom.plans.fixtures import cte
 from vertexloom.plans.registry import query
+from vertexloom.sources import tables
 
 WRAP = "coalesce(lead({0}) OVER w, first_value({0}) OVER f)"
 RING = "WINDOW w AS (PARTITION BY set_id, roi_ix, poly_ix ORDER BY vertex_ix), f AS (PARTITION BY set_id, roi_ix, poly_ix ORDER BY vertex_ix ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
@@ -194,3 +196,17 @@ def unique_roi_names(spark, sf_dir):
 @query("r17_roi_names_from_labels", cte("lab") + " SELECT DISTINCT image_id, label, trunc(label)::INT::VARCHAR AS name FROM lab")
 def roi_names_from_labels(spark, sf_dir):
     return roi.roi_names_from_labels(fx.label_raster(spark, sf_dir).select("image_id", "label").distinct())
+
+
+@query(
+    "s08_read_rois",
+    cte("cr", "rn") + " SELECT 'vertices' AS part, set_id, roi_ix, count(*) AS n FROM cr WHERE vertex_ix > 0 GROUP BY ALL UNION ALL SELECT 'rois', set_id, roi_ix, 1 FROM rn",
+)
+def read_rois(spark, sf_dir):
+    """Region tables written and read again; first vertices are written without a place, and so dropped."""
+    path = folder(spark, "rois")
+    vertices = fx.customer_rois(spark, sf_dir).withColumn("x", F.when(F.col("vertex_ix") > 0, F.col("x")))
+    tables.write_rois(fx.roi_names(spark, sf_dir), vertices, path)
+    rois, back = tables.read_rois(spark, path)
+    counts = back.groupBy("set_id", "roi_ix").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(F.lit("vertices").alias("part"), "set_id", "roi_ix", "n").unionByName(rois.select(F.lit("rois").alias("part"), "set_id", "roi_ix", F.lit(1).cast("long").alias("n")))

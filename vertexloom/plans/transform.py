@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vertexloom.functions.settle import folder
 from vertexloom.operators import transform
 from vertexloom.plans import fixtures as fx
 from vertexloom.plans.fixtures import cte
 from vertexloom.plans.registry import query
 from vertexloom.plans.roi import rounded
+from vertexloom.sources import tables
 
 LINKED = ", li AS (SELECT *, row_number() OVER w - 1 AS place, lag(step) OVER w AS prev_step FROM ch WINDOW w AS (PARTITION BY chain_id ORDER BY step)), lk AS (SELECT chain_id, step, kind, params, prev_step FROM li WHERE place = step)"
 
@@ -50,6 +52,14 @@ def relink_chain(spark, sf_dir):
     return transform.relink_chain(fx.chains(spark, sf_dir))
 
 
+@query("s07_read_chains", cte("ch0", "ch") + LINKED + " SELECT chain_id, step, kind, params, prev_step FROM lk")
+def read_chains(spark, sf_dir):
+    """Chains written as a table and read again: up to their gaps."""
+    path = folder(spark, "chains")
+    tables.write_chains(fx.chains(spark, sf_dir), path)
+    return tables.read_chains(spark, path)
+
+
 @query("t03_final_transform", cte("ch0", "ch") + " SELECT chain_id, max(step) AS step, arg_max(kind, step) AS kind, arg_max(params, step) AS params FROM ch GROUP BY chain_id")
 def final_transform(spark, sf_dir):
     return transform.final_transform(fx.chains(spark, sf_dir))
