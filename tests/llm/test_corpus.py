@@ -319,3 +319,19 @@ def test_toxicity_gradients():
         low = loss()
         flat[at] = old
         assert abs((high - low) / (2 * step) - slopes[k].reshape(-1)[at]) < 0.02 * max(abs(slopes[k].reshape(-1)[at]), 1e-3) + 1e-4
+
+
+def test_secret_spans_of_random_texts(spark):
+    """Tighter patterns find what the base ones find after short matches are dropped."""
+    import re
+
+    rnd = random.Random(8)
+    parts = ["AKIA", "AKIAKIA", "0123456789ABCDEF", "0123456789abcdef", "f", "g", " ", "é", "🙂", "token=", "Secret : '", 'API_KEY"="', "password:", "abcdefghijkl", "x/y+z.", "\n"]
+    rows = [(i, "".join(rnd.choice(parts) for _ in range(rnd.randrange(25)))) for i in range(400)]
+    ledger = secrets.BlobLedger(spark)
+    out = ledger.findings(ledger.scan(docs_of(spark, rows))).collect()
+    texts = dict(rows)
+    for r in out:
+        for rule in secrets.RULES:
+            found = [(m.start(), m.end()) for m in re.finditer(rule.pattern, texts[r.id], re.A) if len(m.group(rule.group)) >= rule.least]
+            assert [tuple(s) for s in r[rule.kind]] == found, (rule.kind, texts[r.id])

@@ -29,23 +29,27 @@ from vertexloom.llm.common import shared_path, table, text_of, written
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: the pattern, and the length that the group must have to count; a new version scans anew."""
+    """A kind of secret: the pattern, and the length that the group must have to count; a new version scans anew.
+
+    ``scan`` may be a pattern that matches exactly the matches that are long
+    enough: a run of one class of characters is as long as it gets, and
+    where it is too short nothing inside it is long enough.
+    """
 
     kind: str
     pattern: str
     least: int
     group: int = 0
     version: int = 1
+    scan: str | None = None
 
 
 #: The base rules, in the order that ties between spans follow.
 RULES = (
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2),
-    Rule("access", r"AKIA[A-Z0-9]+", 18),
-    Rule("hex", r"[0-9a-f]+", 16),
+    Rule("access", r"AKIA[A-Z0-9]+", 18, scan=r"AKIA[A-Z0-9]{14,}"),
+    Rule("hex", r"[0-9a-f]+", 16, scan=r"[0-9a-f]{16,}"),
 )
-#: Texts without a match of this have no span of the rule; it only saves work.
-HINTS = {"access": r"AKIA[A-Z0-9]{14}", "hex": r"[0-9a-f]{16}"}
 
 LEDGER = "blob string, kind string, version int, spans array<struct<start:int,end:int>>"
 SPANS = "array<struct<start:int,end:int>>"
@@ -53,10 +57,11 @@ SPANS = "array<struct<start:int,end:int>>"
 
 def spans_of(text: Column, rule: Rule) -> Column:
     """Places of the rule's leftmost non-overlapping matches whose group is long enough."""
-    pattern = F.lit(rule.pattern)
+    scan = rule.scan or rule.pattern
+    pattern = F.lit(scan)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     held = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    pieces = F.transform(F.split(text, rule.pattern, -1), F.length)
+    pieces = F.transform(F.split(text, scan, -1), F.length)
     parts = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(found)).alias("gap"), F.transform(found, F.length).alias("size"), F.transform(held, F.length).alias("held"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,held:int>>").alias("out"))
 
@@ -67,7 +72,7 @@ def spans_of(text: Column, rule: Rule) -> Column:
 
     places = F.filter(F.aggregate(parts, start, step)["out"], lambda s: s["held"] >= rule.least)
     places = F.transform(places, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-    return F.when(F.regexp_like(text, F.lit(HINTS.get(rule.kind, rule.pattern))), places).otherwise(F.array().cast(SPANS))
+    return F.when(F.regexp_like(text, pattern), places).otherwise(F.array().cast(SPANS))
 
 
 class BlobLedger:
