@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 from pathlib import Path
@@ -31,15 +32,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vertexloom.llm.common import table
+from vertexloom.llm.common import give_back, small_batches, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 #: Matches of more bytes are merged one by one; so many shorter ones side by side; texts are split so many code points at a time.
-WIDEST, SIDE_BY_SIDE, TOGETHER = 64, 16_384, 1_000_000
+WIDEST, SIDE_BY_SIDE, TOGETHER = 64, 4_096, 1_000_000
 #: No pair of live neighbours begins here.
 NONE = 1 << 62
 
@@ -107,14 +107,17 @@ class ByteBpe:
         self.split_any = regex.compile(pattern).findall
         # In an ASCII text the classes of letters and digits are these, and the plainer matcher is faster.
         self.split_ascii = re.compile(pattern.replace(r"[^\s\p{L}\p{N}]", "[^\\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]"), re.A).findall
-        pairs = {}
+        left, right, merged = array("i"), array("i"), array("i")
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
-                    pairs[a << 32 | b] = rank
-        self.pairs = np.array(sorted(pairs), np.int64)
-        self.pair_rank = np.array([pairs[p] for p in sorted(pairs)], np.int64)
+                    left.append(a)
+                    right.append(b)
+                    merged.append(rank)
+        pairs = np.array(left, np.int64) << 32 | np.array(right, np.int64)
+        order = np.argsort(pairs)
+        self.pairs, self.pair_rank = pairs[order], np.array(merged, np.int64)[order]
         self.byte_rank = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.known: dict[str, tuple[int, ...]] = {}
         self.remembered = remembered
@@ -215,21 +218,30 @@ def vocabulary_file(name: str = VOCABULARY) -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
-def _mapped(df: DataFrame, path: str, pattern: str, columns: list[str], schema: str, rows) -> DataFrame:
-    """``df`` through ``rows(coder, values of the last of columns)``, which gives the result's further columns for each."""
-    shared = df.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
+def _mapped(df: DataFrame, source: str, path: str | None, pattern: str | None, schema: str, rows, keep: list[str] | None = None) -> DataFrame:
+    """``keep`` or else all columns of ``df``, and what ``rows(coder, values of source)`` gives for each row."""
+    spark = df.sparkSession
+    small_batches(spark)
+    own_path, own_pattern = vocabulary_file()
+    shared, pattern = spark.sparkContext.broadcast(Path(path or own_path).read_bytes()), pattern or own_pattern
+    made = T.StructType.fromDDL(schema)
+    keep = [c for c in keep or df.columns if c not in made.names]
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32())}
+    types = [kinds[f.dataType.simpleString()] for f in made]
+    result = T.StructType([*df.select(*keep).schema, *made])
+    # The source goes along once: as a kept column, or else as the last one.
+    columns = keep if source in keep else [*keep, source]
+    at, n, names = columns.index(source), len(keep), result.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = ByteBpe(shared.value, pattern)
         for batch in batches:
-            out = list(rows(coder, (value.as_py() for value in batch.column(batch.num_columns - 1))))
-            made = list(zip(*out, strict=True)) if out else [[]] * len(types)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: keep], *[pa.array(v, t) for v, t in zip(made, types, strict=True)]], names=names)
-
-    keep = len(columns) - 1
-    result = T.StructType([*df.select(*columns[:-1]).schema, *T.StructType.fromDDL(schema)])
-    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
-    types, names = [kinds[part.split(" ")[1]] for part in schema.split(", ")], result.names
+            out = list(rows(coder, (value.as_py() for value in batch.column(at))))
+            arrays = zip(*out, strict=True) if out else [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *[pa.array(v, t) for v, t in zip(arrays, types, strict=True)]], names=names)
+        del coder
+        give_back()
+
     return df.select(*columns).mapInArrow(run, result)
 
 
@@ -246,18 +258,23 @@ def _decoded(coder: ByteBpe, coded: Iterator[list[int] | None]) -> Iterator[tupl
 
 def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``docs`` with token_ids, an array of the text's ids."""
-    own_path, own_pattern = vocabulary_file()
-    keep = [c for c in docs.columns if c != "token_ids"]
-    texts = docs.select(*keep, F.col(text_col).alias("__coded"))
-    return _mapped(texts, path or own_path, pattern or own_pattern, [*keep, "__coded"], "token_ids array<int>", _encoded)
+    return _mapped(docs, text_col, path, pattern, "token_ids array<int>", _encoded)
 
 
 def decode(coded: DataFrame, ids_col: str = "token_ids", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``coded`` with decoded, the bytes that its ids stand for."""
-    own_path, own_pattern = vocabulary_file()
-    keep = [c for c in coded.columns if c != "decoded"]
-    ids = coded.select(*keep, F.col(ids_col).alias("__coded"))
-    return _mapped(ids, path or own_path, pattern or own_pattern, [*keep, "__coded"], "decoded binary", _decoded)
+    return _mapped(coded, ids_col, path, pattern, "decoded binary", _decoded)
+
+
+def _checked(coder: ByteBpe, texts: Iterator[str | None]) -> Iterator[tuple]:
+    for some in together(text or "" for text in texts):
+        for text, ids in zip(some, coder.encode_all(some), strict=True):
+            yield ids, coder.decode(ids) == text.encode()
+
+
+def encode_checked(docs: DataFrame, text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """``docs`` with token_ids and round_trip, whether they decode to the text; both in one pass of one worker."""
+    return _mapped(docs, text_col, path, pattern, "token_ids array<int>, round_trip boolean", _checked)
 
 
 def _digests(coder: ByteBpe, texts: Iterator[str | None]) -> Iterator[tuple]:
@@ -268,9 +285,7 @@ def _digests(coder: ByteBpe, texts: Iterator[str | None]) -> Iterator[tuple]:
 
 def code_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Per document: n_tokens, the digest of its ids and of what they decode to; ids stay in the worker."""
-    own_path, own_pattern = vocabulary_file()
-    texts = docs.select(F.col(id_col), F.col(text_col).alias("__coded"))
-    return _mapped(texts, path or own_path, pattern or own_pattern, [id_col, "__coded"], "n_tokens long, ids_sha256 string, decoded_sha256 string", _digests)
+    return _mapped(docs, text_col, path, pattern, "n_tokens long, ids_sha256 string, decoded_sha256 string", _digests, keep=[id_col])
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

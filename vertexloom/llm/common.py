@@ -16,6 +16,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A side of a join is broadcast up to so many rows, counted beforehand; each such row is a few fixed-width columns.
 BROADCAST_ROWS = 200_000
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+#: How Spark writes the setting's default.
+BATCH_DEFAULTS = ("67108864b", "64MB", "64m")
+
 _own_dir: list[str] = []
 
 
@@ -37,6 +41,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few MB for this session, unless it has a size of its own: workers hold a batch of texts and what they make of it at once."""
+    if spark.conf.get(BATCH_SETTING) in BATCH_DEFAULTS:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
+def give_back() -> None:
+    """At a task's end in a Python worker: memory goes back to the machine, as the worker stays for later tasks."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends, and a lost executor costs nothing."""
     spark = df.sparkSession

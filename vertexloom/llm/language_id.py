@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import table
+from vertexloom.llm.common import small_batches, table
 from vertexloom.llm.samples import remainder, sample
 
 PER_LABEL = 400
@@ -132,6 +132,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def predicted(docs: DataFrame, languages: Languages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: held_out, lang_pred, score, ambiguous."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import checked_join, table, text_of, written
+from vertexloom.llm.common import checked_join, small_batches, table, text_of, written
 from vertexloom.llm.components import components
 
 DISTANCE = 4
@@ -73,6 +73,7 @@ def fingerprint(text: str, size: int) -> int:
 
 def fingerprints(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The id, ``carry`` and fp, the fingerprint as a signed 64-bit integer."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col), *[c for c in carry or []], text_of(F.col(text_col)).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import table
+from vertexloom.llm.common import small_batches, table
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -84,6 +84,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         import public_tokenizers
 
         path = public_tokenizers.path(VOCABULARY)
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vertexloom.llm.common import table, text_of
+from vertexloom.llm.common import give_back, small_batches, table, text_of
 from vertexloom.llm.samples import remainder, sample
 
 WINDOW, STRIDE = 32, 24
@@ -44,7 +45,7 @@ PER_LABEL, FOLDS, HELD = 1000, 3, 1
 #: What each training step takes off the vectors of words and n-grams.
 DECAY = 0.02
 THRESHOLD = 0.7
-SCORED_TOGETHER, REMEMBERED = 4096, 150_000
+SCORED_TOGETHER, LEARNT_TOGETHER, REMEMBERED = 2048, 4096, 60_000
 #: Bytes of words: letters, A-Z in lower case, and all of non-ASCII characters; others are blanks.
 LETTERS = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(256))
 
@@ -107,6 +108,7 @@ class Network:
             self.weights |= {f"in_{d}": drawn(n, 3 * STATE, scale=n**-0.5), f"off_{d}": np.zeros(3 * STATE, np.float32), f"rec_{d}": drawn(STATE, 3 * STATE, scale=STATE**-0.5)}
         self.scale, self.shift = np.array([1.0, 0.0]), 0.0
         self.constant: float | None = None
+        self._forget()
 
     def inputs(self, words: list[bytes]) -> tuple[np.ndarray, tuple]:
         """A vector for each word, and what it was made of."""
@@ -196,7 +198,6 @@ class Network:
         """The highest and the mean output of each text's windows."""
         group: list[list[bytes]] = []
         waiting = 0
-        self._forget()
         for text in texts:
             group.append(words_of(text))
             waiting += 1 + len(group[-1]) // STRIDE
@@ -207,20 +208,25 @@ class Network:
 
     def _forget(self) -> None:
         self._place: dict[bytes, int] = {}
-        self._gates = {d: np.empty((0, 3 * STATE), np.float32) for d in "fb"}
+        self._gates = {d: self.projected(np.empty((0, WORD_DIM + GRAM_DIM), np.float32), d) for d in "fb"}
 
     def _outputs(self, group: list[list[bytes]]) -> Iterator[np.ndarray]:
+        """Row 0 of the remembered gate inputs is the blank's; the arrays grow by doubling."""
         if len(self._place) > REMEMBERED:
             self._forget()
-        place = self._place
+        place, blank = self._place, 0
         new = list({w for words in group for w in words if w not in place})
-        if new:
-            place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
-            vectors = self.inputs(new)[0]
-            for d in "fb":
-                self._gates[d] = np.concatenate((self._gates[d], self.projected(vectors, d)[:-1]))
-        blank = len(place)
-        gates = [np.concatenate((self._gates[d], self.projected(np.empty((0, WORD_DIM + GRAM_DIM), np.float32), d))) for d in "fb"]
+        for at in range(0, len(new), LEARNT_TOGETHER):
+            some, n = new[at : at + LEARNT_TOGETHER], len(place) + 1
+            place.update(zip(some, range(n, n + len(some)), strict=True))
+            vectors = self.inputs(some)[0]
+            for d, gates in self._gates.items():
+                if n + len(some) > len(gates):
+                    grown = np.empty((2 * (n + len(some)), 3 * STATE), np.float32)
+                    grown[:n] = gates[:n]
+                    self._gates[d] = gates = grown
+                gates[n : n + len(some)] = self.projected(vectors, d)[:-1]
+        gates = [self._gates[d] for d in "fb"]
         parts = [windows_of(np.fromiter(map(place.__getitem__, words), np.int64, len(words)), blank) for words in group]
         if not parts:
             return
@@ -319,16 +325,22 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def scored(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``carry`` or else the id of each document, with held_out, score and predicted."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    carry = carry or [id_col]
+    carry = [c for c in carry or [id_col] if c not in ("held_out", "score", "predicted")]
+    # The text goes along once: as a carried column, or else as the last one.
+    columns = [*carry, "held_out"] if text_col in carry else [*carry, "held_out", text_col]
+    at, n = columns.index(text_col), len(carry) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = list(shared.value.scores(text.as_py() for text in batch.column(batch.num_columns - 1)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=names)
+            scores = list(shared.value.scores(text.as_py() for text in batch.column(at)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(scores, pa.float64())], names=names)
+        shared.value._forget()
+        give_back()
 
-    rows = docs.select(*carry, F.coalesce(remainder(id_col, FOLDS) == HELD, F.lit(True)).alias("held_out"), F.col(text_col).alias("__text"))
-    schema = rows.drop("__text").schema.add("score", "double")
+    rows = docs.withColumn("held_out", F.coalesce(remainder(id_col, FOLDS) == HELD, F.lit(True))).select(*columns)
+    schema = T.StructType([*rows.schema[:n], T.StructField("score", T.DoubleType())])
     names = schema.names
     return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 

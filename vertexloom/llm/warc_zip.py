@@ -36,7 +36,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import checked_join, shared_path, table, written
+from vertexloom.llm.common import checked_join, shared_path, small_batches, table, written
 
 PACKAGE_BYTES = 256 << 20
 CHUNK_BYTES = 8 << 20
@@ -105,6 +105,7 @@ def _write_packages(folder: str, package_bytes: int):
 
 def write_packages(pages: DataFrame, folder: str, least: int = 0, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
     """Write a record for each page; the written list of packages. Payloads under ``least`` bytes are never revisits."""
+    small_batches(pages.sparkSession)
     html = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("digest"))
     same = rows.filter(F.octet_length("html") >= least).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("refers_to"))
