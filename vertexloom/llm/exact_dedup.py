@@ -52,7 +52,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = hashed.filter("__shared").groupBy("__len", "__sha").agg(F.count(F.lit(1)).alias("__size"), F.min(order).alias("__first"))
     groups = written(groups.filter("__size > 1"), "dedup-groups")
     alone = F.col("__size").isNull()
-    return hashed.join(groups, ["__len", "__sha"], "left").select(
+    # Groups are counted and broadcast if they are few, so that carried texts needn't be shuffled.
+    return checked_join(hashed, groups, ["__len", "__sha"], "left").select(
         F.col("__id").alias(id_col),
         *[F.col(f"__c_{c}").alias(c) for c in carry],
         F.when(alone, F.col("__id")).otherwise(F.col("__first.id")).alias("keep_id"),
