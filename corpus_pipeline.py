@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm import byte_bpe, decontaminate, exact_dedup, simhash, toxicity
+from vertexloom.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, toxicity
 from vertexloom.llm.common import table, written
 
 
@@ -25,8 +25,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by close fingerprints, the one with the smallest id."""
-    return simhash.drop_near(docs)
+    """Of documents linked by a five-word Jaccard similarity of 0.8 or more, the one with the smallest id."""
+    return near_dedup.drop_near(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

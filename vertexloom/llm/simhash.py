@@ -40,8 +40,6 @@ from vertexloom.llm.common import checked_join, small_batches, table, text_of, w
 from vertexloom.llm.components import components
 
 DISTANCE = 4
-#: On five-word shingles, a distance that texts of similarity 0.8 or more mostly keep and others mostly don't (README has the figures).
-NEAR = 6
 #: Parts of more fingerprints are dealt out again; up to LEAF are compared directly.
 HOT_PART, LEAF = 20_000, 32
 HASHED_TOGETHER = 255 * 256
@@ -225,18 +223,6 @@ def near_groups(docs: DataFrame, size: int = 5, distance: int = DISTANCE, id_col
     return fps.join(named, "fp").select(id_col, *[c for c in carry or []], "fp", "component_id")
 
 
-def drop_near(docs: DataFrame, size: int = 5, distance: int = NEAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group of linked ones, that of the smallest id, with the columns it came with.
-
-    Documents without an id and what they alone link to all stay, as do
-    rows that share the smallest id.
-    """
-    numbered = [f"__in_{i}" for i in range(len(docs.columns))]
-    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, numbered, strict=True)], F.col(id_col).alias("__key"), F.col(text_col).alias("__body"))
-    kept = near_groups(rows, size, distance, "__key", "__body", numbered).filter(F.col("__key").eqNullSafe(F.col("component_id")))
-    return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, numbered, strict=True)])
-
-
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = near_groups(table(spark, sf_dir, "documents"), size=4)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
