@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Steps of a chain that are folded together first.
+BLOCK = 64
+
 
 def relink_chain(transforms: DataFrame) -> DataFrame:
     """Steps of each chain while they follow each other from 0, each with the one before it."""
@@ -42,10 +45,9 @@ def _matrix(kind: Column, p: Column) -> Column:
     return F.when(kind == "translation", shift).when(kind == "euler", turn).when(kind == "affine", affine)
 
 
-def compose_chain(transforms: DataFrame) -> DataFrame:
-    """One affine map ``a, b, c, d, tx, ty`` for each chain. A chain's steps are few; they are folded in order."""
-    steps = transforms.withColumn("m", _matrix(F.col("kind"), F.col("params")))
-    gathered = steps.groupBy("chain_id").agg(F.array_sort(F.collect_list(F.struct("step", "m"))).alias("steps"))
+def _folded(parts: DataFrame, keys: list[str], place: str) -> DataFrame:
+    """Maps ``m`` of each group of ``keys``, applied in the order of ``place``, as one."""
+    gathered = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(place).alias("place"), "m"))).alias("steps"))
     same = F.struct(*[F.lit(v).alias(k) for k, v in (("a", 1.0), ("b", 0.0), ("c", 0.0), ("d", 1.0), ("tx", 0.0), ("ty", 0.0))])
 
     def after(s: Column, step: Column) -> Column:
@@ -55,7 +57,14 @@ def compose_chain(transforms: DataFrame) -> DataFrame:
             (m["a"] * s["tx"] + m["b"] * s["ty"] + m["tx"]).alias("tx"), (m["c"] * s["tx"] + m["d"] * s["ty"] + m["ty"]).alias("ty"),
         )
 
-    return gathered.select("chain_id", F.aggregate("steps", same, after).alias("m")).select("chain_id", "m.*")
+    return gathered.select(*keys, F.aggregate("steps", same, after).alias("m"))
+
+
+def compose_chain(transforms: DataFrame) -> DataFrame:
+    """One affine map ``a, b, c, d, tx, ty`` for each chain: steps are folded in blocks, then the blocks in order, so that no group holds all steps of a long chain."""
+    steps = transforms.select("chain_id", "step", F.floor(F.col("step") / BLOCK).alias("block"), _matrix(F.col("kind"), F.col("params")).alias("m"))
+    blocks = _folded(steps, ["chain_id", "block"], "step")
+    return _folded(blocks, ["chain_id"], "block").select("chain_id", "m.*")
 
 
 def transform_points(points: DataFrame, transforms: DataFrame) -> DataFrame:
