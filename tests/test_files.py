@@ -1,5 +1,8 @@
 """Readers and writers on files of their own, and what works on rows of files."""
 
+import math
+
+import pytest
 from pyspark.sql import functions as F
 
 from vertexloom.operators import frames, sections, spots, transform
@@ -47,6 +50,16 @@ def test_svg(spark, tmp_path):
     assert [(r.x, r.y) for r in rows if r.name == "7"] == [(0.0, 0.0), (10.0, 0.0)]
     assert rows[0].colour == [150, 150, 150]
     assert flatten_path("M0 0 H2 V2 Z m5,5 l1,0") == [(0, 0.0, 0.0), (0, 2.0, 0.0), (0, 2.0, 2.0), (0, 0.0, 0.0), (1, 5.0, 5.0), (1, 6.0, 5.0)]
+    assert sorted({(r.roi_ix, r.name) for r in rows}) == [(0, "7"), (1, "8")]
+    circle = flatten_path("M0 0 a5,5 0 0110,0 A5 5 0 0 1 0 0")
+    assert len(circle) == 33 and all(abs(math.hypot(x - 5, y) - 5) < 1e-9 for _, x, y in circle) and min(y for *_, y in circle) == pytest.approx(-5)
+    other = flatten_path("M0 0 A5 5 0 0 0 10 0")
+    assert max(y for *_, y in other) == pytest.approx(5) and other[-1] == (0, 10.0, 0.0)
+    turned = flatten_path("M0 0 A 4 2 90 1 0 0 8")
+    assert len(turned) == 17 and all((x / 2) ** 2 + ((y - 4) / 4) ** 2 == pytest.approx(1) for _, x, y in turned)
+    assert flatten_path("M0 0 A0 5 0 0 1 3 4 A5 5 0 0 1 3 4") == [(0, 0.0, 0.0), (0, 3.0, 4.0), (0, 3.0, 4.0)]
+    grown = flatten_path("M0 0 A1 1 0 0 1 10 0")
+    assert min(y for *_, y in grown) == pytest.approx(-5)
     curve = flatten_path("M0 0 Q1 2 2 0 T4 0 C4 1 5 1 5 0 S6 -1 6 0")
     assert curve[-1] == (0, 6.0, 0.0) and len(curve) == 65 and flatten_path(None) == []
 
@@ -71,6 +84,106 @@ def test_tables(spark, tmp_path):
     assert sorted((r.x, r.y) for r in transform.transform_points(point, back).collect()) == [(4.0, 6.0), (5.0, 5.0)]
 
 
+def plane_of(width, height, **options):
+    """One plane's pixels, made by Spark."""
+    return options["spark"].range(width * height).selectExpr("0 as image_id", "1 as c", "0 as z", "1 as t", f"cast(id div {width} as int) as y", f"cast(id % {width} as int) as x", "cast(id % 1000 as double) as v")
+
+
+def test_planes_with_gaps(spark):
+    rows = [(0, 1, 0, 1, 1, 0, 5.0), (0, 1, 0, 1, 1, 2, 7.0), (0, 1, 0, 1, 1, 2, 6.0), (0, 1, 0, 1, 3, 1, None), (1, 1, 0, 1, 0, 0, 2.0)]
+    planes = frames.pack_planes(spark.createDataFrame(rows, "image_id int, c int, z int, t int, y int, x int, v double"))
+    assert {r.image_id: (r.width, r.height, r.data) for r in planes.collect()} == {0: (3, 4, [0, 0, 0, 5, 0, 6, 0, 0, 0, 0, 0, 0]), 1: (1, 1, [2])}
+    assert frames.pack_planes(plane_of(1, 0, spark=spark)).count() == 0
+
+
+def test_large_planes_take_time_by_the_pixel(spark):
+    import time
+
+    def pack(width, keep="true"):
+        began = time.perf_counter()
+        packed = frames.pack_planes(plane_of(width, width, spark=spark).filter(keep)).select(F.size("data").alias("n"), F.aggregate("data", F.lit(0.0), lambda a, v: a + v).alias("s")).first()
+        assert packed.n == width * width
+        return time.perf_counter() - began, packed.s
+
+    pack(120)
+    small, _ = pack(240)
+    large, total = pack(1024)
+    assert total == sum(i % 1000 for i in range(1 << 20)) and large < 18 * small + 5
+    assert pack(1024, "x % 7 != 3 or x = 1023")[1] < total
+
+
+def test_percentiles_of_a_large_image(spark):
+    import numpy as np
+
+    pixels = plane_of(500, 400, spark=spark).withColumn("v", F.when(F.col("v") < 300, 1.0).otherwise(F.xxhash64("x", "y") % 100_000 / 7.0))
+    values = np.array([r.v for r in pixels.select("v").collect()])
+    for shares in ([0.03, 0.998], [0.0, 1.0, 0.5, 0.29, 0.30]):
+        assert frames.percentiles(pixels, shares, bins=64).first().p == pytest.approx(list(np.quantile(values, shares)))
+    plan = frames.percentile_normalize(pixels).select("v")
+    low, high = np.quantile(values, [0.03, 0.998])
+    assert sorted(r.v for r in plan.collect()) == pytest.approx(sorted((values - low) / (high - low)))
+    assert frames.percentile_normalize(pixels.filter("v < 0 and v > 0")).count() == 0
+
+
+def test_large_images_are_sampled_and_moved_in_parts(spark):
+    pixels = plane_of(700, 600, spark=spark)
+    chosen = transform.sample_pixels(pixels, 2048, 5)
+    assert chosen.count() == 2048 and chosen.columns == pixels.columns
+    key = lambda r: ((r.x * 73856093) ^ (r.y * 19349663) ^ (5 * 83492791)) % 2147483647
+    order = sorted((key(r), r.y, r.x) for r in pixels.select("x", "y").collect())[:2048]
+    assert sorted((key(r), r.y, r.x) for r in chosen.collect()) == order
+    assert transform.sample_pixels(pixels.limit(10), 2048).count() == 10
+    chain = spark.createDataFrame([("c", 0, "translation", [0.25, -1.5])], "chain_id string, step int, kind string, params array<double>")
+    moved = transform.transform_image(pixels.withColumn("chain_id", F.lit("c")), chain)
+    at = {(r.y, r.x): r.v for r in moved.filter("y < 4 or x > 697").collect()}
+    value = lambda y, x: float((y * 700 + x) % 1000) if 0 <= y < 600 and 0 <= x < 700 else 0.0
+    for (y, x), v in at.items():
+        assert v == pytest.approx(sum(w * u * value(y - 2 + j, x + i) for i, w in ((0, 0.75), (1, 0.25)) for j, u in ((0, 0.5), (1, 0.5))))
+
+
+def test_thickness_zero_and_shared_folders(spark):
+    files = sections.section_index(spark.createDataFrame([("a", "x_s004.png"), ("a", "x_s001.png")], "series string, path string"))
+    assert {r.depth for r in sections.space_sections(files, 0.0).collect()} == {0.0}
+    from vertexloom.functions import settle
+
+    class Session:
+        conf, master = {}, "spark://host:7077"
+
+    Session.sparkContext = Session
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        settle.folder(Session, "x")
+
+
+def test_corpus_queries_that_cannot_be_imported(monkeypatch):
+    """A missing package leaves the library's queries; a mistake inside the subpackage is raised."""
+    import builtins
+    import importlib.util
+
+    import __spark_entry__
+
+    own = builtins.__import__
+
+    def missing(name):
+        def fake(module, *args, **options):
+            if module == "vertexloom.llm" or module.startswith("vertexloom.llm."):
+                raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+            return own(module, *args, **options)
+
+        return fake
+
+    monkeypatch.setattr(builtins, "__import__", missing("regex"))
+    with pytest.warns(UserWarning, match="regex"):
+        assert len(__spark_entry__.queries()) >= 62
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name: object())
+    monkeypatch.setattr(builtins, "__import__", missing("vertexloom.llm.mistyped"))
+    with pytest.raises(ModuleNotFoundError, match="mistyped"):
+        __spark_entry__.queries()
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name: None)
+    monkeypatch.setattr(builtins, "__import__", missing("vertexloom.llm"))
+    with pytest.warns(UserWarning, match="vertexloom.llm"):
+        assert len(__spark_entry__.queries()) >= 62
+
+
 def test_planes(spark):
     pixels = spark.createDataFrame([(0, 1, 0, t, y, x, float(t * 10 + y * 2 + x)) for t in (1, 2) for y in range(2) for x in range(2)], "image_id int, c int, z int, t int, y int, x int, v double")
     planes = frames.pack_planes(pixels)

@@ -36,6 +36,16 @@ def test_hole(spark):
     assert sorted((len(r), area(r)) for r in wide) == [(4, -15), (4, 3)]
 
 
+@pytest.mark.parametrize("gathered", [0, 60])
+def test_rings_of_large_objects_are_chained_by_joins(spark, gathered):
+    """However many edges may be gathered, the rings are the same."""
+    rnd = random.Random(4)
+    labels = image(spark, *[[rnd.randrange(3) if x < 9 else 7 for x in range(24)] for _ in range(16)]).unionByName(image(spark, "010", "101", "010", image_id=1))
+    edges = raster.boundary_edges(labels)
+    rows = [sorted(map(tuple, raster.trace_rings(edges, n).select("image_id", "label", "ring_id", "vertex_ix", "x", "y").collect())) for n in (gathered, raster.GATHERED)]
+    assert rows[0] == rows[1] and len(rows[0]) == edges.count()
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_round_trip(spark, seed):
     """Outlines that keep every vertex give the labels back when they are burnt in again."""

@@ -46,6 +46,16 @@ def test_membership_of_a_square_with_a_hole(spark):
     assert [r.point_ix for r in roi.region_membership(points, polygon(spark, *hole)).collect()] == [1]
 
 
+def test_membership_in_a_large_band_is_dealt(spark, monkeypatch):
+    """One set whose points and edges fill few bands gives the same pairs in parts."""
+    rows = [(0, i, 0, k, 3.0 * (i % 40) + x, 5.0 * (i // 40) + y) for i in range(200) for k, (x, y) in enumerate([(0, 0), (4, 0), (4, 4), (0, 4)])]
+    vertices = spark.createDataFrame(rows, SCHEMA)
+    points = spark.range(3000).selectExpr("0 as set_id", "cast(id as int) as point_ix", "(id * 37 % 1200) / 10.0 + 0.05 as x", "(id * 11 % 250) / 10.0 + 0.05 as y")
+    whole = sorted(map(tuple, roi.region_membership(points, vertices).collect()))
+    monkeypatch.setattr(roi, "PAIRS_TOGETHER", 10_000)
+    assert sorted(map(tuple, roi.region_membership(points, vertices).collect())) == whole and len(whole) > 1000
+
+
 def test_rasterize(spark):
     pixels = roi.rasterize_rois(polygon(spark, (0, 0), (2, 0), (2, 1), (0, 1)).unionByName(polygon(spark, (1, 0), (3, 0), (3, 1), (1, 1), roi_ix=1)))
     assert {(r.x, r.y): r.label for r in pixels.collect()} == {(0, 0): 1, (1, 0): 3, (2, 0): 3}

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the session names in spark.checkpoint.dir, or in one of our own where it names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="vertexloom-")
+    """A new path in the folder that the session names in spark.checkpoint.dir; on this machine only for a local session that names none."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="vertexloom-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

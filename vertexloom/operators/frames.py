@@ -8,6 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vertexloom.functions.settle import settled
+
+#: Bins of the first pass over an image's values.
+BINS = 4096
 PLANE = ["image_id", "c", "z", "t"]
 
 
@@ -49,10 +53,21 @@ def merge_channels(pixels: DataFrame) -> DataFrame:
 
 
 def pack_planes(pixels: DataFrame) -> DataFrame:
-    """One row for each plane: width, height and its values row by row; missing pixels are 0."""
-    sizes = pixels.groupBy(*PLANE).agg((F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"), F.map_from_entries(F.collect_list(F.struct(F.col("y").cast("long") * (1 << 32) + F.col("x"), F.col("v").cast("float")))).alias("at"))
-    place = F.transform(F.sequence(F.lit(0).cast("long"), F.col("width").cast("long") * F.col("height") - 1), lambda i: F.coalesce(F.element_at("at", F.floor(i / F.col("width")) * (1 << 32) + i % F.col("width")), F.lit(0.0).cast("float")))
-    return sizes.select(*PLANE, "width", "height", place.alias("data"))
+    """One row for each plane: width, height and its values row by row; missing pixels are 0, and of a pixel given twice the lower value counts.
+
+    A plane's pixels are gathered and sorted once; a plane with gaps is
+    filled from each pixel's distance to the one before it.
+    """
+    value = F.coalesce(F.col("v").cast("float"), F.lit(0.0).cast("float"))
+    gathered = pixels.groupBy(*PLANE).agg((F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"), F.collect_list(F.struct("y", "x", value.alias("v"))).alias("p"))
+    area = (F.col("width").cast("long") * F.col("height")).cast("int")
+    at = gathered.select(*PLANE, "width", "height", area.alias("area"), F.transform(F.array_sort("p"), lambda p: F.struct((p["y"].cast("long") * F.col("width") + p["x"]).cast("int").alias("i"), p["v"].alias("v"))).alias("p"))
+    before = lambda k: F.when(k > 0, F.get("p", k - 1)["i"]).otherwise(-1)
+    zeros = lambda n: F.array_repeat(F.lit(0.0).cast("float"), n)
+    filled = F.flatten(F.transform("p", lambda p, k: F.when(p["i"] == before(k), F.array().cast("array<float>")).otherwise(F.concat(zeros(p["i"] - before(k) - 1), F.array(p["v"])))))
+    tail = zeros(F.col("area") - 1 - F.element_at("p", -1)["i"])
+    dense = (F.size("p") == F.col("area")) & ~F.exists(F.transform("p", lambda p, k: p["i"] != k), lambda wrong: wrong)
+    return at.select(*PLANE, "width", "height", F.when(dense, F.transform("p", lambda p: p["v"])).otherwise(F.concat(filled, tail)).alias("data"))
 
 
 def unpack_planes(planes: DataFrame) -> DataFrame:
@@ -85,10 +100,40 @@ def run_on_frames(planes: DataFrame, load: Callable, schema: str) -> DataFrame:
     return planes.repartition("image_id", "t").mapInPandas(run, schema)
 
 
+def percentiles(pixels: DataFrame, shares: list[float], bins: int = BINS) -> DataFrame:
+    """``image_id, p``: exact percentiles of each image's values, between the two nearest ones where needed.
+
+    A first pass counts values in equal bins between an image's ends, a
+    second one counts the distinct values of only the bins that hold the
+    wanted places. No task sees more of an image than its bins and one bin.
+    """
+    ends = pixels.filter("v is not null").groupBy("image_id").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n"))
+    ends = settled(ends)
+    share = F.coalesce(F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0))
+    binned = pixels.filter("v is not null").join(ends, "image_id").select("image_id", "v", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int").alias("bin"))
+    places = F.array(*[F.struct(F.lit(i).alias("which"), (F.lit(s) * (F.col("n") - 1)).alias("place")) for i, s in enumerate(shares)])
+    wanted = ends.select("image_id", F.explode(places).alias("w")).select("image_id", "w.*")
+    wanted = wanted.select("image_id", "which", "place", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))).alias("rank"))
+
+    def holding(counts: DataFrame, *keys: str, order: str) -> DataFrame:
+        """Rows of counts with the ranks, from 0, before and at the end of them."""
+        upto = F.sum("k").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+        return counts.withColumn("upto", upto)
+
+    bins_of = holding(binned.groupBy("image_id", "bin").agg(F.count(F.lit(1)).alias("k")), "image_id", order="bin")
+    held = wanted.join(bins_of, "image_id").filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("k")))
+    held = settled(held.select("image_id", "which", "place", "rank", "bin", (F.col("rank") - F.col("upto") + F.col("k")).alias("inside")))
+    some = binned.join(held.select("image_id", "bin").distinct(), ["image_id", "bin"]).groupBy("image_id", "bin", "v").agg(F.count(F.lit(1)).alias("k"))
+    values = held.join(holding(some, "image_id", "bin", order="v"), ["image_id", "bin"]).filter((F.col("inside") < F.col("upto")) & (F.col("inside") >= F.col("upto") - F.col("k")))
+    part = F.col("place") - F.floor("place")
+    weight = F.when(F.col("rank") == F.floor("place"), 1 - part).otherwise(part)
+    each = values.groupBy("image_id", "which").agg(F.sum(F.col("v") * weight).alias("p"))
+    return each.groupBy("image_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("which", "p"))), lambda q: q["p"]).alias("p"))
+
+
 def percentile_normalize(pixels: DataFrame, low: float = 3.0, high: float = 99.8) -> DataFrame:
     """Values of each image scaled so that the two percentiles become 0 and 1; an image of one value becomes 0."""
-    ends = pixels.groupBy("image_id").agg(F.percentile("v", [low / 100, high / 100]).alias("p"))
-    joined = pixels.join(ends, "image_id")
+    joined = pixels.join(settled(percentiles(pixels, [low / 100, high / 100])), "image_id", "left")
     return joined.withColumn("v", F.coalesce(F.try_divide(F.col("v") - F.col("p")[0], F.col("p")[1] - F.col("p")[0]), F.lit(0.0))).drop("p")
 
 

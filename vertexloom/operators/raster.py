@@ -1,11 +1,15 @@
 """Operators on label images ``image_id, y, x, label`` and the rings around their objects.
 
 Neighbours come from windows along rows and columns, so that work is split
-by image and line, never by label. All labels are handled in one pass.
+by image and line, never by label. All labels are handled in one pass. All
+are lazy but ``trace_rings`` and what calls it, which write their steps when
+they are called.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +17,11 @@ from vertexloom.functions.settle import settled
 from vertexloom.operators.roi import roi_names_from_labels, smooth_constrained
 
 OBJECT = ["image_id", "label"]
+#: Edges of one image, or else of one object, that are chained in one task; those of larger objects are chained by joins.
+GATHERED = 1 << 17
+#: Rings done in one round that are broadcast at most; each is a few numbers.
+CLOSED_TOGETHER = 200_000
+SIDES = ["upper", "left", "lower", "right"]
 #: Where two edges start: lower and upper edges end there if the pixels are north-west and south-east, and turn left; left and right ones if they are north-east and south-west, and turn right.
 TURNS = {"lower": "right", "upper": "left", "left": "upper", "right": "lower"}
 
@@ -50,18 +59,36 @@ def corner_classes(labels: DataFrame) -> DataFrame:
     return classed.withColumn("movable", ~F.col("corner").isin("three", "cross"))
 
 
-def trace_rings(edges: DataFrame) -> DataFrame:
-    """Edges chained to closed rings: ring_ix and vertex_ix for each edge's first corner.
-
-    The next edge starts where an edge ends. Where two start, an edge turns
-    left if the object's pixels are north-west and south-east (they stay
-    apart) and right if they are north-east and south-west (they join).
-    Rings are found by doubling: every edge learns the smallest edge among
-    the next 2, 4, 8, ... and how far it is; the smallest edge of the ring is
-    its first vertex, and the ring is named by its corner.
+def _chained(edges: pd.DataFrame) -> pd.DataFrame:
+    """The rings of one image's or object's edges, with arrays."""
+    n, e, side = len(edges), edges["e"].to_numpy(), edges["side"].map({s: i for i, s in enumerate(SIDES)}).to_numpy()
+    x0, y0, x1, y1 = (edges[c].to_numpy(np.int64) for c in ("x0", "y0", "x1", "y1"))
+    label = np.unique(edges["label"].to_numpy(), return_inverse=True)[1].astype(np.int64)
+    low_x, low_y = min(x0.min(), x1.min()), min(y0.min(), y1.min())
+    wide, high = max(x0.max(), x1.max()) - low_x + 1, max(y0.max(), y1.max()) - low_y + 1
+    start, end = ((label * high + y - low_y) * wide + x - low_x for x, y in ((x0, y0), (x1, y1)))
+    order = np.argsort(start, kind="stable")
+    first, past = (np.searchsorted(start[order], end, where) for where in ("left", "right"))
+    turn = np.array([SIDES.index(TURNS[s]) for s in SIDES])
+    after = order[first]
+    other = order[np.minimum(first + 1, n - 1)]
+    after = np.where((past - first > 1) & (side[after] != turn[side]), other, after)
+    low, far, ahead, span = e.copy(), np.zeros(n, np.int64), after, 1
+    while span < n:
+        nearer = low[ahead] < low
+        far = np.where(nearer, far[ahead] + span, far)
+        low, ahead, span = np.minimum(low, low[ahead]), ahead[ahead], 2 * span
+    _, ring, size = np.unique(np.stack((label, low)), axis=1, return_inverse=True, return_counts=True)
+    sizes = size[ring.ravel()]
+    return pd.DataFrame({"image_id": edges["image_id"], "label": edges["label"], "ring_id": low, "vertex_ix": (sizes - far) % sizes, "x": edges["x0"], "y": edges["y0"]})
+
+
+def _doubled(edge: DataFrame) -> DataFrame:
+    """The rings of edges of any number: every edge learns the smallest edge among the next 1, 2, 4, ... and how far it is.
+
+    A ring is done once its smallest edge meets itself; its edges then leave
+    the state, so that later rounds have only the rings that are longer.
     """
-    number = F.when(F.col("side") == "upper", 0).when(F.col("side") == "left", 1).when(F.col("side") == "lower", 2).otherwise(3)
-    edge = edges.withColumn("e", F.col("y0").cast("long") * (1 << 34) + F.col("x0").cast("long") * 4 + number)
     starts = edge.select(*OBJECT, F.col("x0").alias("x1"), F.col("y0").alias("y1"), F.col("e").alias("next"), F.col("side").alias("next_side"))
     joined = edge.join(starts, [*OBJECT, "x1", "y1"])
     two = F.count(F.lit(1)).over(Window.partitionBy(*OBJECT, "e")) > 1
@@ -69,19 +96,50 @@ def trace_rings(edges: DataFrame) -> DataFrame:
     for side, to in TURNS.items():
         chosen = chosen | ((F.col("side") == side) & (F.col("next_side") == to))
     succ = joined.withColumn("two", two).filter(~F.col("two") | chosen)
-    state = settled(succ.select(*OBJECT, "e", "next", F.least("e", "next").alias("low"), F.when(F.col("next") < F.col("e"), 1).otherwise(0).cast("long").alias("far")))
-    span, done = 1, False
-    while not done:
+    state = settled(succ.select(*OBJECT, "e", "x0", "y0", "next", F.col("e").alias("low"), F.lit(0).cast("long").alias("far")))
+    span, rings = 1, None
+    while not state.isEmpty():
         ahead = state.select(*OBJECT, F.col("e").alias("next"), F.col("next").alias("next2"), F.col("low").alias("low2"), F.col("far").alias("far2"))
         nearer = F.col("low2") < F.col("low")
+        met = (F.col("low") == F.col("e")) & (F.col("low2") == F.col("e"))
         wide = state.join(ahead, [*OBJECT, "next"])
-        after = settled(wide.select(*OBJECT, "e", F.col("next2").alias("next"), F.least("low", "low2").alias("low"), F.when(nearer, F.col("far2") + span).otherwise(F.col("far")).alias("far"), nearer.alias("changed")))
-        # A round without a nearer smallest edge ends only once every ring is spanned.
-        done = not after.filter("changed").take(1)
-        state, span = after.drop("changed"), span * 2
-    ring = state.join(edge.select(*OBJECT, "e", "x0", "y0"), [*OBJECT, "e"])
-    sized = ring.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*OBJECT, "low")))
-    return sized.select(*OBJECT, F.col("low").alias("ring_id"), F.pmod(F.col("n") - F.col("far"), F.col("n")).alias("vertex_ix"), F.col("x0").alias("x"), F.col("y0").alias("y"))
+        state = settled(wide.select(*OBJECT, "e", "x0", "y0", F.col("next2").alias("next"), F.least("low", "low2").alias("low"), F.when(nearer, F.col("far2") + span).otherwise(F.col("far")).alias("far"), F.when(met, F.col("far2") + span).alias("n")))
+        closed = settled(state.filter("n is not null").select(*OBJECT, "low", "n"))
+        few = F.broadcast(closed) if closed.count() <= CLOSED_TOGETHER else closed
+        done = state.drop("n").join(few, [*OBJECT, "low"]).select(*OBJECT, F.col("low").alias("ring_id"), F.pmod(F.col("n") - F.col("far"), F.col("n")).alias("vertex_ix"), F.col("x0").alias("x"), F.col("y0").alias("y"))
+        rings = done if rings is None else rings.unionByName(done)
+        state, span = settled(state.drop("n").join(few.drop("n"), [*OBJECT, "low"], "left_anti")), span * 2
+    return rings
+
+
+def trace_rings(edges: DataFrame, gathered: int = GATHERED) -> DataFrame:
+    """Edges chained to closed rings: ring_ix and vertex_ix for each edge's first corner.
+
+    The next edge starts where an edge ends. Where two start, an edge turns
+    left if the object's pixels are north-west and south-east (they stay
+    apart) and right if they are north-east and south-west (they join). The
+    smallest edge of the ring is its first vertex, and the ring is named by it.
+
+    Images of up to ``gathered`` edges are chained each in one task, and so
+    are the objects of larger ones; the edges of larger objects are chained
+    by joins, in rounds.
+    """
+    number = F.lit(0)
+    for i, side in enumerate(SIDES):
+        number = F.when(F.col("side") == side, i).otherwise(number)
+    edge = settled(edges.withColumn("e", F.col("y0").cast("long") * (1 << 34) + F.col("x0").cast("long") * 4 + number))
+    objects = settled(edge.groupBy(*OBJECT).agg(F.count(F.lit(1)).alias("n")))
+    images = objects.groupBy("image_id").agg(F.sum("n").alias("of_image"))
+    large = settled(objects.join(images.filter(F.col("of_image") > gathered), "image_id"))
+    kind = {f.name: f.dataType.simpleString() for f in edge.schema}
+    schema = f"image_id {kind['image_id']}, label {kind['label']}, ring_id long, vertex_ix long, x {kind['x0']}, y {kind['y0']}"
+    if large.isEmpty():
+        return edge.groupBy("image_id").applyInPandas(_chained, schema)
+    by_image = edge.join(large.select("image_id").distinct(), "image_id", "left_anti").groupBy("image_id").applyInPandas(_chained, schema)
+    by_object = edge.join(large.filter(F.col("n") <= gathered).select(*OBJECT), OBJECT, "left_semi").groupBy(*OBJECT).applyInPandas(_chained, schema)
+    rings = _doubled(edge.join(large.filter(F.col("n") > gathered).select(*OBJECT), OBJECT, "left_semi"))
+    out = by_image.unionByName(by_object)
+    return out if rings is None else out.unionByName(rings)
 
 
 def simplify_rings(rings: DataFrame, mode: str = "all", corners: DataFrame | None = None) -> DataFrame:

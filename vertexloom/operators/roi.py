@@ -1,7 +1,8 @@
 """Operators on regions of interest kept as vertex tables (see ``functions.geometry``).
 
-All are lazy DataFrame to DataFrame functions. Polygon-wise ones shuffle
-once on the polygon's key; interval and point-in-polygon joins have an equal
+All are lazy DataFrame to DataFrame functions, but for ``region_membership``,
+which counts its bands when it is called. Polygon-wise ones shuffle once on
+the polygon's key; interval and point-in-polygon joins have an equal
 key (a cell of arc length, a band of rows) and a residual condition.
 """
 
@@ -13,6 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vertexloom.functions.geometry import POLYGON, VERTEX, after, before, distance, ring, whole
+from vertexloom.functions.settle import settled
+
+#: Pairs of a point and an edge of one band that one task compares, and the tasks to which a band's points are dealt at most.
+PAIRS_TOGETHER, MOST_PARTS = 4_000_000, 1024
 
 
 def explode_vertices(rois: DataFrame) -> DataFrame:
@@ -87,14 +92,21 @@ def region_membership(points: DataFrame, vertices: DataFrame, band: float = 16.0
 
     Inside a polygon: an odd number of its edges cross the ray to the right.
     Inside a region: inside any positive polygon or inside any negative one,
-    but not both. Points meet the edges in their band of rows only.
+    but not both. Points meet the edges in their band of rows only, and the
+    points of a band with very many edges and points are dealt to several tasks.
     """
     spans = edges(vertices).filter("y0 != y1")
     low, high = F.floor(F.least("y0", "y1") / band), F.floor(F.greatest("y0", "y1") / band)
     banded = spans.withColumn("band", F.explode(F.sequence(low, high)))
     at = points.select("set_id", "point_ix", F.col("x").alias("px"), F.col("y").alias("py"), F.floor(F.col("y") / band).alias("band"))
+    pairs = at.groupBy("set_id", "band").agg(F.count(F.lit(1)).alias("n")).join(banded.groupBy("set_id", "band").agg(F.count(F.lit(1)).alias("m")), ["set_id", "band"])
+    parts = F.ceil(F.least(F.col("n") * F.col("m") / PAIRS_TOGETHER, F.lit(MOST_PARTS))).cast("int")
+    large = settled(pairs.select("set_id", "band", parts.alias("parts")).filter("parts > 1"))
+    if not large.isEmpty():
+        at = at.join(large, ["set_id", "band"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("point_ix"), "parts"), F.lit(0))).drop("parts")
+        banded = banded.join(large, ["set_id", "band"], "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1))).drop("parts")
     crosses = ((F.col("y0") > F.col("py")) != (F.col("y1") > F.col("py"))) & (F.col("px") < (F.col("x1") - F.col("x0")) * (F.col("py") - F.col("y0")) / (F.col("y1") - F.col("y0")) + F.col("x0"))
-    hits = at.join(banded, ["set_id", "band"]).filter(crosses)
+    hits = at.join(banded, ["set_id", "band", *(["part"] if "part" in at.columns else [])]).filter(crosses)
     inside = hits.groupBy("set_id", "point_ix", "roi_ix", "poly_ix").count().filter(F.col("count") % 2 == 1)
     signed = inside.join(signed_area(vertices), POLYGON).groupBy("set_id", "point_ix", "roi_ix").agg(F.bool_or(F.col("area") >= 0).alias("positive"), F.bool_or(F.col("area") < 0).alias("negative"))
     return signed.filter(F.col("positive") != F.col("negative")).select("set_id", "point_ix", "roi_ix")

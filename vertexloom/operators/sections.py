@@ -18,7 +18,7 @@ def order_sections(files: DataFrame) -> DataFrame:
 
 def space_sections(files: DataFrame, thickness: float | None = None) -> DataFrame:
     """Depth of each section below the first, by its number; one unit apart without a thickness."""
-    return files.withColumn("depth", (F.col("section") - F.min("section").over(Window.partitionBy("series"))) * F.lit(float(thickness or 1.0)))
+    return files.withColumn("depth", (F.col("section") - F.min("section").over(Window.partitionBy("series"))) * F.lit(1.0 if thickness is None else float(thickness)))
 
 
 def missing_sections(files: DataFrame) -> DataFrame:

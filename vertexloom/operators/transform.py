@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Steps of a chain that are folded together first.
 BLOCK = 64
+#: Width of the slices of hashes in which a sample's pixels are counted.
+SLICE = 2147483647 / 1024
 
 
 def relink_chain(transforms: DataFrame) -> DataFrame:
@@ -99,10 +101,13 @@ def transform_image(pixels: DataFrame, transforms: DataFrame, order: int = 1) ->
         near = mapped.select(*keys, "ox", "oy", F.floor(F.col("x") + 0.5).cast("int").alias("sx"), F.floor(F.col("y") + 0.5).cast("int").alias("sy"))
         found = near.join(source, [*keys, "sx", "sy"], "left").select(*keys, "ox", "oy", F.coalesce("v", F.lit(0.0)).alias("v"))
     else:
-        low = mapped.withColumns({"fx": F.floor("x"), "fy": F.floor("y")}).withColumns({"wx": F.col("x") - F.col("fx"), "wy": F.col("y") - F.col("fy")})
-        corners = F.array(*[F.struct((F.col("fx") + i).cast("int").alias("sx"), (F.col("fy") + j).cast("int").alias("sy"), ((F.col("wx") if i else 1 - F.col("wx")) * (F.col("wy") if j else 1 - F.col("wy"))).alias("w")) for i in (0, 1) for j in (0, 1)])
-        four = low.select(*keys, "ox", "oy", F.explode(corners).alias("n")).select(*keys, "ox", "oy", "n.*")
-        found = four.join(source, [*keys, "sx", "sy"], "left").groupBy(*keys, "ox", "oy").agg(F.coalesce(F.sum(F.col("w") * F.col("v")), F.lit(0.0)).alias("v"))
+        # Every lattice cell with the values of its corners; the four pixels of a cell lie together, so most of them meet before they are shuffled.
+        corners = F.array(*[F.struct((F.col("sx") - i).alias("fx"), (F.col("sy") - j).alias("fy"), F.lit(2 * j + i).alias("at")) for i in (0, 1) for j in (0, 1)])
+        parts = source.select(*keys, "v", F.explode(corners).alias("c")).select(*keys, "v", "c.*")
+        cells = parts.groupBy(*keys, "fx", "fy").agg(*[F.coalesce(F.max(F.when(F.col("at") == k, F.col("v"))), F.lit(0.0)).alias(f"v{k}") for k in range(4)])
+        low = mapped.withColumns({"wx": F.col("x") - F.floor("x"), "wy": F.col("y") - F.floor("y"), "fx": F.floor("x").cast("int"), "fy": F.floor("y").cast("int")})
+        weighed = (1 - F.col("wy")) * ((1 - F.col("wx")) * F.col("v0") + F.col("wx") * F.col("v1")) + F.col("wy") * ((1 - F.col("wx")) * F.col("v2") + F.col("wx") * F.col("v3"))
+        found = low.join(cells, [*keys, "fx", "fy"], "left").select(*keys, "ox", "oy", F.coalesce(weighed, F.lit(0.0)).alias("v"))
     return found.select(*keys, F.col("oy").alias("y"), F.col("ox").alias("x"), "v")
 
 
@@ -141,10 +146,20 @@ def initial_alignment(pairs: DataFrame, method: str = "CenterOfGravity") -> Data
 
 
 def sample_pixels(pixels: DataFrame, n: int = 2048, seed: int = 0) -> DataFrame:
-    """``n`` pixels of each image, the same for the same seed; the sample size is the feature."""
+    """``n`` pixels of each image, the same for the same seed; the sample size is the feature.
+
+    The order is a hash of the place. Its range is cut into slices whose
+    pixels are counted first; only the slices that the first ``n`` lie in are
+    sorted, so that no task sorts a large image.
+    """
     mixed = (F.col("x").cast("long") * 73856093).bitwiseXOR(F.col("y").cast("long") * 19349663).bitwiseXOR(F.lit(seed * 83492791)) % 2147483647
-    order = Window.partitionBy("image_id").orderBy(mixed, "y", "x")
-    return pixels.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n).drop("place")
+    sliced = pixels.withColumns({"mixed": mixed, "slice": F.floor(mixed / SLICE)})
+    before = F.sum("k").over(Window.partitionBy("image_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
+    counts = sliced.groupBy("image_id", "slice").agg(F.count(F.lit(1)).alias("k")).withColumn("before", F.coalesce(before, F.lit(0)))
+    some = sliced.join(counts.filter(F.col("before") < n).select("image_id", "slice", "before"), ["image_id", "slice"])
+    order = Window.partitionBy("image_id", "slice").orderBy("mixed", "y", "x")
+    chosen = some.withColumn("place", F.col("before") + F.row_number().over(order)).filter(F.col("place") <= n)
+    return chosen.select(*pixels.columns)
 
 
 def deformation_stats(points: DataFrame) -> DataFrame:

@@ -63,9 +63,9 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A spot for each event, a file for each user and day of the month."""
+    """A spot for each event, a file for each of 50 groups of users and day of the month."""
     events = table(spark, sf_dir, "events")
-    file = F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-t"), F.dayofmonth("ts").cast("string"), F.lit(".csv"))
+    file = F.concat(F.lit("u"), (F.col("user_id") % 50).cast("string"), F.lit("-t"), F.dayofmonth("ts").cast("string"), F.lit(".csv"))
     k = F.get_json_object("props", "$.k").cast("int")
     rows = events.select(file.alias("file"), F.dayofmonth("ts").alias("t"), "event_id", (F.col("event_id") % 512).cast("double").alias("x"), F.floor(F.col("event_id") / 512).cast("double").alias("y"), (k % 5).cast("double").alias("z"), F.col("value").alias("intensity"), (k / 100).alias("probability"))
     return rows.withColumn("spot_ix", F.row_number().over(Window.partitionBy("file").orderBy("event_id")) - 1).drop("event_id")
@@ -79,9 +79,9 @@ def roi_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A chain for each customer's orders, of up to nine steps, kinds in turn; chains of every seventh customer lack step 2."""
+    """A chain for each customer's orders, kinds in turn; chains of every seventh customer lack step 2."""
     order = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    steps = table(spark, sf_dir, "orders").withColumn("step", F.row_number().over(order) - 1).filter("step < 9 and not (o_custkey % 7 = 0 and step = 2)")
+    steps = table(spark, sf_dir, "orders").withColumn("step", F.row_number().over(order) - 1).filter("not (o_custkey % 7 = 0 and step = 2)")
     n = (F.col("o_orderkey") % 11).cast("double")
     params = F.when(F.col("step") % 3 == 0, F.array(n, 0 - n)).when(F.col("step") % 3 == 1, F.array(n / 7, n, F.lit(1.0), F.lit(16.0), F.lit(16.0))).otherwise(F.array(1 + n / 97, n / 193, (0 - n) / 193, 1 - n / 97, F.lit(0.5), 0 - n, F.lit(8.0), F.lit(8.0)))
     kind = F.when(F.col("step") % 3 == 0, "translation").when(F.col("step") % 3 == 1, "euler").otherwise("affine")
@@ -89,8 +89,8 @@ def chains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An input frame for each user and day, and its mask unless there was an error that day."""
-    days = table(spark, sf_dir, "events").groupBy(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("title"), F.dayofyear("ts").alias("t")).agg(F.bool_or(F.col("event_type") == "error").alias("failed"))
+    """An input frame for each of 50 groups of users and day, and its mask unless the day's last event has a number divisible by five."""
+    days = table(spark, sf_dir, "events").groupBy(F.concat(F.lit("u"), (F.col("user_id") % 50).cast("string")).alias("title"), F.dayofyear("ts").alias("t")).agg((F.max("event_id") % 5 == 0).alias("failed"))
     files = days.select("title", "t", F.explode(F.when(F.col("failed"), F.array(F.lit(".tif"))).otherwise(F.array(F.lit(".tif"), F.lit("_cp_masks.tif")))).alias("end"))
     return files.select(F.concat("title", F.lit("-t"), F.col("t").cast("string"), "end").alias("file"))
 
@@ -119,11 +119,11 @@ SQL = {
     "lab": "SELECT vec_id // 50 AS image_id, vec_id % 50 AS y, i AS x, floor((embedding[i + 1]::DOUBLE + 0.6) * 5) AS label FROM embeddings, range(64) r(i)",
     "rgb": "SELECT image_id, y, x, r * 65536 + coalesce(lead(r, 1) OVER w, 0) * 256 + coalesce(lead(r, 2) OVER w, 0) AS rgb FROM (SELECT vec_id // 50 AS image_id, vec_id % 50 AS y, i AS x, floor(abs(embedding[i + 1]::DOUBLE) * 1000)::INT % 256 AS r FROM embeddings, range(64) q(i)) WINDOW w AS (PARTITION BY image_id, y ORDER BY x)",
     "img": "SELECT DISTINCT vec_id // 50 AS image_id, 'img' || (vec_id // 50) || '.raw.tif' AS title, 64 AS width, 50 AS height, 1 AS depth, (vec_id // 50) * 0.5::DOUBLE AS pixel_size FROM embeddings",
-    "sp": "SELECT 'u' || user_id || '-t' || day(ts) || '.csv' AS file, day(ts) AS t, (event_id % 512)::DOUBLE AS x, (event_id // 512)::DOUBLE AS y, ((props::JSON ->> 'k')::INT % 5)::DOUBLE AS z, value AS intensity, (props::JSON ->> 'k')::INT / 100 AS probability, row_number() OVER (PARTITION BY user_id, day(ts) ORDER BY event_id) - 1 AS spot_ix FROM events",
+    "sp": "SELECT 'u' || (user_id % 50) || '-t' || day(ts) || '.csv' AS file, day(ts) AS t, (event_id % 512)::DOUBLE AS x, (event_id // 512)::DOUBLE AS y, ((props::JSON ->> 'k')::INT % 5)::DOUBLE AS z, value AS intensity, (props::JSON ->> 'k')::INT / 100 AS probability, row_number() OVER (PARTITION BY user_id % 50, day(ts) ORDER BY event_id) - 1 AS spot_ix FROM events",
     "rn": f"SELECT l_suppkey AS set_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, {ORDER}) - 1 AS roi_ix, p_brand AS name FROM lineitem JOIN part ON l_partkey = p_partkey",
     "ch0": "SELECT o_custkey AS chain_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS step, (o_orderkey % 11)::DOUBLE AS n FROM orders",
-    "ch": "SELECT chain_id, step, CASE step % 3 WHEN 0 THEN 'translation' WHEN 1 THEN 'euler' ELSE 'affine' END AS kind, CASE step % 3 WHEN 0 THEN [n, 0 - n] WHEN 1 THEN [n / 7, n, 1.0::DOUBLE, 16.0::DOUBLE, 16.0::DOUBLE] ELSE [1 + n / 97, n / 193, (0 - n) / 193, 1 - n / 97, 0.5::DOUBLE, 0 - n, 8.0::DOUBLE, 8.0::DOUBLE] END AS params FROM ch0 WHERE step < 9 AND NOT (chain_id % 7 = 0 AND step = 2)",
-    "fr": "SELECT title || '-t' || t || e AS file FROM (SELECT 'u' || user_id AS title, dayofyear(ts) AS t, bool_or(event_type = 'error') AS failed FROM events GROUP BY 1, 2), (VALUES ('.tif'), ('_cp_masks.tif')) v(e) WHERE e = '.tif' OR NOT failed",
+    "ch": "SELECT chain_id, step, CASE step % 3 WHEN 0 THEN 'translation' WHEN 1 THEN 'euler' ELSE 'affine' END AS kind, CASE step % 3 WHEN 0 THEN [n, 0 - n] WHEN 1 THEN [n / 7, n, 1.0::DOUBLE, 16.0::DOUBLE, 16.0::DOUBLE] ELSE [1 + n / 97, n / 193, (0 - n) / 193, 1 - n / 97, 0.5::DOUBLE, 0 - n, 8.0::DOUBLE, 8.0::DOUBLE] END AS params FROM ch0 WHERE NOT (chain_id % 7 = 0 AND step = 2)",
+    "fr": "SELECT title || '-t' || t || e AS file FROM (SELECT 'u' || (user_id % 50) AS title, dayofyear(ts) AS t, max(event_id) % 5 = 0 AS failed FROM events GROUP BY 1, 2), (VALUES ('.tif'), ('_cp_masks.tif')) v(e) WHERE e = '.tif' OR NOT failed",
     "sec": "SELECT DISTINCT user_id AS series, 'sec_s' || lpad(dayofyear(ts)::VARCHAR, 3, '0') || '.png' AS path FROM events",
     "pc": f"SELECT l_orderkey AS path_id, row_number() OVER w - 1 AS cmd_ix, CASE WHEN lag(l_returnflag) OVER w IS DISTINCT FROM l_returnflag THEN 'M' WHEN lead(l_linenumber) OVER w IS NULL AND l_linestatus = 'O' THEN 'Q' ELSE 'L' END AS cmd, l_quantity AS x, l_extendedprice / 1000 AS y FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY {ORDER})",
 }
@@ -132,3 +132,7 @@ SQL = {
 def cte(*names: str) -> str:
     """``WITH`` of the named fixtures."""
     return "WITH " + ",\n".join(f"{n} AS ({SQL[n]})" for n in names)
+
+
+def recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)

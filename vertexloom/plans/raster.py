@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from vertexloom.operators import raster
-from vertexloom.operators.roi import signed_area
 from vertexloom.plans import fixtures as fx
-from vertexloom.plans.fixtures import cte
+from vertexloom.plans.fixtures import cte, recursive
 from vertexloom.plans.registry import query
 from vertexloom.plans.roi import rounded
 
@@ -22,9 +19,23 @@ q4 AS (SELECT *, lag(se) OVER b AS ne, lag(sw) OVER b AS nw FROM q WINDOW b AS (
 k AS (SELECT image_id, y, x, CASE WHEN least(se, sw, ne, nw) = greatest(se, sw, ne, nw) THEN 'mono'
   WHEN len(list_distinct([se, sw, ne, nw])) > 2 THEN 'three' WHEN nw = se AND ne = sw THEN 'cross' ELSE 'plain' END AS corner
   FROM q4 WHERE sw IS NOT NULL AND ne IS NOT NULL)"""
-#: Which of the four pixels around a lattice corner are of the label: 1 north-west, 2 north-east, 4 south-west, 8 south-east.
-AROUND = """, m AS (SELECT image_id, label, x + i AS x, y + j AS y, sum(CASE WHEN i = 1 AND j = 1 THEN 1 WHEN i = 0 AND j = 1 THEN 2 WHEN i = 1 THEN 4 ELSE 8 END) AS mask
-  FROM lab, range(2) a(i), range(2) b(j) GROUP BY ALL)"""
+#: Each edge's successor; then walks from every edge that end where they meet a smaller one: what comes back to its start is a ring from its smallest edge on.
+RINGS = """, en AS (SELECT *, y0::BIGINT * 17179869184 + x0 * 4 + CASE side WHEN 'upper' THEN 0 WHEN 'left' THEN 1 WHEN 'lower' THEN 2 ELSE 3 END AS e FROM e),
+sc AS (SELECT a.image_id, a.label, a.e, a.x0, a.y0, b.e AS nx FROM en a JOIN en b ON b.image_id = a.image_id AND b.label = a.label AND b.x0 = a.x1 AND b.y0 = a.y1
+  QUALIFY count(*) OVER (PARTITION BY a.image_id, a.label, a.e) = 1 OR (a.side || ' ' || b.side) IN ('lower right', 'upper left', 'left upper', 'right lower')),
+walk AS (SELECT image_id, label, e AS s, nx, x0, y0, 0::BIGINT AS k FROM sc
+  UNION ALL SELECT c.image_id, c.label, s, c.nx, c.x0, c.y0, k + 1 FROM walk w JOIN sc c ON c.image_id = w.image_id AND c.label = w.label AND c.e = w.nx WHERE w.nx > s),
+rings AS (SELECT image_id, label, s AS ring_id, k AS vertex_ix, x0 AS x, y0 AS y FROM walk SEMI JOIN (SELECT image_id, label, s FROM walk WHERE nx = s) USING (image_id, label, s))"""
+
+
+def _kept_sql(source: str, kept: str) -> str:
+    """``st`` has the vertices of ``source`` with their neighbours, ``sim`` those that ``kept`` lets stay, numbered anew."""
+    near = ", ".join(f"coalesce(lag({c}) OVER w, last_value({c}) OVER f) AS {c}b, coalesce(lead({c}) OVER w, first_value({c}) OVER f) AS {c}a" for c in "xy")
+    return f""", st AS (SELECT *, {near} FROM {source} WINDOW w AS (PARTITION BY image_id, label, ring_id ORDER BY vertex_ix), f AS (PARTITION BY image_id, label, ring_id ORDER BY vertex_ix ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+sim AS (SELECT image_id, label, ring_id, row_number() OVER (PARTITION BY image_id, label, ring_id ORDER BY vertex_ix) - 1 AS vertex_ix, x, y FROM st {kept})"""
+
+
+STRAIGHT = "(x - xb) * (ya - y) = (y - yb) * (xa - x)"
 
 
 @query("l01_distinct_labels", cte("lab") + " SELECT DISTINCT image_id, label FROM lab")
@@ -47,35 +58,38 @@ def corner_classes(spark, sf_dir):
     return raster.corner_classes(fx.label_raster(spark, sf_dir))
 
 
-@query("l05_trace_rings", cte("lab") + EDGES + " SELECT image_id, label, count(*) AS n_vertices, -any_value(p) AS area FROM e JOIN (SELECT image_id, label, count(*)::DOUBLE AS p FROM lab GROUP BY ALL) USING (image_id, label) GROUP BY image_id, label")
+@query("l05_trace_rings", recursive(cte("lab") + EDGES + RINGS + " SELECT * FROM rings"))
 def trace_rings(spark, sf_dir):
-    """Vertices of all rings of each label, and their signed area: minus the number of its pixels."""
-    rings = raster.trace_rings(raster.boundary_edges(fx.label_raster(spark, sf_dir)))
-    each = rings.select(F.col("image_id").alias("set_id"), F.col("label").alias("roi_ix"), F.col("ring_id").alias("poly_ix"), "vertex_ix", "x", "y")
-    areas = signed_area(each).groupBy("set_id", "roi_ix").agg(F.sum("area").alias("area"))
-    counts = each.groupBy("set_id", "roi_ix").agg(F.count(F.lit(1)).alias("n_vertices"))
-    return areas.join(counts, ["set_id", "roi_ix"]).select(F.col("set_id").alias("image_id"), F.col("roi_ix").alias("label"), "n_vertices", "area")
+    return raster.trace_rings(raster.boundary_edges(fx.label_raster(spark, sf_dir)))
 
 
-@query("l06_simplify_rings", cte("lab") + AROUND + " SELECT image_id, label, sum(CASE WHEN mask IN (1, 2, 4, 8, 7, 11, 13, 14) THEN 1 WHEN mask IN (6, 9) THEN 2 ELSE 0 END)::BIGINT AS n_vertices FROM m GROUP BY ALL")
+@query("l06_simplify_rings", recursive(cte("lab") + EDGES + RINGS + _kept_sql("rings", f"WHERE NOT ({STRAIGHT})") + " SELECT * FROM sim"))
 def simplify_rings(spark, sf_dir):
     rings = raster.trace_rings(raster.boundary_edges(fx.label_raster(spark, sf_dir)))
-    return raster.simplify_rings(rings, "all").groupBy("image_id", "label").agg(F.count(F.lit(1)).alias("n_vertices"))
+    return raster.simplify_rings(rings, "all")
 
 
 @query(
     "l07_vectorize_labels",
-    cte("lab")
-    + CORNERS
-    + AROUND
-    + """, v AS (SELECT image_id, label, sum(CASE WHEN mask IN (1, 2, 4, 8, 7, 11, 13, 14) THEN 1 WHEN mask IN (6, 9) THEN 2
-  WHEN mask IN (3, 5, 10, 12) AND coalesce(corner, 'edge') IN ('three', 'cross', 'edge') THEN 1 ELSE 0 END)::BIGINT AS n_vertices
-  FROM m LEFT JOIN k USING (image_id, y, x) GROUP BY ALL)
-SELECT image_id AS set_id, dense_rank() OVER (PARTITION BY image_id ORDER BY label) - 1 AS roi_ix, trunc(label)::INT::VARCHAR AS name, n_vertices FROM v""",
+    recursive(
+        cte("lab")
+        + EDGES
+        + CORNERS
+        + RINGS
+        + ", mv AS (SELECT image_id, y, x FROM k WHERE corner NOT IN ('three', 'cross'))"
+        + _kept_sql("rings", f"LEFT JOIN mv USING (image_id, y, x) WHERE NOT ({STRAIGHT} AND mv.image_id IS NOT NULL)")
+        + """, vt AS (SELECT image_id, dense_rank() OVER (PARTITION BY image_id ORDER BY label) - 1 AS roi_ix, dense_rank() OVER (PARTITION BY image_id, label ORDER BY ring_id) - 1 AS poly_ix, label, ring_id, vertex_ix, x::DOUBLE AS x, y::DOUBLE AS y FROM sim),
+nb AS (SELECT *, coalesce(lag(x) OVER w, last_value(x) OVER f) AS xb, coalesce(lag(y) OVER w, last_value(y) OVER f) AS yb, coalesce(lead(x) OVER w, first_value(x) OVER f) AS xa, coalesce(lead(y) OVER w, first_value(y) OVER f) AS ya
+  FROM vt WINDOW w AS (PARTITION BY image_id, roi_ix, poly_ix ORDER BY vertex_ix), f AS (PARTITION BY image_id, roi_ix, poly_ix ORDER BY vertex_ix ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+ln AS (SELECT *, nullif(sqrt((xa - xb) ** 2 + (ya - yb) ** 2), 0) AS len FROM nb),
+of AS (SELECT *, (xa - xb) / len AS dx, (ya - yb) / len AS dy, (x - xb) * (ya - yb) / len - (y - yb) * (xa - xb) / len AS off FROM ln)
+SELECT o.image_id AS set_id, roi_ix, poly_ix, vertex_ix, round(CASE WHEN m.image_id IS NULL OR len IS NULL THEN o.x ELSE o.x - 0.5 * off * dy END, 6) + 0.0 AS x, round(CASE WHEN m.image_id IS NULL OR len IS NULL THEN o.y ELSE o.y + 0.5 * off * dx END, 6) + 0.0 AS y,
+  trunc(label)::INT::VARCHAR AS name
+FROM of o LEFT JOIN mv m ON m.image_id = o.image_id AND m.x = o.x AND m.y = o.y"""
+    ),
 )
 def vectorize_labels(spark, sf_dir):
-    vertices = raster.vectorize_labels(fx.label_raster(spark, sf_dir))
-    return vertices.groupBy("set_id", "roi_ix", "name").agg(F.count(F.lit(1)).alias("n_vertices"))
+    return rounded(raster.vectorize_labels(fx.label_raster(spark, sf_dir)).drop("label"), "x", "y")
 
 
 @query(

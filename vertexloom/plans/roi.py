@@ -60,6 +60,12 @@ def map_points(spark, sf_dir):
     return rounded(roi.map_points(fx.order_polygons(spark, sf_dir), F.col("x") + F.col("y") / 2, F.col("y") - F.col("x") / 4), "x", "y")
 
 
+@query("u03_map_points_by_function", cte("cr") + " SELECT set_id, roi_ix, poly_ix, vertex_ix, round(x * 0.5 - y, 6) + 0.0 AS x, round(y + 3 * x, 6) + 0.0 AS y FROM cr")
+def map_points_by_function(spark, sf_dir):
+    """Points moved by a function on batches of coordinates."""
+    return rounded(roi.map_points(fx.customer_rois(spark, sf_dir), lambda x, y: (x * 0.5 - y, y + 3 * x)), "x", "y")
+
+
 @query("r05_signed_area", cte("op") + f", a AS ({area_sql('op')}) SELECT set_id, roi_ix, poly_ix, round(area, 6) + 0.0 AS area FROM a")
 def signed_area(spark, sf_dir):
     return rounded(roi.signed_area(fx.order_polygons(spark, sf_dir)), "area")
@@ -200,7 +206,7 @@ def roi_names_from_labels(spark, sf_dir):
 
 @query(
     "s08_read_rois",
-    cte("cr", "rn") + " SELECT 'vertices' AS part, set_id, roi_ix, count(*) AS n FROM cr WHERE vertex_ix > 0 GROUP BY ALL UNION ALL SELECT 'rois', set_id, roi_ix, 1 FROM rn",
+    cte("cr", "rn") + " SELECT 'vertices' AS part, set_id, roi_ix, poly_ix, vertex_ix, x, y, NULL AS name FROM cr WHERE vertex_ix > 0 UNION ALL SELECT 'rois', set_id, roi_ix, NULL, NULL, NULL, NULL, name FROM rn",
 )
 def read_rois(spark, sf_dir):
     """Region tables written and read again; first vertices are written without a place, and so dropped."""
@@ -208,5 +214,4 @@ def read_rois(spark, sf_dir):
     vertices = fx.customer_rois(spark, sf_dir).withColumn("x", F.when(F.col("vertex_ix") > 0, F.col("x")))
     tables.write_rois(fx.roi_names(spark, sf_dir), vertices, path)
     rois, back = tables.read_rois(spark, path)
-    counts = back.groupBy("set_id", "roi_ix").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(F.lit("vertices").alias("part"), "set_id", "roi_ix", "n").unionByName(rois.select(F.lit("rois").alias("part"), "set_id", "roi_ix", F.lit(1).cast("long").alias("n")))
+    return back.withColumn("part", F.lit("vertices")).unionByName(rois.withColumn("part", F.lit("rois")), allowMissingColumns=True)

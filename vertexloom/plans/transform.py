@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vertexloom.functions.settle import folder
 from vertexloom.operators import transform
 from vertexloom.plans import fixtures as fx
-from vertexloom.plans.fixtures import cte
+from vertexloom.plans.fixtures import cte, recursive
 from vertexloom.plans.registry import query
 from vertexloom.plans.roi import rounded
 from vertexloom.sources import tables
@@ -25,10 +25,6 @@ def moved_sql(points: str) -> str:
 pts AS (SELECT chain_id, k, arg_max(x, done) AS x, arg_max(y, done) AS y FROM go GROUP BY chain_id, k)"""
 
 
-def recursive(sql: str) -> str:
-    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
-
-
 def _customer_points(spark, sf_dir) -> DataFrame:
     """Corners of customers' orders: a point for each line."""
     cr = fx.customer_rois(spark, sf_dir)
@@ -149,6 +145,22 @@ def initial_alignment(spark, sf_dir):
     return rounded(transform.initial_alignment(_pairs(spark, sf_dir)), "tx", "ty")
 
 
+@query(
+    "t08_initial_alignment_by_middles",
+    cte("gray") + """, m AS (SELECT image_id, max(x) FILTER (v > 0) + min(x) FILTER (v > 0) AS x, max(y) FILTER (v > 0) + min(y) FILTER (v > 0) AS y, min(x) FILTER (v > 0) AS ox, min(y) FILTER (v > 0) AS oy FROM gray WHERE NOT (x < image_id % 5 OR y < image_id % 3) GROUP BY image_id)
+SELECT a.image_id AS pair_id, (b.x - a.x) / 2 AS tx, (b.y - a.y) / 2 AS ty, (b.ox - a.ox)::DOUBLE AS origin_tx, (b.oy - a.oy)::DOUBLE AS origin_ty FROM m a JOIN m b ON b.image_id = a.image_id + 1""",
+)
+def initial_alignment_by_middles(spark, sf_dir):
+    """The pixels over 0 of images that lack some rows and columns, by their middles and by their origins."""
+    gray = fx.gray_raster(spark, sf_dir).filter("v > 0 and not (x < image_id % 5 or y < image_id % 3)")
+    fixed = gray.select(F.col("image_id").alias("pair_id"), "y", "x", F.col("v").alias("fixed"))
+    moving = gray.select((F.col("image_id") - 1).alias("pair_id"), "y", "x", F.col("v").alias("moving"))
+    pairs = fixed.join(moving, ["pair_id", "y", "x"], "full")
+    middles, origins = (transform.initial_alignment(pairs, method) for method in ("GeometricalCenter", "Origins"))
+    both = middles.join(origins.withColumnsRenamed({"tx": "origin_tx", "ty": "origin_ty"}), "pair_id")
+    return both.dropna()
+
+
 @query(
     "t09_sample_pixels",
     cte("gray") + ", o AS (SELECT image_id, y, x, row_number() OVER (PARTITION BY image_id ORDER BY xor(xor(x::BIGINT * 73856093, y::BIGINT * 19349663), 83492791 * 3) % 2147483647, y, x) AS k FROM gray) SELECT image_id, y, x FROM o WHERE k <= 512",

@@ -5,29 +5,58 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vertexloom.operators.roi import sample_path
 
 #: Numbers that each command takes.
 TAKES = {"M": 2, "L": 2, "H": 1, "V": 1, "C": 6, "S": 4, "Q": 4, "T": 2, "A": 7, "Z": 0}
+NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
+ARC = rf"({NUMBER})[\s,]*({NUMBER})[\s,]*({NUMBER})[\s,]*([01])[\s,]*([01])[\s,]*(?={NUMBER}[\s,]*{NUMBER})"
 #: Fixed value: the colour of regions read from paths.
 COLOUR = (150, 150, 150)
 PIECES = 16
-COMMANDS = "path_id string, name string, cmd_ix int, poly_ix int, x double, y double"
+
+
+def arc_points(x0: float, y0: float, rx: float, ry: float, turned: float, large: bool, sweep: bool, x1: float, y1: float) -> list[tuple[float, float]]:
+    """Points along an elliptical arc after its start, ``PIECES`` to a half turn at least; its end if the ellipse is none or the arc has no length."""
+    rx, ry = abs(rx), abs(ry)
+    if rx == 0 or ry == 0 or (x0, y0) == (x1, y1):
+        return [(x1, y1)]
+    cos, sin = math.cos(math.radians(turned)), math.sin(math.radians(turned))
+    # Half the chord in a frame where the ellipse is a circle of radius 1, grown if it can't reach both ends.
+    u, v = ((x0 - x1) * cos + (y0 - y1) * sin) / (2 * rx), ((y0 - y1) * cos - (x0 - x1) * sin) / (2 * ry)
+    half = math.hypot(u, v)
+    if half > 1:
+        rx, ry, u, v, half = rx * half, ry * half, u / half, v / half, 1.0
+    off = math.sqrt(max(0.0, 1 - half * half)) / half * (1 if large != sweep else -1)
+    cu, cv = off * v, -off * u
+    begin, end = math.atan2(v - cv, u - cu), math.atan2(-v - cv, -u - cu)
+    turn = end - begin
+    if sweep and turn <= 0:
+        turn += 2 * math.pi
+    elif not sweep and turn >= 0:
+        turn -= 2 * math.pi
+    mx = (x0 + x1) / 2 + rx * cu * cos - ry * cv * sin
+    my = (y0 + y1) / 2 + rx * cu * sin + ry * cv * cos
+    n = max(PIECES, math.ceil(abs(turn) / math.pi * PIECES))
+    angles = [begin + turn * i / n for i in range(1, n)]
+    return [(mx + rx * math.cos(a) * cos - ry * math.sin(a) * sin, my + rx * math.cos(a) * sin + ry * math.sin(a) * cos) for a in angles] + [(x1, y1)]
 
 
 def flatten_path(d: str) -> list[tuple[int, float, float]]:
-    """Vertices (sub-path, x, y) of a path's text; curves become ``PIECES`` straight pieces, arcs their chord."""
+    """Vertices (sub-path, x, y) of a path's text; curves become ``PIECES`` straight pieces, arcs as many to a half turn."""
     import re
 
     out: list[tuple[int, float, float]] = []
     x = y = sx = sy = 0.0
     control, part = None, -1
     for letter, rest in re.findall(r"([MmLlHhVvCcSsQqTtAaZz])([^MmLlHhVvCcSsQqTtAaZz]*)", d or ""):
-        numbers = [float(v) for v in re.findall(r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?", rest)]
         command, n = letter.upper(), TAKES[letter.upper()]
+        if command == "A":  # the flags are one digit each and may stand without blanks
+            rest = re.sub(ARC, r"\1 \2 \3 \4 \5 ", rest)
+        numbers = [float(v) for v in re.findall(NUMBER, rest)]
         groups = [numbers[i : i + n] for i in range(0, len(numbers) - n + 1, n)] if n else [[]]
         for k, g in enumerate(groups):
             bx, by = (x, y) if letter.islower() else (0.0, 0.0)
@@ -41,7 +70,11 @@ def flatten_path(d: str) -> list[tuple[int, float, float]]:
             elif command == "V":
                 y = by + g[0]
                 out.append((part, x, y))
-            elif command in "MLTA" and command != "T":
+            elif command == "A":
+                points = arc_points(x, y, *g[:3], bool(g[3]), bool(g[4]), bx + g[5], by + g[6])
+                out += [(part, *p) for p in points]
+                x, y = points[-1]
+            elif command in "ML":
                 x, y = bx + g[-2], by + g[-1]
                 if command == "M" and k == 0:
                     part, sx, sy = part + 1, x, y
@@ -61,6 +94,14 @@ def flatten_path(d: str) -> list[tuple[int, float, float]]:
     return out
 
 
+def _sampled(each: DataFrame, sample_length: float, downscale: float) -> DataFrame:
+    """Vertices ``set_id, roi_ix, name, poly_ix, vertex_ix, x, y`` of flattened paths, sampled and scaled down; the name goes along as a part of the region's key."""
+    keyed = each.select("set_id", F.struct("roi_ix", "name").alias("roi_ix"), "poly_ix", "vertex_ix", "x", "y")
+    sampled = sample_path(keyed, sample_length * downscale)
+    colour: Column = F.array(*[F.lit(c) for c in COLOUR])
+    return sampled.select("set_id", F.col("roi_ix.roi_ix").alias("roi_ix"), "poly_ix", "vertex_ix", (F.col("x") / downscale).alias("x"), (F.col("y") / downscale).alias("y"), F.col("roi_ix.name").alias("name"), colour.alias("colour"))
+
+
 def sample_svg(paths: DataFrame, sample_length: float = 10.0, downscale: float = 1.0) -> DataFrame:
     """Paths ``set_id, roi_ix, name, d`` as vertices, sampled every ``sample_length * downscale`` and scaled down."""
 
@@ -68,16 +109,24 @@ def sample_svg(paths: DataFrame, sample_length: float = 10.0, downscale: float =
     def flat(d: pd.Series) -> pd.Series:
         return d.map(lambda text: [{"poly_ix": p, "x": x, "y": y} for p, x, y in flatten_path(text)])
 
-    each = paths.select("set_id", "roi_ix", F.posexplode(flat("d")).alias("vertex_ix", "v")).select("set_id", "roi_ix", "v.poly_ix", "vertex_ix", "v.x", "v.y")
-    sampled = sample_path(each, sample_length * downscale)
-    scaled = sampled.select("set_id", "roi_ix", "poly_ix", "vertex_ix", (F.col("x") / downscale).alias("x"), (F.col("y") / downscale).alias("y"))
-    colour = F.array(*[F.lit(c) for c in COLOUR]).alias("colour")
-    return scaled.join(paths.select("set_id", "roi_ix", "name", colour), ["set_id", "roi_ix"])
+    each = paths.select("set_id", "roi_ix", "name", F.posexplode(flat("d")).alias("vertex_ix", "v")).select("set_id", "roi_ix", "name", "v.poly_ix", "vertex_ix", "v.x", "v.y")
+    return _sampled(each, sample_length, downscale)
+
+
+def path_elements(text: str) -> list[tuple[str | None, str | None]]:
+    """(structure_id, d) of each path element of an SVG text, in the text's order."""
+    import xml.etree.ElementTree as Xml
+
+    return [(e.get("structure_id"), e.get("d")) for e in Xml.fromstring(text).iter() if isinstance(e.tag, str) and e.tag.rpartition("}")[2] == "path"]
 
 
 def read_svg_paths(spark: SparkSession, path: str, sample_length: float = 10.0, downscale: float = 1.0) -> DataFrame:
-    """All path elements of the SVG files under a path; a region's name is its structure_id, its place its order by file and text."""
-    schema = "_d string, _structure_id string"
-    rows = spark.read.format("xml").option("rowTag", "path").schema(schema).load(path)
-    paths = rows.select(F.col("_metadata.file_name").alias("set_id"), F.monotonically_increasing_id().alias("roi_ix"), F.col("_structure_id").alias("name"), F.col("_d").alias("d"))
-    return sample_svg(paths, sample_length, downscale)
+    """All path elements of the SVG files under a path; a region's name is its structure_id, its index its place among the file's paths. Files are read once."""
+
+    @F.pandas_udf("array<struct<name:string,d:string>>")
+    def elements(content: pd.Series) -> pd.Series:
+        return content.map(lambda data: [{"name": name, "d": d} for name, d in path_elements(data.decode())])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.svg").load(path)
+    paths = files.select(F.element_at(F.split("path", "/"), -1).alias("set_id"), F.posexplode(elements("content")).alias("roi_ix", "e"))
+    return sample_svg(paths.select("set_id", "roi_ix", "e.name", "e.d"), sample_length, downscale)
