@@ -2,14 +2,13 @@
 
 import hashlib
 import random
-import zlib
 
 import numpy as np
 import pandas as pd
 import pytest
 from oracle import SF_DIR, spark_rows, sql_rows
 
-from vertexloom.llm import byte_bpe, components, decontaminate, exact_dedup, language_id, line_dedup, registry, secrets, simhash, token_counts, toxicity, warc_zip
+from vertexloom.llm import byte_bpe, components, decontaminate, exact_dedup, line_dedup, registry, secrets, simhash, token_counts, warc_zip
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, fp int"
 
@@ -53,9 +52,12 @@ class TestSql:
     def test_tables(self, spark, name):
         assert spark_rows(registry.queries()[name](spark, SF_DIR)) == sql_rows(registry.oracle_sql()[name])
 
-    @pytest.mark.parametrize("name", ["op1_simhash", "op2_byte_bpe", "op5_secret_scan", "op6_token_counts", "op7_exact_dedup", "op10_line_dedup"])
+    @pytest.mark.parametrize("name", sorted(registry.queries()))
     def test_empty(self, spark, tmp_path, name):
-        assert registry.queries()[name](spark, tables(tmp_path, spark, [])).count() == 0
+        sf_dir = tables(tmp_path, spark, [])
+        for other, schema in (("pages", "page_id long, url string, html string, digest string, n int"), ("benchmark", "item_id long, text string"), ("labels", "doc_id long, quality int, toxic int")):
+            spark.createDataFrame([], schema).write.parquet(f"{sf_dir}/{other}.parquet")
+        assert registry.queries()[name](spark, sf_dir).count() == 0
 
 
 def test_exact_dedup(spark):
@@ -168,6 +170,27 @@ def test_token_counts(spark):
     assert got == sorted((len((t or "").encode()), k, k > 2048) for (_, t), k in zip(rows, n, strict=True))
 
 
+def test_token_counts_of_a_table(spark):
+    """Every document of the given table, with all pre-tokens broadcast and with none."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path(token_counts.VOCABULARY))
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    expected = {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in texts.items()}
+    assert {r.doc_id: r.n_tokens for r in token_counts.op6_token_counts(spark, SF_DIR).collect()} == expected
+
+
+def test_byte_bpe_of_a_table(spark):
+    import tiktoken
+
+    path, pattern = byte_bpe.vocabulary_file()
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.ByteBpe(open(path, "rb").read(), pattern).ranks, special_tokens={})
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    expected = {i: hashlib.sha256(" ".join(map(str, library.encode_ordinary(t))).encode()).hexdigest() for i, t in texts.items()}
+    assert {r.doc_id: r.ids_sha256 for r in byte_bpe.op2_byte_bpe(spark, SF_DIR).collect()} == expected
+
+
 def contained(docs, items, size=5):
     shingles = lambda t: {" ".join(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if (w := (t or "").lower().split()) else set()
     return {(i, k) for i, t in docs for k, b in items if (s := shingles(b)) and len(s & shingles(t)) >= 0.8 * len(s) - 1e-9}
@@ -242,6 +265,9 @@ def test_warc(spark, tmp_path):
             for member, (at, size) in warc_zip.directory(file, name.stat().st_size).items():
                 file.seek(at)
                 assert file.read(size) == package.read(member)
+    wide = spark.createDataFrame([(1, "u", "x" * 12_000_000, "clash", 5), (2, "u", "x" * 12_000_000, "clash", 6)], "page_id long, url string, html string, digest string, n int")
+    long = warc_zip.read_packages(warc_zip.write_packages(wide, f"{folder}4"), f"{folder}4").collect()
+    assert sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in long) == [(1, 12_000_000, "revisit", 2), (2, 12_000_000, "response", None)]
     few = warc_zip.write_packages(spark.createDataFrame(pages, "page_id long, url string, html string"), f"{folder}2", least=5)
     assert {r.page_id for r in warc_zip.read_packages(few, f"{folder}2").collect() if r.record_type == "revisit"} == set()
     none = warc_zip.write_packages(spark.createDataFrame([], "page_id long, url string, html string"), f"{folder}3")
@@ -265,62 +291,6 @@ def test_zip64_directory(tmp_path):
     assert warc_zip.directory(io.BytesIO(whole), len(whole)) == {"m": (31, 7)}
 
 
-def test_language_id(spark):
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    languages = language_id.learn(docs)
-    rows = language_id.predicted(docs, languages).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
-    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
-    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.97
-    odd = {r.doc_id: r for r in language_id.predicted(docs_of(spark, [(1, None), (2, "123 $"), (3, "the and with")]), languages).collect()}
-    assert (odd[1].lang_pred, odd[2].lang_pred, odd[1].score) == ("und", "und", 0.0) and odd[3].lang_pred != "und"
-    nothing = language_id.learn(docs.filter("doc_id < 0"))
-    assert nothing.predict("text") == ("und", 0.0, False)
-    many = language_id.codewords(9)
-    assert min(int((a != b).sum()) for i, a in enumerate(many) for b in many[:i]) >= 5
-
-
-def test_toxicity_learns_words_and_their_parts():
-    rnd = random.Random(7)
-    word = lambda: "".join(rnd.choice("ba de ki lo mu ne".split()) for _ in range(rnd.randrange(1, 4)))
-
-    def text(toxic):
-        return " ".join(rnd.choice(["awful", "zgrk" + word()]) if toxic and rnd.random() < 0.08 else word() for _ in range(rnd.randrange(20, 150)))
-
-    rows = [{"text": text(i % 2), "toxic": i % 2} for i in range(500)]
-    network = toxicity.train(rows, rounds=6)
-    scores = np.array(list(network.scores(text(i % 2) for i in range(200))))
-    assert np.mean((scores >= toxicity.THRESHOLD) == np.arange(200) % 2) > 0.85
-    assert all(0 <= s <= 1 for s in network.scores(["", None, "!!", "awful " * 20_000]))
-    assert list(toxicity.train([]).scores(["a"])) == [0.0]
-    assert list(toxicity.train([{"text": "a", "toxic": 1}]).scores(["a"])) == [1.0]
-
-
-def test_toxicity_gradients():
-    """Slopes by hand against slopes by difference."""
-    network = toxicity.Network([b"aa", b"bb"])
-    words, index = [b"aa", b"bb", b"cc"], np.array([[i % 3 for i in range(toxicity.WINDOW)], [2, 1] + [3] * (toxicity.WINDOW - 2)])
-    for k in network.weights:
-        network.weights[k] = network.weights[k].astype(np.float64)
-    target, each = np.array([1.0, 0.0]), np.array([0.5, 0.7])
-
-    def loss():
-        vectors = network.inputs(words)[0]
-        logit = network.logits(*[network.projected(vectors, d).astype(np.float64) for d in "fb"], index, 3)
-        return float((each * np.logaddexp(0, np.where(target > 0, -logit, logit))).sum())
-
-    slopes = network.gradients(words, index, target, each)
-    for k in ("word", "attend", "out", "bias", "in_f", "rec_f", "rec_b", "off_b"):
-        flat = network.weights[k].reshape(-1)
-        at = int(np.abs(slopes[k]).argmax())
-        old, step = flat[at], 1e-2
-        flat[at] = old + step
-        high = loss()
-        flat[at] = old - step
-        low = loss()
-        flat[at] = old
-        assert abs((high - low) / (2 * step) - slopes[k].reshape(-1)[at]) < 0.02 * max(abs(slopes[k].reshape(-1)[at]), 1e-3) + 1e-4
-
-
 def test_secret_spans_of_random_texts(spark):
     """Tighter patterns find what the base ones find after short matches are dropped."""
     import re
@@ -335,3 +305,111 @@ def test_secret_spans_of_random_texts(spark):
         for rule in secrets.RULES:
             found = [(m.start(), m.end()) for m in re.finditer(rule.pattern, texts[r.id], re.A) if len(m.group(rule.group)) >= rule.least]
             assert [tuple(s) for s in r[rule.kind]] == found, (rule.kind, texts[r.id])
+
+
+def test_spans_of_many_matches(spark):
+    """Time by the match doesn't grow with the number of matches of a text."""
+    import time
+
+    def scan(n):
+        ledger, text = secrets.BlobLedger(spark), "0123456789abcdef, " * n
+        began = time.perf_counter()
+        row = ledger.findings(ledger.scan(docs_of(spark, [(1, text)]))).first()
+        assert [tuple(s) for s in row.hex] == [(18 * i, 18 * i + 16) for i in range(n)]
+        return time.perf_counter() - began
+
+    scan(10)
+    small, large = scan(8_000), scan(64_000)
+    assert large < 8 * small + 4
+
+
+def test_one_file_meets_the_ledger(spark, tmp_path):
+    """A table of one file comes in increments too, and what the first has seen the second leaves out."""
+    docs = spark.createDataFrame([(i, f"text {i % 10}") for i in range(200)], "doc_id long, text string").coalesce(1)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert len(spark.read.parquet(str(tmp_path / "documents.parquet")).inputFiles()) == 1
+    made = []
+
+    class Ledger(secrets.BlobLedger):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self)
+
+        def scan(self, *args, **options):
+            index = super().scan(*args, **options)
+            self.sizes = [*getattr(self, "sizes", []), (index.count(), self.rows().count())]
+            return index
+
+    own, secrets.BlobLedger = secrets.BlobLedger, Ledger
+    try:
+        assert secrets.op5_secret_scan(spark, str(tmp_path)).count() == 200
+    finally:
+        secrets.BlobLedger = own
+    (first, after_first), (second, after_second) = made[0].sizes
+    assert first > 50 and second > 50 and after_first == after_second == 10 * len(secrets.RULES)
+
+
+def test_one_file_makes_levels(spark):
+    """The batches of a table of one file are merged, and known keys are anti-joined."""
+    docs = docs_of(spark, [(i, f"common\nown {i}\nshared {i % 40}") for i in range(400)]).coalesce(1)
+    before = {t.name for t in spark.catalog.listTables()}
+    added = []
+
+    class Runs(line_dedup.LineRuns):
+        def add_counts(self, counts):
+            added.append(counts.count())
+            super().add_counts(counts)
+            added.append(self.spark.table(self.names[-1]).count() if not self.levels[0] else self.levels[0][-1].count())
+
+    runs = Runs(spark)
+    keys = line_dedup.frequent_lines(docs, runs=runs)
+    assert runs.merges >= 2 and keys.count() == 41
+    assert {t.name for t in spark.catalog.listTables()} == before
+    # The third batch's run lacks the line that the first two made known.
+    assert added[5] < added[4]
+
+
+class Session:
+    """What shared_dir asks of a session."""
+
+    def __init__(self, master, **settings):
+        self.settings, self.master = settings, master
+
+    @property
+    def sparkContext(self):  # noqa: N802
+        return self
+
+    @property
+    def conf(self):
+        return self.settings
+
+
+def test_no_folder_of_one_machine_on_a_cluster():
+    from vertexloom.llm import common
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(Session("spark://host:7077"))
+    assert common.shared_dir(Session("spark://host:7077", **{"spark.checkpoint.dir": "hdfs://x/y/"})) == "hdfs://x/y"
+    assert common.shared_dir(Session("local[2]")).startswith("file://")
+
+
+class TestShuffledPaths:
+    """Every operator gives the same rows where nothing may be broadcast."""
+
+    @pytest.fixture(autouse=True)
+    def nothing_fits(self, monkeypatch):
+        from vertexloom.llm import common
+
+        monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(common, "HOT_KEYS", 3)
+
+    @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+    def test_tables(self, spark, name):
+        assert spark_rows(registry.queries()[name](spark, SF_DIR)) == sql_rows(registry.oracle_sql()[name])
+
+    def test_others(self, spark):
+        test_simhash(spark)
+        test_components(spark)
+        test_exact_dedup(spark)
+        test_decontaminate(spark)
+        test_token_counts_of_a_table(spark)

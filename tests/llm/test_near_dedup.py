@@ -3,8 +3,11 @@
 import random
 
 import corpus_pipeline
+import pytest
 from test_corpus import AWKWARD, docs_of
 
+from vertexloom.llm import near_dedup
+
 
 def shingles(text):
     w = (text or "").encode().lower().split()
@@ -43,11 +46,36 @@ def planted():
     for i in range(60):  # a group of copies of copies, and texts that share only a long line
         group[rnd.randrange(300)] = word()
         rows += [(5000 + i, " ".join(group)), (6000 + i, f"{line} {' '.join(word() for _ in range(12 + i % 5))}")]
+    passages = [[word() for _ in range(60)] for _ in range(3)]
+    for i in range(90):  # texts that share most of their words: just above, at and below the similarity, and with a second passage
+        own = [word() for _ in range(1 + i % 11)]
+        second = passages[1 + i % 2][: 10 * (i % 4)]
+        rows.append((7000 + i, " ".join([*own, *passages[0], *second])))
     rnd.shuffle(rows)
     return rows
 
 
-def test_near_dedup_keeps_what_brute_force_keeps(spark):
+def test_nodes_that_share_a_passage_are_not_all_paired(spark, monkeypatch):
+    """Candidates of a passage grow with its texts, not with the square."""
+    monkeypatch.setattr(near_dedup, "SAMPLED", 1)
+    rnd = random.Random(3)
+    passage = " ".join(f"p{rnd.randrange(9999)}" for _ in range(60))
+    rows = [(i, f"{passage} {' '.join(f'w{rnd.randrange(99999)}' for _ in range(11))}") for i in range(300)]
+    verified, own = [], near_dedup._verified
+    monkeypatch.setattr(near_dedup, "_verified", lambda pairs, *more: verified.append(pairs.count()) or own(pairs, *more))
+    assert near_dedup.drop_near(docs_of(spark, rows)).count() == 300 == len(kept_ids(rows)[0])
+    assert sum(verified) < 4 * 300
+
+
+@pytest.mark.parametrize("sampled,broadcast", [(16, True), (1, True), (1, False)])
+def test_near_dedup_keeps_what_brute_force_keeps(spark, monkeypatch, sampled, broadcast):
+    from vertexloom.llm import common
+
+    monkeypatch.setattr(near_dedup, "SAMPLED", sampled)
+    if not broadcast:
+        monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(common, "HOT_KEYS", 5)
+        monkeypatch.setattr(near_dedup, "TOGETHER", 4)
     rows = planted()
     expected, links, sets = kept_ids(rows)
     values = [len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i, j in links]

@@ -7,20 +7,27 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 #: The white space of every rule here, as characters and as a class of patterns.
 SPACE = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: A side of a join is broadcast up to so many rows, counted beforehand; each such row is a few fixed-width columns.
-BROADCAST_ROWS = 200_000
+#: A side of a join is broadcast up to so many bytes: its rows, counted beforehand, times what its columns take at most.
+BROADCAST_BYTES = 32 << 20
+COLUMN_BYTES, TEXT_COLUMN_BYTES = 16, 80
+#: Keys with more than one in so many of the rows of a join are hot; there are fewer than this many of them.
+HOT_KEYS = 200
+#: Tasks among which the rows of one key are dealt where keys can't be counted first.
+SALTS = 16
 
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 #: How Spark writes the setting's default.
 BATCH_DEFAULTS = ("67108864b", "64MB", "64m")
 
 _own_dir: list[str] = []
+_made: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,17 +35,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's folder for intermediate tables; one of our own only where the session names none."""
+    """The cluster's folder for intermediate tables; one of this machine's only for a local session that names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own_dir:
         _own_dir.append("file://" + tempfile.mkdtemp(prefix="vertexloom-"))
     return _own_dir[0]
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -61,17 +72,65 @@ def give_back() -> None:
         trim(0)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends, and a lost executor costs nothing."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checked_join(left: DataFrame, right: DataFrame, on, how: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a written table of thin rows: broadcast if its counted rows allow it, shuffled otherwise."""
-    return left.join(F.broadcast(right) if right.count() <= rows else right, on, how)
+def intermediates() -> int:
+    """How many intermediate tables there are by now, for ``written_alone``."""
+    return len(_made)
+
+
+def written_alone(df: DataFrame, name: str, since: int) -> DataFrame:
+    """``df`` written, and the intermediate tables that were made after the first ``since`` deleted."""
+    spark, out = df.sparkSession, written(df, name)
+    for path in _made[since:-1]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    del _made[since:-1]
+    return out
+
+
+def fits(df: DataFrame, rows: int) -> bool:
+    """Whether so many rows of the table may be broadcast."""
+    return rows * sum(TEXT_COLUMN_BYTES if isinstance(f.dataType, (StringType, BinaryType)) else COLUMN_BYTES for f in df.schema) <= BROADCAST_BYTES
+
+
+def checked_join(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
+    """Join with a written table of thin rows: broadcast if its counted rows allow it, shuffled otherwise. For keys of which ``left`` has few rows each."""
+    return left.join(F.broadcast(right) if fits(right, right.count()) else right, on, how)
+
+
+def counted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, count: str) -> DataFrame:
+    """Inner or left join with a written table of distinct keys whose column ``count`` says how many rows of ``left`` have each at most.
+
+    A small table is broadcast. Of a larger one the hot keys are, and their
+    rows stay where they are; only rows of other keys are shuffled.
+    """
+    n, total = right.agg(F.count(F.lit(1)), F.sum(count)).first()
+    thin = right.drop(count)
+    if fits(thin, n):
+        return left.join(F.broadcast(thin), on, how)
+    is_hot = F.col(count) * HOT_KEYS > F.lit(total)
+    hot, others = F.broadcast(right.filter(is_hot).drop(count)), right.filter(~is_hot).drop(count)
+    return left.join(hot, on).unionByName(left.join(hot.select(*on), on, "left_anti").join(others, on, how))
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: str, salt_by: str) -> DataFrame:
+    """Inner join with a written table of thin rows, of which ``left`` may have very many for one key: broadcast, or else every key's rows dealt by ``salt_by``."""
+    if fits(right, right.count()):
+        return left.join(F.broadcast(right), on)
+    several = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.withColumn("__salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int")).join(several, [on, "__salt"]).drop("__salt")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once: inside lambdas an expression is evaluated for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def text_of(column: Column) -> Column:

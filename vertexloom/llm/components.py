@@ -12,24 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import checked_join, written
+from vertexloom.llm.common import counted_join, written
 
 
 def _least(links: DataFrame) -> DataFrame:
-    return written(links.groupBy("u").agg(F.min("v").alias("m")), "links-least")
+    """Each node's smallest neighbour, and its number of links, by which the joins split hubs."""
+    return written(links.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "links-least")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Larger neighbours are linked to the smallest neighbour, or to the node itself."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    joined = checked_join(both.filter("v > u"), _least(both), "u", "inner")
+    joined = counted_join(both.filter("v > u"), _least(both), ["u"], "inner", "n")
     return joined.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Smaller neighbours and the node itself are linked to the smallest neighbour."""
     least = _least(links)
-    others = checked_join(links, least, "u", "inner").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    others = counted_join(links, least, ["u"], "inner", "n").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return others.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 

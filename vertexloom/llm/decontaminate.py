@@ -14,9 +14,10 @@ Words are runs without white space, A-Z in lower case.
 
 Defined cases: null and empty texts have no shingles and are never found or
 contaminated; a text of fewer than ``size`` words has one shingle, the whole
-sequence; items of equal text are all reported; repeated rows of a document
-are reported once; a null id is an id like any other; empty tables give no
-rows; further columns of the inputs are ignored.
+sequence, so an item of fewer matches only documents equal to it; items of
+equal text are all reported; repeated rows of a document are reported once;
+a very long text is shingled whole; a null id is an id like any other; empty
+tables give no rows; further columns of the inputs are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import checked_join, lower_ascii, table, text_of, words, written
+from vertexloom.llm.common import checked_join, lower_ascii, salted_join, table, text_of, words, written
 
 SIZE = 5
 THRESHOLD = 0.8
@@ -52,13 +53,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     base = docs.select(F.col(id_col).alias("id"), text_of(F.col(text_col)).alias("text"))
     base = base.select("id", F.xxhash64("text").alias("version"), words(lower_ascii(F.col("text"))).alias("w"))
     met = base.select("id", "version", F.explode(_slices(F.col("w"), size, F.xxhash64)).alias("h"))
-    candidates = written(checked_join(met, sketch, "h", "inner").select("id", "version", "item").distinct(), "decontam-candidates")
+    candidates = written(salted_join(met, sketch, "h", "version").select("id", "version", "item").distinct(), "decontam-candidates")
 
     suspects = written(candidates.select("id", "version").distinct().select(F.col("id").alias("s_id"), F.col("version").alias("s_version")), "decontam-suspects")
     texts = checked_join(base, suspects, base["id"].eqNullSafe(suspects["s_id"]) & (base["version"] == suspects["s_version"]), "left_semi")
     held = texts.select("id", "version", F.explode(F.array_distinct(_slices(F.col("w"), size, lambda s: F.array_join(s, " ")))).alias("shingle"))
     wanted = written(items.select("item", "n", F.explode("shingles").alias("shingle")), "decontam-shingles")
-    shared = checked_join(held, wanted, "shingle", "inner").groupBy("id", "version", "item", "n").agg(F.countDistinct("shingle").alias("shared"))
+    shared = salted_join(held, wanted, "shingle", "version").groupBy("id", "version", "item", "n").agg(F.countDistinct("shingle").alias("shared"))
     shared = shared.withColumnsRenamed({"id": "f_id", "version": "f_version", "item": "f_item"})
     both = candidates["id"].eqNullSafe(shared["f_id"]) & (candidates["version"] == shared["f_version"]) & candidates["item"].eqNullSafe(shared["f_item"])
     found = candidates.join(shared, both).filter(F.col("shared") >= F.lit(threshold) * F.col("n") - F.lit(1e-9))

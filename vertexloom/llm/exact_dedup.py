@@ -7,13 +7,15 @@ rows on which the next, dearer one is computed:
 2. a hash of its first code points, among rows that share their length,
 3. SHA-256 of the whole, among rows that share both.
 
-Only thin rows (ids, lengths, hashes) meet in shuffles; counts and winners
-are partially aggregated before them, so that a group holding a third of
-all rows costs one row per task.
+Texts are read in place and never shuffled to find copies: only thin rows
+(row numbers, lengths, hashes) meet, counts and winners are partially
+aggregated before they do, and keys with very many rows are joined where
+their rows are.
 
 Defined cases: a null text counts as empty; a null id sorts after every
-other id; of rows repeated whole, one stays; an empty table gives no rows;
-columns of the input that have the name of a result are replaced.
+other id; of rows repeated whole, one stays; a very long text is one row
+like any other, hashed whole; an empty table gives no rows; columns of the
+input that have the name of a result don't disturb it.
 """
 
 from __future__ import annotations
@@ -21,53 +23,70 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import checked_join, table, text_of, without_space, written
+from vertexloom.llm.common import checked_join, counted_join, fits, table, text_of, without_space, written
 
 PREFIX = 64
-RESULTS = ("keep_id", "group_size", "kept", "text_sha256")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, digest_all: bool = False, prefix: int = PREFIX) -> DataFrame:
-    """One row per document: the id, ``carry`` and keep_id, group_size, kept, text_sha256.
-
-    The row with the most code points in its original text stays, then the
-    one with the smallest id. text_sha256 is null for rows that were found
-    unique before level 3, unless ``digest_all`` asks for it.
-    """
-    carry = [c for c in (carry or []) if c != id_col and c not in RESULTS]
+def _hashed(docs: DataFrame, id_col: str, text_col: str, digest_all: bool, prefix: int, carry: list[str]) -> DataFrame:
+    """Levels 1 to 3 for each row: __row, __id, __n, __len, __prefix, __sha and ``carry``, written. Level 3 is null where 1 and 2 suffice."""
     text = text_of(F.col(text_col))
-    base = docs.select(F.col(id_col).alias("__id"), *[F.col(c).alias(f"__c_{c}") for c in carry], F.length(text).alias("__n"), without_space(text).alias("__norm"))
+    base = docs.select(*carry, F.col(id_col).alias("__id"), F.length(text).alias("__n"), without_space(text).alias("__norm"))
     base = base.withColumn("__len", F.length("__norm")).withColumn("__prefix", F.xxhash64(F.substring("__norm", 1, prefix)))
+    full = F.sha2(F.col("__norm"), 256)
+    if not digest_all:
+        counts = written(base.groupBy("__len", "__prefix").agg(F.count(F.lit(1)).alias("__rows")), "dedup-thin")
+        lengths = counts.groupBy("__len").agg(F.sum("__rows").alias("__rows_of_len")).filter("__rows_of_len > 1")
+        shared = counts.filter("__rows > 1").join(lengths, "__len", "left_semi")
+        shared = written(shared.select("__len", "__prefix", F.lit(True).alias("__shared")), "dedup-shared")
+        # Where the shared prefixes are too many to broadcast every text is hashed, as hashing costs less than moving texts.
+        if fits(shared, shared.count()):
+            base = base.join(F.broadcast(shared), ["__len", "__prefix"], "left")
+            full = F.when(F.col("__shared"), full)
+    return written(base.select(*carry, F.monotonically_increasing_id().alias("__row"), "__id", "__n", "__len", "__prefix", full.alias("__sha")), "dedup-hashed")
+
+
+def _groups(hashed: DataFrame) -> DataFrame:
+    """Groups of two rows or more by length and full hash: their size and the row that stays, written."""
+    order = F.struct((-F.col("__n")).alias("n"), F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__row").alias("row"))
+    groups = hashed.filter("__sha is not null").groupBy("__len", "__sha").agg(F.count(F.lit(1)).alias("__size"), F.min(order).alias("__first"))
+    groups = groups.filter("__size > 1").select("__len", "__sha", "__size", F.col("__first.id").alias("__keep"), F.col("__first.row").alias("__stays"), F.col("__size").alias("__rows"))
+    return written(groups, "dedup-groups")
 
-    thin = written(base.groupBy("__len", "__prefix").agg(F.count(F.lit(1)).alias("__rows")), "dedup-thin")
-    lengths = thin.groupBy("__len").agg(F.sum("__rows").alias("__rows_of_len")).filter("__rows_of_len > 1")
-    shared = written(thin.filter("__rows > 1").join(lengths, "__len", "left_semi").select("__len", "__prefix", F.lit(True).alias("__shared")), "dedup-shared")
 
-    full = F.sha2(F.col("__norm"), 256)
-    hashed = checked_join(base, shared, ["__len", "__prefix"], "left")
-    hashed = hashed.select("__id", *[f"__c_{c}" for c in carry], "__n", "__len", "__shared", (full if digest_all else F.when(F.col("__shared"), full)).alias("__sha"), F.monotonically_increasing_id().alias("__row"))
-    hashed = written(hashed, "dedup-hashed")
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_all: bool = False, prefix: int = PREFIX) -> DataFrame:
+    """One row per document: the id, keep_id, group_size, kept, text_sha256.
 
-    order = F.struct((-F.col("__n")).alias("n"), F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__row").alias("row"))
-    groups = hashed.filter("__shared").groupBy("__len", "__sha").agg(F.count(F.lit(1)).alias("__size"), F.min(order).alias("__first"))
-    groups = written(groups.filter("__size > 1"), "dedup-groups")
+    The row with the most code points in its original text stays, then the
+    one with the smallest id. text_sha256 may be null for rows that were
+    found unique before level 3, unless ``digest_all`` asks for it.
+    """
+    hashed = _hashed(docs, id_col, text_col, digest_all, prefix, [])
     alone = F.col("__size").isNull()
-    # Groups are counted and broadcast if they are few, so that carried texts needn't be shuffled.
-    return checked_join(hashed, groups, ["__len", "__sha"], "left").select(
+    return counted_join(hashed, _groups(hashed), ["__len", "__sha"], "left", "__rows").select(
         F.col("__id").alias(id_col),
-        *[F.col(f"__c_{c}").alias(c) for c in carry],
-        F.when(alone, F.col("__id")).otherwise(F.col("__first.id")).alias("keep_id"),
+        F.when(alone, F.col("__id")).otherwise(F.col("__keep")).alias("keep_id"),
         F.coalesce("__size", F.lit(1)).cast("long").alias("group_size"),
-        (alone | (F.col("__row") == F.col("__first.row"))).alias("kept"),
+        (alone | (F.col("__row") == F.col("__stays"))).alias("kept"),
         F.col("__sha").alias("text_sha256"),
     )
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with the columns they came with."""
-    renamed = docs.select(F.col(id_col).alias("__key"), F.col(text_col).alias("__body"), *[F.col(c).alias(f"__in_{i}") for i, c in enumerate(docs.columns)])
-    kept = exact_groups(renamed, "__key", "__body", [f"__in_{i}" for i in range(len(docs.columns))]).filter("kept")
-    return kept.select(*[F.col(f"__in_{i}").alias(c) for i, c in enumerate(docs.columns)])
+    """The documents that stay, with the columns they came with.
+
+    The numbers of the rows that go are found first; the documents are read
+    once more without them, and are shuffled, by number, only where those
+    are too many to broadcast.
+    """
+    names = [f"__in_{i}" for i in range(len(docs.columns))]
+    key, body = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
+    hashed = _hashed(docs.toDF(*names), key, body, False, PREFIX, names)
+    thin = hashed.filter("__sha is not null").select("__row", "__len", "__sha")
+    gone = counted_join(thin, _groups(hashed).select("__len", "__sha", "__stays", "__rows"), ["__len", "__sha"], "inner", "__rows")
+    gone = written(gone.filter("__row != __stays").select("__row"), "dedup-gone")
+    kept = checked_join(hashed, gone, "__row", "left_anti")
+    return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,20 +7,26 @@ language is the one whose codeword has the least loss, each bit's logistic
 loss weighted by how well its classifier did on the language's training
 rows. A text whose two best languages lie close is flagged as ambiguous.
 
-The classifiers are fitted on the driver, on at most ``2 * per_label``
-documents of each of at most 256 languages; whole texts are read, and each
-also gives one short piece, so that short texts are learnt too. Prediction
-is one pass over whole texts, without shuffles.
+The classifiers are fitted on a sample of the labelled documents: about
+``per_label`` of each language and ``most_rows`` of all, at most twice as
+many. Tasks turn a sampled text into its n-grams' shares, and those of one
+short piece of it, so that short texts are learnt too; the driver gets these
+vectors, whose size is fixed, and no texts. Prediction is one pass over whole
+texts, without shuffles.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0;
-with no labelled rows at all every text is ``und``; with one language every
-text with letters is of it; a null id counts as held out and is never learnt
-from; repeated rows are predicted alike; further columns are ignored.
+a language none of whose sampled texts has a letter is never predicted; with
+no language left every text is ``und``; with one language every text with
+letters is of it; a null id counts as held out and is never learnt from;
+repeated rows are predicted alike and learnt from once; a very long text is
+one row like any other, read whole; an empty table gives no rows; further
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
@@ -33,7 +39,7 @@ from pyspark.sql import functions as F
 from vertexloom.llm.common import small_batches, table
 from vertexloom.llm.samples import remainder, sample
 
-PER_LABEL = 400
+PER_LABEL, MOST_ROWS = 400, 3200
 BUCKETS = 1 << 12
 PIECE = 80
 AMBIGUOUS = 0.15
@@ -93,20 +99,21 @@ class Languages:
         return self.names[best], float(share[best] / share.sum()), bool(second - first < AMBIGUOUS * second)
 
 
-def fit(rows: list, rounds: int = 150, rate: float = 4.0, decay: float = 1e-5) -> Languages:
-    """Fit on rows with id, text and lang: logistic regression of each bit by accelerated gradient steps."""
-    names = sorted({row["lang"] for row in rows})
+def examples(text: str) -> Iterator[np.ndarray]:
+    """N-gram shares of a text and of one piece of it, where these have letters."""
+    at = zlib.crc32(text.encode()) % max(1, len(text) - PIECE)
+    for part in (text, text[at : at + PIECE]):
+        if any(map(str.isalpha, part)):
+            yield grams(part)
+
+
+def fit(rows: list[tuple[str, np.ndarray]], rounds: int = 150, rate: float = 4.0, decay: float = 1e-5) -> Languages:
+    """Fit on languages and n-gram shares: logistic regression of each bit by accelerated gradient steps."""
+    names = sorted({lang for lang, _ in rows})
     if len(names) < 2:
         return Languages(names, *[np.zeros((len(names), 0), np.float32)] * 2, np.zeros((BUCKETS, 0)), np.zeros(0))
-    random = np.random.default_rng(3)
-    texts, which = [], []
-    for row in rows:
-        at = int(random.integers(0, max(1, len(row["text"]) - PIECE)))
-        for text in (row["text"], row["text"][at : at + PIECE]):
-            if any(map(str.isalpha, text)):
-                texts.append(grams(text))
-                which.append(names.index(row["lang"]))
-    x, which, code = np.stack(texts), np.array(which), codewords(len(names))
+    place = {name: i for i, name in enumerate(names)}
+    x, which, code = np.stack([shares for _, shares in rows]), np.array([place[lang] for lang, _ in rows]), codewords(len(names))
     target = code[which]
     share = np.bincount(which, minlength=len(names))
     each = (1 / np.maximum(share, 1))[which][:, None].astype(np.float32) / len(names)
@@ -120,14 +127,33 @@ def fit(rows: list, rounds: int = 150, rate: float = 4.0, decay: float = 1e-5) -
         slope, offset = slope + step, offset + bias_step
     right = (x @ slope + offset) * target > 0
     weight = np.stack([right[which == k].mean(0) for k in range(len(names))]).astype(np.float32)
-    weight /= np.maximum(weight.sum(1, keepdims=True), 1e-9)
+    weight = np.where(weight.sum(1, keepdims=True) > 0, weight, 1)  # a language that no bit gets right has all bits alike
+    weight /= weight.sum(1, keepdims=True)
     return Languages(names, code, weight * code.shape[1], slope, offset)
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_label: int = PER_LABEL) -> Languages:
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_label: int = PER_LABEL, most_rows: int = MOST_ROWS) -> Languages:
     """Fit on a bounded sample of the documents that aren't held out and have a language."""
-    rows = docs.filter(remainder(id_col, FOLDS) != 0).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
-    return fit(sample(rows, "lang", per_label))
+    small_batches(docs.sparkSession)
+    rows = docs.filter(remainder(id_col, FOLDS) != 0).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, lang in zip(batch.column(0), batch.column(1), strict=True):
+                for shares in examples(text.as_py()):
+                    at = np.flatnonzero(shares)
+                    out.append({"lang": lang.as_py(), "at": at.astype(np.int32), "share": shares[at]})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    schema = pa.schema([("lang", pa.string()), ("at", pa.list_(pa.int32())), ("share", pa.list_(pa.float32()))])
+    drawn = sample(rows, "lang", per_label, most_rows, ("id", "text")).select("text", "lang")
+    learnt = []
+    for row in sorted(drawn.mapInArrow(run, "lang string, at array<int>, share array<float>").collect()):
+        shares = np.zeros(BUCKETS, np.float32)
+        shares[row["at"]] = row["share"]
+        learnt.append((row["lang"], shares))
+    return fit(learnt)
 
 
 def predicted(docs: DataFrame, languages: Languages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

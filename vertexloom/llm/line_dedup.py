@@ -13,9 +13,10 @@ Keys are compared by two 64-bit hashes. Counts are made per task before
 they are shuffled, so a line of every document costs one row per task.
 
 Defined cases: a null text is one empty line, as is an empty one; blank
-lines have the empty key and always stay; each row counts as a document,
-repeated rows too; a null id is an id like any other; an empty table gives
-no rows; further columns of the input are ignored.
+lines have the empty key and always stay; a very long text, or one of very
+many lines, is treated whole; each row counts as a document, repeated rows
+too; a null id is an id like any other; an empty table gives no rows;
+further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import SPACE, checked_join, lower_ascii, shared_path, table, text_of, written
+from vertexloom.llm.common import SPACE, checked_join, let, lower_ascii, shared_path, table, text_of, written
 
 MIN_DOCS = 10
 FANOUT = 2
@@ -44,25 +45,45 @@ def key_hash(key: Column) -> list[Column]:
     return [F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2")]
 
 
+def key_counts(docs: DataFrame, *by: Column, text_col: str = "text") -> DataFrame:
+    """Documents of each key ``(h1, h2, n)``, for each value of ``by``."""
+    keys = docs.select(*by, F.explode(F.array_distinct(F.transform(lines_of(F.col(text_col)), line_key))).alias("key")).filter("key != ''")
+    hashed = keys.select(*keys.columns[:-1], *key_hash(F.col("key")))
+    return hashed.groupBy(*hashed.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 class LineRuns:
-    """Levels of sorted runs ``(h1, h2, n)``, and runs of the keys found in ``min_docs`` documents or more."""
+    """Levels of sorted runs ``(h1, h2, n)``, and runs of the keys found in ``min_docs`` documents or more.
+
+    Runs are tables of the session's catalogue until ``close``.
+    """
 
     def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = FANOUT, buckets: int | None = None):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = [[]]
         self.frequent: list[DataFrame] = []
+        self.names: list[str] = []
+        self.merges = 0
 
     def _run(self, rows: DataFrame) -> DataFrame:
-        name = f"line_run_{uuid.uuid4().hex}"
+        self.names.append(f"line_run_{uuid.uuid4().hex}")
         sorted_rows = rows.repartition(self.buckets, "h1", "h2").write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
-        sorted_rows.option("path", shared_path(self.spark, "line-run")).saveAsTable(name)
-        return self.spark.table(name)
+        sorted_rows.saveAsTable(self.names[-1])
+        return self.spark.table(self.names[-1])
+
+    def close(self) -> None:
+        """Drop the runs; what ``frequent_keys`` gave stays."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names, self.levels, self.frequent = [], [[]], []
 
     def add(self, docs: DataFrame, text_col: str = "text") -> None:
         """Count one batch's keys, without those known to be frequent, into a run of its own."""
-        keys = docs.select(F.explode(F.array_distinct(F.transform(lines_of(F.col(text_col)), line_key))).alias("key")).filter("key != ''")
-        counts = keys.select(*key_hash(F.col("key"))).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+        self.add_counts(key_counts(docs, text_col=text_col))
+
+    def add_counts(self, counts: DataFrame) -> None:
+        """As ``add``, of a batch that ``key_counts`` has counted."""
         for run in self.frequent:
             counts = counts.join(run, ["h1", "h2"], "left_anti")
         self.levels[0].append(self._run(counts))
@@ -76,6 +97,7 @@ class LineRuns:
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
         """Runs joined side by side, their counts summed."""
+        self.merges += 1
         out = runs[0]
         for run in runs[1:]:
             both = out.join(run.withColumnRenamed("n", "m"), ["h1", "h2"], "full")
@@ -103,29 +125,36 @@ class LineRuns:
 def drop_frequent_lines(docs: DataFrame, frequent: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: the id, n_lines, n_dropped and the text without frequent lines."""
     base = docs.select(F.col(id_col).alias("id"), text_of(F.col(text_col)).alias("text")).withColumn("version", F.xxhash64("text"))
-    keys = base.select("id", "version", F.explode(F.array_distinct(F.transform(lines_of(F.col("text")), line_key))).alias("key")).filter("key != ''")
-    hits = checked_join(keys.select("id", "version", "key", *key_hash(F.col("key"))), frequent, ["h1", "h2"], "left_semi")
-    hits = hits.groupBy(F.col("id").alias("hit_id"), F.col("version").alias("hit_version")).agg(F.collect_set("key").alias("drop"))
+    lines = base.select("id", "version", F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("at", "key")).filter("key != ''")
+    hits = checked_join(lines.select("id", "version", "at", *key_hash(F.col("key"))), frequent, ["h1", "h2"], "left_semi")
+    hits = hits.groupBy(F.col("id").alias("hit_id"), F.col("version").alias("hit_version")).agg(F.array_sort(F.collect_set("at")).alias("drop"))
     split = F.split("text", "\n", -1)
     rows = base.join(hits, base["id"].eqNullSafe(hits["hit_id"]) & (base["version"] == hits["hit_version"]), "left")
-    stays = F.when(F.col("drop").isNull(), split).otherwise(F.filter(split, lambda line: ~F.array_contains(F.col("drop"), line_key(line))))
-    rows = rows.select("id", F.size(split).cast("long").alias("n_lines"), stays.alias("stays"))
-    return rows.select(F.col("id").alias(id_col), "n_lines", (F.col("n_lines") - F.size("stays")).alias("n_dropped"), F.array_join("stays", "\n").alias("text"))
-
-
-def batches_of(spark: SparkSession, docs: DataFrame, most: int = BATCHES) -> list[DataFrame]:
-    """The files of a table as up to ``most`` arriving batches."""
-    files = sorted(docs.inputFiles())
-    parts = [files[i::most] for i in range(most)]
-    return [spark.read.schema(docs.schema).parquet(*part) for part in parts if part]
+    # What stays are the runs of lines between those that go.
+    ends = F.concat("drop", F.array(F.size(split)))
+    starts = F.concat(F.array(F.lit(0)), F.transform("drop", lambda at: at + 1))
+    runs = let(split, lambda lines: F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(lines, a + 1, b - a))))
+    rows = rows.select("id", F.size(split).cast("long").alias("n_lines"), F.coalesce(F.size("drop"), F.lit(0)).alias("n_dropped"), F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(runs, "\n")).alias("text"))
+    return rows.select(F.col("id").alias(id_col), "n_lines", F.when(F.col("n_dropped") > 0, F.col("n_dropped")).otherwise(0).cast("long").alias("n_dropped"), "text")
+
+
+def frequent_lines(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text", runs: LineRuns | None = None) -> DataFrame:
+    """Hashes of the frequent keys of a table whose rows arrive in ``batches`` batches, dealt by a hash of the id; read and counted once."""
+    spark, runs = docs.sparkSession, runs or LineRuns(docs.sparkSession)
+    path = shared_path(spark, "line-batches")
+    counts = key_counts(docs, F.pmod(F.xxhash64(id_col), F.lit(batches)).cast("int").alias("batch"), text_col=text_col)
+    counts.write.partitionBy("batch").parquet(path)
+    arrived = spark.read.schema(counts.schema).parquet(path)
+    for k in range(batches):
+        runs.add_counts(arrived.filter(F.col("batch") == k).drop("batch"))
+    frequent = runs.frequent_keys()
+    runs.close()
+    return frequent
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    runs = LineRuns(spark)
-    for batch in batches_of(spark, docs):
-        runs.add(batch)
-    rows = drop_frequent_lines(docs, runs.frequent_keys())
+    rows = drop_frequent_lines(docs, frequent_lines(docs))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -1,25 +1,38 @@
-"""Near-duplicates by exact Jaccard similarity of word shingles, without loss.
+"""SimHash near-dedup with verified links: one document of each group of near copies stays.
 
 A text is the set of the hashes of its shingles of ``size`` words (the whole
 sequence if there are fewer); A-Z in lower case, words are runs without white
 space. Two texts are linked if the Jaccard similarity of their sets is 0.8 or
 more, which is verified on the whole sets of every link.
 
-Candidates come from prefixes: with all shingles in one order, the first
-``n - ceil(0.8 n) + 1`` of two linked sets share a shingle. In the order,
-shingles that are frequent in a sample of the texts come last, so that common
-lines make no candidates; any order finds every link. Sets that share c
-shingles of their prefixes share at most c and the larger of the rests behind
-the prefixes, which rules out most candidates before their texts are read.
-
-Texts of one set are one node. First each node is verified against the most
-promising of its prefixes' pivots, one pair a node, so that groups of copies
-become components in rows linear in their size; then all candidates that lie
-in different components are.
+Texts of one set are one node. The nodes' SimHash fingerprints go through the
+Gray-order index (``simhash``), and each node is verified against one node of
+the group that the index puts it in. Fingerprints alone can't decide here: at
+a similarity of 0.8 they differ in about ten of 64 bits, more than any index
+of theirs can search. So the pairs that lie further apart come from prefixes:
+with all shingles in one order, the first ``n - ceil(0.8 n) + 1`` of two
+linked sets share a shingle. In the order, shingles that are frequent in a
+sample of the texts come last, so that common lines make no candidates; any
+order finds every link. Sets that share c shingles of their prefixes share at
+most c and the larger of the rests behind the prefixes, which rules out most
+candidates before their texts are read.
+
+First each node is verified against its group's node and the most promising
+of its prefixes' pivots, so that groups of copies become components in rows
+linear in their size; then candidates that lie in different components are.
+Candidates that meet in a frequent shingle aren't all compared with each
+other: of the nodes with the same frequent shingles only the one with the
+fewest others, the group's least, is compared with all that meet there. If
+two nodes with no other shingle in common are linked, each is linked to the
+other's least and the two leasts are linked, as these have no more shingles
+beside the same frequent ones; and nodes with another shingle in common meet
+in it. Together they lose no link.
 
 Defined cases: null, empty and blank texts have one empty shingle and are
-linked; a null id counts in no minimum, and what only rows without ids are
-linked to stays; an empty table gives no rows.
+linked; a very long text is one set like any other; a null id counts in no
+minimum, and what only rows without ids are linked to stays; of repeated rows
+all stay or none; an empty table gives no rows; columns keep their names
+whatever these are.
 """
 
 from __future__ import annotations
@@ -32,13 +45,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from vertexloom.llm.common import checked_join, small_batches, text_of, written
+from vertexloom.llm.common import checked_join, counted_join, small_batches, text_of, written
 from vertexloom.llm.components import components
+from vertexloom.llm.simhash import links_between
 
 #: Linked from 4/5 on; in whole numbers, so that no rounding decides.
 NUMERATOR, DENOMINATOR = 4, 5
 #: The order of shingles is taken from one text of so many, for so many shingles at most; neither changes which links are found.
-SAMPLED, ORDERED = 16, 200_000
+SAMPLED, ORDERED = 16, 500_000
+#: So many pairs of one node, or nodes of one shingle, are compared in one task.
+TOGETHER = 256
 #: Fixed value: the seed of the shingles' XXH64.
 SEED = 42
 
@@ -57,6 +73,12 @@ def shingle_set(text: str, size: int) -> np.ndarray:
     return np.unique(np.array([hash64(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[size - 1 :].tolist(), strict=True)], np.uint64).view(np.int64))
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """SimHash of a set of hashes: the bits that are set in more than half of them."""
+    ones = np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
+
+
 def _lists(sets: list[np.ndarray | None]) -> pa.Array:
     ends = np.cumsum([0, *[0 if s is None else len(s) for s in sets]])
     mask = pa.array([s is None for s in sets], pa.bool_())
@@ -78,46 +100,50 @@ def _sets(docs: DataFrame, size: int, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def frequent_last(docs: DataFrame, size: int, text_col: str) -> list[int]:
+def frequent_last(docs: DataFrame, size: int, text_col: str) -> np.ndarray:
     """Shingles that several sampled texts have, by rising frequency."""
     sample = docs.select(text_of(F.col(text_col)).alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
     counts = _sets(sample, size, "text").select(F.explode("shingles").alias("h")).groupBy("h").count().filter("count > 1")
-    return [r.h for r in counts.orderBy(F.desc("count"), "h").limit(ORDERED).collect()][::-1]
+    return counts.orderBy(F.desc("count"), "h").limit(ORDERED).select("h").toArrow().column("h").to_numpy()[::-1]
 
 
-def prefixes(docs: DataFrame, size: int, text_col: str, last: list[int]) -> DataFrame:
-    """All columns, ``node``, ``n`` and the prefix; it is null where the task has met the node before."""
-    rows = docs.withColumn("__text", text_of(F.col(text_col)))
-    known = np.array(last, np.int64)
+def prefixes(docs: DataFrame, size: int, text_col: str, known: np.ndarray) -> DataFrame:
+    """All columns, a row number, ``node``, ``n``, its number of shingles that aren't frequent ``r``, a hash of those that are ``g``, the fingerprint ``fp`` and the prefix; the last two are null where the task has met the node before."""
+    from xxhash import xxh64_intdigest as xxhash64
+
+    rows = docs.select("*", F.monotonically_increasing_id().alias("__row"), text_of(F.col(text_col)).alias("__text"))
     by_hash = np.argsort(known)
     sent = docs.sparkSession.sparkContext.broadcast((known[by_hash], by_hash + 1))
 
-    def prefix(hashes: np.ndarray) -> np.ndarray:
+    def prefix(hashes: np.ndarray) -> tuple[int, int | None, np.ndarray]:
         frequent, place = sent.value
         rank = np.zeros(len(hashes), np.int64)
         if len(frequent):
             at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
             rank = np.where(frequent[at] == hashes, place[at], 0)
-        n = len(hashes)
-        return hashes[np.lexsort((hashes, rank))[: n + 1 + -NUMERATOR * n // DENOMINATOR]]
+        n, some = len(hashes), hashes[rank > 0]
+        same = np.uint64(xxhash64(some.tobytes(), SEED)).astype(np.int64) if len(some) else None
+        return n - len(some), same, hashes[np.lexsort((hashes, rank))[: n + 1 + -NUMERATOR * n // DENOMINATOR]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         met = set()
         for batch in batches:
-            nodes, sizes, firsts = [], [], []
+            nodes, sizes, others, same, codes, firsts = [], [], [], [], [], []
             for text in batch.column(batch.num_columns - 1):
                 hashes = shingle_set(text.as_py(), size)
-                node = xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
+                node = xxhash64(hashes.tobytes(), SEED)
+                r, g, first = (0, None, None) if node in met else prefix(hashes)
                 nodes.append(node)
                 sizes.append(len(hashes))
-                firsts.append(None if node in met else prefix(hashes))
+                others.append(r)
+                same.append(g)
+                codes.append(None if node in met else fingerprint_of(hashes))
+                firsts.append(first)
                 met.add(node)
-            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), _lists(firsts)]
+            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(others, pa.int32()), pa.array(same, pa.int64()), pa.array(codes, pa.int64()), _lists(firsts)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=names)
 
-    schema = docs.schema.add("node", "long").add("n", "integer").add("prefix", ArrayType(LongType()))
+    schema = rows.drop("__text").schema.add("node", "long").add("n", "integer").add("r", "integer").add("g", "long").add("fp", "long").add("prefix", ArrayType(LongType()))
     names = schema.names
     return rows.mapInArrow(run, schema)
 
@@ -132,37 +158,71 @@ def _similar_sizes() -> Column:
     return F.least("n", "o_n") * DENOMINATOR >= F.greatest("n", "o_n") * NUMERATOR
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame, end: str, other: str, name: str) -> DataFrame:
+    """``pairs`` with the set of one end; the set of a node with many pairs goes to several tasks, each with a share of the pairs."""
+    counts = pairs.groupBy(end).agg(F.count(F.lit(1)).alias("k"))
+    counts = written(counts.select(end, F.ceil(F.col("k") / TOGETHER).cast("int").alias("parts"), "k"), "near-ends")
+    dealt = counted_join(pairs, counts, [end], "inner", "k").withColumn("part", F.pmod(F.xxhash64(other), "parts").cast("int")).drop("parts")
+    several = sets.withColumnRenamed("node", end).join(counts.drop("k"), end).select(end, F.col("shingles").alias(name), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return dealt.join(several, [end, "part"]).drop("part")
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, size: int, text_col: str) -> DataFrame:
     """The pairs (u, v) of nodes whose whole sets are similar enough."""
     wanted = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "near-wanted")
     texts = checked_join(rows.filter("prefix is not null").select("node", text_col), wanted, "node", "left_semi")
     sets = written(_sets(texts, size, text_col), "near-sets").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+    both = _with_sets(_with_sets(pairs, sets, "u", "v", "a"), sets, "v", "u", "b")
     shared = F.size(F.array_intersect("a", "b"))
     return both.filter(shared * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.size("a") + F.size("b"))).select("u", "v")
 
 
+def _index_pairs(rows: DataFrame) -> DataFrame:
+    """(u, v): each node of a group that the fingerprints' index finds, and one node of the group."""
+    codes = written(rows.filter("fp is not null").select("node", "n", "fp").distinct(), "near-codes")
+    roots = written(components(links_between(codes.select("fp").distinct())).withColumnRenamed("node", "fp"), "near-index")
+    counts = written(codes.groupBy("fp").agg(F.count(F.lit(1)).alias("k")), "near-code-counts")
+    sized = written(checked_join(counts, roots, "fp", "left").filter("k > 1 or root is not null").select("fp", F.coalesce("root", "fp").alias("root"), "k"), "near-code-roots")
+    grouped = written(counted_join(codes, sized, ["fp"], "inner", "k").select("node", "n", "root"), "near-code-groups")
+    pivots = written(grouped.groupBy("root").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("p"), F.count(F.lit(1)).alias("k")), "near-code-pivots")
+    pairs = counted_join(grouped, pivots, ["root"], "inner", "k").select("node", "n", F.col("p.node").alias("o_node"), F.col("p.n").alias("o_n"))
+    return pairs.filter((F.col("node") != F.col("o_node")) & _similar_sizes()).select(F.col("node").alias("u"), F.col("o_node").alias("v"))
+
+
 def near_links(rows: DataFrame, size: int, text_col: str) -> DataFrame:
     """Links (u, v) that connect what the pairs of similar nodes of ``prefixes`` connect."""
-    each = rows.filter("prefix is not null").select("node", "n", F.explode("prefix").alias("h"))
-    met = Window.partitionBy("h")
-    buckets = written(each.withColumns({"lo": F.min("node").over(met), "hi": F.max("node").over(met)}).filter("lo < hi").select("h", "node", "n").distinct(), "near-buckets")
-
-    pivots = buckets.groupBy("h").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("p")).select("h", F.col("p.node").alias("o_node"), F.col("p.n").alias("o_n"))
-    stars = buckets.join(pivots, "h").filter(F.col("node") != F.col("o_node")).filter(_similar_sizes())
+    each = rows.filter("prefix is not null").select("node", "n", "r", F.size("prefix").alias("size"), F.posexplode("prefix").alias("at", "h"))
+    each = each.select("node", "n", F.greatest(F.lit(0), F.col("size") - F.col("r")).alias("f"), "h", (F.col("at") >= F.col("r")).alias("frequent"))
+    leasts = rows.filter("prefix is not null and g is not null").groupBy("g").agg(F.min(F.struct("r", "node")).alias("least"))
+    leasts = written(leasts.select("least.node").distinct(), "near-leasts")
+    least = F.min_by(F.struct("node", "n"), F.xxhash64("node"))
+    shared = each.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), least.alias("p"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
+    shared = written(shared.select("h", F.col("p.node").alias("o_node"), F.col("p.n").alias("o_n"), "k"), "near-shared")
+    buckets = written(counted_join(each, shared, ["h"], "inner", "k").distinct(), "near-buckets")
+    stars = buckets.filter((F.col("node") != F.col("o_node")) & _similar_sizes())
     stars = stars.groupBy("node", "n", "o_node", "o_n").count().filter(_may_link(F.col("count")))
-    stars = written(stars.groupBy("node").agg(F.max_by("o_node", F.struct("count", "o_node")).alias("v")).withColumnRenamed("node", "u"), "near-stars")
-    first = written(_verified(stars, rows, size, text_col), "near-first")
+    stars = stars.groupBy("node").agg(F.max_by("o_node", F.struct("count", "o_node")).alias("v")).withColumnRenamed("node", "u")
+    pairs = written(stars.unionByName(_index_pairs(rows)).distinct(), "near-stars")
+    first = written(_verified(pairs, rows, size, text_col), "near-first")
     roots = written(components(first), "near-roots")
 
-    placed = checked_join(buckets, roots, "node", "left").select("h", "node", "n", F.coalesce("root", "node").alias("root"))
-    placed = written(placed, "near-placed")
-    several = Window.partitionBy("h")
-    placed = placed.withColumns({"lo": F.min("root").over(several), "hi": F.max("root").over(several)}).filter("lo < hi").drop("lo", "hi")
-    placed = written(placed, "near-several")
-    others = placed.select("h", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "root")])
-    pairs = placed.join(others, (placed["h"] == others["h"]) & (F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _similar_sizes())
-    pairs = pairs.groupBy("node", "n", "o_node", "o_n").count().filter(_may_link(F.col("count")))
+    placed = written(checked_join(buckets, roots, "node", "left").select("h", "node", "n", "f", "frequent", F.coalesce("root", "node").alias("root")), "near-placed")
+    open_ = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
+    open_ = written(open_.select("h", F.ceil(F.col("k") / TOGETHER).cast("int").alias("parts"), "k"), "near-open")
+    placed = written(counted_join(placed, open_, ["h"], "inner", "k"), "near-several")
+    lone = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    others = placed.select("h", "frequent", lone, *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "f", "root")])
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    apart = (F.col("root") != F.col("o_root")) & _similar_sizes()
+    rare = placed.filter("not frequent").join(others.filter("not frequent").drop("frequent"), ["h", "part"]).filter((F.col("node") < F.col("o_node")) & apart)
+    least = checked_join(others.filter("frequent").drop("frequent"), leasts.withColumnRenamed("node", "o_node"), "o_node", "left_semi")
+    common = placed.filter("frequent").join(least, ["h", "part"]).filter((F.col("node") != F.col("o_node")) & apart)
+    ends = ("node", "n", "f", "o_node", "o_n", "o_f")
+    turned = [F.when(F.col("node") < F.col("o_node"), F.col(c)).otherwise(F.col(o)).alias(c) for c, o in zip(ends, ends[3:] + ends[:3], strict=True)]
+    both = rare.select(*ends, F.col("h").alias("rare_h"), F.lit(None).cast("long").alias("common_h")).unionByName(common.select(*turned, F.lit(None).cast("long").alias("rare_h"), F.col("h").alias("common_h")))
+    pairs = both.groupBy(*ends).agg(F.countDistinct("rare_h").alias("c"), F.countDistinct("common_h").alias("d"))
+    # Where neither node is its group's least, their frequent shingles haven't met: they share no more of these than either prefix has.
+    pairs = pairs.filter(_may_link(F.col("c") + F.when(F.col("d") > 0, F.col("d")).otherwise(F.least("f", "o_f"))))
     rest = written(pairs.select(F.col("node").alias("u"), F.col("o_node").alias("v")), "near-rest")
     return first.unionByName(_verified(rest, rows, size, text_col))
 
@@ -171,7 +231,9 @@ def drop_near(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col:
     """One document of each group of linked ones, that of the smallest id, with the columns it came with.
 
     Documents without an id and what they alone link to all stay, as do
-    rows that share the smallest id.
+    rows that share the smallest id. The numbers of the rows that go are
+    found first, so that texts are shuffled, by number, only where those are
+    too many to broadcast.
     """
     small_batches(docs.sparkSession)
     numbered = [f"__in_{i}" for i in range(len(docs.columns))]
@@ -180,9 +242,10 @@ def drop_near(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col:
     rows = written(prefixes(named, size, text, frequent_last(named, size, text)), "near-rows")
     roots = written(components(near_links(rows, size, text)), "near-components")
     nodes = written(rows.groupBy("node").agg(F.min(key).alias("least"), F.count(F.lit(1)).alias("k")), "near-nodes")
-    linked = checked_join(nodes, roots, "node", "left").filter("k > 1 or root is not null").select("node", "least", F.coalesce("root", "node").alias("root"))
+    linked = checked_join(nodes, roots, "node", "left").filter("k > 1 or root is not null").select("node", "least", F.coalesce("root", "node").alias("root"), "k")
     linked = written(linked, "near-linked")
-    firsts = written(linked.groupBy("root").agg(F.min("least").alias("least")), "near-firsts")
-    grouped = written(checked_join(linked.drop("least"), firsts, "root", "inner").select("node", "least", F.lit(True).alias("grouped")), "near-grouped")
-    kept = checked_join(rows, grouped, "node", "left").filter(F.col("grouped").isNull() | F.col(key).eqNullSafe(F.col("least")))
+    firsts = written(linked.groupBy("root").agg(F.min("least").alias("stays"), F.count(F.lit(1)).alias("nodes")), "near-firsts")
+    grouped = written(counted_join(linked, firsts, ["root"], "inner", "nodes").select("node", "stays", "k"), "near-grouped")
+    gone = counted_join(rows.select("__row", "node", key), grouped, ["node"], "inner", "k").filter(~F.col(key).eqNullSafe(F.col("stays")))
+    kept = checked_join(rows, written(gone.select("__row"), "near-gone"), "__row", "left_anti")
     return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, numbered, strict=True)])

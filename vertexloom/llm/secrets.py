@@ -10,11 +10,17 @@ from joining paths to the ledger by blob.
 
 Spans are found with built-in functions: the pieces between the matches
 (``split``) and the matches (``regexp_extract_all``) alternate, so running
-sums of their lengths give the places, in code points, end exclusive.
+sums of their lengths give the places, in code points, end exclusive. The
+sums are taken in blocks and then over the blocks, so that a text with very
+many matches is no slower by the match.
+
+Texts stay where they are: what is joined to them is the thin list of the
+copies to scan, or of those to pass over, whichever is shorter.
 
 Defined cases: a null text counts as empty; repeated rows and equal texts
-are one blob and all get its findings; a null id is a path like any other;
-an empty table gives no rows; further columns of the input are ignored.
+are one blob and all get its findings; a very long text is one blob, scanned
+whole; a null id is a path like any other; an empty table gives no rows;
+further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import shared_path, table, text_of, written
+from vertexloom.llm.common import counted_join, fits, let, shared_path, table, text_of, written
 
 
 @dataclass(frozen=True)
@@ -55,22 +61,40 @@ LEDGER = "blob string, kind string, version int, spans array<struct<start:int,en
 SPANS = "array<struct<start:int,end:int>>"
 
 
-def spans_of(text: Column, rule: Rule) -> Column:
-    """Places of the rule's leftmost non-overlapping matches whose group is long enough."""
-    scan = rule.scan or rule.pattern
-    pattern = F.lit(scan)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    held = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    pieces = F.transform(F.split(text, scan, -1), F.length)
-    parts = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(found)).alias("gap"), F.transform(found, F.length).alias("size"), F.transform(held, F.length).alias("held"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,held:int>>").alias("out"))
+def _placed(parts: Column) -> Column:
+    """(start, end, held) of each part (gap, size, held): running sums in blocks of about the square root of their number, then over the blocks."""
+    places = "array<struct<start:int,end:int,held:int>>"
 
     def step(state: Column, part: Column) -> Column:
         begin = state["at"] + part["gap"]
-        end = begin + part["size"]
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), part["held"].alias("held")))).alias("out"))
+        place = F.struct(begin.alias("start"), (begin + part["size"]).alias("end"), part["held"].alias("held"))
+        return F.struct((begin + part["size"]).alias("at"), F.concat(state["out"], F.array(place)).alias("out"))
+
+    def block_step(state: Column, block: Column) -> Column:
+        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+
+    def summed(parts: Column) -> Column:
+        wide = F.ceil(F.sqrt(F.size(parts).cast("double"))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(parts) / wide).cast("int") - 1), lambda b: F.slice(parts, b * wide + 1, wide))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(places).alias("out"))
+        return F.transform(blocks, lambda block: F.aggregate(block, start, step))
+
+    def shifted(blocks: Column) -> Column:
+        offsets = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), block_step)["out"]
+        return F.zip_with(blocks, offsets, lambda block, by: F.transform(block["out"], lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["held"].alias("held"))))
 
-    places = F.filter(F.aggregate(parts, start, step)["out"], lambda s: s["held"] >= rule.least)
+    return let(parts, lambda p: F.when(F.size(p) > 0, F.flatten(let(summed(p), shifted))).otherwise(F.array().cast(places)))
+
+
+def spans_of(text: Column, rule: Rule) -> Column:
+    """Places of the rule's leftmost non-overlapping matches whose group is long enough."""
+    scan = rule.scan or rule.pattern
+    pattern = F.lit(scan)
+    sizes = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
+    held = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length)
+    gaps = F.transform(F.split(text, scan, -1), F.length)
+    parts = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(sizes)).alias("gap"), sizes.alias("size"), held.alias("held"))
+    places = F.filter(_placed(parts), lambda s: s["held"] >= rule.least)
     places = F.transform(places, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     return F.when(F.regexp_like(text, pattern), places).otherwise(F.array().cast(SPANS))
 
@@ -96,14 +120,27 @@ class BlobLedger:
         unseen = firsts.withColumn("rule", F.explode(rules)).select("blob", "id", "rule.*").join(known, ["blob", "kind", "version"], "left_anti")
         unseen = unseen.groupBy("blob", "id").agg(F.collect_set("kind").alias("kinds"))
         unseen = written(unseen.select(F.col("blob").alias("u_blob"), F.col("id").alias("u_id"), "kinds"), "blob-unseen")
-        first_copy = (texts["blob"] == unseen["u_blob"]) & texts["id"].eqNullSafe(unseen["u_id"])
+        found = self._to_scan(texts, index, unseen)
         run = [F.when(F.array_contains("kinds", r.kind), spans_of(F.col("text"), r)).alias(r.kind) for r in self.rules]
-        found = texts.join(unseen, first_copy).select("blob", *run)
+        found = found.select("blob", *run)
         rows = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.col(r.kind).alias("spans")) for r in self.rules])
         found = found.select("blob", F.explode(rows).alias("row")).select("blob", "row.*").filter("spans is not null")
         found.write.mode("append").parquet(self.path)
         return index
 
+    def _to_scan(self, texts: DataFrame, index: DataFrame, unseen: DataFrame) -> DataFrame:
+        """Texts of the unseen blobs with the kinds to scan for; a blob's first path has its text (more than one row of it, if rows repeat)."""
+        every = F.array(*[F.lit(r.kind) for r in self.rules])
+        first_copy = (F.col("blob") == F.col("u_blob")) & F.col("id").eqNullSafe(F.col("u_id"))
+        if fits(unseen, unseen.count()):
+            return texts.join(F.broadcast(unseen), first_copy)
+        some = unseen.filter(F.size("kinds") < len(self.rules))
+        copies = index.select("blob", "id").distinct().join(unseen.filter(F.size("kinds") == len(self.rules)), first_copy, "left_anti")
+        copies = written(copies.select(F.col("blob").alias("u_blob"), F.col("id").alias("u_id")), "blob-copies")
+        if some.isEmpty() and fits(copies, copies.count()):
+            return texts.join(F.broadcast(copies), first_copy, "left_anti").withColumn("kinds", every)
+        return texts.join(unseen, first_copy)
+
     def findings(self, index: DataFrame) -> DataFrame:
         """``index`` with one column of spans for each rule, joined by blob."""
         now = F.lit(False)
@@ -111,9 +148,11 @@ class BlobLedger:
             now = now | ((F.col("kind") == r.kind) & (F.col("version") == r.version))
         some = self.rows().filter(now & (F.size("spans") > 0))
         # A blob can be in the ledger twice if a row of it was repeated; its spans are the same.
-        by_blob = written(some.groupBy("blob").agg(*[F.first(F.when(F.col("kind") == r.kind, F.col("spans")), True).alias(r.kind) for r in self.rules]), "blob-findings")
+        by_blob = some.groupBy("blob").agg(*[F.first(F.when(F.col("kind") == r.kind, F.col("spans")), True).alias(r.kind) for r in self.rules])
+        counts = index.groupBy("blob").agg(F.count(F.lit(1)).alias("copies"))
+        by_blob = written(by_blob.join(counts, "blob"), "blob-findings")
         empty = F.array().cast(SPANS)
-        return index.join(by_blob, "blob", "left").select("id", "blob", *[F.coalesce(r.kind, empty).alias(r.kind) for r in self.rules])
+        return counted_join(index, by_blob, ["blob"], "left", "copies").select("id", "blob", *[F.coalesce(r.kind, empty).alias(r.kind) for r in self.rules])
 
 
 def spans_text(rules: tuple[Rule, ...] = RULES) -> Column:
@@ -126,13 +165,11 @@ def spans_text(rules: tuple[Rule, ...] = RULES) -> Column:
     return F.array_join(F.transform(F.array_sort(F.concat(*each)), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two increments, each a part of the table's files; the second scans only blobs that the first hasn't seen."""
+def op5_secret_scan(spark: SparkSession, sf_dir: str, increments: int = 2) -> DataFrame:
+    """Increments of the table's rows, dealt by a hash of the id; each scans only blobs that none before it has seen."""
     docs = table(spark, sf_dir, "documents")
-    files, ledger, indexes = sorted(docs.inputFiles()), BlobLedger(spark), []
-    for part in (files[::2], files[1::2]):
-        if part:
-            indexes.append(ledger.scan(spark.read.schema(docs.schema).parquet(*part)))
+    ledger, dealt = BlobLedger(spark), F.pmod(F.xxhash64("doc_id"), F.lit(increments))
+    indexes = [ledger.scan(docs.filter(dealt == k)) for k in range(increments)]
     index = indexes[0]
     for more in indexes[1:]:
         index = index.unionByName(more)

@@ -9,7 +9,8 @@ among distinct fingerprints, in parts that Spark deals out. The 64 bits are
 cut into ``distance + 2`` blocks; two linked fingerprints agree in two
 blocks at least, so they meet in the part of one choice of two blocks. A
 part that holds many fingerprints is dealt out again, by two of as many
-blocks of the bits that are still free, which loses nothing either. Inside a
+blocks of the bits that are still free, which loses nothing either, and so
+on until no part is large. Inside a
 part the fingerprints are sorted by Gray rank, so that neighbours differ in
 few bits; the index above them is a tree whose nodes hold the bits that all
 below them share, as a mask and a pattern. A pair of nodes is passed over
@@ -21,9 +22,10 @@ those it reaches there, so rows stay linear in the fingerprints however many
 pairs there are. Components are then found on Spark.
 
 Defined cases: null, empty and blank texts have fingerprint zero and are
-linked like any other; a null id counts in no minimum, and a component
-without ids has none; repeated rows each have a row; an empty table gives
-no rows; further columns of the input are ignored.
+linked like any other; a very long text is hashed whole, so many shingles
+at a time; a null id counts in no minimum, and a component without ids has
+none; repeated rows each have a row; an empty table gives no rows; further
+columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import checked_join, small_batches, table, text_of, written
+from vertexloom.llm.common import checked_join, counted_join, small_batches, table, text_of, written
 from vertexloom.llm.components import components
 
 DISTANCE = 4
@@ -69,10 +71,10 @@ def fingerprint(text: str, size: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """The id, ``carry`` and fp, the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The id and fp, the fingerprint as a signed 64-bit integer."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col), *[c for c in carry or []], text_of(F.col(text_col)).alias("__text"))
+    rows = docs.select(F.col(id_col), text_of(F.col(text_col)).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,30 +199,63 @@ def _search(distance: int):
     return run
 
 
+def _dealt(distance: int):
+    """(fp, mask) -> the same once for each choice of two blocks of the bits that are free of the mask; (fp, mask) itself where too few are free."""
+    blocks = distance + 2
+    more: dict[int, np.ndarray] = {}
+
+    def masks(mask: int) -> np.ndarray:
+        if mask not in more:
+            free = [b for b in range(64) if not mask >> b & 1]
+            more[mask] = np.array([mask | m for m in block_masks(free, blocks)] if len(free) >= blocks else [mask], np.int64)
+        return more[mask]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp, mask = (batch.column(i).to_numpy() for i in (0, 1))
+            for m in np.unique(mask).tolist():
+                new, some = masks(m), fp[mask == m]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(some, len(new))), pa.array(np.tile(new, len(some)))], names=["fp", "mask"])
+
+    return run
+
+
+def parts_of(codes: DataFrame, distance: int, hot: int) -> DataFrame:
+    """(key, fp) of every part that a fingerprint is in; those of more than ``hot`` are dealt again, while enough bits are free."""
+    masks = F.array(*[F.lit(m) for m in block_masks(list(range(64)), distance + 2)])
+    parts, done, free = codes.select("fp", F.explode(masks).alias("mask")), None, 64
+    key = F.xxhash64("mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("key")
+    while True:
+        keyed = parts.select("fp", "mask", key)
+        free -= 2 * (free // (distance + 2))
+        large = keyed.groupBy("key").count().filter(F.col("count") > hot).withColumnRenamed("count", "n")
+        large = written(large, "simhash-large") if free >= distance + 2 else None
+        now = keyed if large is None or large.isEmpty() else counted_join(keyed, large.withColumn("large", F.lit(True)), ["key"], "left", "n")
+        cold = (now.filter("large is null") if "large" in now.columns else now).select("key", "fp")
+        done = cold if done is None else done.unionByName(cold)
+        if "large" not in now.columns:
+            return done
+        parts = written(now.filter("large").select("fp", "mask").mapInArrow(_dealt(distance), "fp long, mask long").distinct(), "simhash-again")
+
+
 def links_between(codes: DataFrame, distance: int = DISTANCE, hot: int = HOT_PART) -> DataFrame:
     """Links (u, v) that connect what the pairs of distinct ``fp`` at most ``distance`` apart connect."""
-    first = block_masks(list(range(64)), distance + 2)
-    second = [block_masks([b for b in range(64) if not m >> b & 1], distance + 2) for m in first]
-    masks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(m).alias("mask")) for i, m in enumerate(first)])
-    parts = codes.select("fp", F.explode(masks).alias("p")).select("fp", "p.i", "p.mask", F.xxhash64("p.i", F.col("fp").bitwiseAND(F.col("p.mask"))).alias("part"))
-    large = written(parts.groupBy("part").count().filter(F.col("count") > hot).select("part", F.lit(True).alias("large")), "simhash-large")
-    parts = checked_join(parts, large, "part", "left")
-    finer = F.array(*[F.array(*[F.lit(m) for m in row]) for row in second])
-    again = F.when(F.col("large"), F.get(finer, F.col("i"))).otherwise(F.array(F.lit(0).cast("long")))
-    dealt = parts.select("fp", "i", "mask", "part", F.explode(again).alias("more"))
-    key = F.when(F.col("more") == 0, F.col("part")).otherwise(F.xxhash64("i", "more", F.col("fp").bitwiseAND(F.col("mask").bitwiseOR(F.col("more")))))
-    return dealt.select(key.alias("key"), "fp").repartition("key").sortWithinPartitions("key").mapInArrow(_search(distance), "u long, v long").distinct()
-
-
-def near_groups(docs: DataFrame, size: int = 5, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """One row per document: the id, ``carry``, fp and component_id, the smallest id that links reach."""
-    fps = written(fingerprints(docs, size, id_col, text_col, carry), "simhash-fps")
-    codes = written(fps.groupBy("fp").agg(F.min(id_col).alias("__first")), "simhash-codes")
+    parts = parts_of(codes, distance, hot)
+    return parts.repartition("key").sortWithinPartitions("key").mapInArrow(_search(distance), "u long, v long").distinct()
+
+
+def near_groups(docs: DataFrame, size: int = 5, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: the id, fp and component_id, the smallest id that links reach."""
+    fps = written(fingerprints(docs, size, id_col, text_col), "simhash-fps")
+    codes = written(fps.groupBy("fp").agg(F.min(id_col).alias("__first"), F.count(F.lit(1)).alias("__n")), "simhash-codes")
     roots = written(components(links_between(codes.select("fp"), distance)).withColumnRenamed("node", "fp"), "simhash-roots")
-    linked = codes.join(roots, "fp", "left").select("fp", "__first", F.coalesce("root", "fp").alias("root"))
-    firsts = linked.groupBy("root").agg(F.min("__first").alias("component_id"))
-    named = written(linked.join(firsts, "root").select("fp", "component_id"), "simhash-named")
-    return fps.join(named, "fp").select(id_col, *[c for c in carry or []], "fp", "component_id")
+    linked = written(checked_join(codes, roots, "fp", "inner"), "simhash-linked")
+    firsts = written(linked.groupBy("root").agg(F.min("__first").alias("component_id"), F.count(F.lit(1)).alias("__codes")), "simhash-firsts")
+    named = counted_join(linked, firsts, ["root"], "inner", "__codes").select("fp", "component_id", "__n")
+    copies = checked_join(codes.filter("__n > 1"), roots, "fp", "left_anti").select("fp", F.col("__first").alias("component_id"), "__n")
+    # Most fingerprints have one document and no link: such a document is a component by itself.
+    several = written(named.unionByName(copies), "simhash-several")
+    return counted_join(fps, several, ["fp"], "left", "__n").select(id_col, "fp", F.coalesce("component_id", id_col).alias("component_id"))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,18 +10,21 @@ logistic function of its windows' highest and mean outputs, fitted to texts
 that the network wasn't trained on.
 
 The network is trained in numpy on the driver, on at most ``2 * per_label``
-labelled documents of either label. Only texts are labelled, so of a toxic
-text, after the first rounds, the windows count that the network itself finds
-toxic, and its highest one. Scoring is one pass without shuffles, and its
-memory is bounded: windows are scored so many at a time, and each worker
-remembers the inputs of a bounded number of words.
+labelled documents of either label and ``most_bytes`` of text; documents of
+more than a twentieth of these aren't drawn. Only texts are labelled, so of a
+toxic text, after the first rounds, the windows count that the network itself
+finds toxic, and its highest one. Scoring is one pass without shuffles, over
+all windows of whole texts, and its memory is bounded: windows are scored so
+many at a time, and each worker remembers the inputs of a bounded number of
+words.
 
 Defined cases: null and empty texts, and texts without words, have one empty
 window and are scored like any other; if the labelled rows don't show both
-labels, every score is the share of toxic ones among them (0 without rows);
-a null id counts as held out and is never learnt from; of several labels of
-a document the highest counts; repeated rows are scored alike; an empty
-table gives no rows; further columns are ignored.
+labels or have no words at all, every score is the share of toxic ones among
+them (0 without rows); a null id counts as held out and is never learnt from;
+of several labels of a document the highest counts; repeated rows are scored
+alike; a very long text has very many windows; an empty table gives no rows;
+carried columns keep their names and values whatever these are.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +44,7 @@ from vertexloom.llm.samples import remainder, sample
 WINDOW, STRIDE = 32, 24
 WORD_DIM, GRAM_DIM, STATE = 8, 8, 8
 GRAM_BITS, GRAM_SIZES, MOST_WORDS = 15, (3, 4, 5), 20_000
-PER_LABEL, FOLDS, HELD = 1000, 3, 1
+PER_LABEL, MOST_BYTES, FOLDS, HELD = 1000, 32 << 20, 3, 1
 #: What each training step takes off the vectors of words and n-grams.
 DECAY = 0.02
 THRESHOLD = 0.7
@@ -56,6 +59,8 @@ def words_of(text: str | None) -> list[bytes]:
 
 def gram_table(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of all words, one after another, and the place where each word's begin."""
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     plain = np.frombuffer(b"".join(b"^" + w + b"$" for w in words), np.uint8).astype(np.uint64)
     size = np.array([len(w) + 2 for w in words])
     owner, end = np.repeat(np.arange(len(words)), size), np.repeat(np.cumsum(size), size)
@@ -115,6 +120,8 @@ class Network:
         gram, start = gram_table(words)
         number = np.array([self.known.get(w, 0) for w in words])
         share = (1 / np.sqrt(np.diff(np.append(start, len(gram))))).astype(np.float32)[:, None]
+        if not words:
+            return np.empty((0, WORD_DIM + GRAM_DIM), np.float32), (np.empty(0, np.int64), gram, start, share)
         sums = np.add.reduceat(self.weights["gram"][gram], start, axis=0) * share
         return np.concatenate((self.weights["word"][number], sums), axis=1), (number, gram, start, share)
 
@@ -255,7 +262,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, decay: float = 0.01) -> tuple[np.nda
 def train(rows: list, rounds: int = 6, whole_rounds: int = 2, batch: int = 1024, rate: float = 0.01, seed: int = 1) -> Network:
     """Train on rows with text and toxic (0 or 1): the weights on two thirds of them, the last scale on the rest."""
     labels = np.array([row["toxic"] for row in rows], np.float32)
-    if len(set(labels.tolist())) < 2:
+    if len(set(labels.tolist())) < 2 or not any(words_of(row["text"]) for row in rows):
         network = Network([])
         network.constant = float(labels.mean()) if len(labels) else 0.0
         return network
@@ -310,27 +317,41 @@ def train(rows: list, rounds: int = 6, whole_rounds: int = 2, batch: int = 1024,
     return network
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_label: int = PER_LABEL) -> Network:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_label: int = PER_LABEL, most_bytes: int = MOST_BYTES) -> Network:
     """Train on a bounded sample of the labelled documents that aren't held out."""
     marked = labels.filter(remainder(id_col, FOLDS) != HELD).select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic")).dropna()
-    marked = marked.groupBy("id").agg(F.max("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)").withColumn("text", F.lit(""))
-    drawn = sample(marked, "toxic", per_label)
-    if not drawn:
-        return train([])
-    # At most four times per_label ids.
-    few = docs.sparkSession.createDataFrame([(row["id"], row["toxic"]) for row in drawn], f"id {labels.schema[id_col].dataType.simpleString()}, toxic int")
-    rows = docs.select(F.col(id_col).alias("id"), text_of(F.col(text_col)).alias("text")).join(F.broadcast(few), "id").limit(4 * per_label).collect()
-    return train(sorted(rows, key=lambda row: (str(row["id"]), row["text"])))
-
-
-def scored(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """``carry`` or else the id of each document, with held_out, score and predicted."""
+    marked = marked.groupBy("id").agg(F.max("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)")
+    # Ids and labels only, of at most four times per_label rows.
+    few = docs.sparkSession.createDataFrame(sample(marked, "toxic", per_label, 2 * per_label).collect(), f"id {labels.schema[id_col].dataType.simpleString()}, toxic int")
+    rows = docs.select(F.col(id_col).alias("id"), text_of(F.col(text_col)).alias("text")).join(F.broadcast(few), "id")
+    rows = rows.withColumn("size", F.octet_length("text")).filter(F.col("size") <= most_bytes // 20).dropDuplicates(["id", "text"])
+    upto = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id", "text").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("upto", F.sum("size").over(upto)).filter(F.col("upto") <= most_bytes // 2).select("id", "text", "toxic")
+    return train(sorted(rows.collect(), key=lambda row: (str(row["id"]), row["text"])))
+
+
+def scored(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The id of each document, with held_out, score and predicted."""
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.coalesce(remainder(id_col, FOLDS) == HELD, F.lit(True)).alias("held_out"))
+    scores = _with_score(rows, network, "__text", ["__id", "held_out"])
+    return scores.select(F.col("__id").alias(id_col), "held_out", F.col("__score").alias("score"), (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, network: Network, text_col: str = "text") -> DataFrame:
+    """The documents that aren't predicted to be toxic, with the columns they came with."""
+    names = [f"__in_{i}" for i in range(len(docs.columns))]
+    kept = _with_score(docs.toDF(*names), network, names[docs.columns.index(text_col)], names).filter(F.col("__score") < THRESHOLD)
+    return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
+
+
+def _with_score(docs: DataFrame, network: Network, text_col: str, carry: list[str]) -> DataFrame:
+    """``carry`` and __score; the text goes along once, as a carried column or else as the last one."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    carry = [c for c in carry or [id_col] if c not in ("held_out", "score", "predicted")]
-    # The text goes along once: as a carried column, or else as the last one.
-    columns = [*carry, "held_out"] if text_col in carry else [*carry, "held_out", text_col]
-    at, n = columns.index(text_col), len(carry) + 1
+    rows = docs.select(*carry, *([] if text_col in carry else [text_col]))
+    at, n = rows.columns.index(text_col), len(carry)
+    schema = T.StructType([*rows.schema[:n], T.StructField("__score", T.DoubleType())])
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -339,10 +360,7 @@ def scored(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col:
         shared.value._forget()
         give_back()
 
-    rows = docs.withColumn("held_out", F.coalesce(remainder(id_col, FOLDS) == HELD, F.lit(True))).select(*columns)
-    schema = T.StructType([*rows.schema[:n], T.StructField("score", T.DoubleType())])
-    names = schema.names
-    return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return rows.mapInArrow(run, schema)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,8 +18,8 @@ all workers can open by its URI.
 Defined cases: a null html is an empty payload; a null url gives no target
 URI; pages without an id are responses (a revisit must name its response),
 and a group in which no page has an id is all responses; of repeated rows
-with the largest id all are responses; an empty table gives no rows; further
-columns of the input are ignored.
+with the largest id all are responses; a very long html is one record, kept
+whole; an empty table gives no rows; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import checked_join, shared_path, small_batches, table, written
+from vertexloom.llm.common import counted_join, shared_path, small_batches, table, written
 
 PACKAGE_BYTES = 256 << 20
 CHUNK_BYTES = 8 << 20
@@ -109,8 +109,8 @@ def write_packages(pages: DataFrame, folder: str, least: int = 0, package_bytes:
     html = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("digest"))
     same = rows.filter(F.octet_length("html") >= least).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("refers_to"))
-    same = written(same.filter("n > 1 and refers_to is not null").select("digest", "refers_to"), "warc-same")
-    joined = checked_join(rows, same, "digest", "left")
+    same = written(same.filter("n > 1 and refers_to is not null").select("digest", "refers_to", "n"), "warc-same")
+    joined = counted_join(rows, same, ["digest"], "left", "n")
     revisit = F.coalesce(F.col("page_id") != F.col("refers_to"), F.lit(False))
     made = joined.select("page_id", "url", "html", "refers_to", revisit.alias("revisit")).mapInArrow(_write_packages(folder, package_bytes), "package string, records long, bytes long")
     return written(made, "warc-packages")
