@@ -46,7 +46,7 @@ WORD_DIM, GRAM_DIM, STATE = 8, 8, 8
 GRAM_BITS, GRAM_SIZES, MOST_WORDS = 15, (3, 4, 5), 20_000
 PER_LABEL, MOST_BYTES, FOLDS, HELD = 1000, 32 << 20, 3, 1
 #: What each training step takes off the vectors of words and n-grams.
-DECAY = 0.02
+DECAY = 0.05
 THRESHOLD = 0.7
 SCORED_TOGETHER, LEARNT_TOGETHER, REMEMBERED = 2048, 4096, 60_000
 #: Bytes of words: letters, A-Z in lower case, and all of non-ASCII characters; others are blanks.
