@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, StringType
 
 #: The white space of every rule here, as characters and as a class of patterns.
 SPACE = " \t\n\x0b\f\r"
@@ -16,7 +16,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: A side of a join is broadcast up to so many bytes: its rows, counted beforehand, times what its columns take at most.
 BROADCAST_BYTES = 32 << 20
-COLUMN_BYTES, TEXT_COLUMN_BYTES = 16, 80
+COLUMN_BYTES, WIDE_COLUMN_BYTES = 16, 120
 #: Keys with more than one in so many of the rows of a join are hot; there are fewer than this many of them.
 HOT_KEYS = 200
 #: Tasks among which the rows of one key are dealt where keys can't be counted first.
@@ -97,7 +97,7 @@ def written_alone(df: DataFrame, name: str, since: int) -> DataFrame:
 
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether so many rows of the table may be broadcast."""
-    return rows * sum(TEXT_COLUMN_BYTES if isinstance(f.dataType, (StringType, BinaryType)) else COLUMN_BYTES for f in df.schema) <= BROADCAST_BYTES
+    return rows * sum(WIDE_COLUMN_BYTES if isinstance(f.dataType, (ArrayType, StringType, BinaryType)) else COLUMN_BYTES for f in df.schema) <= BROADCAST_BYTES
 
 
 def checked_join(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
