@@ -13,9 +13,9 @@ of an array; longer ones one by one. The vocabulary (a few MB at most) is
 broadcast.
 
 Defined cases: a null text counts as empty and gives no ids; a null array of
-ids decodes to no bytes; repeated rows are coded alike; an empty table gives
-no rows; further columns stay, except that columns with the name of a result
-are replaced.
+ids decodes to no bytes; repeated rows are coded alike; a very long text is
+split and coded whole; an empty table gives no rows; further columns stay,
+except that columns with the name of a result are replaced.
 """
 
 from __future__ import annotations
