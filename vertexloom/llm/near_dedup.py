@@ -20,13 +20,13 @@ candidates before their texts are read.
 First each node is verified against its group's node and the most promising
 of its prefixes' pivots, so that groups of copies become components in rows
 linear in their size; then candidates that lie in different components are.
-Candidates that meet in a frequent shingle aren't all compared with each
-other: of the nodes with the same frequent shingles only the one with the
-fewest others, the group's least, is compared with all that meet there. If
-two nodes with no other shingle in common are linked, each is linked to the
-other's least and the two leasts are linked, as these have no more shingles
-beside the same frequent ones; and nodes with another shingle in common meet
-in it. Together they lose no link.
+Of the nodes with the same frequent shingles only the one with the fewest
+others, the group's least, is compared with the rest of them in a frequent
+shingle: if two such nodes with no other shingle in common are linked, both
+are linked to the least, and nodes with another shingle in common meet in it.
+Together they lose no link. Nodes whose frequent shingles differ are compared
+wherever they meet, so texts that are made of frequent passages and little
+else are compared in numbers that grow with the square of a passage's texts.
 
 Defined cases: null, empty and blank texts have one empty shingle and are
 linked; a very long text is one set like any other; a null id counts in no
@@ -52,7 +52,7 @@ from vertexloom.llm.simhash import links_between
 #: Linked from 4/5 on; in whole numbers, so that no rounding decides.
 NUMERATOR, DENOMINATOR = 4, 5
 #: The order of shingles is taken from one text of so many, for so many shingles at most; neither changes which links are found.
-SAMPLED, ORDERED = 16, 500_000
+SAMPLED, ORDERED = 16, 200_000
 #: So many pairs of one node, or nodes of one shingle, are compared in one task.
 TOGETHER = 256
 #: Fixed value: the seed of the shingles' XXH64.
@@ -191,8 +191,8 @@ def _index_pairs(rows: DataFrame) -> DataFrame:
 
 def near_links(rows: DataFrame, size: int, text_col: str) -> DataFrame:
     """Links (u, v) that connect what the pairs of similar nodes of ``prefixes`` connect."""
-    each = rows.filter("prefix is not null").select("node", "n", "r", F.size("prefix").alias("size"), F.posexplode("prefix").alias("at", "h"))
-    each = each.select("node", "n", F.greatest(F.lit(0), F.col("size") - F.col("r")).alias("f"), "h", (F.col("at") >= F.col("r")).alias("frequent"))
+    each = rows.filter("prefix is not null").select("node", "n", "r", "g", F.size("prefix").alias("size"), F.posexplode("prefix").alias("at", "h"))
+    each = each.select("node", "n", "g", F.greatest(F.lit(0), F.col("size") - F.col("r")).alias("f"), "h", (F.col("at") >= F.col("r")).alias("frequent"))
     leasts = rows.filter("prefix is not null and g is not null").groupBy("g").agg(F.min(F.struct("r", "node")).alias("least"))
     leasts = written(leasts.select("least.node").distinct(), "near-leasts")
     least = F.min_by(F.struct("node", "n"), F.xxhash64("node"))
@@ -206,23 +206,19 @@ def near_links(rows: DataFrame, size: int, text_col: str) -> DataFrame:
     first = written(_verified(pairs, rows, size, text_col), "near-first")
     roots = written(components(first), "near-roots")
 
-    placed = written(checked_join(buckets, roots, "node", "left").select("h", "node", "n", "f", "frequent", F.coalesce("root", "node").alias("root")), "near-placed")
+    least = leasts.withColumn("least", F.lit(True))
+    placed = checked_join(checked_join(buckets, roots, "node", "left"), least, "node", "left")
+    placed = written(placed.select("h", "node", "n", "g", "f", "frequent", F.coalesce("least", F.lit(False)).alias("least"), F.coalesce("root", "node").alias("root")), "near-placed")
     open_ = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
     open_ = written(open_.select("h", F.ceil(F.col("k") / TOGETHER).cast("int").alias("parts"), "k"), "near-open")
     placed = written(counted_join(placed, open_, ["h"], "inner", "k"), "near-several")
-    lone = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    others = placed.select("h", "frequent", lone, *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "f", "root")])
+    others = placed.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "g", "f", "least", "root")])
     placed = placed.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    apart = (F.col("root") != F.col("o_root")) & _similar_sizes()
-    rare = placed.filter("not frequent").join(others.filter("not frequent").drop("frequent"), ["h", "part"]).filter((F.col("node") < F.col("o_node")) & apart)
-    least = checked_join(others.filter("frequent").drop("frequent"), leasts.withColumnRenamed("node", "o_node"), "o_node", "left_semi")
-    common = placed.filter("frequent").join(least, ["h", "part"]).filter((F.col("node") != F.col("o_node")) & apart)
-    ends = ("node", "n", "f", "o_node", "o_n", "o_f")
-    turned = [F.when(F.col("node") < F.col("o_node"), F.col(c)).otherwise(F.col(o)).alias(c) for c, o in zip(ends, ends[3:] + ends[:3], strict=True)]
-    both = rare.select(*ends, F.col("h").alias("rare_h"), F.lit(None).cast("long").alias("common_h")).unionByName(common.select(*turned, F.lit(None).cast("long").alias("rare_h"), F.col("h").alias("common_h")))
-    pairs = both.groupBy(*ends).agg(F.countDistinct("rare_h").alias("c"), F.countDistinct("common_h").alias("d"))
-    # Where neither node is its group's least, their frequent shingles haven't met: they share no more of these than either prefix has.
-    pairs = pairs.filter(_may_link(F.col("c") + F.when(F.col("d") > 0, F.col("d")).otherwise(F.least("f", "o_f"))))
+    passed = F.coalesce(F.col("g") == F.col("o_g"), F.lit(False)) & ~F.col("least") & ~F.col("o_least")
+    met = placed.join(others, ["h", "part"]).filter((F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _similar_sizes() & ~(F.col("frequent") & passed))
+    # Frequent shingles in which a pair was passed over count as shared, as many as both prefixes have.
+    shared = met.groupBy("node", "n", "o_node", "o_n").agg(F.count(F.lit(1)).alias("count"), F.max(F.when(passed, F.least("f", "o_f")).otherwise(0)).alias("passed"))
+    pairs = shared.filter(_may_link(F.col("count") + F.col("passed")))
     rest = written(pairs.select(F.col("node").alias("u"), F.col("o_node").alias("v")), "near-rest")
     return first.unionByName(_verified(rest, rows, size, text_col))
 
