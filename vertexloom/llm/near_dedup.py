@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from vertexloom.llm.common import checked_join, counted_join, small_batches, text_of, written
+from vertexloom.llm.common import checked_join, counted_join, give_back, small_batches, text_of, written
 from vertexloom.llm.components import components
 from vertexloom.llm.simhash import links_between
 
@@ -94,6 +94,7 @@ def _sets(docs: DataFrame, size: int, text_col: str) -> DataFrame:
         for batch in batches:
             sets = [shingle_set(text.as_py(), size) for text in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _lists(sets)], names=names)
+        give_back()
 
     schema = rows.drop("__text").schema.add("shingles", ArrayType(LongType()))
     names = schema.names
@@ -142,6 +143,8 @@ def prefixes(docs: DataFrame, size: int, text_col: str, known: np.ndarray) -> Da
                 met.add(node)
             made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(others, pa.int32()), pa.array(same, pa.int64()), pa.array(codes, pa.int64()), _lists(firsts)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=names)
+        del met
+        give_back()
 
     schema = rows.drop("__text").schema.add("node", "long").add("n", "integer").add("r", "integer").add("g", "long").add("fp", "long").add("prefix", ArrayType(LongType()))
     names = schema.names
