@@ -17,16 +17,15 @@ order finds every link. Sets that share c shingles of their prefixes share at
 most c and the larger of the rests behind the prefixes, which rules out most
 candidates before their texts are read.
 
-First each node is verified against its group's node and the most promising
-of its prefixes' pivots, so that groups of copies become components in rows
-linear in their size; then candidates that lie in different components are.
-Of the nodes with the same frequent shingles only the one with the fewest
-others, the group's least, is compared with the rest of them in a frequent
-shingle: if two such nodes with no other shingle in common are linked, both
-are linked to the least, and nodes with another shingle in common meet in it.
-Together they lose no link. Nodes whose frequent shingles differ are compared
-wherever they meet, so texts that are made of frequent passages and little
-else are compared in numbers that grow with the square of a passage's texts.
+First each node is verified against its group's node, the most promising of
+its prefixes' pivots and, in frequent shingles, the most promising of the
+nodes with the least before the shingle, so that groups of copies and texts
+that are hardly more than a passage become components in rows linear in their
+size; then candidates that lie in different components are. Two nodes meet in
+a frequent shingle only if what either has from it on could still make them
+similar enough, which is so of the first shingle that linked nodes share. So
+texts of a frequent passage and too much of their own aren't paired by it, and
+no link is lost.
 
 Defined cases: null, empty and blank texts have one empty shingle and are
 linked; a very long text is one set like any other; a null id counts in no
@@ -109,44 +108,42 @@ def frequent_last(docs: DataFrame, size: int, text_col: str) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, size: int, text_col: str, known: np.ndarray) -> DataFrame:
-    """All columns, a row number, ``node``, ``n``, its number of shingles that aren't frequent ``r``, a hash of those that are ``g``, the fingerprint ``fp`` and the prefix; the last two are null where the task has met the node before."""
+    """All columns, a row number, ``node``, ``n``, its number of shingles that aren't frequent ``r``, the fingerprint ``fp`` and the prefix; the last two are null where the task has met the node before."""
     from xxhash import xxh64_intdigest as xxhash64
 
     rows = docs.select("*", F.monotonically_increasing_id().alias("__row"), text_of(F.col(text_col)).alias("__text"))
     by_hash = np.argsort(known)
     sent = docs.sparkSession.sparkContext.broadcast((known[by_hash], by_hash + 1))
 
-    def prefix(hashes: np.ndarray) -> tuple[int, int | None, np.ndarray]:
+    def prefix(hashes: np.ndarray) -> tuple[int, np.ndarray]:
         frequent, place = sent.value
         rank = np.zeros(len(hashes), np.int64)
         if len(frequent):
             at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
             rank = np.where(frequent[at] == hashes, place[at], 0)
-        n, some = len(hashes), hashes[rank > 0]
-        same = np.uint64(xxhash64(some.tobytes(), SEED)).astype(np.int64) if len(some) else None
-        return n - len(some), same, hashes[np.lexsort((hashes, rank))[: n + 1 + -NUMERATOR * n // DENOMINATOR]]
+        n = len(hashes)
+        return int(np.count_nonzero(rank == 0)), hashes[np.lexsort((hashes, rank))[: n + 1 + -NUMERATOR * n // DENOMINATOR]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = set()
         for batch in batches:
-            nodes, sizes, others, same, codes, firsts = [], [], [], [], [], []
+            nodes, sizes, others, codes, firsts = [], [], [], [], []
             for text in batch.column(batch.num_columns - 1):
                 hashes = shingle_set(text.as_py(), size)
                 node = xxhash64(hashes.tobytes(), SEED)
-                r, g, first = (0, None, None) if node in met else prefix(hashes)
+                r, first = (0, None) if node in met else prefix(hashes)
                 nodes.append(node)
                 sizes.append(len(hashes))
                 others.append(r)
-                same.append(g)
                 codes.append(None if node in met else fingerprint_of(hashes))
                 firsts.append(first)
                 met.add(node)
-            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(others, pa.int32()), pa.array(same, pa.int64()), pa.array(codes, pa.int64()), _lists(firsts)]
+            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(others, pa.int32()), pa.array(codes, pa.int64()), _lists(firsts)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=names)
         del met
         give_back()
 
-    schema = rows.drop("__text").schema.add("node", "long").add("n", "integer").add("r", "integer").add("g", "long").add("fp", "long").add("prefix", ArrayType(LongType()))
+    schema = rows.drop("__text").schema.add("node", "long").add("n", "integer").add("r", "integer").add("fp", "long").add("prefix", ArrayType(LongType()))
     names = schema.names
     return rows.mapInArrow(run, schema)
 
@@ -192,36 +189,43 @@ def _index_pairs(rows: DataFrame) -> DataFrame:
     return pairs.filter((F.col("node") != F.col("o_node")) & _similar_sizes()).select(F.col("node").alias("u"), F.col("o_node").alias("v"))
 
 
+def _reach(n: str, at: str) -> Column:
+    """How many shingles a set of ``n`` has from a place of its order on."""
+    return F.col(n) - F.col(at)
+
+
+def _stars(met: DataFrame) -> DataFrame:
+    """(u, v): each node and the pivot ``o_node`` that shares the most of its prefix."""
+    counts = met.filter((F.col("node") != F.col("o_node")) & _similar_sizes()).groupBy("node", "n", "o_node", "o_n").count().filter(_may_link(F.col("count")))
+    return counts.groupBy("node").agg(F.max_by("o_node", F.struct("count", "o_node")).alias("v")).withColumnRenamed("node", "u")
+
+
 def near_links(rows: DataFrame, size: int, text_col: str) -> DataFrame:
     """Links (u, v) that connect what the pairs of similar nodes of ``prefixes`` connect."""
-    each = rows.filter("prefix is not null").select("node", "n", "r", "g", F.size("prefix").alias("size"), F.posexplode("prefix").alias("at", "h"))
-    each = each.select("node", "n", "g", F.greatest(F.lit(0), F.col("size") - F.col("r")).alias("f"), "h", (F.col("at") >= F.col("r")).alias("frequent"))
-    leasts = rows.filter("prefix is not null and g is not null").groupBy("g").agg(F.min(F.struct("r", "node")).alias("least"))
-    leasts = written(leasts.select("least.node").distinct(), "near-leasts")
-    least = F.min_by(F.struct("node", "n"), F.xxhash64("node"))
-    shared = each.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), least.alias("p"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
-    shared = written(shared.select("h", F.col("p.node").alias("o_node"), F.col("p.n").alias("o_n"), "k"), "near-shared")
+    each = rows.filter("prefix is not null").select("node", "n", "r", F.size("prefix").alias("size"), F.posexplode("prefix").alias("at", "h"))
+    each = each.select("node", "n", F.greatest(F.lit(0), F.col("size") - F.col("r")).alias("f"), "h", "at", (F.col("at") >= F.col("r")).alias("frequent"))
+    pivot = F.min_by(F.struct("node", "n"), F.xxhash64("node"))
+    foremost = F.min_by(F.struct("node", "n"), F.struct("at", F.xxhash64("node")))
+    shared = each.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), pivot.alias("p"), F.when(F.max("frequent"), foremost).alias("q"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
+    shared = written(shared.select("h", F.col("p.node").alias("p"), F.col("p.n").alias("p_n"), F.col("q.node").alias("q"), F.col("q.n").alias("q_n"), "k"), "near-shared")
     buckets = written(counted_join(each, shared, ["h"], "inner", "k").distinct(), "near-buckets")
-    stars = buckets.filter((F.col("node") != F.col("o_node")) & _similar_sizes())
-    stars = stars.groupBy("node", "n", "o_node", "o_n").count().filter(_may_link(F.col("count")))
-    stars = stars.groupBy("node").agg(F.max_by("o_node", F.struct("count", "o_node")).alias("v")).withColumnRenamed("node", "u")
-    pairs = written(stars.unionByName(_index_pairs(rows)).distinct(), "near-stars")
+    stars = [_stars(buckets.select("node", "n", F.col(p).alias("o_node"), F.col(f"{p}_n").alias("o_n"))) for p in ("p", "q")]
+    pairs = written(stars[0].unionByName(stars[1]).unionByName(_index_pairs(rows)).distinct(), "near-stars")
     first = written(_verified(pairs, rows, size, text_col), "near-first")
     roots = written(components(first), "near-roots")
 
-    least = leasts.withColumn("least", F.lit(True))
-    placed = checked_join(checked_join(buckets, roots, "node", "left"), least, "node", "left")
-    placed = written(placed.select("h", "node", "n", "g", "f", "frequent", F.coalesce("least", F.lit(False)).alias("least"), F.coalesce("root", "node").alias("root")), "near-placed")
+    placed = checked_join(buckets.select("h", "node", "n", "f", "at", "frequent"), roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = written(placed, "near-placed")
     open_ = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
     open_ = written(open_.select("h", F.ceil(F.col("k") / TOGETHER).cast("int").alias("parts"), "k"), "near-open")
     placed = written(counted_join(placed, open_, ["h"], "inner", "k"), "near-several")
-    others = placed.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "g", "f", "least", "root")])
+    others = placed.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "f", "at", "root")])
     placed = placed.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    passed = F.coalesce(F.col("g") == F.col("o_g"), F.lit(False)) & ~F.col("least") & ~F.col("o_least")
-    met = placed.join(others, ["h", "part"]).filter((F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _similar_sizes() & ~(F.col("frequent") & passed))
-    # Frequent shingles in which a pair was passed over count as shared, as many as both prefixes have.
-    shared = met.groupBy("node", "n", "o_node", "o_n").agg(F.count(F.lit(1)).alias("count"), F.max(F.when(passed, F.least("f", "o_f")).otherwise(0)).alias("passed"))
-    pairs = shared.filter(_may_link(F.col("count") + F.col("passed")))
+    within_reach = F.least(_reach("n", "at"), _reach("o_n", "o_at")) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("n") + F.col("o_n"))
+    met = placed.join(others, ["h", "part"]).filter((F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _similar_sizes() & (~F.col("frequent") | within_reach))
+    # As not all frequent shingles of a pair are met here, as many count as both prefixes have.
+    counts = met.groupBy("node", "n", "o_node", "o_n").agg(F.count_if(~F.col("frequent")).alias("count"), F.max(F.least("f", "o_f")).alias("frequent"))
+    pairs = counts.filter(_may_link(F.col("count") + F.col("frequent")))
     rest = written(pairs.select(F.col("node").alias("u"), F.col("o_node").alias("v")), "near-rest")
     return first.unionByName(_verified(rest, rows, size, text_col))
 
