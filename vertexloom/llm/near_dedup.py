@@ -204,17 +204,20 @@ def near_links(rows: DataFrame, size: int, text_col: str) -> DataFrame:
     """Links (u, v) that connect what the pairs of similar nodes of ``prefixes`` connect."""
     each = rows.filter("prefix is not null").select("node", "n", "r", F.size("prefix").alias("size"), F.posexplode("prefix").alias("at", "h"))
     each = each.select("node", "n", F.greatest(F.lit(0), F.col("size") - F.col("r")).alias("f"), "h", "at", (F.col("at") >= F.col("r")).alias("frequent"))
+    # Most shingles of prefixes are one node's: only those of several are carried on.
+    shared = each.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
+    buckets = written(counted_join(each, written(shared.select("h", "k"), "near-shared"), ["h"], "inner", "k").distinct(), "near-buckets")
     pivot = F.min_by(F.struct("node", "n"), F.xxhash64("node"))
     foremost = F.min_by(F.struct("node", "n"), F.struct("at", F.xxhash64("node")))
-    shared = each.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), pivot.alias("p"), F.when(F.max("frequent"), foremost).alias("q"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
-    shared = written(shared.select("h", F.col("p.node").alias("p"), F.col("p.n").alias("p_n"), F.col("q.node").alias("q"), F.col("q.n").alias("q_n"), "k"), "near-shared")
-    buckets = written(counted_join(each, shared, ["h"], "inner", "k").distinct(), "near-buckets")
-    stars = [_stars(buckets.select("node", "n", F.col(p).alias("o_node"), F.col(f"{p}_n").alias("o_n"))) for p in ("p", "q")]
+    pivots = buckets.groupBy("h").agg(pivot.alias("p"), F.when(F.max("frequent"), foremost).alias("q"), F.count(F.lit(1)).alias("k"))
+    pivots = written(pivots.select("h", F.col("p.node").alias("p"), F.col("p.n").alias("p_n"), F.col("q.node").alias("q"), F.col("q.n").alias("q_n"), "k"), "near-pivots")
+    with_pivots = counted_join(buckets.select("h", "node", "n"), pivots, ["h"], "inner", "k")
+    stars = [_stars(with_pivots.select("node", "n", F.col(p).alias("o_node"), F.col(f"{p}_n").alias("o_n"))) for p in ("p", "q")]
     pairs = written(stars[0].unionByName(stars[1]).unionByName(_index_pairs(rows)).distinct(), "near-stars")
     first = written(_verified(pairs, rows, size, text_col), "near-first")
     roots = written(components(first), "near-roots")
 
-    placed = checked_join(buckets.select("h", "node", "n", "f", "at", "frequent"), roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = checked_join(buckets, roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = written(placed, "near-placed")
     open_ = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
     open_ = written(open_.select("h", F.ceil(F.col("k") / TOGETHER).cast("int").alias("parts"), "k"), "near-open")
