@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from vertexloom.llm.byte_bpe import op2_byte_bpe
 from vertexloom.llm.decontaminate import OP9_SQL, op9_decontaminate
+from vertexloom.llm.divergence import OP12_SQL, op12_source_divergence
 from vertexloom.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from vertexloom.llm.language_id import op3_language_id
 from vertexloom.llm.line_dedup import OP10_SQL, op10_line_dedup
@@ -27,9 +28,10 @@ def queries() -> dict:
         "op8_toxicity": op8_toxicity,
         "op9_decontaminate": op9_decontaminate,
         "op10_line_dedup": op10_line_dedup,
+        "op12_source_divergence": op12_source_divergence,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op4_warc": OP4_SQL, "op5_secret_scan": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op4_warc": OP4_SQL, "op5_secret_scan": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL, "op10_line_dedup": OP10_SQL, "op12_source_divergence": OP12_SQL}
