@@ -8,7 +8,9 @@ from vertexloom.llm.decontaminate import OP9_SQL, op9_decontaminate
 from vertexloom.llm.divergence import OP12_SQL, op12_source_divergence
 from vertexloom.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from vertexloom.llm.language_id import op3_language_id
+from vertexloom.llm.licenses import op11_license_scan
 from vertexloom.llm.line_dedup import OP10_SQL, op10_line_dedup
+from vertexloom.llm.merkle import OP13_SQL, op13_merkle_manifest
 from vertexloom.llm.secrets import OP5_SQL, op5_secret_scan
 from vertexloom.llm.simhash import op1_simhash
 from vertexloom.llm.token_counts import op6_token_counts
@@ -28,10 +30,20 @@ def queries() -> dict:
         "op8_toxicity": op8_toxicity,
         "op9_decontaminate": op9_decontaminate,
         "op10_line_dedup": op10_line_dedup,
+        "op11_license_scan": op11_license_scan,
         "op12_source_divergence": op12_source_divergence,
+        "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op4_warc": OP4_SQL, "op5_secret_scan": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL, "op10_line_dedup": OP10_SQL, "op12_source_divergence": OP12_SQL}
+    return {
+        "op4_warc": OP4_SQL,
+        "op5_secret_scan": OP5_SQL,
+        "op7_exact_dedup": OP7_SQL,
+        "op9_decontaminate": OP9_SQL,
+        "op10_line_dedup": OP10_SQL,
+        "op12_source_divergence": OP12_SQL,
+        "op13_merkle_manifest": OP13_SQL,
+    }
