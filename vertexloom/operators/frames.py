@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +14,10 @@ from vertexloom.functions.settle import settled
 #: Bins of the first pass over an image's values.
 BINS = 4096
 PLANE = ["image_id", "c", "z", "t"]
+FRAME = ["image_id", "t"]
+
+#: A worker's model, by the call that it belongs to.
+_models: dict[str, Callable] = {}
 
 
 def split_frames(pixels: DataFrame, images: DataFrame) -> DataFrame:
@@ -21,11 +26,11 @@ def split_frames(pixels: DataFrame, images: DataFrame) -> DataFrame:
     return named.withColumn("frame", F.concat_ws("-t", "title", F.col("t").cast("string")))
 
 
-def concat_frames(frames: list[DataFrame]) -> DataFrame:
-    """Results of frames, of any depth, as one float stack; times are numbered from 1 without gaps."""
+def concat_frames(frames: list[DataFrame], as_float: bool = True) -> DataFrame:
+    """Results of frames, of any depth, as one stack, in float unless ``as_float`` is off; times are numbered from 1 without gaps."""
     out = None
     for frame in frames:
-        same = frame.withColumn("v", F.col("v").cast("float"))
+        same = frame.withColumn("v", F.col("v").cast("float")) if as_float else frame
         out = same if out is None else out.unionByName(same)
     times = out.select("image_id", "t").distinct().withColumn("new_t", F.row_number().over(Window.partitionBy("image_id").orderBy("t")))
     return out.join(times, ["image_id", "t"]).drop("t").withColumnRenamed("new_t", "t")
@@ -89,15 +94,50 @@ def apply_per_plane(planes: DataFrame, function: Callable) -> DataFrame:
     return made.withColumn("width", F.when(odd, F.raise_error(F.lit("planes of an image differ in size"))).otherwise(F.col("width")).cast("int"))
 
 
+def model_of(call: str, load: Callable) -> Callable:
+    """The worker's model of a call: loaded once, and kept for later tasks until another call's is wanted."""
+    if call not in _models:
+        _models.clear()
+        _models[call] = load()
+    return _models[call]
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows that arrive sorted by ``keys``, group by group: the open group's rows are held back until the next group begins."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        values = batch[keys]
+        same = values.eq(values.shift()) | (values.isna() & values.shift().isna())
+        starts = [0, *[i for i in range(1, len(batch)) if not same.iloc[i].all()]]
+        for start, end in zip(starts, [*starts[1:], len(batch)], strict=True):
+            part = batch.iloc[start:end]
+            if held:
+                before, now = held[-1][keys].iloc[-1], part[keys].iloc[0]
+                if not ((before == now) | (before.isna() & now.isna())).all():
+                    yield pd.concat(held, ignore_index=True)
+                    held = []
+            held.append(part)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def run_on_frames(planes: DataFrame, load: Callable, schema: str) -> DataFrame:
-    """Batch inference: ``load()`` once per task gives a model, ``model(rows of planes) -> rows`` runs on each batch of planes."""
+    """Inference on whole frames: ``load()`` gives a model once per worker, ``model(planes) -> rows`` runs once on each frame, with all its slices and channels, in the order of z, then c.
+
+    A frame's planes are sorted next to each other in one task and may come in
+    several batches; the open frame is held back, so that no model sees a part
+    of one. A task holds a frame and a batch at a time.
+    """
+    call = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load()
-        for batch in batches:
-            yield model(batch)
+        model = model_of(call, load)
+        for frame in whole_groups(batches, FRAME):
+            yield model(frame)
 
-    return planes.repartition("image_id", "t").mapInPandas(run, schema)
+    return planes.repartition(*FRAME).sortWithinPartitions(*FRAME, "z", "c").mapInPandas(run, schema)
 
 
 def percentiles(pixels: DataFrame, shares: list[float], bins: int = BINS) -> DataFrame:

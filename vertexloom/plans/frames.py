@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -50,12 +51,12 @@ def apply_per_plane(spark, sf_dir):
 
 @query("u01_run_on_frames", cte("gray") + " SELECT image_id, t, count(*) AS n_bright, round(max(v), 5) AS brightest FROM gray WHERE v > 0.1 GROUP BY ALL")
 def run_on_frames(spark, sf_dir):
-    """A model that counts bright pixels, loaded once for each task."""
+    """A model that counts bright pixels of a frame, loaded once for each worker."""
 
     def load():
-        def model(batch: pd.DataFrame) -> pd.DataFrame:
-            bright = [data[data > 0.1] for data in batch["data"]]
-            return pd.DataFrame({"image_id": batch["image_id"], "t": batch["t"], "n_bright": [len(b) for b in bright], "brightest": [float(b.max()) if len(b) else None for b in bright]})
+        def model(frame: pd.DataFrame) -> pd.DataFrame:
+            bright = [v for data in frame["data"] for v in data[data > 0.1]]
+            return pd.DataFrame({"image_id": frame["image_id"][:1], "t": frame["t"][:1], "n_bright": [len(bright)], "brightest": [float(max(bright, default=0))]})
 
         return model
 
@@ -63,6 +64,25 @@ def run_on_frames(spark, sf_dir):
     return rounded(frames.run_on_frames(planes, load, "image_id long, t int, n_bright long, brightest double").filter("n_bright > 0"), "brightest", places=5)
 
 
+@query(
+    "u01_run_on_deep_frames",
+    cte("gray") + " SELECT image_id, t, (SELECT count(DISTINCT y // 10) FROM gray h WHERE h.image_id = d.image_id) AS n_planes, round(max(d), 5) AS depth FROM (SELECT image_id, t, y % 10 AS y, x, max(v) - min(v) AS d FROM gray GROUP BY ALL) d GROUP BY image_id, t",
+)
+def run_on_deep_frames(spark, sf_dir):
+    """Every ten rows of an image are a slice of its frame: the model projects over all slices at once, so a part of a frame would give another result."""
+
+    def load():
+        def model(frame: pd.DataFrame) -> pd.DataFrame:
+            stack = np.stack(frame["data"].to_list()).astype("float64")
+            return pd.DataFrame({"image_id": frame["image_id"][:1], "t": frame["t"][:1], "n_planes": [len(stack)], "depth": [(stack.max(0) - stack.min(0)).max()]})
+
+        return model
+
+    deep = fx.gray_raster(spark, sf_dir).withColumns({"z": F.floor(F.col("y") / 10).cast("int"), "y": F.col("y") % 10})
+    rows = frames.run_on_frames(frames.pack_planes(deep), load, "image_id long, t int, n_planes long, depth double")
+    return rounded(rows, "depth", places=5)
+
+
 @query(
     "g01_percentile_normalize",
     cte("gray")
