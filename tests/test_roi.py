@@ -1,5 +1,8 @@
 """Region operators on cases worked by hand."""
 
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +59,101 @@ def test_membership_in_a_large_band_is_dealt(spark, monkeypatch):
     assert sorted(map(tuple, roi.region_membership(points, vertices).collect())) == whole and len(whole) > 1000
 
 
+def crossings(ring, px, py):
+    """Edges that the ray to the right of a point meets."""
+    hits = 0
+    for (x0, y0), (x1, y1) in zip(ring, ring[1:] + ring[:1], strict=True):
+        if (y0 > py) != (y1 > py) and px < (x1 - x0) * (py - y0) / (y1 - y0) + x0:
+            hits += 1
+    return hits
+
+
+def ring_area(ring):
+    return sum(a[0] * b[1] - a[1] * b[0] for a, b in zip(ring, ring[1:] + ring[:1], strict=True)) / 2
+
+
+def regions_at(regions, px, py):
+    """Regions (lists of rings) that a point lies in, by all edges."""
+    out = []
+    for k, rings in enumerate(regions):
+        held = [ring_area(r) >= 0 for r in rings if crossings(r, px, py) % 2]
+        if any(held) != (not all(held)):
+            out.append(k)
+    return out
+
+
+def made_regions(rng, n, whole):
+    """Random polygons, crossing themselves, with level edges, repeated vertices and vertices on cell borders."""
+    number = (lambda: float(rng.randint(-12, 12))) if whole else (lambda: rng.uniform(-12, 12))
+    return [[[(number(), number()) for _ in range(rng.randint(1, 9))] for _ in range(rng.randint(1, 3))] for _ in range(n)]
+
+
+def region_table(spark, regions):
+    return spark.createDataFrame([(0, k, j, i, x, y) for k, rings in enumerate(regions) for j, ring in enumerate(rings) for i, (x, y) in enumerate(ring)], SCHEMA)
+
+
+@pytest.mark.parametrize(("whole", "cell"), [(True, 1.0), (True, 4.0), (True, 3.7), (True, None), (False, 0.5), (False, None), (False, 50.0)])
+def test_membership_against_all_edges(spark, whole, cell):
+    rng = random.Random(6)
+    regions = made_regions(rng, 12, whole)
+    places = [(x / 2, y / 2) for x in range(-26, 27) for y in range(-26, 27)] if whole else [(rng.uniform(-13, 13), rng.uniform(-13, 13)) for _ in range(2500)]
+    places += [p for rings in regions for ring in rings for p in ring]
+    points = spark.createDataFrame([(0, i, float(x), float(y)) for i, (x, y) in enumerate(places)], "set_id int, point_ix int, x double, y double")
+    got = sorted(map(tuple, roi.region_membership(points, region_table(spark, regions), cell).collect()))
+    assert got == [(0, i, k) for i, (x, y) in enumerate(places) for k in regions_at(regions, x, y)]
+
+
+def test_cells_spare_comparisons(spark):
+    """A disc of many edges: of points all over it only those in the cells of its rim are compared, with few edges each."""
+    n = 4000
+    ring = [(1000 * math.cos(2 * math.pi * k / n), 1000 * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    points = spark.range(10_000).selectExpr("0 as set_id", "cast(id as int) as point_ix", "(id % 100) * 20.0 - 990 as x", "(id div 100) * 20.0 - 990 as y")
+    vertices = polygon(spark, *ring)
+    found = {r.point_ix for r in roi.region_membership(points, vertices).collect()}
+    assert found == {i for i in range(10_000) if crossings(ring, (i % 100) * 20.0 - 990, (i // 100) * 20.0 - 990) % 2}
+    cell = 8.0
+    cells = roi.cut_cells(roi.signed_edges(vertices), cell)
+    at = points.selectExpr("set_id", "point_ix", "x as px", "y as py", f"floor(y / {cell}) as row", f"floor(x / {cell}) as col")
+    pairs = roi.cell_pairs(at, cells, cell).count()
+    edges_of_a_row = 2 * n * 20 / 2000  # what bands of a cell's height would compare with at least
+    assert 0 < pairs < 10_000 and pairs < 10_000 * edges_of_a_row / 50
+
+
+def test_blocks_of_runs(spark):
+    runs = [(a, b) for a in (-70, -9, -1, 0, 1, 7, 8, 60) for b in (-9, -1, 0, 6, 7, 8, 63, 64, 700, 5000) if a <= b]
+    rows = spark.createDataFrame(runs, "a long, b long").withColumn("k", F.explode(roi.run_blocks(F.col("a"), F.col("b")))).select("a", "b", "k.*").collect()
+    covered = {run: [] for run in runs}
+    for r in rows:
+        covered[r.a, r.b].extend(range(r.block * roi.BLOCK**r.level, (r.block + 1) * roi.BLOCK**r.level))
+    assert all(sorted(v) == list(range(a, b + 1)) for (a, b), v in covered.items())
+    assert len(rows) < 40 * len(runs)
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_painting_against_all_pixels(spark, whole):
+    """Regions above each other, with holes, partly outside the image."""
+    regions = made_regions(random.Random(8), 25, whole)
+    got = {(r.x, r.y): r.label for r in roi.rasterize_rois(region_table(spark, regions)).collect()}
+    want = {}
+    for x in range(14):
+        for y in range(14):
+            held = regions_at(regions, x + 0.5, y + 0.5)
+            if held:
+                want[x, y] = 2 * max(held) + 1
+    assert got == want
+
+
+def test_painted_rows(spark):
+    """Wide squares above each other: rows on the way grow with edges and lines, not with pixels."""
+    side, n = 2000, 6
+    vertices = region_table(spark, [[[(k, k), (side - k, k), (side - k, side - k), (k, side - k)]] for k in map(float, range(n))])
+    runs = roi.region_runs(vertices)
+    assert runs.count() <= n * side
+    top = roi.top_runs(runs)
+    assert top.count() <= 2 * n * side
+    assert top.selectExpr("sum(b - a + 1)").first()[0] == side * side
+
+
 def test_rasterize(spark):
     pixels = roi.rasterize_rois(polygon(spark, (0, 0), (2, 0), (2, 1), (0, 1)).unionByName(polygon(spark, (1, 0), (3, 0), (3, 1), (1, 1), roi_ix=1)))
     assert {(r.x, r.y): r.label for r in pixels.collect()} == {(0, 0): 1, (1, 0): 3, (2, 0): 3}

@@ -1,9 +1,9 @@
 """Operators on regions of interest kept as vertex tables (see ``functions.geometry``).
 
 All are lazy DataFrame to DataFrame functions, but for ``region_membership``,
-which counts its bands when it is called. Polygon-wise ones shuffle once on
-the polygon's key; interval and point-in-polygon joins have an equal
-key (a cell of arc length, a band of rows) and a residual condition.
+which writes its edges and counts its cells when it is called. Polygon-wise
+ones shuffle once on the polygon's key; joins of intervals and of points with
+polygons have an equal key (a cell, an aligned block of a run).
 """
 
 from __future__ import annotations
@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from vertexloom.functions.geometry import POLYGON, VERTEX, after, before, distance, ring, whole
 from vertexloom.functions.settle import settled
 
-#: Pairs of a point and an edge of one band that one task compares, and the tasks to which a band's points are dealt at most.
+#: Pairs of a point and an edge of one cell that one task compares, and the tasks to which a cell's points are dealt at most.
 PAIRS_TOGETHER, MOST_PARTS = 4_000_000, 1024
+#: Runs are cut into aligned blocks of so many of the level below, in so many levels.
+BLOCK, LEVELS = 8, 5
 
 
 def explode_vertices(rois: DataFrame) -> DataFrame:
@@ -87,29 +89,123 @@ def edges(vertices: DataFrame) -> DataFrame:
     return vertices.select(*VERTEX, F.col("x").alias("x0"), F.col("y").alias("y0"), after("x").alias("x1"), after("y").alias("y1"))
 
 
-def region_membership(points: DataFrame, vertices: DataFrame, band: float = 16.0) -> DataFrame:
+def run_blocks(first: Column, last: Column) -> Column:
+    """Aligned blocks ``(level, block)`` of ``BLOCK ** level`` whole numbers that make up a run: few at each level but the highest."""
+
+    def between(low: Column, high: Column, level: int) -> Column:
+        found = F.transform(F.sequence(low, high), lambda k: F.struct(F.lit(level).alias("level"), k.alias("block")))
+        return F.when(low <= high, found).otherwise(F.array().cast("array<struct<level:int,block:bigint>>"))
+
+    parts = []
+    for level in range(LEVELS):
+        width = BLOCK**level
+        low, high = F.ceil(first / width), F.floor((last + 1) / width) - 1
+        if level == LEVELS - 1:
+            parts.append(between(low, high, level))
+            continue
+        # What whole blocks of the next level cover is theirs.
+        above, past = F.ceil(first / (width * BLOCK)), F.floor((last + 1) / (width * BLOCK))
+        left = between(low, F.when(above < past, above * BLOCK - 1).otherwise(high), level)
+        right = F.when(above < past, between(past * BLOCK, high, level)).otherwise(F.array().cast("array<struct<level:int,block:bigint>>"))
+        parts += [left, right]
+    return F.concat(*parts)
+
+
+def blocks_with(place: Column) -> Column:
+    """The blocks of all levels that hold a whole number."""
+    return F.array(*[F.struct(F.lit(level).alias("level"), F.floor(place / BLOCK**level).alias("block")) for level in range(LEVELS)])
+
+
+def signed_edges(vertices: DataFrame) -> DataFrame:
+    """Edges of polygons of three vertices or more, others having no inside, and whether their polygon's area is negative."""
+    n, area = F.count(F.lit(1)).over(Window.partitionBy(*POLYGON)), F.sum(F.col("x0") * F.col("y1") - F.col("y0") * F.col("x1")).over(Window.partitionBy(*POLYGON))
+    return edges(vertices).withColumns({"n": n, "negative": area < 0}).filter("n > 2").select(*POLYGON, "negative", "x0", "y0", "x1", "y1")
+
+
+def _x_at(y: Column) -> Column:
+    """Where an edge is at a height; null for a level one."""
+    return F.try_divide((F.col("x1") - F.col("x0")) * (y - F.col("y0")), F.col("y1") - F.col("y0")) + F.col("x0")
+
+
+def _spans(y: Column) -> Column:
+    return (F.col("y0") > y) != (F.col("y1") > y)
+
+
+def cut_cells(signed: DataFrame, cell: float) -> DataFrame:
+    """Every edge once for each square cell that it touches: ``row, col``, ``right``, how many edges cross the cell's lower line right of the cell, and ``next``, the next cell to the right that an edge touches."""
+    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
+    rows = signed.withColumn("row", F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell))))
+    bottom, flat = F.col("row") * cell, F.col("y0") == F.col("y1")
+    ends = [F.when(flat, F.col(x)).otherwise(_x_at(y)) for x, y in (("x0", F.greatest(low, bottom)), ("x1", F.least(high, bottom + cell)))]
+    reach = rows.withColumns({"a": F.least(*ends), "b": F.greatest(*ends)})
+    slack = (F.abs("a") + F.abs("b") + cell) * 1e-9
+    each = reach.withColumn("col", F.explode(F.sequence(F.floor((F.col("a") - slack) / cell), F.floor((F.col("b") + slack) / cell))))
+    crosses = (~flat & _spans(bottom) & (_column_of(_x_at(bottom), cell) == F.col("col"))).cast("int")
+    further = Window.partitionBy(*POLYGON, "row").orderBy(F.desc("col")).rangeBetween(Window.unboundedPreceding, -1)
+    counted = each.withColumn("crosses", crosses).withColumns({"right": F.coalesce(F.sum("crosses").over(further), F.lit(0)), "next": F.min("col").over(further)})
+    return counted.drop("a", "b", "crosses")
+
+
+def _column_of(x: Column, cell: float) -> Column:
+    """The last column whose right border isn't left of x: what counts as right of a border, everywhere here."""
+    return F.ceil(x / cell) - 1
+
+
+def cell_pairs(points: DataFrame, cells: DataFrame, cell: float) -> DataFrame:
+    """Each point with each edge of the cut cell that it lies in, cells of very many pairs dealt to several tasks; the points of such cells only are compared with edges."""
+    at, key = points, ["set_id", "row", "col"]
+    pairs = at.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).join(cells.groupBy(*key).agg(F.count(F.lit(1)).alias("m")), key)
+    parts = F.ceil(F.least(F.col("n") * F.col("m") / PAIRS_TOGETHER, F.lit(MOST_PARTS))).cast("int")
+    large = settled(pairs.select(*key, parts.alias("parts")).filter("parts > 1"))
+    if large.isEmpty():
+        return at.join(cells, key)
+    at = at.join(large, key, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("point_ix"), "parts"), F.lit(0))).drop("parts")
+    several = cells.join(large, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1))).drop("parts")
+    return at.join(several, [*key, "part"])
+
+
+def region_membership(points: DataFrame, vertices: DataFrame, cell: float | None = None) -> DataFrame:
     """Pairs of a point and a region of the same set that it lies in.
 
     Inside a polygon: an odd number of its edges cross the ray to the right.
     Inside a region: inside any positive polygon or inside any negative one,
-    but not both. Points meet the edges in their band of rows only, and the
-    points of a band with very many edges and points are dealt to several tasks.
+    but not both.
+
+    Polygons are covered by square cells (as large as an edge is long on
+    average, if no size is given). A cell that no edge touches lies inside as
+    a whole or outside: runs of inner cells are cut into blocks of 1, 8, 64
+    and more cells, and a point finds those that hold it by an equal join.
+    A point in a cell that edges touch is compared with these alone: the
+    parity at the cell's lower right corner is known, edges between that
+    corner and the point's height change it, and then those between the point
+    and the cell's right border.
     """
-    spans = edges(vertices).filter("y0 != y1")
-    low, high = F.floor(F.least("y0", "y1") / band), F.floor(F.greatest("y0", "y1") / band)
-    banded = spans.withColumn("band", F.explode(F.sequence(low, high)))
-    at = points.select("set_id", "point_ix", F.col("x").alias("px"), F.col("y").alias("py"), F.floor(F.col("y") / band).alias("band"))
-    pairs = at.groupBy("set_id", "band").agg(F.count(F.lit(1)).alias("n")).join(banded.groupBy("set_id", "band").agg(F.count(F.lit(1)).alias("m")), ["set_id", "band"])
-    parts = F.ceil(F.least(F.col("n") * F.col("m") / PAIRS_TOGETHER, F.lit(MOST_PARTS))).cast("int")
-    large = settled(pairs.select("set_id", "band", parts.alias("parts")).filter("parts > 1"))
-    if not large.isEmpty():
-        at = at.join(large, ["set_id", "band"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("point_ix"), "parts"), F.lit(0))).drop("parts")
-        banded = banded.join(large, ["set_id", "band"], "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1))).drop("parts")
-    crosses = ((F.col("y0") > F.col("py")) != (F.col("y1") > F.col("py"))) & (F.col("px") < (F.col("x1") - F.col("x0")) * (F.col("py") - F.col("y0")) / (F.col("y1") - F.col("y0")) + F.col("x0"))
-    hits = at.join(banded, ["set_id", "band", *(["part"] if "part" in at.columns else [])]).filter(crosses)
-    inside = hits.groupBy("set_id", "point_ix", "roi_ix", "poly_ix").count().filter(F.col("count") % 2 == 1)
-    signed = inside.join(signed_area(vertices), POLYGON).groupBy("set_id", "point_ix", "roi_ix").agg(F.bool_or(F.col("area") >= 0).alias("positive"), F.bool_or(F.col("area") < 0).alias("negative"))
-    return signed.filter(F.col("positive") != F.col("negative")).select("set_id", "point_ix", "roi_ix")
+    signed = settled(signed_edges(vertices.filter("x is not null and y is not null")))
+    if cell is None:
+        cell = signed.agg(F.avg(F.greatest(F.abs(F.col("x1") - F.col("x0")), F.abs(F.col("y1") - F.col("y0"))))).first()[0] or 1.0
+    cells = cut_cells(signed, cell)
+    at = points.select("set_id", "point_ix", F.col("x").alias("px"), F.col("y").alias("py"), F.floor(F.col("y") / cell).alias("row"), F.floor(F.col("x") / cell).alias("col"))
+
+    runs = cells.filter("right % 2 = 1 and next > col + 1").select(*POLYGON, "negative", "row", "col", "next").distinct()
+    blocks = runs.select(*POLYGON, "negative", "row", F.explode(run_blocks(F.col("col") + 1, F.col("next") - 1)).alias("b")).select(*POLYGON, "negative", "row", "b.*")
+    keyed = at.withColumn("b", F.explode(blocks_with(F.col("col")))).select("set_id", "point_ix", "row", "b.*")
+    whole = keyed.join(blocks, ["set_id", "row", "level", "block"]).select(*POLYGON, "point_ix", "negative")
+
+    pairs = cell_pairs(at, cells, cell)
+    bottom, py, low, high = F.col("row") * cell, F.col("py"), F.least("y0", "y1"), F.greatest("y0", "y1")
+    right_of = lambda x: _column_of(x, cell) > F.col("col")
+    side_at = lambda y: right_of(F.when(y == F.col("y0"), F.col("x0")).when(y == F.col("y1"), F.col("x1")).otherwise(_x_at(y)))
+    flat, met = F.col("y0") == F.col("y1"), _spans(py)
+    # An edge's sides of the border where it comes into the strip from the corner's height to the point's, and where it leaves it.
+    enters = F.when(low > bottom, side_at(low)).otherwise(right_of(_x_at(bottom)))
+    leaves = F.when(met, right_of(_x_at(py))).otherwise(side_at(high))
+    within = F.when(flat, (low > bottom) & (low <= py)).otherwise((high > bottom) & (low <= py))
+    turns = within & F.when(flat, right_of(F.col("x0")) != right_of(F.col("x1"))).otherwise(enters != leaves)
+    passes = ~flat & met & (F.col("px") < _x_at(py)) & ~right_of(_x_at(py))
+    changes = turns.cast("int") + passes.cast("int")
+    cut = pairs.groupBy(*POLYGON, "point_ix", "negative").agg((F.first("right") + F.sum(changes)).alias("n")).filter("n % 2 = 1").drop("n")
+    inside = whole.unionByName(cut).groupBy("set_id", "point_ix", "roi_ix").agg(F.bool_or(~F.col("negative")).alias("positive"), F.bool_or("negative").alias("negative"))
+    return inside.filter(F.col("positive") != F.col("negative")).select("set_id", "point_ix", "roi_ix")
 
 
 def split_subpaths(commands: DataFrame, base: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
@@ -144,29 +240,56 @@ def canvas_size(vertices: DataFrame, least: int = 100) -> DataFrame:
     return boxes.groupBy("set_id").agg(F.greatest(F.lit(least), F.max(F.col("x") + F.col("width"))).cast("long").alias("width"), F.greatest(F.lit(least), F.max(F.col("y") + F.col("height"))).cast("long").alias("height"))
 
 
+def region_runs(vertices: DataFrame) -> DataFrame:
+    """Runs ``set_id, roi_ix, y, a, b`` of pixels whose centres lie in a region, which is what ``region_membership`` says of them.
+
+    Scan lines: each edge gives its crossing with the centre line of each row
+    it spans; sorted crossings of a polygon pair up to runs. Where a region's
+    runs begin and end, the numbers of its positive and negative polygons are
+    counted on, and between two such places they stay.
+    """
+    spans = signed_edges(vertices).filter("y0 != y1")
+    first, last = F.ceil(F.least("y0", "y1") - 0.5), F.ceil(F.greatest("y0", "y1") - 0.5) - 1
+    rows = spans.withColumns({"first": first, "last": last}).filter("first <= last").withColumn("row", F.explode(F.sequence("first", "last")))
+    line = Window.partitionBy(*POLYGON, "row").orderBy("at")
+    paired = rows.select(*POLYGON, "negative", "row", _x_at(F.col("row") + 0.5).alias("at")).withColumns({"k": F.row_number().over(line), "end": F.lead("at").over(line)}).filter("k % 2 = 1")
+    runs = paired.select("set_id", "roi_ix", "negative", F.col("row").alias("y"), F.ceil(F.col("at") - 0.5).alias("a"), F.ceil(F.col("end") - 0.5).alias("past")).filter("a < past")
+    steps = runs.select("set_id", "roi_ix", "y", "negative", F.explode(F.array(F.struct(F.col("a").alias("x"), F.lit(1).alias("by")), F.struct(F.col("past").alias("x"), F.lit(-1).alias("by")))).alias("s"))
+    sums = steps.groupBy("set_id", "roi_ix", "y", F.col("s.x").alias("x")).agg(*[F.sum(F.when(F.col("negative") == n, F.col("s.by")).otherwise(0)).alias(f"n{int(n)}") for n in (False, True)])
+    upto = Window.partitionBy("set_id", "roi_ix", "y").orderBy("x")
+    held = sums.select("set_id", "roi_ix", "y", F.col("x").alias("a"), (F.lead("x").over(upto) - 1).alias("b"), *[F.sum(n).over(upto).alias(n) for n in ("n0", "n1")])
+    return held.filter("(n0 > 0) != (n1 > 0)").select("set_id", "roi_ix", "y", "a", "b")
+
+
+def top_runs(runs: DataFrame) -> DataFrame:
+    """Runs of each line with the greatest ``roi_ix`` there, by intervals: however many regions lie above each other, no pixel is looked at.
+
+    A run is cut into aligned blocks, of which each keeps the greatest region.
+    Between two neighbouring run ends of a line the regions stay the same, and
+    they are those of the blocks that hold the first pixel.
+    """
+    line = ["set_id", "y"]
+    blocks = runs.select(*line, "roi_ix", F.explode(run_blocks(F.col("a"), F.col("b"))).alias("k")).groupBy(*line, "k.level", "k.block").agg(F.max("roi_ix").alias("roi_ix"))
+    places = runs.select(*line, F.explode(F.array(F.col("a"), F.col("b") + 1)).alias("a")).distinct()
+    pieces = places.withColumn("b", F.lead("a").over(Window.partitionBy(*line).orderBy("a")) - 1).filter("b is not null")
+    held = pieces.withColumn("k", F.explode(blocks_with(F.col("a")))).select(*line, "a", "b", "k.*").join(blocks, [*line, "level", "block"])
+    return held.groupBy(*line, "a", "b").agg(F.max("roi_ix").alias("roi_ix"))
+
+
 def rasterize_rois(vertices: DataFrame, label_step: int = 2, size: tuple[int, int] | None = None) -> DataFrame:
     """Label image ``set_id, y, x, label`` of each set; pixels without a region aren't listed.
 
-    Scan lines: each edge gives its crossing with the centre line of each
-    row it spans; sorted crossings of a polygon pair up to runs of pixels
-    whose centres lie inside. The k-th region of a set has label
-    ``label_step * k + 1``, and later regions cover earlier ones. A region of
-    several polygons covers what ``region_membership`` says.
+    The k-th region of a set has label ``label_step * k + 1``, and later
+    regions cover earlier ones. Regions are painted by runs of pixels, so
+    that rows grow with edges times the rows they span; pixels are made last.
     """
     order = Window.partitionBy("set_id").orderBy("roi_ix")
     labels = vertices.select("set_id", "roi_ix").distinct().withColumn("label", (F.row_number().over(order) - 1) * label_step + 1)
-    spans = edges(vertices).filter("y0 != y1")
-    first, last = F.ceil(F.least("y0", "y1") - 0.5), F.ceil(F.greatest("y0", "y1") - 0.5) - 1
-    rows = spans.withColumns({"first": first, "last": last}).filter("first <= last").withColumn("row", F.explode(F.sequence("first", "last")))
-    cross = (F.col("x1") - F.col("x0")) * (F.col("row") + 0.5 - F.col("y0")) / (F.col("y1") - F.col("y0")) + F.col("x0")
-    line = Window.partitionBy(*POLYGON, "row").orderBy("at")
-    paired = rows.select(*POLYGON, "row", cross.alias("at")).withColumns({"k": F.row_number().over(line), "end": F.lead("at").over(line)}).filter("k % 2 = 1")
-    runs = paired.select(*POLYGON, F.col("row").alias("y"), F.ceil(F.col("at") - 0.5).alias("a"), (F.ceil(F.col("end") - 0.5) - 1).alias("b")).filter("a <= b")
-    pixels = runs.select(*POLYGON, "y", F.explode(F.sequence("a", "b")).alias("x"))
-    signs = signed_area(vertices).select(*POLYGON, (F.col("area") >= 0).alias("sign"))
-    held = pixels.join(signs, POLYGON).groupBy("set_id", "roi_ix", "y", "x").agg(F.bool_or("sign").alias("positive"), F.bool_or(~F.col("sign")).alias("negative")).filter("positive != negative")
-    burnt = held.join(labels, ["set_id", "roi_ix"]).filter("x >= 0 and y >= 0").groupBy("set_id", "y", "x").agg(F.max("label").alias("label"))
-    return burnt if size is None else burnt.filter((F.col("x") < size[0]) & (F.col("y") < size[1]))
+    runs = region_runs(vertices).withColumn("a", F.greatest("a", F.lit(0).cast("long"))).filter("y >= 0")
+    if size is not None:
+        runs = runs.withColumn("b", F.least("b", F.lit(size[0] - 1).cast("long"))).filter(F.col("y") < size[1])
+    top = top_runs(runs.filter("a <= b")).join(labels, ["set_id", "roi_ix"])
+    return top.select("set_id", "y", F.explode(F.sequence("a", "b")).alias("x"), "label")
 
 
 def _stretches(vertices: DataFrame, closed: bool) -> DataFrame:
@@ -218,13 +341,19 @@ def smooth_open(vertices: DataFrame) -> DataFrame:
     return wide.select(*VERTEX, x.alias("x"), y.alias("y"))
 
 
+def smooth_movable(vertices: DataFrame) -> DataFrame:
+    """As ``smooth_open`` on closed rings, but only vertices whose column ``movable`` is true; that column goes, others go along."""
+    n = {"xb": before("x"), "yb": before("y"), "xa": after("x"), "ya": after("y")}
+    x, y = _half_way(*[F.col(c) for c in ("x", "y", "xb", "yb", "xa", "ya")])
+    moved = {"x": F.when(F.col("movable"), x).otherwise(F.col("x")), "y": F.when(F.col("movable"), y).otherwise(F.col("y"))}
+    return vertices.withColumns(n).select(*[moved.get(c, F.col(c)).alias(c) for c in vertices.columns if c != "movable"])
+
+
 def smooth_constrained(vertices: DataFrame, corners: DataFrame) -> DataFrame:
     """As ``smooth_open`` on closed rings, but only vertices whose lattice corner ``set_id, x, y`` is listed as movable."""
-    n = {"xb": before("x"), "yb": before("y"), "xa": after("x"), "ya": after("y"), "cx": F.col("x").cast("int"), "cy": F.col("y").cast("int")}
     free = corners.filter("movable").select("set_id", F.col("x").alias("cx"), F.col("y").alias("cy"), "movable")
-    wide = vertices.withColumns(n).join(free, ["set_id", "cx", "cy"], "left")
-    x, y = _half_way(*[F.col(c) for c in ("x", "y", "xb", "yb", "xa", "ya")])
-    return wide.select(*VERTEX, F.when(F.col("movable"), x).otherwise(F.col("x")).alias("x"), F.when(F.col("movable"), y).otherwise(F.col("y")).alias("y"))
+    own = vertices.select(*VERTEX, "x", "y").withColumns({"cx": F.col("x").cast("int"), "cy": F.col("y").cast("int")})
+    return smooth_movable(own.join(free, ["set_id", "cx", "cy"], "left").drop("cx", "cy"))
 
 
 def unique_roi_names(rois: DataFrame) -> DataFrame:
