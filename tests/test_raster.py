@@ -80,3 +80,70 @@ def test_one_pixel_and_empty(spark):
     assert [r.label for r in raster.label_mask(image(spark, "123"), 2).collect()] == [2.0]
     with pytest.raises(ValueError):
         raster.simplify_rings(empty, "movable")
+
+
+def brute_rings(rows):
+    """Rings of each label by walking its unit edges: (label, the turns in order from the smallest start)."""
+    h, w = len(rows), len(rows[0])
+    at = lambda y, x: ("pixel", rows[y][x]) if 0 <= y < h and 0 <= x < w else None
+    out = set()
+    for label in {v for row in rows for v in row}:
+        edges = {}
+        for y in range(h):
+            for x in range(w):
+                if rows[y][x] == label:
+                    for side, (dy, dx), a, b in (("upper", (-1, 0), (x + 1, y), (x, y)), ("left", (0, -1), (x, y), (x, y + 1)), ("lower", (1, 0), (x, y + 1), (x + 1, y + 1)), ("right", (0, 1), (x + 1, y + 1), (x + 1, y))):
+                        if at(y + dy, x + dx) != ("pixel", label):
+                            edges.setdefault(a, []).append((side, b))
+        left = {(a, side): b for a, many in edges.items() for side, b in many}
+        while left:
+            start = min(left, key=lambda k: (k[0][1], k[0][0], raster.SIDES.index(k[1])))
+            ring, (a, side) = [], start
+            while (a, side) in left:
+                ring.append(a)
+                b = left.pop((a, side))
+                nexts = [s for s, _ in edges[b] if (b, s) in left or (b, s) == start]
+                side = raster.TURNS[side] if len(edges[b]) > 1 else (nexts or [None])[0]
+                a = b
+            n = len(ring)
+            turns = tuple(p for i, p in enumerate(ring) if (p[0] - ring[i - 1][0]) * (ring[(i + 1) % n][1] - p[1]) != (p[1] - ring[i - 1][1]) * (ring[(i + 1) % n][0] - p[0]))
+            out.add((label, turns))
+    return out
+
+
+def as_rings(traced):
+    out = {}
+    for r in traced.orderBy("vertex_ix").collect():
+        out.setdefault((r.label, r.ring_id), []).append((r.x, r.y))
+    return {(label, tuple(ring)) for (label, _), ring in out.items()}
+
+
+@pytest.mark.parametrize("gathered", [0, 40, raster.GATHERED])
+def test_segments_and_null_labels(spark, gathered):
+    """Pixels without a label are an object: at the border, on diagonals, all of an image."""
+    rnd = random.Random(9)
+    made = [[[None if i == j else 1.0 for i in range(4)] for j in range(4)], [[None, None], [None, None]], [[rnd.choice([None, 0.0, 1.0]) for _ in range(11)] for _ in range(8)]]
+    for rows in made:
+        labels = spark.createDataFrame([(0, y, x, v) for y, row in enumerate(rows) for x, v in enumerate(row)], "image_id int, y int, x int, label double")
+        want = brute_rings(rows)
+        assert as_rings(raster.trace_rings(raster.boundary_segments(labels), gathered)) == want
+        assert as_rings(raster.simplify_rings(raster.trace_rings(raster.boundary_edges(labels), gathered), "all")) == want
+        assert sum(r.area for r in raster.label_stats(labels).collect()) == len(rows) * len(rows[0])
+        names = {r.name for r in raster.vectorize_labels(labels).collect()}
+        assert names == {None if v is None else str(int(v)) for row in rows for v in row}
+
+
+def test_open_edges_raise(spark):
+    edges = raster.boundary_edges(image(spark, "11", "11")).filter("side <> 'left'")
+    for gathered in (0, raster.GATHERED):
+        with pytest.raises(Exception, match="don't close"):
+            raster.trace_rings(edges, gathered).count()
+
+
+def test_rows_grow_with_turns(spark):
+    """A large image of two discs of squares and a background: what is traced are the turns, not the pixels of the borders."""
+    wide = 2048
+    labels = spark.range(wide * wide).selectExpr("0 as image_id", f"cast(id div {wide} as int) as y", f"cast(id % {wide} as int) as x").selectExpr("*", "case when x between 200 and 899 and y between 100 and 1599 then 1.0D when x between 1200 and 1900 and y between 900 and 1000 then 2.0D else 0.0D end as label")
+    pieces = raster.boundary_segments(labels).cache()
+    assert pieces.count() == 4 * 5
+    assert sorted((r.label, r["count"]) for r in raster.trace_rings(pieces).groupBy("label").count().collect()) == [(0.0, 12), (1.0, 4), (2.0, 4)]

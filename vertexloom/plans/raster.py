@@ -63,6 +63,12 @@ def trace_rings(spark, sf_dir):
     return raster.trace_rings(raster.boundary_edges(fx.label_raster(spark, sf_dir)))
 
 
+@query("l05_trace_segments", recursive(cte("lab") + EDGES + RINGS + _kept_sql("rings", f"WHERE NOT ({STRAIGHT})") + " SELECT * FROM sim"))
+def trace_segments(spark, sf_dir):
+    """Rings by straight pieces: the vertices are the turns."""
+    return raster.trace_rings(raster.boundary_segments(fx.label_raster(spark, sf_dir)))
+
+
 @query("l06_simplify_rings", recursive(cte("lab") + EDGES + RINGS + _kept_sql("rings", f"WHERE NOT ({STRAIGHT})") + " SELECT * FROM sim"))
 def simplify_rings(spark, sf_dir):
     rings = raster.trace_rings(raster.boundary_edges(fx.label_raster(spark, sf_dir)))
