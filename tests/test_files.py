@@ -211,3 +211,24 @@ def test_constant_image_and_tiles(spark):
     assert {(r.x, r.tile_x) for r in frames.tile_pixels(flat, sizes, 1, 2).collect()} == {(0, 0), (1, 0), (2, 1), (3, 1)}
     assert {r.tile_x for r in frames.tile_pixels(flat, sizes, -1, 2).collect()} == {0}
     assert spots.filter_detections(flat.select(F.lit(0.1).alias("probability")), -1).count() == 8
+
+
+def test_folders_for_workers(spark):
+    """A folder without a scheme is on Spark's default file system; one that workers can't open is refused before anything runs."""
+    from vertexloom.functions.settle import place_for_workers
+    from vertexloom.sources.files import write_files
+
+    assert place_for_workers(spark, "/some/where") == "file:///some/where"
+    assert place_for_workers(spark, "file:/some/where") == place_for_workers(spark, "file:///some/where") == "file:///some/where"
+    assert place_for_workers(spark, "s3a://bucket/a b") == "s3://bucket/a b"
+    assert place_for_workers(spark, "hdfs://name:8020/a") == "hdfs://name:8020/a"
+    for folder in ("dbfs:/a", "wasbs://c@host/a"):
+        with pytest.raises(ValueError, match="can't write named files"):
+            write_files(spark.createDataFrame([("a", "b")], "file string, value string"), folder)
+    spark._jsc.hadoopConfiguration().set("fs.defaultFS", "hdfs://name:8020")
+    try:
+        assert place_for_workers(spark, "/some/where") == "hdfs://name:8020/some/where"
+    except Exception as error:  # without a client for it, naming it is enough
+        assert "name" in str(error) or "hdfs" in str(error).lower()
+    finally:
+        spark._jsc.hadoopConfiguration().set("fs.defaultFS", "file:///")

@@ -18,6 +18,22 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Hadoop's schemes, and those of pyarrow's file systems that open the same places.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gcs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def place_for_workers(spark: SparkSession, path: str) -> str:
+    """A folder's URI as pyarrow opens it in workers: one without a scheme is on Spark's default file system, not on each worker's disk; a scheme that pyarrow can't open raises here."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.toUri().getScheme() is None:
+        place = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place)
+    uri = place.toUri()
+    scheme = str(uri.getScheme())
+    if scheme not in SCHEMES:
+        raise ValueError(f"workers can't write named files to {path}: none of their file systems opens {scheme}:, only {', '.join(sorted(SCHEMES))}")
+    return f"{SCHEMES[scheme]}://{uri.getAuthority() or ''}{uri.getPath()}"
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the folder that the session names in spark.checkpoint.dir and read again.
 

@@ -7,19 +7,21 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from vertexloom.functions.settle import settled
+from vertexloom.functions.settle import place_for_workers, settled
 
 
 def write_files(files: DataFrame, folder: str) -> DataFrame:
     """Write each text of ``file, value`` under its name, which may have folders in it; gives ``file, length`` of what was written.
 
     A name that is written again, as after a lost task, gets the same text.
+    The folder is on a file system that workers can open by its URI.
     """
+    place = place_for_workers(files.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        target, root = fs.FileSystem.from_uri(folder)
+        target, root = fs.FileSystem.from_uri(place)
         made = set()
         for batch in batches:
             lengths = []
