@@ -17,11 +17,14 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A side of a join is broadcast up to so many bytes: its rows, counted beforehand, times what its columns take at most.
 BROADCAST_BYTES = 32 << 20
 COLUMN_BYTES, WIDE_COLUMN_BYTES = 16, 120
-#: Keys with more than one in so many of the rows of a join are hot; there are fewer than this many of them.
+#: Keys with more than one in so many of the rows of a join, or one in as many as it has partitions if these are more, are hot; there are fewer than this many of them.
 HOT_KEYS = 200
-#: Tasks among which the rows of one key are dealt where keys can't be counted first.
+#: Tasks among which the rows of one key are dealt where keys can't be counted first; more where there are over 16 times as many partitions.
 SALTS = 16
 
+#: Bits of a filter of keys and of each of its pieces; all of it takes 16 MB however many keys there are.
+FILTER_BITS, PIECE_BITS = 1 << 27, 1 << 15
+
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 #: How Spark writes the setting's default.
 BATCH_DEFAULTS = ("67108864b", "64MB", "64m")
@@ -80,6 +83,11 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def intermediates() -> int:
     """How many intermediate tables there are by now, for ``written_alone``."""
     return len(_made)
@@ -89,12 +97,15 @@ def written_alone(df: DataFrame, name: str, since: int) -> DataFrame:
     """``df`` written, and the intermediate tables that were made after the first ``since`` deleted."""
     spark, out = df.sparkSession, written(df, name)
     for path in _made[since:-1]:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete(spark, path)
     del _made[since:-1]
     return out
 
 
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether so many rows of the table may be broadcast."""
     return rows * sum(WIDE_COLUMN_BYTES if isinstance(f.dataType, (ArrayType, StringType, BinaryType)) else COLUMN_BYTES for f in df.schema) <= BROADCAST_BYTES
@@ -115,7 +126,7 @@ def counted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, cou
     thin = right.drop(count)
     if fits(thin, n):
         return left.join(F.broadcast(thin), on, how)
-    is_hot = F.col(count) * HOT_KEYS > F.lit(total)
+    is_hot = F.col(count) * max(HOT_KEYS, partitions(left.sparkSession)) > F.lit(total)
     hot, others = F.broadcast(right.filter(is_hot).drop(count)), right.filter(~is_hot).drop(count)
     return left.join(hot, on).unionByName(left.join(hot.select(*on), on, "left_anti").join(others, on, how))
 
@@ -124,8 +135,28 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, salt_by: str) -> Dat
     """Inner join with a written table of thin rows, of which ``left`` may have very many for one key: broadcast, or else every key's rows dealt by ``salt_by``."""
     if fits(right, right.count()):
         return left.join(F.broadcast(right), on)
-    several = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.withColumn("__salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int")).join(several, [on, "__salt"]).drop("__salt")
+    salts = max(SALTS, partitions(left.sparkSession) // 16)
+    several = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.withColumn("__salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int")).join(several, [on, "__salt"]).drop("__salt")
+
+
+def _bit(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+
+
+def key_filter(keys: DataFrame, on: list[str]) -> DataFrame:
+    """A bit for every key of a table, by hash, in pieces: written, of a fixed size at most."""
+    bits = keys.select(_bit(on).alias("bit")).select(F.floor(F.col("bit") / PIECE_BITS).alias("__piece"), (F.col("bit") % PIECE_BITS).alias("at"))
+    return written(bits.groupBy("__piece").agg(F.bitmap_construct_agg("at").alias("__bits")), "key-filter")
+
+
+def may_have(rows: DataFrame, keys: DataFrame, on: list[str], column: str = "__may") -> DataFrame:
+    """Rows with whether their key may be in the filter ``keys``; it surely isn't where not. No row moves."""
+    bit = rows.withColumn("__bit", _bit(on)).withColumn("__piece", F.floor(F.col("__bit") / PIECE_BITS))
+    at = (F.col("__bit") % PIECE_BITS).cast("int")
+    byte = F.conv(F.hex(F.substr("__bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), at % 8 + 1)) > 0, F.lit(False))
+    return bit.join(F.broadcast(keys), "__piece", "left").withColumn(column, is_set).drop("__bit", "__piece", "__bits")
 
 
 def let(value: Column, body) -> Column:
