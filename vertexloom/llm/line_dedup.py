@@ -7,10 +7,15 @@ be frequent, and adds what is left as its own run. When a level holds
 ``fanout`` runs they are merged into one run of the next level; a key whose
 summed count has reached the threshold moves to a run of frequent keys and
 is never counted again. Runs are tables bucketed and sorted by the hash, so
-that merging and anti-joining read them side by side.
+that merging and anti-joining read them side by side; they lie in the shared
+folder, and are deleted in the end, also if something fails.
 
 Keys are compared by two 64-bit hashes. Counts are made per task before
-they are shuffled, so a line of every document costs one row per task.
+they are shuffled, so a line of every document costs one row per task; they
+stay with the frequent keys, so that lines of nearly every document are
+joined where they are. Documents without a frequent line are told by a filter
+of a fixed size and go through as they are; where those with one are too many
+to broadcast, their texts alone are shuffled.
 
 Defined cases: a null text is one empty line, as is an empty one; blank
 lines have the empty key and always stay; a very long text, or one of very
@@ -26,7 +31,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import SPACE, checked_join, let, lower_ascii, shared_path, table, text_of, written
+from vertexloom.llm.common import SPACE, counted_join, delete, fits, key_filter, let, lower_ascii, may_have, shared_path, table, text_of, written
 
 MIN_DOCS = 10
 FANOUT = 2
@@ -60,6 +65,7 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = FANOUT, buckets: int | None = None):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
+        self.folder = shared_path(spark, "line-runs")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = [[]]
         self.frequent: list[DataFrame] = []
@@ -69,13 +75,14 @@ class LineRuns:
     def _run(self, rows: DataFrame) -> DataFrame:
         self.names.append(f"line_run_{uuid.uuid4().hex}")
         sorted_rows = rows.repartition(self.buckets, "h1", "h2").write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
-        sorted_rows.saveAsTable(self.names[-1])
+        sorted_rows.option("path", f"{self.folder}/{self.names[-1]}").saveAsTable(self.names[-1])
         return self.spark.table(self.names[-1])
 
     def close(self) -> None:
         """Drop the runs; what ``frequent_keys`` gave stays."""
         for name in self.names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete(self.spark, self.folder)
         self.names, self.levels, self.frequent = [], [[]], []
 
     def add(self, docs: DataFrame, text_col: str = "text") -> None:
@@ -85,7 +92,7 @@ class LineRuns:
     def add_counts(self, counts: DataFrame) -> None:
         """As ``add``, of a batch that ``key_counts`` has counted."""
         for run in self.frequent:
-            counts = counts.join(run, ["h1", "h2"], "left_anti")
+            counts = counts.join(run.drop("n"), ["h1", "h2"], "left_anti")
         self.levels[0].append(self._run(counts))
         level = 0
         while len(self.levels[level]) >= self.fanout:
@@ -105,18 +112,18 @@ class LineRuns:
         return out
 
     def _settle(self, counts: DataFrame) -> DataFrame:
-        """Move keys that have become frequent to a run of theirs; a run of the rest."""
+        """Move keys that have become frequent to a run of theirs, with their counts so far; a run of the rest."""
         run = self._run(counts)
-        reached = run.filter(F.col("n") >= self.min_docs).select("h1", "h2")
+        reached = run.filter(F.col("n") >= self.min_docs)
         self.frequent.append(self._run(reached))
         return run.filter(F.col("n") < self.min_docs)
 
     def frequent_keys(self) -> DataFrame:
-        """Hashes of all keys found in ``min_docs`` documents or more, each once."""
+        """Hashes of all keys found in ``min_docs`` documents or more, each once, with their number of documents when they reached it."""
         left = [run for level in self.levels for run in level]
         if len(left) > 1 or self.levels[0]:
             self.levels = [[], [self._settle(self._merged(left))]]
-        found = self.frequent[0] if self.frequent else self.spark.createDataFrame([], "h1 long, h2 long")
+        found = self.frequent[0] if self.frequent else self.spark.createDataFrame([], "h1 long, h2 long, n long")
         for run in self.frequent[1:]:
             found = found.unionByName(run)
         return written(found, "line-frequent")
@@ -126,10 +133,17 @@ def drop_frequent_lines(docs: DataFrame, frequent: DataFrame, id_col: str = "doc
     """One row per document: the id, n_lines, n_dropped and the text without frequent lines."""
     base = docs.select(F.col(id_col).alias("id"), text_of(F.col(text_col)).alias("text")).withColumn("version", F.xxhash64("text"))
     lines = base.select("id", "version", F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("at", "key")).filter("key != ''")
-    hits = checked_join(lines.select("id", "version", "at", *key_hash(F.col("key"))), frequent, ["h1", "h2"], "left_semi")
-    hits = hits.groupBy(F.col("id").alias("hit_id"), F.col("version").alias("hit_version")).agg(F.array_sort(F.collect_set("at")).alias("drop"))
+    found = counted_join(lines.select("id", "version", "at", *key_hash(F.col("key"))), frequent, ["h1", "h2"], "inner", "n")
+    hits = found.groupBy(F.col("id").alias("hit_id"), F.col("version").alias("hit_version")).agg(F.array_sort(F.collect_set("at")).alias("drop"))
+    hits = written(hits, "line-hits")
+    same = base["id"].eqNullSafe(hits["hit_id"]) & (base["version"] == hits["hit_version"])
+    if fits(hits, hits.agg(F.coalesce(F.sum(F.size("drop") + 2), F.lit(0))).first()[0]):
+        rows = base.join(F.broadcast(hits), same, "left")
+    else:
+        told = may_have(base, key_filter(hits, ["hit_version"]), ["version"])
+        without = told.filter("not __may").select("*", *[F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in hits.columns])
+        rows = without.unionByName(told.filter("__may").join(hits, same, "left"))
     split = F.split("text", "\n", -1)
-    rows = base.join(hits, base["id"].eqNullSafe(hits["hit_id"]) & (base["version"] == hits["hit_version"]), "left")
     # What stays are the runs of lines between those that go.
     ends = F.concat("drop", F.array(F.size(split)))
     starts = F.concat(F.array(F.lit(0)), F.transform("drop", lambda at: at + 1))
@@ -145,11 +159,12 @@ def frequent_lines(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_i
     counts = key_counts(docs, F.pmod(F.xxhash64(id_col), F.lit(batches)).cast("int").alias("batch"), text_col=text_col)
     counts.write.partitionBy("batch").parquet(path)
     arrived = spark.read.schema(counts.schema).parquet(path)
-    for k in range(batches):
-        runs.add_counts(arrived.filter(F.col("batch") == k).drop("batch"))
-    frequent = runs.frequent_keys()
-    runs.close()
-    return frequent
+    try:
+        for k in range(batches):
+            runs.add_counts(arrived.filter(F.col("batch") == k).drop("batch"))
+        return runs.frequent_keys()
+    finally:
+        runs.close()
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
