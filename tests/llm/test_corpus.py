@@ -62,7 +62,7 @@ class TestSql:
 
 def test_exact_dedup(spark):
     rows = [*AWKWARD, (30, "a b"), (31, "ab"), (32, " a  b"), (33, "ab")]
-    out = exact_dedup.exact_groups(docs_of(spark, rows), digest_all=True).collect()
+    out = exact_dedup.exact_groups(docs_of(spark, rows)).collect()
     assert len(out) == len(rows)
     assert sorted({(r.text_sha256, r.keep_id, r.group_size) for r in out}, key=str) == sorted(dedup_rows(rows), key=str)
     kept = exact_dedup.drop_exact(docs_of(spark, rows))
@@ -71,6 +71,41 @@ def test_exact_dedup(spark):
     assert exact_dedup.drop_exact(docs_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [32 << 20, 0])
+def test_levels_of_refinement(spark, monkeypatch, broadcast):
+    """Each level sees what the one before left, however much may be broadcast; level 3 hashes no other text."""
+    from vertexloom.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_BYTES", broadcast)
+    long = "p" * exact_dedup.PREFIX
+    lengths_alone = [(i, "u" * (200 + i)) for i in range(20)]
+    prefixes_alone = [(100 + i, f"{i:03d}" + "v" * 97) for i in range(20)]
+    ends_alone = [(200 + i, long + f"{i:03d}") for i in range(20)]
+    copies = [(300 + i, "same text " + " " * i) for i in range(20)]
+    docs = docs_of(spark, [*lengths_alone, *prefixes_alone, *ends_alone, *copies])
+    read = exact_dedup._read(docs, "doc_id", "text", exact_dedup.PREFIX, ["text"], False)
+    first, left = exact_dedup.refined(read, "text")
+    assert {r[0] for r in first.select("__id").collect()} == {i for i, _ in [*prefixes_alone, *ends_alone, *copies]}
+    assert {r[0] for r in left.select("__id").collect()} == {i for i, _ in [*ends_alone, *copies]}
+    pairs = exact_dedup._shared(first.select("__len", "__prefix"), ["__len", "__prefix"], "t")
+    passed = common.may_have(read, common.key_filter(pairs, ["__len", "__prefix"]), ["__len", "__prefix"]).filter("__may")
+    assert passed.count() == left.count() == 40
+    both = exact_dedup.exact_groups(docs).filter("kept").select("doc_id").collect()
+    assert sorted(both) == sorted(exact_dedup.drop_exact(docs).select("doc_id").collect()) and len(both) == 61
+
+
+def test_key_filter(spark):
+    from vertexloom.llm import common
+
+    keys = common.key_filter(spark.range(0, 3000, 3).selectExpr("id as k", "id * 7 as m"), ["k", "m"])
+    rows = common.may_have(spark.range(3000).selectExpr("id as k", "id * 7 as m", "'x' as other"), keys, ["k", "m"])
+    assert rows.columns == ["k", "m", "other", "__may"] and rows.count() == 3000
+    found = {r.k for r in rows.filter("__may").collect()}
+    assert set(range(0, 3000, 3)) <= found and len(found) < 1010
+    none = common.key_filter(spark.range(0).selectExpr("id as k"), ["k"])
+    assert common.may_have(spark.range(5).selectExpr("id as k"), none, ["k"]).filter("__may").count() == 0
+
+
 def fingerprint(text, size):
     w = (text or "").encode().lower().split()
     if not w:
@@ -369,6 +404,37 @@ def test_one_file_makes_levels(spark):
     assert added[5] < added[4]
 
 
+def test_runs_are_deleted_after_a_failure(spark):
+    """A batch that fails leaves neither tables nor files."""
+    import os
+
+    class Runs(line_dedup.LineRuns):
+        def add_counts(self, counts):
+            if self.names:
+                assert os.path.isdir(self.folder.removeprefix("file://"))
+                raise RuntimeError("lost")
+            super().add_counts(counts)
+
+    before, runs = {t.name for t in spark.catalog.listTables()}, Runs(spark)
+    with pytest.raises(RuntimeError, match="lost"):
+        line_dedup.frequent_lines(docs_of(spark, [(i, "common\nown") for i in range(20)]), runs=runs)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert not os.path.isdir(runs.folder.removeprefix("file://"))
+
+
+def test_a_line_of_every_document(spark, monkeypatch):
+    """With nothing broadcast, a frequent line of all documents stays where it is, and documents without one aren't joined."""
+    from vertexloom.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    rows = [(i, f"Everywhere\nown {i}\neverywhere \nten {i % 30}") for i in range(300)] + [(1000 + i, f"alone {i}") for i in range(50)] + [(None, "everywhere"), (None, "alone too")]
+    docs = docs_of(spark, rows)
+    frequent = line_dedup.frequent_lines(docs)
+    assert {r.n for r in frequent.collect() if r.n > 30} and frequent.count() == 31
+    out = line_dedup.drop_frequent_lines(docs, frequent).collect()
+    assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in out), key=str) == sorted([(i, t.count("\n") + 1, sum(not line.startswith(("own", "alone")) for line in t.split("\n")), "\n".join(line for line in t.split("\n") if line.startswith(("own", "alone")))) for i, t in rows], key=str)
+
+
 class Session:
     """What shared_dir asks of a session."""
 

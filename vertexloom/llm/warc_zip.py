@@ -13,7 +13,10 @@ payload stays in their HTTP header. Packages are written once: their list is
 a table in the shared folder, and a package left by a lost task is in no list.
 
 Files are opened with pyarrow's file systems, so the folder can be any that
-all workers can open by its URI.
+all workers can open by its URI; one without a scheme is on Spark's default
+file system, and a scheme that they can't open raises before anything runs.
+Payloads that may be shared are shuffled by digest where the digests of
+copies are too many to broadcast.
 
 Defined cases: a null html is an empty payload; a null url gives no target
 URI; pages without an id are responses (a revisit must name its response),
@@ -36,6 +39,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vertexloom.functions.settle import place_for_workers
 from vertexloom.llm.common import counted_join, shared_path, small_batches, table, written
 
 PACKAGE_BYTES = 256 << 20
@@ -112,7 +116,7 @@ def write_packages(pages: DataFrame, folder: str, least: int = 0, package_bytes:
     same = written(same.filter("n > 1 and refers_to is not null").select("digest", "refers_to", "n"), "warc-same")
     joined = counted_join(rows, same, ["digest"], "left", "n")
     revisit = F.coalesce(F.col("page_id") != F.col("refers_to"), F.lit(False))
-    made = joined.select("page_id", "url", "html", "refers_to", revisit.alias("revisit")).mapInArrow(_write_packages(folder, package_bytes), "package string, records long, bytes long")
+    made = joined.select("page_id", "url", "html", "refers_to", revisit.alias("revisit")).mapInArrow(_write_packages(place_for_workers(pages.sparkSession, folder), package_bytes), "package string, records long, bytes long")
     return written(made, "warc-packages")
 
 
@@ -201,6 +205,7 @@ def _records(folder: str):
 
 def read_packages(packages: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """A row for each record of the packages: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    folder = place_for_workers(packages.sparkSession, folder)
     tasks = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = packages.select("package").repartition(tasks).mapInArrow(_chunks(folder, chunk_bytes), "package string, start long, lengths array<long>")
     return chunks.repartition(tasks).mapInArrow(_records(folder), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
