@@ -14,8 +14,8 @@ Keys are compared by two 64-bit hashes. Counts are made per task before
 they are shuffled, so a line of every document costs one row per task; they
 stay with the frequent keys, so that lines of nearly every document are
 joined where they are. Documents without a frequent line are told by a filter
-of a fixed size and go through as they are; where those with one are too many
-to broadcast, their texts alone are shuffled.
+of a fixed size and go through as they are; only the texts of the others are
+joined with their lines' places, which shuffles them.
 
 Defined cases: a null text is one empty line, as is an empty one; blank
 lines have the empty key and always stay; a very long text, or one of very
@@ -31,7 +31,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexloom.llm.common import SPACE, counted_join, delete, fits, key_filter, let, lower_ascii, may_have, shared_path, table, text_of, written
+from vertexloom.llm.common import SPACE, counted_join, delete, key_filter, let, lower_ascii, may_have, shared_path, table, text_of, written
 
 MIN_DOCS = 10
 FANOUT = 2
@@ -137,12 +137,9 @@ def drop_frequent_lines(docs: DataFrame, frequent: DataFrame, id_col: str = "doc
     hits = found.groupBy(F.col("id").alias("hit_id"), F.col("version").alias("hit_version")).agg(F.array_sort(F.collect_set("at")).alias("drop"))
     hits = written(hits, "line-hits")
     same = base["id"].eqNullSafe(hits["hit_id"]) & (base["version"] == hits["hit_version"])
-    if fits(hits, hits.agg(F.coalesce(F.sum(F.size("drop") + 2), F.lit(0))).first()[0]):
-        rows = base.join(F.broadcast(hits), same, "left")
-    else:
-        told = may_have(base, key_filter(hits, ["hit_version"]), ["version"])
-        without = told.filter("not __may").select("*", *[F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in hits.columns])
-        rows = without.unionByName(told.filter("__may").join(hits, same, "left"))
+    told = may_have(base, key_filter(hits, ["hit_version"]), ["version"])
+    without = told.filter("not __may").select("*", *[F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in hits.columns])
+    rows = without.unionByName(told.filter("__may").join(hits, same, "left"))
     split = F.split("text", "\n", -1)
     # What stays are the runs of lines between those that go.
     ends = F.concat("drop", F.array(F.size(split)))
