@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vertexloom.functions.settle import folder
@@ -56,6 +56,26 @@ def read_chains(spark, sf_dir):
     return tables.read_chains(spark, path)
 
 
+@query(
+    "s07_read_chain_settings",
+    cte("ch0", "ch")
+    + LINKED
+    + """, st AS (SELECT o_custkey AS chain_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS step, o_orderpriority AS priority, o_orderstatus AS status FROM orders),
+sk AS (SELECT * FROM st WHERE NOT (chain_id % 5 = 0 AND step >= 3) AND NOT (chain_id % 2 = 0 AND step = 1 AND chain_id % 3 = 0)),
+sl AS (SELECT *, row_number() OVER (PARTITION BY chain_id ORDER BY step) - 1 AS place FROM sk)
+SELECT coalesce(lk.chain_id, sl.chain_id) AS chain_id, coalesce(lk.step, sl.step) AS step, kind, params, prev_step, priority, status FROM lk FULL JOIN (SELECT * FROM sl WHERE place = step) sl ON lk.chain_id = sl.chain_id AND lk.step = sl.step""",
+)
+def read_chain_settings(spark, sf_dir):
+    """Chains and settings written together and read again: both up to their own gaps, some steps with settings alone."""
+    order = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    kept = fx.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("chain_id"), (F.row_number().over(order) - 1).alias("step"), F.create_map(F.lit("priority"), "o_orderpriority", F.lit("status"), "o_orderstatus").alias("settings"))
+    kept = kept.filter("not (chain_id % 5 = 0 and step >= 3) and not (chain_id % 2 = 0 and step = 1 and chain_id % 3 = 0)")
+    path = folder(spark, "chains")
+    tables.write_chains(fx.chains(spark, sf_dir), path, kept)
+    rows = tables.read_chain_settings(spark, path)
+    return rows.select("chain_id", "step", "kind", "params", "prev_step", F.col("settings")["priority"].alias("priority"), F.col("settings")["status"].alias("status"))
+
+
 @query("t03_final_transform", cte("ch0", "ch") + " SELECT chain_id, max(step) AS step, arg_max(kind, step) AS kind, arg_max(params, step) AS params FROM ch GROUP BY chain_id")
 def final_transform(spark, sf_dir):
     return transform.final_transform(fx.chains(spark, sf_dir))
@@ -104,6 +124,40 @@ def transform_image_nearest(spark, sf_dir):
     return rounded(transform.transform_image(_chained_images(spark, sf_dir), _linked(spark, sf_dir), 0), "v")
 
 
+def _mirror_sql(i: str, n: str) -> str:
+    return f"CASE WHEN abs({i}) > {n} - 1 THEN 2 * ({n} - 1) - abs({i}) ELSE abs({i}) END"
+
+
+#: Cubic spline coefficients by direct convolution with the prefilter's impulse response, 30 pixels to either side, mirrored at the ends.
+SPLINE = ", hh AS (SELECT image_id, max(x) + 1 AS w, max(y) + 1 AS h FROM gray GROUP BY image_id), zz AS (SELECT d, -6 * z / (1 - z * z) * z ** abs(d) AS q FROM range(-30, 31) r(d), (SELECT sqrt(3) - 2 AS z))" + "".join(
+    f""", {name} AS (SELECT p.image_id, p.y, p.x, sum(q * s.v) AS v FROM {source} p JOIN hh USING (image_id) CROSS JOIN zz JOIN {source} s ON s.image_id = p.image_id AND s.{other} = p.{other} AND s.{along} = {_mirror_sql(f"(p.{along} + d)", f"hh.{size}")} GROUP BY ALL)"""
+    for name, source, along, other, size in (("c1", "gray", "x", "y", "w"), ("c2", "c1", "y", "x", "h"))
+)
+TAPS = ", tp AS (SELECT * FROM (VALUES (-1), (0), (1), (2)) v(i))"
+
+
+def _tap_sql(i: str, t: str) -> str:
+    return f"CASE {i} WHEN -1 THEN (1 - {t}) ** 3 / 6 WHEN 0 THEN (3 * {t} ** 3 - 6 * {t} ** 2 + 4) / 6 WHEN 1 THEN (-3 * {t} ** 3 + 3 * {t} ** 2 + 3 * {t} + 1) / 6 ELSE {t} ** 3 / 6 END"
+
+
+@query(
+    "t05_cubic",
+    recursive(
+        cte("gray", "ch0", "ch")
+        + LINKED
+        + moved_sql(IMAGE_POINTS)
+        + SPLINE
+        + TAPS
+        + f""", f AS (SELECT k.i AS image_id, chain_id, k.y AS y, k.x AS x, floor(pts.x)::INT AS fx, floor(pts.y)::INT AS fy, pts.x - floor(pts.x) AS wx, pts.y - floor(pts.y) AS wy, pts.x BETWEEN 0 AND w - 1 AND pts.y BETWEEN 0 AND h - 1 AS inside, w, h FROM pts JOIN hh ON hh.image_id = k.i),
+b AS (SELECT f.image_id, chain_id, f.y, f.x, sum(({_tap_sql("a.i", "wx")}) * ({_tap_sql("b.i", "wy")}) * c2.v) AS v FROM f CROSS JOIN tp a CROSS JOIN tp b
+  JOIN c2 ON c2.image_id = f.image_id AND c2.x = {_mirror_sql("(fx + a.i)", "w")} AND c2.y = {_mirror_sql("(fy + b.i)", "h")} WHERE inside GROUP BY ALL)
+SELECT f.image_id, f.chain_id, f.y, f.x, round(coalesce(b.v, 0), 6) + 0.0 AS v FROM f LEFT JOIN b ON b.image_id = f.image_id AND b.chain_id = f.chain_id AND b.y = f.y AND b.x = f.x"""
+    ),
+)
+def transform_image_cubic(spark, sf_dir):
+    return rounded(transform.transform_image(_chained_images(spark, sf_dir), _linked(spark, sf_dir), 3), "v")
+
+
 PAIRS = ", pr AS (SELECT a.image_id AS pair_id, a.y AS y, a.x AS x, a.v + 1 AS fixed, b.v + 1 AS moving FROM gray a JOIN gray b ON b.image_id = a.image_id + 1 AND b.y = a.y AND b.x = a.x)"
 
 
@@ -129,6 +183,62 @@ def pair_similarity(spark, sf_dir):
     return rounded(transform.pair_similarity(_pairs(spark, sf_dir)), "mutual_information", "mean_square")
 
 
+SOFT = """, cp AS (SELECT pair_id, 0 AS c, y, x, fixed, moving FROM pr UNION ALL SELECT pair_id, 1, y, x, 2 * fixed, moving * moving FROM pr),
+ce AS (SELECT pair_id, c, min(fixed) AS fl, max(fixed) AS fh, min(moving) AS ml, max(moving) AS mh FROM cp GROUP BY ALL),
+cb AS (SELECT pair_id, c, least(29, floor((fixed - fl) * 28 / (fh - fl) + 2)) AS bf, (moving - ml) * 28 / (mh - ml) + 2 AS place FROM cp JOIN ce USING (pair_id, c)),
+ct AS (SELECT *, least(29, floor(place)) AS low, place - least(29, floor(place)) AS t FROM cb)"""
+
+
+@query(
+    "t06_weighted_similarity",
+    cte("gray")
+    + PAIRS
+    + SOFT
+    + TAPS
+    + f""", j AS (SELECT pair_id, c, bf, low + i AS bm, sum({_tap_sql("i", "t")}) AS w FROM ct CROSS JOIN tp GROUP BY ALL HAVING sum({_tap_sql("i", "t")}) > 0),
+s AS (SELECT *, sum(w) OVER (PARTITION BY pair_id, c) AS n, sum(w) OVER (PARTITION BY pair_id, c, bf) AS nf, sum(w) OVER (PARTITION BY pair_id, c, bm) AS nm FROM j),
+m AS (SELECT pair_id, c, sum(w / n * ln(w * n / (nf * nm))) AS info FROM s GROUP BY ALL),
+d AS (SELECT pair_id, c, avg((fixed - moving) ** 2) AS square FROM cp GROUP BY ALL)
+SELECT pair_id, round(sum(info * (3 - 2 * c) / 4), 6) AS mutual_information, round(sum(square * (3 - 2 * c) / 4), 6) AS mean_square FROM m JOIN d USING (pair_id, c) GROUP BY pair_id""",
+)
+def weighted_similarity(spark, sf_dir):
+    """Two channels, the first one counting three times as much."""
+    one = _pairs(spark, sf_dir).withColumn("c", F.lit(0))
+    both = one.unionByName(one.withColumns({"c": F.lit(1), "fixed": 2 * F.col("fixed"), "moving": F.col("moving") * F.col("moving")}))
+    return rounded(transform.weighted_similarity(both, {0: 0.75, 1: 0.25}), "mutual_information", "mean_square")
+
+
+def _gauss_sql(source: str, name: str, sigma: float, keys: str) -> str:
+    """``name`` has ``source`` (keys, y, x, v) smoothed along x, then y, over the pixels within three deviations."""
+    out, last = "", source
+    for i, (along, other) in enumerate((("x", "y"), ("y", "x"))):
+        to = name if i else f"{name}_x"
+        on = " AND ".join(f"p.{k} = s.{k}" for k in keys.split(", "))
+        out += f""", {to} AS (SELECT {", ".join(f"p.{k}" for k in keys.split(", "))}, p.y, p.x, sum(s.v * exp(-0.5 * (d / {sigma}) ** 2)) / sum(exp(-0.5 * (d / {sigma}) ** 2)) AS v
+  FROM {last} p CROSS JOIN range(-ceil(3 * {sigma})::INT, ceil(3 * {sigma})::INT + 1) r(d) JOIN {last} s ON {on} AND s.{other} = p.{other} AND s.{along} = p.{along} + d GROUP BY ALL)"""
+        last = to
+    return out
+
+
+@query(
+    "t07_smoothing_pyramid",
+    cte("gray") + _gauss_sql("gray", "g0", 4.0, "image_id") + _gauss_sql("gray", "g1", 1.0, "image_id")
+    + " SELECT image_id, 0 AS level, y, x, round(v, 6) + 0.0 AS v FROM g0 UNION ALL SELECT image_id, 1, y, x, round(v, 6) + 0.0 FROM g1",
+)
+def smoothing_pyramid(spark, sf_dir):
+    return rounded(transform.smoothing_pyramid(fx.gray_raster(spark, sf_dir), [(8, 8), (2, 2)]), "v")
+
+
+@query(
+    "t07_recursive_pyramid",
+    cte("gray") + _gauss_sql("gray", "g1", 1.0, "image_id") + ", k1 AS (SELECT image_id, y // 2 AS y, x // 2 AS x, v FROM g1 WHERE y % 2 = 0 AND x % 2 = 0)"
+    + _gauss_sql("k1", "g0", 2.0, "image_id") + ", k0 AS (SELECT image_id, y // 4 AS y, x // 4 AS x, v FROM g0 WHERE y % 4 = 0 AND x % 4 = 0)"
+    + " SELECT image_id, 0 AS level, y::INT AS y, x::INT AS x, round(v, 6) + 0.0 AS v FROM k0 UNION ALL SELECT image_id, 1, y::INT, x::INT, round(v, 6) + 0.0 FROM k1",
+)
+def recursive_pyramid(spark, sf_dir):
+    return rounded(transform.recursive_pyramid(fx.gray_raster(spark, sf_dir), [(8, 8), (2, 2)]), "v")
+
+
 @query(
     "t07_image_pyramid",
     cte("gray") + " SELECT image_id, level, (y // f)::INT AS y, (x // f)::INT AS x, round(avg(v), 6) + 0.0 AS v FROM gray, (VALUES (0, 8), (1, 4), (2, 2)) l(level, f) GROUP BY ALL",
@@ -170,6 +280,28 @@ def sample_pixels(spark, sf_dir):
     return transform.sample_pixels(fx.gray_raster(spark, sf_dir), 512, 3).select("image_id", "y", "x")
 
 
+@query(
+    "t09_sample_coordinates",
+    cte("gray")
+    + """, e AS (SELECT image_id, min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy FROM gray GROUP BY image_id),
+m AS (SELECT *, xor(xor(k * 73856093, image_id * 19349663), 7 * 83492791 + 2 * 2654435761) % 2147483647 AS mixed FROM e, range(300) r(k)),
+u AS (SELECT *, (mixed * 48271 + 1) % 2147483647 * 48271 % 2147483647 AS u FROM m),
+p AS (SELECT image_id, k, lx + u / 2147483647 * (hx - lx) AS x, ly + (u * 48271 % 2147483647) / 2147483647 * (hy - ly) AS y FROM u)
+SELECT p.image_id, k, round(p.x, 6) AS x, round(p.y, 6) AS y, round(sum(g.v * (1 - abs(g.x - p.x)) * (1 - abs(g.y - p.y))), 6) + 0.0 AS v
+FROM p JOIN gray g ON g.image_id = p.image_id AND g.x IN (floor(p.x), floor(p.x) + 1) AND g.y IN (floor(p.y), floor(p.y) + 1) GROUP BY p.image_id, k, p.x, p.y""",
+)
+def sample_coordinates(spark, sf_dir):
+    """300 places of each image off the lattice, those of the third iteration."""
+    return rounded(transform.sample_coordinates(fx.gray_raster(spark, sf_dir), 300, 7, 2), "x", "y", "v")
+
+
+@query("t09_samplers", cte("gray") + " SELECT 'Grid' AS sampler, image_id, x::DOUBLE AS x, y::DOUBLE AS y, round(v, 6) + 0.0 AS v FROM gray WHERE x % 3 = 0 AND y % 2 = 0 UNION ALL SELECT 'Full', image_id, x, y, round(v, 6) + 0.0 FROM gray")
+def samplers(spark, sf_dir):
+    gray = fx.gray_raster(spark, sf_dir)
+    grid, full = (transform.sample(gray, s, spacing=(3, 2)).select(F.lit(s).alias("sampler"), "*") for s in ("Grid", "Full"))
+    return rounded(grid.unionByName(full), "v")
+
+
 @query(
     "t10_deformation_stats",
     recursive(
