@@ -1,6 +1,8 @@
 """Readers and writers on files of their own, and what works on rows of files."""
 
 import math
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +11,8 @@ from vertexloom.operators import frames, sections, spots, transform
 from vertexloom.sources.frames import list_frames, match_outputs
 from vertexloom.sources.points import read_transformed_points, write_points
 from vertexloom.sources.spots import read_spots
-from vertexloom.sources.svg import flatten_path, read_svg_paths
-from vertexloom.sources.tables import read_chains, read_rois, write_chains, write_rois
+from vertexloom.sources.svg import SPAN, flatten_paths, read_svg_elements, read_svg_paths
+from vertexloom.sources.tables import read_chain_settings, read_chains, read_rois, write_chains, write_rois
 from vertexloom.streaming.spots import stream_spots
 
 
@@ -44,24 +46,171 @@ def test_points(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "out"), wholetext=True).first().value == "point\n2\n1.0\t2.5\n3.0\t4.0\n"
 
 
+NUMBERS = {"M": 2, "L": 2, "H": 1, "V": 1, "C": 6, "S": 4, "Q": 4, "T": 2, "A": 7, "Z": 0}
+NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
+
+
+def exact_path(d):
+    """Pieces (sub-path, points at 200 places after the start, or one for a line) of a path's text, one command after another."""
+    out, x, y, sx, sy, last, control, part = [], 0.0, 0.0, 0.0, 0.0, "", (0.0, 0.0), -1
+    for letter, rest in re.findall(r"([MmLlHhVvCcSsQqTtAaZz])([^MmLlHhVvCcSsQqTtAaZz]*)", d):
+        command, n = letter.upper(), NUMBERS[letter.upper()]
+        if command == "A":
+            rest = re.sub(rf"({NUMBER})[\s,]*({NUMBER})[\s,]*({NUMBER})[\s,]*([01])[\s,]*([01])[\s,]*(?={NUMBER}[\s,]*{NUMBER})", r"\1 \2 \3 \4 \5 ", rest)
+        numbers = [float(v) for v in re.findall(NUMBER, rest)]
+        for k in range(len(numbers) // n if n else 1):
+            g, (bx, by) = numbers[k * n : k * n + n], (x, y) if letter.islower() else (0.0, 0.0)
+            start, points = (x, y), None
+            if command == "Z":
+                end = (sx, sy)
+            elif command in "HV":
+                end = (bx + g[0], y) if command == "H" else (x, by + g[0])
+            else:
+                end = (bx + g[-2], by + g[-1])
+            if command == "M" and k == 0:
+                part, sx, sy = part + 1, *end
+            if command in "CSQT":
+                given = [(bx + g[i], by + g[i + 1]) for i in range(0, len(g) - 2, 2)]
+                if command in "ST":
+                    given.insert(0, (2 * x - control[0], 2 * y - control[1]) if last in ("CS" if command == "S" else "QT") and last else start)
+                control, ends = given[-1], [start, *given, end]
+                m = len(ends) - 1
+                points = [tuple(sum(math.comb(m, j) * u**j * (1 - u) ** (m - j) * p[c] for j, p in enumerate(ends)) for c in (0, 1)) for u in (i / 200 for i in range(1, 201))]
+            elif command == "A" and g[0] and g[1] and start != end:
+                points = arc_places(start, *g[:5], end)
+            if command != "Z" or start != end:
+                out.append((part, points or [end], points is not None))
+            (x, y), last = end, command
+    return out
+
+
+def arc_places(start, rx, ry, turned, large, sweep, end):
+    """200 places on an elliptical arc, by trying both centres."""
+    t = math.radians(turned)
+    spin = lambda p, s: (p[0] * math.cos(s) - p[1] * math.sin(s), p[0] * math.sin(s) + p[1] * math.cos(s))
+    rx, ry = abs(rx), abs(ry)
+    a, b = ((q[0] / rx, q[1] / ry) for q in (spin(start, -t), spin(end, -t)))
+    half = math.dist(a, b) / 2
+    grown = max(half, 1.0)
+    a, b = ((p[0] / grown, p[1] / grown) for p in (a, b))
+    mid, h = ((a[0] + b[0]) / 2, (a[1] + b[1]) / 2), math.sqrt(max(0.0, 1 - (half / grown) ** 2))
+    across = ((a[1] - b[1]) / math.dist(a, b), (b[0] - a[0]) / math.dist(a, b))
+    for side in (h, -h):
+        c = (mid[0] + side * across[0], mid[1] + side * across[1])
+        begin, stop = math.atan2(a[1] - c[1], a[0] - c[0]), math.atan2(b[1] - c[1], b[0] - c[0])
+        turn = (stop - begin) % (2 * math.pi) if sweep else -((begin - stop) % (2 * math.pi))
+        if (abs(turn) > math.pi) == bool(large) or h == 0:
+            break
+    return [spin(((c[0] + math.cos(begin + turn * i / 200)) * rx * grown, (c[1] + math.sin(begin + turn * i / 200)) * ry * grown), t) for i in range(1, 201)]
+
+
+def distance_to(p, a, b):
+    dx, dy = b[0] - a[0], b[1] - a[1]
+    u = max(0.0, min(1.0, ((p[0] - a[0]) * dx + (p[1] - a[1]) * dy) / (dx * dx + dy * dy))) if (dx, dy) != (0, 0) else 0.0
+    return math.dist(p, (a[0] + u * dx, a[1] + u * dy))
+
+
+def flat_paths(spark, texts, tolerance=0.1):
+    rows = flatten_paths(spark.createDataFrame(list(enumerate(texts)), "id int, d string"), ["id"], tolerance).orderBy("id", "vertex_ix").collect()
+    out = {i: [] for i in range(len(texts))}
+    for r in rows:
+        out[r.id].append((r.vertex_ix // SPAN, r.poly_ix, (r.x, r.y)))
+    return out
+
+
+PATHS = [
+    "M0 0 H2 V2 Z m5,5 l1,0", "m1 1 h 30 v -20 z", "M1 2 3 4 5 6 z l1 1 m2 2 3 3 z m1 0 h4", "m1,1 m2,2 l1 0 z m1 1 z m1 1 v3 h-2 V9 h1", "M0 0 Q1 2 2 0 T4 0 C4 1 5 1 5 0 S6 -1 6 0", "M0 0 T4 5 t3 3 q10 10 5 0 t7 7 t1 -9 T3 3 L9 9 T1 1", "M5 5 s10 20 30 -4 S9 9 0 0 c1 2 30 4 50 6 s7 8 9 9 Q1 1 2 2 S4 4 30 5",
+    "M0 0 a5,5 0 0110,0 A5 5 0 0 1 0 0", "M0 0 A5 5 0 0 0 10 0", "M0 0 A 4 2 90 1 0 0 8", "M0 0 A0 5 0 0 1 3 4 A5 5 0 0 1 3 4", "M0 0 A1 1 0 0 1 10 0", "m3 3 a30 10 25 1 1 20 -5 a30 10 25 1 0 -20 5 30 10 -40 0 1 9 9", "L5 5 H9", "", None, "M1e1-5.5.5 L-1-2", "Z M3 3 Z L4 4 M9 9 Z Z l1 1",
+]
+
+
+def test_paths_keep_within_the_tolerance(spark):
+    """Against one command after another: lines are the same, and no place of a curve is further from its pieces than the tolerance."""
+    rng = random.Random(12)
+    commands = "MmLlHhVvCcSsQqTtAaZz"
+
+    def numbers(letter):
+        if letter in "Aa":
+            return f"{rng.randint(0, 40)} {rng.randint(1, 40)} {rng.randint(-90, 90)} {rng.randint(0, 1)} {rng.randint(0, 1)} {rng.randint(-50, 50)} {rng.randint(-50, 50)}"
+        return " ".join(str(rng.randint(-50, 50)) for _ in range(NUMBERS[letter.upper()] * rng.randint(1, 3)))
+
+    texts = PATHS + ["M1 1 " + " ".join(letter + numbers(letter) for letter in rng.choices(commands, k=rng.randint(1, 25))) for _ in range(60)]
+    made = flat_paths(spark, texts)
+    for i, text in enumerate(texts):
+        by_segment = {}
+        for segment, part, p in made[i]:
+            by_segment.setdefault((segment, part), []).append(p)
+        want = exact_path(text or "")
+        got = list(by_segment.items())
+        assert [part for (_, part), _ in got] == [part for part, *_ in want], text
+        start = (0.0, 0.0)
+        for (_, pieces), (_, places, curved) in zip(got, want, strict=True):
+            assert pieces[-1] == pytest.approx(places[-1], abs=1e-7), text
+            line = [start, *pieces]
+            if curved:
+                assert max(min(distance_to(p, a, b) for a, b in zip(line, line[1:], strict=False)) for p in places) < 0.1 + 1e-6, text
+            else:
+                assert len(pieces) == 1
+            start = pieces[-1]
+
+
+def test_large_curves(spark):
+    """A curve of 10,000 units has as many pieces as it needs, and a small one few."""
+    texts = ["M0 0 C0 10000 10000 10000 10000 0", "M0 0 Q1 2 2 0", "M0 0 A5000 5000 0 0 1 10000 0"]
+    made = flat_paths(spark, texts, 0.5)
+    assert 90 < len(made[0]) < 200 and len(made[1]) == 3 and 90 < len(made[2]) < 200
+    for i in (0, 2):
+        line = [p for *_, p in made[i]]
+        for _, places, curved in exact_path(texts[i])[1:]:
+            assert curved and max(min(distance_to(p, a, b) for a, b in zip(line, line[1:], strict=False)) for p in places) < 0.5
+
+
 def test_svg(spark, tmp_path):
     svg = '<svg><g><path structure_id="7" d="M0,0 L40,0"/><path structure_id="8" d="m 1 1 h 30 v -20 z"/></g></svg>'
     rows = read_svg_paths(spark, put(tmp_path, **{"a.svg": svg}), 10.0, 2.0).orderBy("name", "vertex_ix").collect()
     assert [(r.x, r.y) for r in rows if r.name == "7"] == [(0.0, 0.0), (10.0, 0.0)]
     assert rows[0].colour == [150, 150, 150]
-    assert flatten_path("M0 0 H2 V2 Z m5,5 l1,0") == [(0, 0.0, 0.0), (0, 2.0, 0.0), (0, 2.0, 2.0), (0, 0.0, 0.0), (1, 5.0, 5.0), (1, 6.0, 5.0)]
     assert sorted({(r.roi_ix, r.name) for r in rows}) == [(0, "7"), (1, "8")]
-    circle = flatten_path("M0 0 a5,5 0 0110,0 A5 5 0 0 1 0 0")
-    assert len(circle) == 33 and all(abs(math.hypot(x - 5, y) - 5) < 1e-9 for _, x, y in circle) and min(y for *_, y in circle) == pytest.approx(-5)
-    other = flatten_path("M0 0 A5 5 0 0 0 10 0")
-    assert max(y for *_, y in other) == pytest.approx(5) and other[-1] == (0, 10.0, 0.0)
-    turned = flatten_path("M0 0 A 4 2 90 1 0 0 8")
-    assert len(turned) == 17 and all((x / 2) ** 2 + ((y - 4) / 4) ** 2 == pytest.approx(1) for _, x, y in turned)
-    assert flatten_path("M0 0 A0 5 0 0 1 3 4 A5 5 0 0 1 3 4") == [(0, 0.0, 0.0), (0, 3.0, 4.0), (0, 3.0, 4.0)]
-    grown = flatten_path("M0 0 A1 1 0 0 1 10 0")
-    assert min(y for *_, y in grown) == pytest.approx(-5)
-    curve = flatten_path("M0 0 Q1 2 2 0 T4 0 C4 1 5 1 5 0 S6 -1 6 0")
-    assert curve[-1] == (0, 6.0, 0.0) and len(curve) == 65 and flatten_path(None) == []
+
+
+def test_svg_files_of_one_name_and_broken_ones(spark, tmp_path):
+    for name, d in (("a", "M0 0 L40 0"), ("b", "M1000 0 L1040 0"), ("a/b c%20+é", "M5 5 L45 5")):
+        (tmp_path / name).mkdir(exist_ok=True)
+        (tmp_path / name / "x.svg").write_text(f'<svg><path structure_id="7" d="{d}"/></svg>')
+    (tmp_path / "cut.svg").write_text('<svg><path d="M0 0')
+    (tmp_path / "bytes.svg").write_bytes(b'<?xml version="1.0" encoding="utf-8"?><svg><path d="\xff"/></svg>')
+    (tmp_path / "empty.svg").write_text("")
+    rows = read_svg_paths(spark, str(tmp_path), 10.0).collect()
+    assert {s: sorted(r.x for r in rows if r.set_id == s) for s in {r.set_id for r in rows}} == {"a/x.svg": [0.0, 10.0, 20.0, 30.0], "b/x.svg": [1000.0, 1010.0, 1020.0, 1030.0], "a/b c%20+é/x.svg": [5.0, 15.0, 25.0, 35.0]}
+    errors = {r.set_id: r.error for r in read_svg_elements(spark, str(tmp_path)).filter("error is not null").collect()}
+    assert {"cut.svg", "bytes.svg"} <= set(errors) <= {"cut.svg", "bytes.svg", "empty.svg"} and all(errors.values())
+
+
+def test_files_of_one_name_in_two_folders(spark, tmp_path):
+    line = "Point\t%d\t; InputIndex = [ 1 2 ]\t; InputPoint = [ 1.5 2.0 ]\t; OutputIndexFixed = [ 2 2 ]\t; OutputPoint = [ 2.5 1 ]\t; Deformation = [ 1.0 0.0 ]\n"
+    for i, name in enumerate(("one", "two-t5")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "s-t3.csv").write_text("head\n1,2,3,0.4\n")
+        (tmp_path / name / "s-t3.tif").write_text("x")
+        (tmp_path / name / "out.txt").write_text(line % i)
+    spots_read = {(r.file, r.t, r.spot_ix) for r in read_spots(spark, str(tmp_path)).collect()}
+    assert spots_read == {("one/s-t3.csv", 3, 0), ("two-t5/s-t3.csv", 3, 0)}
+    assert {r.file for r in read_transformed_points(spark, f"file://{tmp_path}").collect()} == {"one/out.txt", "two-t5/out.txt"}
+    assert {r.file for r in read_spots(spark, f"{tmp_path}/*").collect()} == {"one/s-t3.csv", "two-t5/s-t3.csv"}
+    assert {r.file for r in read_spots(spark, f"{tmp_path}/one/s-t3.csv").collect()} == {"s-t3.csv"}
+    listed = list_frames(spark, str(tmp_path)).filter("role in ('input', 'spots') and file like '%s-t3%'").collect()
+    assert {(r.title, r.t) for r in listed} == {("one/s", 3), ("two-t5/s", 3)}
+
+
+def test_settings_beside_chains(spark, tmp_path):
+    chains = spark.createDataFrame([("c", k, "translation", [1.0, float(k)]) for k in (0, 1, 3)], "chain_id string, step int, kind string, params array<double>")
+    settings = spark.createDataFrame([("c", 0, {"Metric": "A"}), ("c", 1, {"Metric": "B", "Bins": "32"}), ("c", 2, {"Metric": "C"}), ("c", 4, {"Metric": "D"}), ("d", 1, {"Metric": "E"})], "chain_id string, step int, settings map<string,string>")
+    write_chains(chains, str(tmp_path / "c"), settings)
+    rows = {(r.chain_id, r.step): (r.kind, r.prev_step, r.settings) for r in read_chain_settings(spark, str(tmp_path / "c")).collect()}
+    assert rows == {("c", 0): ("translation", None, {"Metric": "A"}), ("c", 1): ("translation", 0, {"Metric": "B", "Bins": "32"}), ("c", 2): (None, None, {"Metric": "C"})}
+    assert sorted(r.step for r in read_chains(spark, str(tmp_path / "c")).collect()) == [0, 1]
+    write_chains(chains, str(tmp_path / "plain"))
+    assert {r.settings for r in read_chain_settings(spark, str(tmp_path / "plain")).collect()} == {None}
 
 
 def test_frames(spark, tmp_path):

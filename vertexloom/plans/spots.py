@@ -102,10 +102,10 @@ def write_points(spark, sf_dir):
     + f""", p AS (SELECT set_id, vertex_ix, x, y, set_id % 3 AS kind FROM op),
 b AS (SELECT set_id, kind, count(*) AS n, min(vertex_ix) FILTER (true) AS v FROM p GROUP BY ALL),
 m AS (SELECT set_id, 0 AS poly_ix, vertex_ix * 100 AS vertex_ix, x, y FROM p
-  UNION ALL SELECT p.set_id, 0, b.n * 100 + i, (1 - i / 16) ** 2 * x + 2 * (i / 16) * (1 - i / 16) * (x + 40) + (i / 16) ** 2 * (x + 80), (1 - i / 16) ** 2 * y + 2 * (i / 16) * (1 - i / 16) * (y + 60) + (i / 16) ** 2 * y
-    FROM p JOIN b ON b.set_id = p.set_id AND p.vertex_ix = b.n - 1 AND b.kind = 1, range(1, 17) r(i)
-  UNION ALL SELECT p.set_id, 0, b.n * 100 + i, x + 30 - 30 * cos(pi() * i / 16), y - 30 * sin(pi() * i / 16)
-    FROM p JOIN b ON b.set_id = p.set_id AND p.vertex_ix = b.n - 1 AND b.kind = 2, range(1, 17) r(i)
+  UNION ALL SELECT p.set_id, 0, b.n * 100 + i, (1 - i / k) ** 2 * x + 2 * (i / k) * (1 - i / k) * (x + 40) + (i / k) ** 2 * (x + 80), (1 - i / k) ** 2 * y + 2 * (i / k) * (1 - i / k) * (y + 60) + (i / k) ** 2 * y
+    FROM p JOIN b ON b.set_id = p.set_id AND p.vertex_ix = b.n - 1 AND b.kind = 1, (SELECT k, unnest(range(1, k + 1)) AS i FROM (SELECT ceil(sqrt(120 / (4 * 0.1)))::INT AS k)) r
+  UNION ALL SELECT p.set_id, 0, b.n * 100 + i, x + 30 - 30 * cos(pi() * i / k), y - 30 * sin(pi() * i / k)
+    FROM p JOIN b ON b.set_id = p.set_id AND p.vertex_ix = b.n - 1 AND b.kind = 2, (SELECT k, unnest(range(1, k + 1)) AS i FROM (SELECT ceil(pi() / (2 * acos(1 - 0.1 / 30)))::INT AS k)) r
   UNION ALL SELECT p.set_id, 1, b.n * 100 + 100 + i, x + [5, 65, 65][i + 1], y + [5, 5, 45][i + 1]
     FROM p JOIN b ON b.set_id = p.set_id AND p.vertex_ix = b.n - 1 AND b.kind = 0, range(3) r(i)),
 w AS (SELECT set_id // {GROUP} AS f, set_id, poly_ix, vertex_ix, x, y FROM m),

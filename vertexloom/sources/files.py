@@ -5,11 +5,28 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vertexloom.functions.settle import place_for_workers, settled
 
 
+def name_under(spark: SparkSession, path: str, file: Column) -> Column:
+    """What a file's URI is called under a path that was read: folders count, so that files of one name in two folders stay two. Where the path is the file itself, or a pattern, it is the name behind the pattern's last whole folder."""
+    fixed = path
+    for mark in "*?[{":
+        fixed = fixed.partition(mark)[0]
+    place = spark._jvm.org.apache.hadoop.fs.Path(fixed if fixed == path else fixed.rpartition("/")[0] or "/")
+    uri = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toUri()
+    own = F.regexp_replace(file, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    name = F.element_at(F.split(own, "/"), -1)
+    out = name
+    for root in dict.fromkeys((str(uri.getRawPath()), str(uri.getPath()))):
+        root = root.rstrip("/") + "/"
+        out = F.when(F.startswith(own, F.lit(root)), F.substring(own, F.lit(len(root) + 1), F.length(own))).otherwise(out)
+    return out
+
+
 def write_files(files: DataFrame, folder: str) -> DataFrame:
     """Write each text of ``file, value`` under its name, which may have folders in it; gives ``file, length`` of what was written.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vertexloom.sources.files import name_under
+
 #: The fields of a line of transformed points.
 FIELDS = ("InputIndex", "InputPoint", "OutputIndexFixed", "OutputPoint", "Deformation")
 
@@ -23,8 +25,9 @@ def parse_transformed_points(lines: DataFrame) -> DataFrame:
 
 
 def read_transformed_points(spark: SparkSession, path: str) -> DataFrame:
+    """Points of the files under a path; a file is named by its path there."""
     lines = spark.read.option("recursiveFileLookup", True).text(path)
-    return parse_transformed_points(lines.select(F.col("_metadata.file_name").alias("file"), "value"))
+    return parse_transformed_points(lines.select(name_under(spark, path, F.col("_metadata.file_path")).alias("file"), "value"))
 
 
 def points_text(points: DataFrame) -> DataFrame:

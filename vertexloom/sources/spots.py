@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vertexloom.sources.files import name_under
 from vertexloom.sources.frames import frame_of
 
 
@@ -28,6 +29,6 @@ def parse_spots(files: DataFrame) -> DataFrame:
 
 
 def read_spots(spark: SparkSession, path: str) -> DataFrame:
-    """Spots of all CSV files under a folder; spot_ix is the line's number, so it orders them and may have gaps."""
+    """Spots of all CSV files under a folder, each named by its path there; spot_ix is the line's number, so it orders them and may have gaps."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path, wholetext=True)
-    return parse_spots(files.select(F.col("_metadata.file_name").alias("file"), "value"))
+    return parse_spots(files.select(name_under(spark, path, F.col("_metadata.file_path")).alias("file"), "value"))
