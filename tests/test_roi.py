@@ -193,6 +193,19 @@ def test_subpaths(spark):
     assert places(made.filter("poly_ix = 0")) == [(11, 1), (13, 1), (13, 4), (11, 4)]
 
 
+def test_plain_shapes(spark):
+    rows = [(0, "rectangle", [1.9, -1.9, 4.2, 2.8]), (1, "line", [0.5, 0.5, 9.9, -9.9]), (2, "polygon", [0.9, 1.1, 5.0, 5.5, 2.2]), (3, "ellipse", [10.7, 20.2, 40.9, 20.1]), (4, "ellipse", [1.0, 1.0, 0.9, 0.9]), (5, "star", [1.0] * 4), (6, "line", [1.0])]
+    made = roi.plain_shapes(spark.createDataFrame(rows, "path_id int, kind string, a array<double>"))
+    of = lambda k: places(made.filter(f"path_id = {k}"))
+    assert of(0) == [(1, -1), (5, -1), (5, 1), (1, 1)]
+    assert of(1) == [(0, 0), (9, -9)] and of(2) == [(0, 1), (5, 5)] and of(5) == of(6) == []
+    round_ = of(3)
+    assert round_[0] == (50, 30) and all(((x - 30) / 20) ** 2 + ((y - 30) / 10) ** 2 == pytest.approx(1) for x, y in round_)
+    widest = max(20 - math.hypot((a[0] + b[0]) / 2 - 30, ((a[1] + b[1]) / 2 - 30) * 2) for a, b in zip(round_, round_[1:] + round_[:1], strict=True))
+    assert widest < 0.1 + 1e-6 and len(round_) < 40
+    assert of(4) == [(1, 1)] * 8
+
+
 def test_nest_and_explode(spark):
     vertices = polygon(spark, *SQUARE).unionByName(polygon(spark, (0, 0), (1, 1), poly_ix=1))
     back = roi.explode_vertices(roi.nest_vertices(vertices))

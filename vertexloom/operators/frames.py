@@ -13,6 +13,8 @@ from vertexloom.functions.settle import settled
 
 #: Bins of the first pass over an image's values.
 BINS = 4096
+#: Rows of an image whose pixels meet what is known of it together.
+ROWS = 64
 PLANE = ["image_id", "c", "z", "t"]
 FRAME = ["image_id", "t"]
 
@@ -140,20 +142,32 @@ def run_on_frames(planes: DataFrame, load: Callable, schema: str) -> DataFrame:
     return planes.repartition(*FRAME).sortWithinPartitions(*FRAME, "z", "c").mapInPandas(run, schema)
 
 
-def percentiles(pixels: DataFrame, shares: list[float], bins: int = BINS) -> DataFrame:
+def _ends(pixels: DataFrame) -> DataFrame:
+    """Of each image: the least and greatest value, their number, and its first and last row."""
+    known = pixels.filter("v is not null").groupBy("image_id")
+    return settled(known.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n"), F.min("y").alias("top"), F.max("y").alias("bottom")))
+
+
+def _with_image(pixels: DataFrame, thin: DataFrame, *on: str, how: str = "inner") -> DataFrame:
+    """Pixels with what ``thin`` says of their image (and of ``on``): it is copied to every block of rows from ``top`` to ``bottom``, so that a large image is in many tasks."""
+    several = thin.withColumn("__rows", F.explode(F.sequence(F.floor(F.col("top") / ROWS), F.floor(F.col("bottom") / ROWS)))).drop("top", "bottom")
+    return pixels.withColumn("__rows", F.floor(F.col("y") / ROWS)).join(several, ["image_id", "__rows", *on], how).drop("__rows")
+
+
+def percentiles(pixels: DataFrame, shares: list[float], bins: int = BINS, ends: DataFrame | None = None) -> DataFrame:
     """``image_id, p``: exact percentiles of each image's values, between the two nearest ones where needed.
 
     A first pass counts values in equal bins between an image's ends, a
     second one counts the distinct values of only the bins that hold the
-    wanted places. No task sees more of an image than its bins and one bin.
+    wanted places. No task sees more of an image than its bins and one bin,
+    and pixels meet what is known of their image by blocks of rows.
     """
-    ends = pixels.filter("v is not null").groupBy("image_id").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n"))
-    ends = settled(ends)
+    ends = _ends(pixels) if ends is None else ends
     share = F.coalesce(F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0))
-    binned = pixels.filter("v is not null").join(ends, "image_id").select("image_id", "v", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int").alias("bin"))
+    binned = _with_image(pixels.filter("v is not null"), ends).select("image_id", "y", "v", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int").alias("bin"))
     places = F.array(*[F.struct(F.lit(i).alias("which"), (F.lit(s) * (F.col("n") - 1)).alias("place")) for i, s in enumerate(shares)])
-    wanted = ends.select("image_id", F.explode(places).alias("w")).select("image_id", "w.*")
-    wanted = wanted.select("image_id", "which", "place", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))).alias("rank"))
+    wanted = ends.select("image_id", "top", "bottom", F.explode(places).alias("w")).select("image_id", "top", "bottom", "w.*")
+    wanted = wanted.select("image_id", "top", "bottom", "which", "place", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))).alias("rank"))
 
     def holding(counts: DataFrame, *keys: str, order: str) -> DataFrame:
         """Rows of counts with the ranks, from 0, before and at the end of them."""
@@ -162,8 +176,8 @@ def percentiles(pixels: DataFrame, shares: list[float], bins: int = BINS) -> Dat
 
     bins_of = holding(binned.groupBy("image_id", "bin").agg(F.count(F.lit(1)).alias("k")), "image_id", order="bin")
     held = wanted.join(bins_of, "image_id").filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("k")))
-    held = settled(held.select("image_id", "which", "place", "rank", "bin", (F.col("rank") - F.col("upto") + F.col("k")).alias("inside")))
-    some = binned.join(held.select("image_id", "bin").distinct(), ["image_id", "bin"]).groupBy("image_id", "bin", "v").agg(F.count(F.lit(1)).alias("k"))
+    held = settled(held.select("image_id", "top", "bottom", "which", "place", "rank", "bin", (F.col("rank") - F.col("upto") + F.col("k")).alias("inside")))
+    some = _with_image(binned, held.select("image_id", "bin", "top", "bottom").distinct(), "bin").groupBy("image_id", "bin", "v").agg(F.count(F.lit(1)).alias("k"))
     values = held.join(holding(some, "image_id", "bin", order="v"), ["image_id", "bin"]).filter((F.col("inside") < F.col("upto")) & (F.col("inside") >= F.col("upto") - F.col("k")))
     part = F.col("place") - F.floor("place")
     weight = F.when(F.col("rank") == F.floor("place"), 1 - part).otherwise(part)
@@ -173,7 +187,9 @@ def percentiles(pixels: DataFrame, shares: list[float], bins: int = BINS) -> Dat
 
 def percentile_normalize(pixels: DataFrame, low: float = 3.0, high: float = 99.8) -> DataFrame:
     """Values of each image scaled so that the two percentiles become 0 and 1; an image of one value becomes 0."""
-    joined = pixels.join(settled(percentiles(pixels, [low / 100, high / 100])), "image_id", "left")
+    ends = _ends(pixels)
+    known = settled(percentiles(pixels, [low / 100, high / 100], ends=ends).join(ends.select("image_id", "top", "bottom"), "image_id"))
+    joined = _with_image(pixels, known, how="left")
     return joined.withColumn("v", F.coalesce(F.try_divide(F.col("v") - F.col("p")[0], F.col("p")[1] - F.col("p")[0]), F.lit(0.0))).drop("p")
 
 

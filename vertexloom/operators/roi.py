@@ -228,6 +228,27 @@ def split_subpaths(commands: DataFrame, base: tuple[float, float] = (0.0, 0.0))
     return lines.unionByName(boxes)
 
 
+def plain_shapes(shapes: DataFrame, tolerance: float = 0.1) -> DataFrame:
+    """Plain shapes ``path_id, kind, a`` as vertices ``path_id, poly_ix, vertex_ix, x, y, kind``, all numbers cut to whole ones first.
+
+    ``a`` holds x, y, width and height of a ``rectangle`` or ``ellipse``, both
+    ends of a ``line``, and x, y by turns of a ``polygon``. An ellipse is
+    outlined from its right-most point on, by angles in as many equal steps,
+    eight at least, as keep the outline within ``tolerance``. Other kinds, and
+    shapes that lack numbers, give nothing.
+    """
+    whole = shapes.select("path_id", "kind", F.transform("a", lambda v: v.cast("bigint").cast("double")).alias("a")).filter(F.size("a") >= F.when(F.col("kind") == "polygon", 2).otherwise(4))
+    x, y, w, h = (F.get("a", F.lit(i)) for i in range(4))
+    point = lambda px, py: F.struct(px.alias("x"), py.alias("y"))
+    box = F.array(*[point(x + w * i, y + h * j) for i, j in ((0, 0), (1, 0), (1, 1), (0, 1))])
+    half = F.greatest(F.abs(w), F.abs(h)) / 2
+    steps = F.greatest(F.lit(8), F.ceil(F.pi() / F.acos(1 - F.least(F.coalesce(F.try_divide(F.lit(tolerance), half), F.lit(1.0)), F.lit(1.0))))).cast("int")
+    around = F.transform(F.sequence(F.lit(0), steps - 1), lambda k: point(x + w / 2 + w / 2 * F.cos(2 * F.pi() * k / steps), y + h / 2 + h / 2 * F.sin(2 * F.pi() * k / steps)))
+    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size("a") / 2).cast("int") - 1), lambda k: point(F.get("a", 2 * k), F.get("a", 2 * k + 1)))
+    vertices = F.when(F.col("kind") == "rectangle", box).when(F.col("kind") == "ellipse", around).when(F.col("kind") == "line", F.array(point(x, y), point(w, h))).when(F.col("kind") == "polygon", pairs)
+    return whole.select("path_id", "kind", F.posexplode(vertices).alias("vertex_ix", "p")).select("path_id", F.lit(0).alias("poly_ix"), "vertex_ix", "p.x", "p.y", "kind")
+
+
 def bounding_boxes(vertices: DataFrame) -> DataFrame:
     """Whole-number bounds of each region."""
     low_x, low_y = F.floor(F.min("x")), F.floor(F.min("y"))

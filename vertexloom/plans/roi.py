@@ -108,6 +108,26 @@ def split_subpaths(spark, sf_dir):
     return rounded(roi.split_subpaths(fx.path_commands(spark, sf_dir)), "x", "y")
 
 
+@query(
+    "r08_plain_shapes",
+    """WITH sh AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS path_id, ['rectangle', 'ellipse', 'line', 'polygon'][(l_linenumber % 4 + 1)::INT] AS kind, trunc(l_quantity + 0.7) AS x, trunc(0 - l_extendedprice / 1000) AS y, trunc(l_partkey % 90 + 0.9) AS w, trunc(l_suppkey % 40 + 0.4) AS h FROM lineitem),
+st AS (SELECT *, greatest(8, ceil(pi() / acos(1 - least(CASE WHEN greatest(w, h) = 0 THEN 1 ELSE 0.1 / (greatest(w, h) / 2) END, 1))))::INT AS n FROM sh),
+v AS (SELECT path_id, i AS vertex_ix, x + w * (i IN (1, 2))::INT AS x, y + h * (i IN (2, 3))::INT AS y, kind FROM sh, range(4) r(i) WHERE kind = 'rectangle'
+  UNION ALL SELECT path_id, i, CASE i WHEN 0 THEN x ELSE w END, CASE i WHEN 0 THEN y ELSE h END, kind FROM sh, range(2) r(i) WHERE kind = 'line'
+  UNION ALL SELECT path_id, i, CASE i WHEN 0 THEN x WHEN 1 THEN w ELSE x END, CASE i WHEN 0 THEN y WHEN 1 THEN h ELSE h END, kind FROM sh, range(3) r(i) WHERE kind = 'polygon'
+  UNION ALL SELECT path_id, i, x + w / 2 + w / 2 * cos(2 * pi() * i / n), y + h / 2 + h / 2 * sin(2 * pi() * i / n), kind FROM (SELECT *, unnest(range(n)) AS i FROM st WHERE kind = 'ellipse'))
+SELECT path_id, 0 AS poly_ix, vertex_ix, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y, kind FROM v""",
+)
+def plain_shapes(spark, sf_dir):
+    """A rectangle, ellipse, line or triangle for each line of an order."""
+    lines = fx.table(spark, sf_dir, "lineitem")
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("rectangle", "ellipse", "line", "polygon")]), (F.col("l_linenumber") % 4 + 1).cast("int"))
+    x, y, w, h = F.col("l_quantity") + 0.7, 0 - F.col("l_extendedprice") / 1000, F.col("l_partkey") % 90 + 0.9, F.col("l_suppkey") % 40 + 0.4
+    a = F.when(kind == "polygon", F.array(x, y, w, h, x, h)).otherwise(F.array(x, y, w, h))
+    shapes = lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("path_id"), kind.alias("kind"), a.alias("a")).distinct()
+    return rounded(roi.plain_shapes(shapes), "x", "y")
+
+
 @query("r09_bounding_boxes", cte("cr") + " SELECT set_id, roi_ix, floor(min(x))::BIGINT AS x, floor(min(y))::BIGINT AS y, (ceil(max(x)) - floor(min(x)))::BIGINT AS width, (ceil(max(y)) - floor(min(y)))::BIGINT AS height FROM cr GROUP BY ALL")
 def bounding_boxes(spark, sf_dir):
     return roi.bounding_boxes(fx.customer_rois(spark, sf_dir))
