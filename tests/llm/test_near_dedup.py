@@ -67,6 +67,43 @@ def test_nodes_that_share_a_passage_are_not_all_paired(spark, monkeypatch):
     assert sum(verified) < 4 * 300
 
 
+def test_pairs_of_two_passages_grow_with_the_texts(spark, monkeypatch):
+    """A passage beside one of three more frequent ones, so that texts share much but too little: at twice and four times as many texts, twice and four times as many pairs, and all links."""
+    monkeypatch.setattr(near_dedup, "SAMPLED", 1)
+    rnd = random.Random(3)
+    word = lambda: f"w{rnd.randrange(99999)}"
+    passage, others = [word() for _ in range(60)], [[word() for _ in range(25)] for _ in range(3)]
+    met, verified = {}, {}
+    for m in (100, 200, 400):
+        rows = [(i, " ".join([*(word() for _ in range(3 + i % 9)), *passage, *others[i % 3]])) for i in range(m)]
+        rows += [(m + i, " ".join([*(word() for _ in range(60)), *others[i % 3]])) for i in range(3 * m)]
+        joined, counted, own_met, own = [], [], near_dedup._met, near_dedup._verified
+        with monkeypatch.context() as patch:
+            patch.setattr(near_dedup, "_met", lambda heads: joined.append(own_met(heads).count()) or own_met(heads))
+            patch.setattr(near_dedup, "_verified", lambda pairs, *more: counted.append(near_dedup._promising(pairs, more[0]).count()) or own(pairs, *more))
+            got = sorted(str(r.doc_id) for r in near_dedup.drop_near(docs_of(spark, rows)).collect())
+        assert got == kept_ids(rows)[0]
+        met[m], verified[m] = sum(joined), sum(counted)
+    for found in (met, verified):
+        assert found[200] <= 3 * found[100] + 100 and found[400] <= 3 * found[200] + 100, (met, verified)
+    assert verified[400] < 8 * 400 and met[400] < 8 * 400
+
+
+def test_signatures_never_exceed_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for n in (5, 300, 5000):
+        a = np.unique(rng.integers(-(2**63), 2**63 - 1, n, np.int64))
+        b = np.unique(np.concatenate((a[: n * 4 // 5], rng.integers(-(2**63), 2**63 - 1, n // 3, np.int64))))
+        differ = len(np.setxor1d(a, b))
+        for classes in (near_dedup.SIGNED, near_dedup.SIGNED_LARGE):
+            x, y = (near_dedup.signature(s, classes) for s in (a, b))
+            assert len(x) == classes // 64
+            bits = int(np.unpackbits((x ^ y).view(np.uint8)).sum())
+            assert bits <= differ and (bits - differ) % 2 == 0 and bits > 0.6 * min(differ, classes / 2)
+
+
 @pytest.mark.parametrize("sampled,broadcast", [(16, True), (1, True), (1, False)])
 def test_near_dedup_keeps_what_brute_force_keeps(spark, monkeypatch, sampled, broadcast):
     from vertexloom.llm import common

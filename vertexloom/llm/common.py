@@ -75,6 +75,12 @@ def give_back() -> None:
         trim(0)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Executors collect what earlier work has left in their heaps, so that these give memory back before workers that need much of their own start; a few short tasks for each of their cores."""
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).selectExpr("java_method('java.lang.System', 'gc')").write.format("noop").mode("overwrite").save()
+
+
 def written(df: DataFrame, name: str, **options) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends, and a lost executor costs nothing."""
     spark = df.sparkSession
@@ -145,18 +151,21 @@ def _bit(keys: list[str]) -> Column:
 
 
 def key_filter(keys: DataFrame, on: list[str]) -> DataFrame:
-    """A bit for every key of a table, by hash, in pieces: written, of a fixed size at most."""
+    """A bit for every key of a table, by hash, in pieces of 32-bit words: written, of a fixed size at most."""
     bits = keys.select(_bit(on).alias("bit")).select(F.floor(F.col("bit") / PIECE_BITS).alias("__piece"), (F.col("bit") % PIECE_BITS).alias("at"))
-    return written(bits.groupBy("__piece").agg(F.bitmap_construct_agg("at").alias("__bits")), "key-filter")
+    pieces = bits.groupBy("__piece").agg(F.bitmap_construct_agg("at").alias("bits"))
+    words = F.transform(F.sequence(F.lit(0), F.lit(PIECE_BITS // 32 - 1)), lambda k: F.conv(F.hex(F.substr(F.col("bits"), 4 * k + 1, F.lit(4))), 16, 10).cast("long"))
+    return written(pieces.select("__piece", words.alias("__words")), "key-filter")
 
 
 def may_have(rows: DataFrame, keys: DataFrame, on: list[str], column: str = "__may") -> DataFrame:
     """Rows with whether their key may be in the filter ``keys``; it surely isn't where not. No row moves."""
     bit = rows.withColumn("__bit", _bit(on)).withColumn("__piece", F.floor(F.col("__bit") / PIECE_BITS))
-    at = (F.col("__bit") % PIECE_BITS).cast("int")
-    byte = F.conv(F.hex(F.substr("__bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.coalesce(byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), at % 8 + 1)) > 0, F.lit(False))
-    return bit.join(F.broadcast(keys), "__piece", "left").withColumn(column, is_set).drop("__bit", "__piece", "__bits")
+    at = F.col("__bit") % PIECE_BITS
+    # A word's first byte has its highest eight bits.
+    shift = (24 - F.call_function("div", at % 32, F.lit(8)) * 8 + at % 8).cast("int")
+    is_set = F.call_function("shiftrightunsigned", F.get("__words", F.call_function("div", at, F.lit(32)).cast("int")), shift).bitwiseAND(F.lit(1)) == 1
+    return bit.join(F.broadcast(keys), "__piece", "left").withColumn(column, F.coalesce(is_set, F.lit(False))).drop("__bit", "__piece", "__words")
 
 
 def let(value: Column, body) -> Column:

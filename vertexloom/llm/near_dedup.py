@@ -19,13 +19,25 @@ candidates before their texts are read.
 
 First each node is verified against its group's node, the most promising of
 its prefixes' pivots and, in frequent shingles, the most promising of the
-nodes with the least before the shingle, so that groups of copies and texts
-that are hardly more than a passage become components in rows linear in their
-size; then candidates that lie in different components are. Two nodes meet in
-a frequent shingle only if what either has from it on could still make them
-similar enough, which is so of the first shingle that linked nodes share. So
-texts of a frequent passage and too much of their own aren't paired by it, and
-no link is lost.
+nodes with the least before the shingle, of all and of those that end alike,
+so that groups of copies and texts that are hardly more than passages become
+components in rows linear in their size; then candidates that lie in
+different components are.
+
+What keeps the texts of a passage from being paired with each other:
+
+* A shingle that comes right behind one and the same other shingle in all
+  texts that have it pairs no two that this other one doesn't pair, so a
+  passage pairs its texts at its first shingle and not at every one. How many
+  such shingles follow is counted on.
+* Two nodes meet in a frequent shingle only if what either has from it on
+  could still make them similar enough, which is so of the first shingle that
+  linked nodes share.
+* Every node carries a signature: for each of 1,024 classes of hashes,
+  whether an odd number of its shingles lies there. Where two signatures
+  differ the sets do, so that pairs with too many differing bits are dropped
+  as they meet, and no linked pair is. Sets of over 2,048 shingles have a
+  signature of eight times as many bits beside it.
 
 Defined cases: null, empty and blank texts have one empty shingle and are
 linked; a very long text is one set like any other; a null id counts in no
@@ -37,14 +49,15 @@ whatever these are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from vertexloom.llm.common import checked_join, counted_join, give_back, small_batches, text_of, written
+from vertexloom.llm.common import checked_join, counted_join, give_back, key_filter, may_have, small_batches, text_of, written
 from vertexloom.llm.components import components
 from vertexloom.llm.simhash import links_between
 
@@ -52,6 +65,8 @@ from vertexloom.llm.simhash import links_between
 NUMERATOR, DENOMINATOR = 4, 5
 #: The order of shingles is taken from one text of so many, for so many shingles at most; neither changes which links are found.
 SAMPLED, ORDERED = 16, 200_000
+#: Classes of hashes of a node's signature, and of the second one of nodes with more shingles than LARGE.
+SIGNED, SIGNED_LARGE, LARGE = 1024, 8192, 2048
 #: So many pairs of one node, or nodes of one shingle, are compared in one task.
 TOGETHER = 256
 #: Fixed value: the seed of the shingles' XXH64.
@@ -78,6 +93,12 @@ def fingerprint_of(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def signature(hashes: np.ndarray, classes: int) -> np.ndarray:
+    """A bit for each class of hashes: whether the set has an odd number of them."""
+    odd = np.bincount(hashes & (classes - 1), minlength=classes) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 def _lists(sets: list[np.ndarray | None]) -> pa.Array:
     ends = np.cumsum([0, *[0 if s is None else len(s) for s in sets]])
     mask = pa.array([s is None for s in sets], pa.bool_())
@@ -108,42 +129,46 @@ def frequent_last(docs: DataFrame, size: int, text_col: str) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, size: int, text_col: str, known: np.ndarray) -> DataFrame:
-    """All columns, a row number, ``node``, ``n``, its number of shingles that aren't frequent ``r``, the fingerprint ``fp`` and the prefix; the last two are null where the task has met the node before."""
+    """All columns, a row number, ``node``, ``n``, its number of shingles that aren't frequent ``r``, the fingerprint ``fp``, the prefix, the last shingle in the order ``tail`` and the signatures; these are null where the task has met the node before."""
     from xxhash import xxh64_intdigest as xxhash64
 
     rows = docs.select("*", F.monotonically_increasing_id().alias("__row"), text_of(F.col(text_col)).alias("__text"))
     by_hash = np.argsort(known)
     sent = docs.sparkSession.sparkContext.broadcast((known[by_hash], by_hash + 1))
 
-    def prefix(hashes: np.ndarray) -> tuple[int, np.ndarray]:
+    def prefix(hashes: np.ndarray) -> tuple[int, np.ndarray, int]:
         frequent, place = sent.value
         rank = np.zeros(len(hashes), np.int64)
         if len(frequent):
             at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
             rank = np.where(frequent[at] == hashes, place[at], 0)
         n = len(hashes)
-        return int(np.count_nonzero(rank == 0)), hashes[np.lexsort((hashes, rank))[: n + 1 + -NUMERATOR * n // DENOMINATOR]]
+        order = np.lexsort((hashes, rank))
+        return int(np.count_nonzero(rank == 0)), hashes[order[: n + 1 + -NUMERATOR * n // DENOMINATOR]], int(hashes[order[-1]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = set()
         for batch in batches:
-            nodes, sizes, others, codes, firsts = [], [], [], [], []
+            nodes, sizes, others, codes, firsts, tails, signs, more = [], [], [], [], [], [], [], []
             for text in batch.column(batch.num_columns - 1):
                 hashes = shingle_set(text.as_py(), size)
                 node = xxhash64(hashes.tobytes(), SEED)
-                r, first = (0, None) if node in met else prefix(hashes)
+                r, first, tail = (0, None, None) if node in met else prefix(hashes)
                 nodes.append(node)
                 sizes.append(len(hashes))
                 others.append(r)
                 codes.append(None if node in met else fingerprint_of(hashes))
                 firsts.append(first)
+                tails.append(tail)
+                signs.append(None if node in met else signature(hashes, SIGNED))
+                more.append(None if node in met or len(hashes) <= LARGE else signature(hashes, SIGNED_LARGE))
                 met.add(node)
-            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(others, pa.int32()), pa.array(codes, pa.int64()), _lists(firsts)]
+            made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(others, pa.int32()), pa.array(codes, pa.int64()), _lists(firsts), pa.array(tails, pa.int64()), _lists(signs), _lists(more)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=names)
         del met
         give_back()
 
-    schema = rows.drop("__text").schema.add("node", "long").add("n", "integer").add("r", "integer").add("fp", "long").add("prefix", ArrayType(LongType()))
+    schema = rows.drop("__text").schema.add("node", "long").add("n", "integer").add("r", "integer").add("fp", "long").add("prefix", ArrayType(LongType())).add("tail", "long").add("sign", ArrayType(LongType())).add("more", ArrayType(LongType()))
     names = schema.names
     return rows.mapInArrow(run, schema)
 
@@ -167,16 +192,48 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, end: str, other: str, name: st
     return dealt.join(several, [end, "part"]).drop("part")
 
 
+def _differ_little(bits: Column) -> Column:
+    """Whether sets of ``n`` and ``o_n`` shingles that differ in so many at least can be linked."""
+    both = F.col("n") + F.col("o_n")
+    return bits * (NUMERATOR + DENOMINATOR) <= both * (DENOMINATOR - NUMERATOR)
+
+
+def _sign_bits() -> Column:
+    return reduce(lambda a, b: a + b, [F.bit_count(F.get("sign", F.lit(k)).bitwiseXOR(F.get("o_sign", F.lit(k)))) for k in range(SIGNED // 64)])
+
+
+def _promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose signatures don't tell them apart; a node with many pairs is joined where they are."""
+    signed = nodes.select("node", "n", "sign", "more")
+    for end, other in (("u", ""), ("v", "o_")):
+        counts = pairs.groupBy(F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("k"))
+        own = written(signed.join(counts, "node"), "near-signs").select(F.col("node").alias(end), *[F.col(c).alias(f"{other}{c}") for c in ("n", "sign", "more")], "k")
+        pairs = counted_join(pairs, own, [end], "inner", "k")
+    large = F.aggregate(F.zip_with("more", "o_more", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+    near = _differ_little(_sign_bits()) & F.coalesce(_differ_little(large), F.lit(True))
+    return written(pairs.filter(near).select("u", "v"), "near-promising")
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, size: int, text_col: str) -> DataFrame:
     """The pairs (u, v) of nodes whose whole sets are similar enough."""
+    pairs = _promising(pairs, rows)
     wanted = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "near-wanted")
-    texts = checked_join(rows.filter("prefix is not null").select("node", text_col), wanted, "node", "left_semi")
-    sets = written(_sets(texts, size, text_col), "near-sets").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    texts = may_have(rows.select("node", text_col), key_filter(wanted, ["node"]), ["node"]).filter("__may").drop("__may")
+    sets = written(_sets(texts, size, text_col), "near-sets")
     both = _with_sets(_with_sets(pairs, sets, "u", "v", "a"), sets, "v", "u", "b")
     shared = F.size(F.array_intersect("a", "b"))
     return both.filter(shared * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.size("a") + F.size("b"))).select("u", "v")
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """The rows of ``prefixes`` that have a prefix, one for each node."""
+    whole = rows.filter("prefix is not null")
+    thin = whole.select("node", "__row")
+    several = written(thin.groupBy("node").agg(F.min("__row").alias("first"), F.count(F.lit(1)).alias("k")).filter("k > 1"), "near-repeated")
+    again = written(counted_join(thin, several, ["node"], "inner", "k").filter("__row != first").select("__row"), "near-again")
+    return checked_join(whole, again, "__row", "left_anti")
+
+
 def _index_pairs(rows: DataFrame) -> DataFrame:
     """(u, v): each node of a group that the fingerprints' index finds, and one node of the group."""
     codes = written(rows.filter("fp is not null").select("node", "n", "fp").distinct(), "near-codes")
@@ -200,37 +257,60 @@ def _stars(met: DataFrame) -> DataFrame:
     return counts.groupBy("node").agg(F.max_by("o_node", F.struct("count", "o_node")).alias("v")).withColumnRenamed("node", "u")
 
 
+def _heads(placed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows of the shingles that different components share, without those of shingles that always come right behind one other; ``run`` says how many of these follow."""
+    behind = (F.min("prev") == F.max("prev")) & (F.count("prev") == F.count(F.lit(1)))
+    open_ = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k"), F.coalesce(behind, F.lit(False)).alias("behind")).filter("lo < hi")
+    open_ = written(open_.select("h", F.ceil(F.col("k") / TOGETHER).cast("int").alias("parts"), "behind", "k"), "near-open")
+    order = Window.partitionBy("node").orderBy("at")
+    marked = counted_join(placed.drop("prev"), open_, ["h"], "inner", "k").withColumn("head", F.sum((~F.col("behind")).cast("int")).over(order))
+    heads = marked.withColumn("run", F.count(F.lit(1)).over(Window.partitionBy("node", "head")) - 1).filter("not behind").drop("behind", "head")
+    return written(heads.join(nodes.select("node", "sign"), "node"), "near-heads")
+
+
+def _met(heads: DataFrame) -> DataFrame:
+    """Pairs of nodes at each shingle that both have as a head, but for those that can't be linked by their sizes, their places or their signatures."""
+    others = heads.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "f", "at", "root", "run", "sign")])
+    dealt = heads.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    within_reach = F.least(_reach("n", "at"), _reach("o_n", "o_at")) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("n") + F.col("o_n"))
+    # All of it is a part of the join's condition, so that no other pair leaves the join.
+    may = (F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _similar_sizes() & (~F.col("frequent") | within_reach) & _differ_little(_sign_bits())
+    return dealt.join(others, ["h", "part"]).filter(may)
+
+
 def near_links(rows: DataFrame, size: int, text_col: str) -> DataFrame:
     """Links (u, v) that connect what the pairs of similar nodes of ``prefixes`` connect."""
-    each = rows.filter("prefix is not null").select("node", "n", "r", F.size("prefix").alias("size"), F.posexplode("prefix").alias("at", "h"))
-    each = each.select("node", "n", F.greatest(F.lit(0), F.col("size") - F.col("r")).alias("f"), "h", "at", (F.col("at") >= F.col("r")).alias("frequent"))
+    nodes = _once(rows)
+    places = F.transform("prefix", lambda h, at: F.struct(h.alias("h"), F.get("prefix", at - 1).alias("prev")))
+    each = nodes.select("node", "n", "r", "tail", F.size("prefix").alias("size"), F.posexplode(places).alias("at", "p"))
+    each = each.select("node", "n", F.greatest(F.lit(0), F.col("size") - F.col("r")).alias("f"), "p.h", "p.prev", "at", (F.col("at") >= F.col("r")).alias("frequent"), "tail")
     # Most shingles of prefixes are one node's: only those of several are carried on.
     shared = each.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
-    buckets = written(counted_join(each, written(shared.select("h", "k"), "near-shared"), ["h"], "inner", "k").distinct(), "near-buckets")
+    shared = written(shared.select("h", "k"), "near-shared")
+    buckets = may_have(each, key_filter(shared, ["h"]), ["h"]).filter("__may").drop("__may")
+    buckets = written(counted_join(buckets, shared, ["h"], "inner", "k"), "near-buckets")
     pivot = F.min_by(F.struct("node", "n"), F.xxhash64("node"))
     foremost = F.min_by(F.struct("node", "n"), F.struct("at", F.xxhash64("node")))
     pivots = buckets.groupBy("h").agg(pivot.alias("p"), F.when(F.max("frequent"), foremost).alias("q"), F.count(F.lit(1)).alias("k"))
     pivots = written(pivots.select("h", F.col("p.node").alias("p"), F.col("p.n").alias("p_n"), F.col("q.node").alias("q"), F.col("q.n").alias("q_n"), "k"), "near-pivots")
     with_pivots = counted_join(buckets.select("h", "node", "n"), pivots, ["h"], "inner", "k")
     stars = [_stars(with_pivots.select("node", "n", F.col(p).alias("o_node"), F.col(f"{p}_n").alias("o_n"))) for p in ("p", "q")]
-    pairs = written(stars[0].unionByName(stars[1]).unionByName(_index_pairs(rows)).distinct(), "near-stars")
-    first = written(_verified(pairs, rows, size, text_col), "near-first")
+    # Of the texts that end alike, too, the one with the least before the shingle.
+    often = buckets.filter("frequent").select("h", "tail", "node", "n", "at")
+    tails = written(often.groupBy("h", "tail").agg(foremost.alias("q"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("h", "tail", "q", "k"), "near-tails")
+    stars.append(_stars(counted_join(often.drop("at"), tails, ["h", "tail"], "inner", "k").select("node", "n", F.col("q.node").alias("o_node"), F.col("q.n").alias("o_n"))))
+    pairs = written(reduce(DataFrame.unionByName, [*stars, _index_pairs(rows)]).distinct(), "near-stars")
+    first = written(_verified(pairs, nodes, size, text_col), "near-first")
     roots = written(components(first), "near-roots")
 
-    placed = checked_join(buckets, roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = written(placed, "near-placed")
-    open_ = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
-    open_ = written(open_.select("h", F.ceil(F.col("k") / TOGETHER).cast("int").alias("parts"), "k"), "near-open")
-    placed = written(counted_join(placed, open_, ["h"], "inner", "k"), "near-several")
-    others = placed.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "f", "at", "root")])
-    placed = placed.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    within_reach = F.least(_reach("n", "at"), _reach("o_n", "o_at")) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("n") + F.col("o_n"))
-    met = placed.join(others, ["h", "part"]).filter((F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _similar_sizes() & (~F.col("frequent") | within_reach))
-    # As not all frequent shingles of a pair are met here, as many count as both prefixes have.
-    counts = met.groupBy("node", "n", "o_node", "o_n").agg(F.count_if(~F.col("frequent")).alias("count"), F.max(F.least("f", "o_f")).alias("frequent"))
+    placed = checked_join(buckets.drop("tail"), roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    met = _met(_heads(written(placed, "near-placed"), nodes))
+    # Of frequent shingles not all that a pair shares are met, so as many count as both prefixes have.
+    more = F.when(~F.col("frequent"), F.least("run", "o_run") + 1).otherwise(0)
+    counts = met.groupBy("node", "n", "o_node", "o_n").agg(F.sum(more).alias("count"), F.max(F.least("f", "o_f")).alias("frequent"))
     pairs = counts.filter(_may_link(F.col("count") + F.col("frequent")))
     rest = written(pairs.select(F.col("node").alias("u"), F.col("o_node").alias("v")), "near-rest")
-    return first.unionByName(_verified(rest, rows, size, text_col))
+    return first.unionByName(_verified(rest, nodes, size, text_col))
 
 
 def drop_near(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
