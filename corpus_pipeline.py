@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vertexloom.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, toxicity
-from vertexloom.llm.common import intermediates, table, written_alone
+from vertexloom.llm.common import collect_garbage, intermediates, table, written_alone
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +44,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     others, and every link is verified. Rows that share the smallest id stay
     together, as do documents without an id that are linked to no other.
     """
+    collect_garbage(spark)
     return near_dedup.drop_near(docs)
 
 
@@ -54,6 +55,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, none for an empty one, and whether they decode to it; a row for every row."""
+    collect_garbage(spark)
     coded = byte_bpe.encode_checked(docs.select("doc_id", "lang", "source", "text"))
     return coded.select("doc_id", "lang", "source", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), "round_trip")
 
