@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -198,3 +199,58 @@ def test_toxicity_sample_is_bounded_in_bytes(spark):
     finally:
         toxicity.train = own
     assert drawn and sum(len(r["text"]) for r in drawn) <= 8000 and max(len(r["text"]) for r in drawn) <= 400
+
+
+def plain_score(network, text):
+    """A text's score word by word and place by place: both recurrent passes, attention, all windows."""
+    w, sigmoid = network.weights, lambda x: 1 / (1 + math.exp(-x))
+    dim = toxicity.STATE
+    words = [bytes(b + 32 if 65 <= b <= 90 else b for b in v.encode()) for v in re.findall(r"(?:[A-Za-z]|[^\x00-\x7f])+", text or "")]
+
+    def vector(word):
+        marked, grams = b"^" + word + b"$", []
+        for n in toxicity.GRAM_SIZES:
+            for i in range(len(marked) - n + 1):
+                h = n
+                for b in marked[i : i + n]:
+                    h = (h * 1_000_003 + b) % 2**64
+                grams.append((h * 0x9E3779B97F4A7C15 % 2**64) >> (64 - toxicity.GRAM_BITS))
+        return [*w["word"][network.known.get(word, 0)].tolist(), *[sum(float(w["gram"][g][k]) for g in grams) / math.sqrt(len(grams)) for k in range(toxicity.GRAM_DIM)]]
+
+    def passed(vectors, d):
+        h, states = [0.0] * dim, []
+        for x in vectors if d == "f" else vectors[::-1]:
+            into = [sum(x[i] * float(w[f"in_{d}"][i][k]) for i in range(len(x))) + float(w[f"off_{d}"][k]) for k in range(3 * dim)]
+            back = [sum(h[i] * float(w[f"rec_{d}"][i][k]) for i in range(dim)) for k in range(3 * dim)]
+            z = [sigmoid(into[k] + back[k]) for k in range(dim)]
+            r = [sigmoid(into[dim + k] + back[dim + k]) for k in range(dim)]
+            n = [math.tanh(into[2 * dim + k] + r[k] * back[2 * dim + k]) for k in range(dim)]
+            h = [z[k] * h[k] + (1 - z[k]) * n[k] for k in range(dim)]
+            states.append(h)
+        return states if d == "f" else states[::-1]
+
+    logits, start = [], 0
+    while True:
+        vectors = [vector(v) for v in words[start : start + toxicity.WINDOW]]
+        states = [f + b for f, b in zip(passed(vectors, "f"), passed(vectors, "b"), strict=True)]
+        attention = [math.exp(sum(s[k] * float(w["attend"][k]) for k in range(2 * dim))) for s in states]
+        pool = [sum(a * s[k] for a, s in zip(attention, states, strict=True)) / sum(attention) if states else 0.0 for k in range(2 * dim)]
+        logits.append(sum(pool[k] * float(w["out"][k]) for k in range(2 * dim)) + float(w["bias"][0]))
+        if start + toxicity.WINDOW >= len(words):
+            break
+        start += toxicity.STRIDE
+    return sigmoid(max(logits) * network.scale[0] + sum(logits) / len(logits) * network.scale[1] + network.shift)
+
+
+def test_toxicity_scores_word_by_word():
+    rng = random.Random(4)
+    words = ["a", "bad", "Word", "é", "ÉTÉ", "x1y", "日本", "don't", "longerword"]
+    network = toxicity.Network([b"bad", b"word", "é".encode()], seed=3)
+    network.weights["bias"][0], network.scale, network.shift = 0.3, np.array([1.5, -0.7]), 0.2
+    for name in ("off_f", "off_b"):
+        network.weights[name] += np.random.default_rng(1).normal(0, 0.5, network.weights[name].shape).astype(np.float32)
+    network._forget()
+    texts = [None, "", "12 !", "bad", *[" ".join(rng.choices(words, k=k)) for k in (2, 31, 32, 33, 56, 57, 100)]]
+    got = list(network.scores(texts))
+    assert got == pytest.approx([plain_score(network, t) for t in texts], abs=2e-5)
+    assert len({round(s, 4) for s in got}) > 6

@@ -9,6 +9,8 @@ A document that holds the threshold of the item's shingles must hold one of
 these, so a document that meets no sketch hash is left out without loss, as
 a sampled signature of a long document would not allow. What meets one is a
 candidate, and candidates are verified by counting equal shingles as text.
+So documents have no sketch of their own, which departs from the usual search
+among sketches of both sides.
 
 Words are runs without white space, A-Z in lower case.
 

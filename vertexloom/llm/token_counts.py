@@ -53,6 +53,9 @@ class PreTokens:
         split, coding = rules["pre_tokenizer"]["pretokenizers"]
         if steps != ["NFC", "Replace", "Lowercase"] or (split["type"], split["behavior"], split["invert"], coding["use_regex"]) != ("Split", "Removed", True, False):
             raise ValueError("the tokenizer's normalizer or pre-tokenizer isn't one that this operator follows")
+        replaced = rules["normalizer"]["normalizers"][1]
+        if (replaced["pattern"], replaced["content"]) != ({"Regex": r"\s+"}, " "):
+            raise ValueError("the tokenizer's normalizer replaces more than white space by a blank, which the split drops anyway")
         if any(t[k] for t in rules["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")):
             raise ValueError("the tokenizer's special strings aren't matched as they stand")
         special = sorted((t["content"] for t in rules["added_tokens"]), key=len, reverse=True)
