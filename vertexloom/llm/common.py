@@ -155,7 +155,8 @@ def key_filter(keys: DataFrame, on: list[str]) -> DataFrame:
     bits = keys.select(_bit(on).alias("bit")).select(F.floor(F.col("bit") / PIECE_BITS).alias("__piece"), (F.col("bit") % PIECE_BITS).alias("at"))
     pieces = bits.groupBy("__piece").agg(F.bitmap_construct_agg("at").alias("bits"))
     words = F.transform(F.sequence(F.lit(0), F.lit(PIECE_BITS // 32 - 1)), lambda k: F.conv(F.hex(F.substr(F.col("bits"), 4 * k + 1, F.lit(4))), 16, 10).cast("long"))
-    return written(pieces.select("__piece", words.alias("__words")), "key-filter")
+    signed = F.transform(words, lambda w: F.when(w >= 1 << 31, w - (1 << 32)).otherwise(w).cast("int"))
+    return written(pieces.select("__piece", signed.alias("__words")), "key-filter")
 
 
 def may_have(rows: DataFrame, keys: DataFrame, on: list[str], column: str = "__may") -> DataFrame:
