@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vertexloom.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, toxicity
-from vertexloom.llm.common import collect_garbage, intermediates, table, written_alone
+from vertexloom.llm.common import collect_garbage, give_back, intermediates, table, written_alone
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +25,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Repeated rows go or stay together. Without labels of both kinds every
     document has the share of toxic labels as its score.
     """
-    return toxicity.drop_toxic(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    network = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    give_back()
+    return toxicity.drop_toxic(docs, network)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
