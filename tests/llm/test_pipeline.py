@@ -35,6 +35,12 @@ def test_stages_take_awkward_rows(spark):
             assert stage(spark, docs, SF_DIR).count() <= docs.count(), name
 
 
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    for name, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("benchmark", "item_id long, text string"), ("labels", "doc_id long, quality int, toxic int")):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def planted():
     """Documents with toxic ones, exact and near copies, copies whose white space differs, and benchmark items."""
     rnd = random.Random(5)
