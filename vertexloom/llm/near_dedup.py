@@ -36,8 +36,9 @@ What keeps the texts of a passage from being paired with each other:
 * Every node carries a signature: for each of 1,024 classes of hashes,
   whether an odd number of its shingles lies there. Where two signatures
   differ the sets do, so that pairs with too many differing bits are dropped
-  as they meet, and no linked pair is. Sets of over 2,048 shingles have a
-  signature of eight times as many bits beside it.
+  as they meet (by signatures of half as many bits, folded, which move less)
+  or before their sets are read, and no linked pair is. Sets of over 2,048
+  shingles have a signature of eight times as many bits beside it.
 
 Defined cases: null, empty and blank texts have one empty shingle and are
 linked; a very long text is one set like any other; a null id counts in no
@@ -198,8 +199,14 @@ def _differ_little(bits: Column) -> Column:
     return bits * (NUMERATOR + DENOMINATOR) <= both * (DENOMINATOR - NUMERATOR)
 
 
-def _sign_bits() -> Column:
-    return reduce(lambda a, b: a + b, [F.bit_count(F.get("sign", F.lit(k)).bitwiseXOR(F.get("o_sign", F.lit(k)))) for k in range(SIGNED // 64)])
+def _sign_bits(words: int) -> Column:
+    return reduce(lambda a, b: a + b, [F.bit_count(F.get("sign", F.lit(k)).bitwiseXOR(F.get("o_sign", F.lit(k)))) for k in range(words)])
+
+
+def _halved(sign: str) -> Column:
+    """A signature of half as many classes, by which fewer pairs are told apart where they meet."""
+    half = SIGNED // 128
+    return F.zip_with(F.slice(sign, 1, half), F.slice(sign, half + 1, half), lambda a, b: a.bitwiseXOR(b))
 
 
 def _promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -210,7 +217,7 @@ def _promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         own = written(signed.join(counts, "node"), "near-signs").select(F.col("node").alias(end), *[F.col(c).alias(f"{other}{c}") for c in ("n", "sign", "more")], "k")
         pairs = counted_join(pairs, own, [end], "inner", "k")
     large = F.aggregate(F.zip_with("more", "o_more", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
-    near = _differ_little(_sign_bits()) & F.coalesce(_differ_little(large), F.lit(True))
+    near = _differ_little(_sign_bits(SIGNED // 64)) & F.coalesce(_differ_little(large), F.lit(True))
     return written(pairs.filter(near).select("u", "v"), "near-promising")
 
 
@@ -265,7 +272,7 @@ def _heads(placed: DataFrame, nodes: DataFrame) -> DataFrame:
     order = Window.partitionBy("node").orderBy("at")
     marked = counted_join(placed.drop("prev"), open_, ["h"], "inner", "k").withColumn("head", F.sum((~F.col("behind")).cast("int")).over(order))
     heads = marked.withColumn("run", F.count(F.lit(1)).over(Window.partitionBy("node", "head")) - 1).filter("not behind").drop("behind", "head")
-    return written(heads.join(nodes.select("node", "sign"), "node"), "near-heads")
+    return written(heads.join(nodes.select("node", _halved("sign").alias("sign")), "node"), "near-heads")
 
 
 def _met(heads: DataFrame) -> DataFrame:
@@ -274,7 +281,7 @@ def _met(heads: DataFrame) -> DataFrame:
     dealt = heads.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     within_reach = F.least(_reach("n", "at"), _reach("o_n", "o_at")) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("n") + F.col("o_n"))
     # All of it is a part of the join's condition, so that no other pair leaves the join.
-    may = (F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _similar_sizes() & (~F.col("frequent") | within_reach) & _differ_little(_sign_bits())
+    may = (F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _similar_sizes() & (~F.col("frequent") | within_reach) & _differ_little(_sign_bits(SIGNED // 128))
     return dealt.join(others, ["h", "part"]).filter(may)
 
 
@@ -284,11 +291,9 @@ def near_links(rows: DataFrame, size: int, text_col: str) -> DataFrame:
     places = F.transform("prefix", lambda h, at: F.struct(h.alias("h"), F.get("prefix", at - 1).alias("prev")))
     each = nodes.select("node", "n", "r", "tail", F.size("prefix").alias("size"), F.posexplode(places).alias("at", "p"))
     each = each.select("node", "n", F.greatest(F.lit(0), F.col("size") - F.col("r")).alias("f"), "p.h", "p.prev", "at", (F.col("at") >= F.col("r")).alias("frequent"), "tail")
-    # Most shingles of prefixes are one node's: only those of several are carried on.
-    shared = each.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("k")).filter("lo < hi")
-    shared = written(shared.select("h", "k"), "near-shared")
-    buckets = may_have(each, key_filter(shared, ["h"]), ["h"]).filter("__may").drop("__may")
-    buckets = written(counted_join(buckets, shared, ["h"], "inner", "k"), "near-buckets")
+    # Most shingles of prefixes are one node's, and few of these pass the filter of the others; they meet no other node and do no harm.
+    shared = key_filter(each.groupBy("h").count().filter("count > 1"), ["h"])
+    buckets = written(may_have(each, shared, ["h"]).filter("__may").drop("__may"), "near-buckets")
     pivot = F.min_by(F.struct("node", "n"), F.xxhash64("node"))
     foremost = F.min_by(F.struct("node", "n"), F.struct("at", F.xxhash64("node")))
     pivots = buckets.groupBy("h").agg(pivot.alias("p"), F.when(F.max("frequent"), foremost).alias("q"), F.count(F.lit(1)).alias("k"))
