@@ -60,3 +60,17 @@ def test_concat_keeps_the_type(spark):
     frame = spark.createDataFrame([(0, 4, 3), (0, 9, 2)], "image_id int, t int, v int")
     assert sorted(map(tuple, frames.concat_frames([frame], as_float=False).select("t", "v").collect())) == [(1, 3), (2, 2)]
     assert dict(frames.concat_frames([frame]).dtypes)["v"] == "float"
+
+
+def test_deep_frames_of_unequal_slices(spark, tmp_path):
+    from oracle import spark_rows, sql_rows
+
+    from vertexloom.plans import registry
+
+    # Images of 32 rows, of six, of 23 with two missing, and one with values that are null.
+    rows = [(i, None if i == 150 else [None if i > 159 else float(i % 7 + k % 5 - 9) for k in range(64)]) for i in [*range(32), *range(50, 56), *range(100, 113), *range(115, 123), *range(150, 170)]]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    name = "u01_run_on_deep_frames"
+    got = spark_rows(registry.queries()[name](spark, str(tmp_path)))
+    assert got == sql_rows(registry.oracle_sql()[name].replace("FROM embeddings", f"FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')"), str(tmp_path))
+    assert len(got[1]) == 4

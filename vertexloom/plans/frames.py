@@ -69,17 +69,33 @@ def run_on_frames(spark, sf_dir):
     cte("gray") + " SELECT image_id, t, (SELECT count(DISTINCT y // 10) FROM gray h WHERE h.image_id = d.image_id) AS n_planes, round(max(d), 5) AS depth FROM (SELECT image_id, t, y % 10 AS y, x, max(v) - min(v) AS d FROM gray GROUP BY ALL) d GROUP BY image_id, t",
 )
 def run_on_deep_frames(spark, sf_dir):
-    """Every ten rows of an image are a slice of its frame: the model projects over all slices at once, so a part of a frame would give another result."""
+    """Every ten rows of an image are a slice of its frame: the model projects over all slices at once, so a part of a frame would give another result.
+
+    An image's last slice may have fewer rows than the others, and rows may be
+    missing; a second channel says which pixels are there.
+    """
 
     def load():
         def model(frame: pd.DataFrame) -> pd.DataFrame:
-            stack = np.stack(frame["data"].to_list()).astype("float64")
-            return pd.DataFrame({"image_id": frame["image_id"][:1], "t": frame["t"][:1], "n_planes": [len(stack)], "depth": [(stack.max(0) - stack.min(0)).max()]})
+            shape = (frame["height"].max(), frame["width"].max())
+
+            def stack(c: int) -> np.ndarray:
+                planes = frame[frame["c"] == c]
+                out = np.zeros((len(planes), *shape))
+                for i, (data, h, w) in enumerate(zip(planes["data"], planes["height"], planes["width"], strict=True)):
+                    out[i, :h, :w] = data.reshape(h, w)
+                return out
+
+            values, there = stack(1), stack(2) > 0
+            depth = np.where(there, values, -np.inf).max(0) - np.where(there, values, np.inf).min(0)
+            seen = depth[there.any(0)]
+            return pd.DataFrame({"image_id": frame["image_id"][:1], "t": frame["t"][:1], "n_planes": [len(values)], "depth": [seen.max() if len(seen) else None]})
 
         return model
 
     deep = fx.gray_raster(spark, sf_dir).withColumns({"z": F.floor(F.col("y") / 10).cast("int"), "y": F.col("y") % 10})
-    rows = frames.run_on_frames(frames.pack_planes(deep), load, "image_id long, t int, n_planes long, depth double")
+    there = deep.withColumns({"c": F.lit(2), "v": F.col("v").isNotNull().cast("double")})
+    rows = frames.run_on_frames(frames.pack_planes(deep.unionByName(there)), load, "image_id long, t int, n_planes long, depth double")
     return rounded(rows, "depth", places=5)
 
 
