@@ -222,3 +222,14 @@ def test_canvas(spark):
     assert roi.canvas_size(polygon(spark, (-5, -5), (130.5, 20))).first()[1:] == (131, 100)
     assert roi.bounding_boxes(polygon(spark, (-0.5, 0.2), (1.5, 1))).first()[2:] == (-1, 0, 3, 1)
     assert roi.roi_names_from_labels(spark.createDataFrame([(1.2,), (1.7,)], "label double")).select(F.collect_set("name")).first()[0] == ["1"]
+
+
+def test_membership_broadcasts_no_points(spark, tmp_path):
+    """Spark takes the rows that a small table is exploded to for as small as the table."""
+    spark.range(300).selectExpr("id set_id").write.parquet(str(tmp_path / "sets"))
+    points = spark.read.parquet(str(tmp_path / "sets")).selectExpr("set_id", "explode(sequence(0, 4)) point_ix").selectExpr("set_id", "point_ix", "2.0 * point_ix - 1 x", "1.5D y")
+    vertices = spark.range(300).selectExpr("id set_id", "0 roi_ix", "0 poly_ix", "explode(array((0, 0D, 0D), (1, 6D, 0D), (2, 6D, 6D), (3, 0D, 6D))) v").selectExpr("set_id", "roi_ix", "poly_ix", "v.col1 vertex_ix", "v.col2 x", "v.col3 y")
+    for cell in (0.5, 4.0):
+        inside = roi.region_membership(points.withColumn("x", points.x.cast("double")), vertices, cell)
+        assert "BroadcastExchange" not in inside._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.set_id, r.point_ix) for r in inside.collect()) == [(s, k) for s in range(300) for k in (1, 2, 3)]

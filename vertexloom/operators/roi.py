@@ -153,15 +153,15 @@ def _column_of(x: Column, cell: float) -> Column:
 
 def cell_pairs(points: DataFrame, cells: DataFrame, cell: float) -> DataFrame:
     """Each point with each edge of the cut cell that it lies in, cells of very many pairs dealt to several tasks; the points of such cells only are compared with edges."""
-    at, key = points, ["set_id", "row", "col"]
-    pairs = at.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).join(cells.groupBy(*key).agg(F.count(F.lit(1)).alias("m")), key)
+    at, key = points.hint("merge"), ["set_id", "row", "col"]
+    pairs = points.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).hint("merge").join(cells.groupBy(*key).agg(F.count(F.lit(1)).alias("m")), key)
     parts = F.ceil(F.least(F.col("n") * F.col("m") / PAIRS_TOGETHER, F.lit(MOST_PARTS))).cast("int")
     large = settled(pairs.select(*key, parts.alias("parts")).filter("parts > 1"))
     if large.isEmpty():
         return at.join(cells, key)
-    at = at.join(large, key, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("point_ix"), "parts"), F.lit(0))).drop("parts")
+    at = points.join(large, key, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("point_ix"), "parts"), F.lit(0))).drop("parts")
     several = cells.join(large, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1))).drop("parts")
-    return at.join(several, [*key, "part"])
+    return at.hint("merge").join(several, [*key, "part"])
 
 
 def region_membership(points: DataFrame, vertices: DataFrame, cell: float | None = None) -> DataFrame:
@@ -179,6 +179,9 @@ def region_membership(points: DataFrame, vertices: DataFrame, cell: float | None
     parity at the cell's lower right corner is known, edges between that
     corner and the point's height change it, and then those between the point
     and the cell's right border.
+
+    Points are joined by merging: Spark doesn't count what an explode makes of
+    a small table, and would broadcast all points through the driver.
     """
     signed = settled(signed_edges(vertices.filter("x is not null and y is not null")))
     if cell is None:
@@ -189,7 +192,7 @@ def region_membership(points: DataFrame, vertices: DataFrame, cell: float | None
     runs = cells.filter("right % 2 = 1 and next > col + 1").select(*POLYGON, "negative", "row", "col", "next").distinct()
     blocks = runs.select(*POLYGON, "negative", "row", F.explode(run_blocks(F.col("col") + 1, F.col("next") - 1)).alias("b")).select(*POLYGON, "negative", "row", "b.*")
     keyed = at.withColumn("b", F.explode(blocks_with(F.col("col")))).select("set_id", "point_ix", "row", "b.*")
-    whole = keyed.join(blocks, ["set_id", "row", "level", "block"]).select(*POLYGON, "point_ix", "negative")
+    whole = keyed.hint("merge").join(blocks, ["set_id", "row", "level", "block"]).select(*POLYGON, "point_ix", "negative")
 
     pairs = cell_pairs(at, cells, cell)
     bottom, py, low, high = F.col("row") * cell, F.col("py"), F.least("y0", "y1"), F.greatest("y0", "y1")
