@@ -65,6 +65,7 @@ def test_concat_keeps_the_type(spark):
 def test_deep_frames_of_unequal_slices(spark, tmp_path):
     from oracle import spark_rows, sql_rows
 
+    from vertexloom.plans import frames as _  # noqa: F401  registers the query
     from vertexloom.plans import registry
 
     # Images of 32 rows, of six, of 23 with two missing, and one with values that are null.

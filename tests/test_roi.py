@@ -233,3 +233,17 @@ def test_membership_broadcasts_no_points(spark, tmp_path):
         inside = roi.region_membership(points.withColumn("x", points.x.cast("double")), vertices, cell)
         assert "BroadcastExchange" not in inside._jdf.queryExecution().executedPlan().toString()
         assert sorted((r.set_id, r.point_ix) for r in inside.collect()) == [(s, k) for s in range(300) for k in (1, 2, 3)]
+
+
+def test_plain_shapes_of_lines_that_are_equal_as_whole_numbers(spark, tmp_path):
+    from oracle import spark_rows, sql_rows
+
+    from vertexloom.plans import registry
+    from vertexloom.plans import roi as _  # noqa: F401  registers the query
+
+    rows = [(1, line, 7.0, 1000.0 * k + more, part, 3) for line in range(1, 5) for k in (5, 9) for more in (0.0, 420.0) for part in (17, 107)]
+    table = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_partkey long, l_suppkey long")
+    table.write.parquet(str(tmp_path / "lineitem.parquet"))
+    name = "r08_plain_shapes"
+    sql = registry.oracle_sql()[name].replace("FROM lineitem", f"FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    assert spark_rows(registry.queries()[name](spark, str(tmp_path))) == sql_rows(sql, str(tmp_path / "none"))

@@ -119,12 +119,13 @@ v AS (SELECT path_id, i AS vertex_ix, x + w * (i IN (1, 2))::INT AS x, y + h * (
 SELECT path_id, 0 AS poly_ix, vertex_ix, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y, kind FROM v""",
 )
 def plain_shapes(spark, sf_dir):
-    """A rectangle, ellipse, line or triangle for each line of an order."""
+    """A rectangle, ellipse, line or triangle for each line of an order; lines whose whole numbers are equal make one shape."""
     lines = fx.table(spark, sf_dir, "lineitem")
     kind = F.element_at(F.array(*[F.lit(k) for k in ("rectangle", "ellipse", "line", "polygon")]), (F.col("l_linenumber") % 4 + 1).cast("int"))
     x, y, w, h = F.col("l_quantity") + 0.7, 0 - F.col("l_extendedprice") / 1000, F.col("l_partkey") % 90 + 0.9, F.col("l_suppkey") % 40 + 0.4
     a = F.when(kind == "polygon", F.array(x, y, w, h, x, h)).otherwise(F.array(x, y, w, h))
-    shapes = lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("path_id"), kind.alias("kind"), a.alias("a")).distinct()
+    shapes = lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("path_id"), kind.alias("kind"), a.alias("a"))
+    shapes = shapes.withColumn("cut", F.transform("a", lambda v: v.cast("bigint"))).dropDuplicates(["path_id", "kind", "cut"])
     return rounded(roi.plain_shapes(shapes), "x", "y")
 
 
