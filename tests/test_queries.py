@@ -20,3 +20,16 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() == 2
     assert set(registry.queries()) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_tasks_grow_in_number_with_the_lines(spark, monkeypatch):
+    from vertexloom.plans import fixtures
+
+    before = spark.conf.get(fixtures.PARTITIONS)
+    monkeypatch.setattr(fixtures, "ROWS_TOGETHER", 500)
+    try:
+        rois, lines = fixtures.customer_rois(spark, SF_DIR), fixtures.table(spark, SF_DIR, "lineitem").count()
+        assert rois.rdd.getNumPartitions() == -(-lines // 500) > int(before)
+        assert spark_rows(registry.queries()["r03_rebind_points"](spark, SF_DIR)) == sql_rows(registry.oracle_sql()["r03_rebind_points"])
+    finally:
+        spark.conf.set(fixtures.PARTITIONS, before)

@@ -1,4 +1,4 @@
-"""Intermediate tables of iterative operators."""
+"""Intermediate tables of iterative operators, and tasks as small as the session asks for."""
 
 from __future__ import annotations
 
@@ -34,6 +34,11 @@ def place_for_workers(spark: SparkSession, path: str) -> str:
     return f"{SCHEMES[scheme]}://{uri.getAuthority() or ''}{uri.getPath()}"
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of equal keys in one task, in exactly as many tasks as the session has shuffle partitions: what adaptive execution put together would be sorted several times over in one task's memory."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the folder that the session names in spark.checkpoint.dir and read again.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vertexloom.functions.geometry import POLYGON, VERTEX, after, before, distance, ring, whole
-from vertexloom.functions.settle import settled
+from vertexloom.functions.settle import dealt, settled
 
 #: Pairs of a point and an edge of one cell that one task compares, and the tasks to which a cell's points are dealt at most.
 PAIRS_TOGETHER, MOST_PARTS = 4_000_000, 1024
@@ -54,7 +54,7 @@ def rebind_points(vertices: DataFrame, points: DataFrame) -> DataFrame:
     """New coordinates by position in the set; a region that doesn't get all of its points stays as it is, with rebound false."""
     own = with_point_index(vertices)
     got = points.select("set_id", "point_ix", F.col("x").alias("new_x"), F.col("y").alias("new_y"))
-    joined = own.join(got, ["set_id", "point_ix"], "left")
+    joined = dealt(dealt(own, "set_id", "point_ix").join(dealt(got, "set_id", "point_ix"), ["set_id", "point_ix"], "left"), "set_id", "roi_ix")
     region = Window.partitionBy("set_id", "roi_ix")
     full = F.count("new_x").over(region) == F.count(F.lit(1)).over(region)
     return joined.withColumn("rebound", full).select(*VERTEX, F.when(F.col("rebound"), F.col("new_x")).otherwise(F.col("x")).alias("x"), F.when(F.col("rebound"), F.col("new_y")).otherwise(F.col("y")).alias("y"), "rebound")

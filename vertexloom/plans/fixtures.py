@@ -6,9 +6,16 @@ puts those that a query needs before it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vertexloom.functions.settle import dealt
+
+#: Rows of a table that a task of a later shuffle holds, about.
+ROWS_TOGETHER = 200_000
+PARTITIONS = "spark.sql.shuffle.partitions"
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
@@ -16,16 +23,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_tasks_for(rows: DataFrame, each: int = 1) -> DataFrame:
+    """The rows, of which ``each`` are made in later steps, and at least so many shuffle partitions in their session that tasks don't grow with a table; it stays set, as Spark reads it when a lazy result is planned."""
+    spark, wanted = rows.sparkSession, math.ceil(rows.count() * each / ROWS_TOGETHER)
+    if wanted > int(spark.conf.get(PARTITIONS)):
+        spark.conf.set(PARTITIONS, wanted)
+    return rows
+
+
+def lines_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items, all of an order in one task."""
+    return dealt(with_tasks_for(table(spark, sf_dir, "lineitem")), "l_orderkey")
+
+
 def order_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One polygon for each order: its line items are the vertices."""
     order = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
-    lines = table(spark, sf_dir, "lineitem")
+    lines = lines_of_orders(spark, sf_dir)
     return lines.select(F.col("l_orderkey").alias("set_id"), F.lit(0).alias("roi_ix"), F.lit(0).alias("poly_ix"), (F.row_number().over(order) - 1).alias("vertex_ix"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"))
 
 
 def customer_rois(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A set for each customer, a region for each order, a polygon for each return flag."""
-    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines_of_orders(spark, sf_dir).join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     flag = F.dense_rank().over(Window.partitionBy("l_orderkey").orderBy("l_returnflag")) - 1
     order = Window.partitionBy("l_orderkey", "l_returnflag").orderBy(*LINE_ORDER)
     return lines.select(F.col("o_custkey").alias("set_id"), F.col("l_orderkey").alias("roi_ix"), flag.alias("poly_ix"), (F.row_number().over(order) - 1).alias("vertex_ix"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"))
@@ -33,7 +53,7 @@ def customer_rois(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embedding_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A polygon of 32 vertices for each vector, by pairs of its elements; sets of 50."""
-    each = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "v"))
+    each = with_tasks_for(table(spark, sf_dir, "embeddings"), 1000).select("vec_id", F.posexplode("embedding").alias("i", "v"))
     wide = each.groupBy("vec_id", F.floor(F.col("i") / 2).cast("int").alias("vertex_ix")).agg(F.max(F.when(F.col("i") % 2 == 0, F.col("v"))).cast("double").alias("a"), F.max(F.when(F.col("i") % 2 == 1, F.col("v"))).cast("double").alias("b"))
     return wide.select(F.floor(F.col("vec_id") / 50).alias("set_id"), F.col("vec_id").alias("roi_ix"), F.lit(0).alias("poly_ix"), "vertex_ix", (100 * F.col("a")).alias("x"), (100 * F.col("b")).alias("y"))
 
@@ -73,7 +93,7 @@ def spots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def roi_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of regions: brands of the parts of a supplier group's lines."""
-    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = with_tasks_for(table(spark, sf_dir, "lineitem")).join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
     order = Window.partitionBy("set_id").orderBy("l_orderkey", *LINE_ORDER)
     return lines.withColumn("set_id", F.col("l_suppkey")).select("set_id", (F.row_number().over(order) - 1).alias("roi_ix"), F.col("p_brand").alias("name"))
 
@@ -104,7 +124,7 @@ def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def path_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A path for each order: a new sub-path where the return flag changes; a curve where an open line follows."""
     order = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
-    rows = table(spark, sf_dir, "lineitem").withColumns({"cmd_ix": F.row_number().over(order) - 1, "last_flag": F.lag("l_returnflag").over(order), "later": F.lead("l_linenumber").over(order)})
+    rows = lines_of_orders(spark, sf_dir).withColumns({"cmd_ix": F.row_number().over(order) - 1, "last_flag": F.lag("l_returnflag").over(order), "later": F.lead("l_linenumber").over(order)})
     starts = F.col("last_flag").isNull() | (F.col("last_flag") != F.col("l_returnflag"))
     curve = F.col("later").isNull() & (F.col("l_linestatus") == "O")
     return rows.select(F.col("l_orderkey").alias("path_id"), "cmd_ix", F.when(starts, "M").when(curve, "Q").otherwise("L").alias("cmd"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"))

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vertexloom.functions.settle import dealt
 from vertexloom.operators.roi import sample_path
 from vertexloom.sources.files import name_under
 
@@ -180,7 +181,7 @@ def _pieces(rows: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
 
 def flatten_paths(paths: DataFrame, keys: list[str], tolerance: float = TOLERANCE) -> DataFrame:
     """Vertices ``keys, poly_ix, vertex_ix, x, y`` of paths ``keys, d``: curves and arcs in straight pieces no further from them than ``tolerance``. Indexes order a path's vertices and have gaps."""
-    return _pieces(_with_controls(_placed(_segments(paths, keys), keys), keys), keys, tolerance)
+    return _pieces(_with_controls(_placed(_segments(dealt(paths, *keys), keys), keys), keys), keys, tolerance)
 
 
 def sample_svg(paths: DataFrame, sample_length: float = 10.0, downscale: float = 1.0, tolerance: float = TOLERANCE) -> DataFrame:
