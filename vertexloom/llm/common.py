@@ -169,6 +169,23 @@ def may_have(rows: DataFrame, keys: DataFrame, on: list[str], column: str = "__m
     return bit.join(F.broadcast(keys), "__piece", "left").withColumn(column, F.coalesce(is_set, F.lit(False))).drop("__bit", "__piece", "__words")
 
 
+def rows_among(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key is in a written table of distinct keys and, where that is too large to broadcast, few others. No row moves."""
+    if fits(keys.select(on), keys.count()):
+        return rows.join(F.broadcast(keys.select(on)), on, "left_semi")
+    return may_have(rows, key_filter(keys, [on]), [on]).filter("__may").drop("__may")
+
+
+def rows_without(rows: DataFrame, gone: DataFrame, on: str, maybe_null: str) -> DataFrame:
+    """Rows whose two columns, the second of which may be null, aren't in a written table: that is broadcast, or else only rows that a filter of ``on`` lets pass are shuffled."""
+    other = gone.select(F.col(on).alias("__on"), F.col(maybe_null).alias("__maybe"))
+    found = (F.col(on) == F.col("__on")) & F.col(maybe_null).eqNullSafe(F.col("__maybe"))
+    if fits(gone, gone.count()):
+        return rows.join(F.broadcast(other), found, "left_anti")
+    marked = may_have(rows, key_filter(gone, [on]), [on])
+    return marked.filter("not __may").drop("__may").unionByName(marked.filter("__may").drop("__may").join(other, found, "left_anti"))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value evaluated once: inside lambdas an expression is evaluated for each element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -58,7 +58,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from vertexloom.llm.common import checked_join, counted_join, give_back, key_filter, may_have, small_batches, text_of, written
+from vertexloom.llm.common import checked_join, counted_join, give_back, key_filter, may_have, rows_among, rows_without, small_batches, text_of, written
 from vertexloom.llm.components import components
 from vertexloom.llm.simhash import links_between
 
@@ -70,6 +70,8 @@ SAMPLED, ORDERED = 16, 200_000
 SIGNED, SIGNED_LARGE, LARGE = 1024, 8192, 2048
 #: So many pairs of one node, or nodes of one shingle, are compared in one task.
 TOGETHER = 256
+#: Nodes with longer prefixes look for pivots in one of so many shingles; what has no pivot in common there meets later, in every shingle.
+LONG_PREFIX, PIVOTED = 64, 4
 #: Fixed value: the seed of the shingles' XXH64.
 SEED = 42
 
@@ -107,6 +109,11 @@ def _lists(sets: list[np.ndarray | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values), mask=mask)
 
 
+def _text_key(text: str) -> Column:
+    """What a row's text is known by where the text itself isn't kept."""
+    return F.xxhash64(text_of(F.col(text)))
+
+
 def _sets(docs: DataFrame, size: int, text_col: str) -> DataFrame:
     """All columns but the text's, and ``shingles``."""
     rows = docs.select(*[c for c in docs.columns if c != text_col], text_of(F.col(text_col)).alias("__text"))
@@ -130,10 +137,10 @@ def frequent_last(docs: DataFrame, size: int, text_col: str) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, size: int, text_col: str, known: np.ndarray) -> DataFrame:
-    """All columns, a row number, ``node``, ``n``, its number of shingles that aren't frequent ``r``, the fingerprint ``fp``, the prefix, the last shingle in the order ``tail`` and the signatures; these are null where the task has met the node before."""
+    """All columns but the text's, its key ``text``, a row number, ``node``, ``n``, its number of shingles that aren't frequent ``r``, the fingerprint ``fp``, the prefix, the last shingle in the order ``tail`` and the signatures; these are null where the task has met the node before."""
     from xxhash import xxh64_intdigest as xxhash64
 
-    rows = docs.select("*", F.monotonically_increasing_id().alias("__row"), text_of(F.col(text_col)).alias("__text"))
+    rows = docs.select(*[c for c in docs.columns if c != text_col], _text_key(text_col).alias("text"), F.monotonically_increasing_id().alias("__row"), text_of(F.col(text_col)).alias("__text"))
     by_hash = np.argsort(known)
     sent = docs.sparkSession.sparkContext.broadcast((known[by_hash], by_hash + 1))
 
@@ -213,32 +220,55 @@ def _promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (u, v) whose signatures don't tell them apart; a node with many pairs is joined where they are."""
     signed = nodes.select("node", "n", "sign", "more")
     for end, other in (("u", ""), ("v", "o_")):
-        counts = pairs.groupBy(F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("k"))
-        own = written(signed.join(counts, "node"), "near-signs").select(F.col("node").alias(end), *[F.col(c).alias(f"{other}{c}") for c in ("n", "sign", "more")], "k")
+        counts = written(pairs.groupBy(F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("k")), "near-counts")
+        own = written(rows_among(signed, counts, "node").join(counts, "node"), "near-signs").select(F.col("node").alias(end), *[F.col(c).alias(f"{other}{c}") for c in ("n", "sign", "more")], "k")
         pairs = counted_join(pairs, own, [end], "inner", "k")
     large = F.aggregate(F.zip_with("more", "o_more", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
     near = _differ_little(_sign_bits(SIGNED // 64)) & F.coalesce(_differ_little(large), F.lit(True))
     return written(pairs.filter(near).select("u", "v"), "near-promising")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, size: int, text_col: str) -> DataFrame:
-    """The pairs (u, v) of nodes whose whole sets are similar enough."""
-    pairs = _promising(pairs, rows)
+def _node_sets(texts: DataFrame, size: int) -> DataFrame:
+    """A row number, ``node`` and ``shingles`` of each text, once in each task."""
+    from xxhash import xxh64_intdigest as xxhash64
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = set()
+        for batch in batches:
+            rows, nodes, sets = [], [], []
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                hashes = shingle_set(text.as_py(), size)
+                node = xxhash64(hashes.tobytes(), SEED)
+                if node not in met:
+                    met.add(node)
+                    rows.append(row)
+                    nodes.append(node)
+                    sets.append(hashes)
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(np.array(nodes, np.uint64).view(np.int64)), _lists(sets)], names=["__row", "node", "shingles"])
+        give_back()
+
+    return texts.mapInArrow(run, "__row long, node long, shingles array<long>")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, text_col: str) -> DataFrame:
+    """The pairs (u, v) of nodes whose whole sets are similar enough; these are made of the documents' texts, which are read in place."""
+    pairs = _promising(pairs, nodes)
     wanted = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "near-wanted")
-    texts = may_have(rows.select("node", text_col), key_filter(wanted, ["node"]), ["node"]).filter("__may").drop("__may")
-    sets = written(_sets(texts, size, text_col), "near-sets")
+    keys = written(rows_among(nodes.select("node", "text"), wanted, "node").select("text").distinct(), "near-texts")
+    read = docs.select(_text_key(text_col).alias("text"), text_of(F.col(text_col)).alias("__text"))
+    texts = rows_among(read, keys, "text").select(F.monotonically_increasing_id().alias("__row"), "__text")
+    sets = _once(written(_node_sets(texts, size), "near-sets")).drop("__row")
     both = _with_sets(_with_sets(pairs, sets, "u", "v", "a"), sets, "v", "u", "b")
     shared = F.size(F.array_intersect("a", "b"))
     return both.filter(shared * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.size("a") + F.size("b"))).select("u", "v")
 
 
 def _once(rows: DataFrame) -> DataFrame:
-    """The rows of ``prefixes`` that have a prefix, one for each node."""
-    whole = rows.filter("prefix is not null")
-    thin = whole.select("node", "__row")
+    """One row for each node."""
+    thin = rows.select("node", "__row")
     several = written(thin.groupBy("node").agg(F.min("__row").alias("first"), F.count(F.lit(1)).alias("k")).filter("k > 1"), "near-repeated")
     again = written(counted_join(thin, several, ["node"], "inner", "k").filter("__row != first").select("__row"), "near-again")
-    return checked_join(whole, again, "__row", "left_anti")
+    return checked_join(rows, again, "__row", "left_anti")
 
 
 def _index_pairs(rows: DataFrame) -> DataFrame:
@@ -259,8 +289,9 @@ def _reach(n: str, at: str) -> Column:
 
 
 def _stars(met: DataFrame) -> DataFrame:
-    """(u, v): each node and the pivot ``o_node`` that shares the most of its prefix."""
-    counts = met.filter((F.col("node") != F.col("o_node")) & _similar_sizes()).groupBy("node", "n", "o_node", "o_n").count().filter(_may_link(F.col("count")))
+    """(u, v): each node and the pivot ``o_node`` that shares the most of its prefix, or of the part of it that was looked at, by twice as much as that promises."""
+    counts = met.filter((F.col("node") != F.col("o_node")) & _similar_sizes()).groupBy("node", "n", "o_node", "o_n").agg(F.count(F.lit(1)).alias("count"), F.max("part").alias("part"))
+    counts = counts.filter(_may_link(F.col("count") * F.when(F.col("part"), 2 * PIVOTED).otherwise(1)))
     return counts.groupBy("node").agg(F.max_by("o_node", F.struct("count", "o_node")).alias("v")).withColumnRenamed("node", "u")
 
 
@@ -268,75 +299,83 @@ def _heads(placed: DataFrame, nodes: DataFrame) -> DataFrame:
     """Rows of the shingles that different components share, without those of shingles that always come right behind one other; ``run`` says how many of these follow."""
     behind = (F.min("prev") == F.max("prev")) & (F.count("prev") == F.count(F.lit(1)))
     open_ = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k"), F.coalesce(behind, F.lit(False)).alias("behind")).filter("lo < hi")
-    open_ = written(open_.select("h", F.ceil(F.col("k") / TOGETHER).cast("int").alias("parts"), "behind", "k"), "near-open")
+    # Those behind have no parts.
+    open_ = written(open_.select("h", F.when(F.col("behind"), 0).otherwise(F.ceil(F.col("k") / TOGETHER)).cast("int").alias("parts"), "k"), "near-open")
     order = Window.partitionBy("node").orderBy("at")
-    marked = counted_join(placed.drop("prev"), open_, ["h"], "inner", "k").withColumn("head", F.sum((~F.col("behind")).cast("int")).over(order))
-    heads = marked.withColumn("run", F.count(F.lit(1)).over(Window.partitionBy("node", "head")) - 1).filter("not behind").drop("behind", "head")
+    marked = counted_join(placed.drop("prev"), open_, ["h"], "inner", "k").withColumn("head", F.sum((F.col("parts") > 0).cast("int")).over(order))
+    heads = marked.withColumn("run", F.count(F.lit(1)).over(Window.partitionBy("node", "head")) - 1).filter("parts > 0").drop("head")
     return written(heads.join(nodes.select("node", _halved("sign").alias("sign")), "node"), "near-heads")
 
 
 def _met(heads: DataFrame) -> DataFrame:
     """Pairs of nodes at each shingle that both have as a head, but for those that can't be linked by their sizes, their places or their signatures."""
-    others = heads.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "f", "at", "root", "run", "sign")])
-    dealt = heads.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    kept = [c for c in heads.columns if c not in ("h", "parts")]
     within_reach = F.least(_reach("n", "at"), _reach("o_n", "o_at")) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("n") + F.col("o_n"))
     # All of it is a part of the join's condition, so that no other pair leaves the join.
     may = (F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _similar_sizes() & (~F.col("frequent") | within_reach) & _differ_little(_sign_bits(SIGNED // 128))
-    return dealt.join(others, ["h", "part"]).filter(may)
-
-
-def near_links(rows: DataFrame, size: int, text_col: str) -> DataFrame:
-    """Links (u, v) that connect what the pairs of similar nodes of ``prefixes`` connect."""
-    nodes = _once(rows)
+    # Shingles of one part are shuffled once for both sides, which differ in the columns' names alone.
+    few = heads.filter("parts = 1").select("h", *kept)
+    pairs = few.toDF("h", *[f"a_{c}" for c in kept]).join(few.toDF("h", *[f"o_{c}" for c in kept]), "h").toDF("h", *kept, *[f"o_{c}" for c in kept]).filter(may)
+    many = heads.filter("parts > 1")
+    others = many.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *[F.col(c).alias(f"o_{c}") for c in kept])
+    dealt = many.select("h", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), *kept)
+    return pairs.unionByName(dealt.join(others, ["h", "part"]).filter(may).drop("part"))
+
+
+def near_links(rows: DataFrame, docs: DataFrame, size: int, text_col: str) -> DataFrame:
+    """Links (u, v) that connect what the pairs of similar nodes of the documents' ``prefixes`` connect."""
+    nodes = _once(rows.filter("prefix is not null"))
     places = F.transform("prefix", lambda h, at: F.struct(h.alias("h"), F.get("prefix", at - 1).alias("prev")))
     each = nodes.select("node", "n", "r", "tail", F.size("prefix").alias("size"), F.posexplode(places).alias("at", "p"))
-    each = each.select("node", "n", F.greatest(F.lit(0), F.col("size") - F.col("r")).alias("f"), "p.h", "p.prev", "at", (F.col("at") >= F.col("r")).alias("frequent"), "tail")
+    each = each.select("node", "n", "size", F.greatest(F.lit(0), F.col("size") - F.col("r")).alias("f"), "p.h", "p.prev", "at", (F.col("at") >= F.col("r")).alias("frequent"), "tail")
     # Most shingles of prefixes are one node's, and few of these pass the filter of the others; they meet no other node and do no harm.
     shared = key_filter(each.groupBy("h").count().filter("count > 1"), ["h"])
     buckets = written(may_have(each, shared, ["h"]).filter("__may").drop("__may"), "near-buckets")
-    pivot = F.min_by(F.struct("node", "n"), F.xxhash64("node"))
+    # Nodes are hashes, so the least of them is anyone of the shingle's.
+    looked = buckets.withColumn("part", F.col("size") > LONG_PREFIX).filter(~F.col("part") | (F.pmod("h", F.lit(PIVOTED)) == 0))
     foremost = F.min_by(F.struct("node", "n"), F.struct("at", F.xxhash64("node")))
-    pivots = buckets.groupBy("h").agg(pivot.alias("p"), F.when(F.max("frequent"), foremost).alias("q"), F.count(F.lit(1)).alias("k"))
-    pivots = written(pivots.select("h", F.col("p.node").alias("p"), F.col("p.n").alias("p_n"), F.col("q.node").alias("q"), F.col("q.n").alias("q_n"), "k"), "near-pivots")
-    with_pivots = counted_join(buckets.select("h", "node", "n"), pivots, ["h"], "inner", "k")
-    stars = [_stars(with_pivots.select("node", "n", F.col(p).alias("o_node"), F.col(f"{p}_n").alias("o_n"))) for p in ("p", "q")]
+    pivots = looked.groupBy("h").agg(F.min(F.struct("node", "n")).alias("p"), F.min(F.when(F.col("frequent"), F.struct("at", "node", "n"))).alias("q"), F.count(F.lit(1)).alias("k"))
+    pivots = written(pivots.filter("k > 1").select("h", F.col("p.node").alias("p"), F.col("p.n").alias("p_n"), F.col("q.node").alias("q"), F.col("q.n").alias("q_n"), "k"), "near-pivots")
+    with_pivots = counted_join(looked.select("h", "node", "n", "part"), pivots, ["h"], "inner", "k")
+    stars = [_stars(with_pivots.select("node", "n", "part", F.col(p).alias("o_node"), F.col(f"{p}_n").alias("o_n"))) for p in ("p", "q")]
     # Of the texts that end alike, too, the one with the least before the shingle.
     often = buckets.filter("frequent").select("h", "tail", "node", "n", "at")
     tails = written(often.groupBy("h", "tail").agg(foremost.alias("q"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("h", "tail", "q", "k"), "near-tails")
-    stars.append(_stars(counted_join(often.drop("at"), tails, ["h", "tail"], "inner", "k").select("node", "n", F.col("q.node").alias("o_node"), F.col("q.n").alias("o_n"))))
+    stars.append(_stars(counted_join(often.drop("at"), tails, ["h", "tail"], "inner", "k").select("node", "n", F.lit(False).alias("part"), F.col("q.node").alias("o_node"), F.col("q.n").alias("o_n"))))
     pairs = written(reduce(DataFrame.unionByName, [*stars, _index_pairs(rows)]).distinct(), "near-stars")
-    first = written(_verified(pairs, nodes, size, text_col), "near-first")
+    first = written(_verified(pairs, nodes, docs, size, text_col), "near-first")
     roots = written(components(first), "near-roots")
 
-    placed = checked_join(buckets.drop("tail"), roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = checked_join(buckets.drop("tail", "size"), roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     met = _met(_heads(written(placed, "near-placed"), nodes))
     # Of frequent shingles not all that a pair shares are met, so as many count as both prefixes have.
     more = F.when(~F.col("frequent"), F.least("run", "o_run") + 1).otherwise(0)
     counts = met.groupBy("node", "n", "o_node", "o_n").agg(F.sum(more).alias("count"), F.max(F.least("f", "o_f")).alias("frequent"))
     pairs = counts.filter(_may_link(F.col("count") + F.col("frequent")))
     rest = written(pairs.select(F.col("node").alias("u"), F.col("o_node").alias("v")), "near-rest")
-    return first.unionByName(_verified(rest, nodes, size, text_col))
+    return first.unionByName(_verified(rest, nodes, docs, size, text_col))
 
 
 def drop_near(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group of linked ones, that of the smallest id, with the columns it came with.
 
     Documents without an id and what they alone link to all stay, as do
-    rows that share the smallest id. The numbers of the rows that go are
-    found first, so that texts are shuffled, by number, only where those are
-    too many to broadcast.
+    rows that share the smallest id. What goes is found first, by its id and
+    its text's key, and the documents are read once more without it: no copy
+    of the texts is written, and a text is shuffled only if it may go and
+    those that go are too many to broadcast.
     """
     small_batches(docs.sparkSession)
     numbered = [f"__in_{i}" for i in range(len(docs.columns))]
     key, text = numbered[docs.columns.index(id_col)], numbered[docs.columns.index(text_col)]
     named = docs.toDF(*numbered)
-    rows = written(prefixes(named, size, text, frequent_last(named, size, text)), "near-rows")
-    roots = written(components(near_links(rows, size, text)), "near-components")
+    rows = written(prefixes(named.select(key, text), size, text, frequent_last(named, size, text)), "near-rows")
+    roots = written(components(near_links(rows, named, size, text)), "near-components")
     nodes = written(rows.groupBy("node").agg(F.min(key).alias("least"), F.count(F.lit(1)).alias("k")), "near-nodes")
     linked = checked_join(nodes, roots, "node", "left").filter("k > 1 or root is not null").select("node", "least", F.coalesce("root", "node").alias("root"), "k")
     linked = written(linked, "near-linked")
     firsts = written(linked.groupBy("root").agg(F.min("least").alias("stays"), F.count(F.lit(1)).alias("nodes")), "near-firsts")
     grouped = written(counted_join(linked, firsts, ["root"], "inner", "nodes").select("node", "stays", "k"), "near-grouped")
-    gone = counted_join(rows.select("__row", "node", key), grouped, ["node"], "inner", "k").filter(~F.col(key).eqNullSafe(F.col("stays")))
-    kept = checked_join(rows, written(gone.select("__row"), "near-gone"), "__row", "left_anti")
+    gone = counted_join(rows.select("text", "node", key), grouped, ["node"], "inner", "k").filter(~F.col(key).eqNullSafe(F.col("stays")))
+    kept = rows_without(named.withColumn("text", _text_key(text)), written(gone.select("text", key).distinct(), "near-gone"), "text", key)
     return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, numbered, strict=True)])
