@@ -313,7 +313,7 @@ def _met(heads: DataFrame) -> DataFrame:
     within_reach = F.least(_reach("n", "at"), _reach("o_n", "o_at")) * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("n") + F.col("o_n"))
     # All of it is a part of the join's condition, so that no other pair leaves the join.
     may = (F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & _similar_sizes() & (~F.col("frequent") | within_reach) & _differ_little(_sign_bits(SIGNED // 128))
-    # Shingles of one part are shuffled once for both sides, which differ in the columns' names alone.
+    # Shingles of one part need no dealing; both sides differ in the columns' names alone.
     few = heads.filter("parts = 1").select("h", *kept)
     pairs = few.toDF("h", *[f"a_{c}" for c in kept]).join(few.toDF("h", *[f"o_{c}" for c in kept]), "h").toDF("h", *kept, *[f"o_{c}" for c in kept]).filter(may)
     many = heads.filter("parts > 1")
